@@ -10,10 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.windows import band_count, global_rank, prefix_sum, previous_max
-
-MICROS_PER_MINUTE = 60 * 1_000_000
-MICROS_PER_HOUR = 60 * MICROS_PER_MINUTE
+from tessera.operators.windows import (
+    MICROS_PER_HOUR, MICROS_PER_MINUTE, band_count, global_rank, prefix_sum, previous_max,
+)
 
 
 def _money(col: str | Column) -> Column:
@@ -29,6 +28,22 @@ def active_rates(rates: DataFrame, to_currency: str | None = None) -> DataFrame:
     return open_rates.select("from_currency", "to_currency", "rate")
 
 
+def with_kzt_rate(df: DataFrame, rates: DataFrame, currency_col: str, out: str,
+                  to_currency: str = "KZT") -> DataFrame:
+    """Attach the open rate from ``currency_col`` to ``to_currency`` (1 when none).
+
+    The rate table is a small literal relation (one open row per currency
+    pair), so it is broadcast; the lookup is a left join that never drops or
+    duplicates rows as long as the open rows are unique per pair (see
+    ``quality.unique_where``).
+    """
+    open_rates = F.broadcast(active_rates(rates, to_currency)
+                             .select(F.col("from_currency").alias("__from"), F.col("rate").alias("__rate")))
+    joined = df.join(open_rates, F.col(currency_col) == F.col("__from"), "left")
+    return joined.withColumn(out, F.coalesce(F.col("__rate"), F.lit(1).cast("decimal(10,6)"))) \
+        .drop("__from", "__rate")
+
+
 def daily_transaction_report(transactions: DataFrame) -> DataFrame:
     """Per (date, type): count, volume, average, running total, previous volume, growth.
 

@@ -83,9 +83,11 @@ def correlated_avg(df: DataFrame, key: str, sub: DataFrame, sub_key: str, sub_va
     """Attach ``(SELECT AVG(sub_value) FROM sub WHERE sub_key = key)`` as ``out``.
 
     The subquery is aggregated once per key and left-joined; keys without rows
-    get NULL, exactly like the correlated scalar subquery.
+    get NULL, exactly like the correlated scalar subquery. The average is
+    returned as a double (exact decimal sum divided by the count).
     """
-    per_key = sub.groupBy(F.col(sub_key).alias("__ck")).agg(F.avg(sub_value).alias(out))
+    avg = F.sum(sub_value).cast("double") / F.count(sub_value)
+    per_key = sub.groupBy(F.col(sub_key).alias("__ck")).agg(avg.alias(out))
     return df.join(per_key, F.col(key) == F.col("__ck"), "left").drop("__ck")
 
 
