@@ -79,8 +79,11 @@ def fanout_totals(parent: DataFrame, parent_key: str, children: dict[str, tuple[
 
     outs = []
     for name, aggs in names:
-        for out in aggs:
-            outs.append((F.col(f"__{out}") * multiplicity(name)).alias(out))
+        for out, (fn, _) in aggs.items():
+            value = F.col(f"__{out}")
+            if fn == "count":  # COUNT over no rows is 0, SUM over no rows stays NULL
+                value = F.coalesce(value, F.lit(0))
+            outs.append((value * multiplicity(name)).alias(out))
     return result.select(*parent.columns, *outs, multiplicity(None).alias("joined_rows"))
 
 

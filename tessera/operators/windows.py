@@ -210,3 +210,20 @@ def previous_max(df: DataFrame, key: str, order_col: str, value: str, out: str,
         F.when(F.col(key).isNull() | F.col(order_col).isNull(), F.lit(None))
         .otherwise(F.greatest("__local_max", "__earlier_max")),
     ).drop("__blk", "__local_max", "__earlier_max")
+
+
+def partition_total(df: DataFrame, key: str | Sequence[str], value: str | Column, out: str) -> DataFrame:
+    """Add ``out`` = SUM(value) OVER (PARTITION BY key) without a keyed window.
+
+    A whole-partition frame needs no order, so the sum is a grouped aggregate
+    (partial sums before the shuffle) joined back on the key. A hot key is then
+    one row on the aggregate side, and AQE can split its rows on the other
+    side; a window would instead sort all of that key's rows in one task.
+    NULL keys form one partition, as in a window.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    value_col = F.col(value) if isinstance(value, str) else value
+    renamed = [f"__pk{i}" for i in range(len(keys))]
+    totals = df.groupBy(*[F.col(k).alias(r) for k, r in zip(keys, renamed)]).agg(F.sum(value_col).alias(out))
+    cond = [F.col(k).eqNullSafe(F.col(r)) for k, r in zip(keys, renamed)]
+    return df.join(totals, cond, "left").drop(*renamed)
