@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.windows import (
-    MICROS_PER_HOUR, MICROS_PER_MINUTE, band_count, global_rank, prefix_sum, previous_max,
+    MICROS_PER_HOUR, MICROS_PER_MINUTE, band_count, global_rank, partition_total, prefix_sum, previous_max,
 )
 
 
@@ -74,3 +74,80 @@ def daily_transaction_report(transactions: DataFrame) -> DataFrame:
             .alias("day_over_day_growth_percent"),
         )
     )
+
+
+def balance_summary(customers: DataFrame, accounts: DataFrame, rates: DataFrame,
+                    transactions: DataFrame, as_of: str) -> DataFrame:
+    """Per account: balance in KZT, the customer's total, today's spend,
+    limit utilisation and the rank of the customer's total.
+
+    Customers without accounts are excluded (inner join). The per-customer
+    total is a grouped sum joined back (a hot customer stays one aggregate
+    row); the rank is over all rows, computed as a prefix count over distinct
+    totals instead of a single-partition window.
+    """
+    acc = with_kzt_rate(accounts, rates, "currency", "rate_to_kzt")
+    ct = (customers.select("customer_id", "full_name", "daily_limit_kzt")
+          .join(acc.select("customer_id", "account_number", "currency", "balance", "rate_to_kzt"), "customer_id")
+          .withColumn("balance_kzt", F.col("balance") * F.col("rate_to_kzt")).drop("rate_to_kzt"))
+    spent = (transactions
+             .where((F.col("status") == "completed") & (F.to_date("created_at") == F.lit(as_of).cast("date")))
+             .join(accounts.select(F.col("account_id").alias("__acct"), F.col("customer_id").alias("__cust")),
+                   F.col("from_account_id") == F.col("__acct"))
+             .groupBy("__cust").agg(F.sum("amount_kzt").alias("__spent")))
+    with_spent = (ct.join(spent, ct["customer_id"] == spent["__cust"], "left")
+                  .withColumn("total_spent_today",
+                              F.coalesce(F.col("__spent"), F.lit(0).cast("decimal(18,2)"))).drop("__cust", "__spent"))
+    totals = partition_total(with_spent, "customer_id", "balance_kzt", "total_kzt")
+    ranked = global_rank(totals, "total_kzt", "total_balance_rank", descending=True)
+    return ranked.select(
+        "full_name", "account_number", "currency",
+        F.col("balance").cast("double").alias("balance"),
+        F.col("balance_kzt").cast("double").alias("balance_kzt"),
+        F.col("total_kzt").cast("double").alias("total_balance_kzt"),
+        F.col("total_spent_today").cast("double").alias("total_spent_today"),
+        (F.col("total_spent_today").cast("double") / F.col("daily_limit_kzt").cast("double") * 100)
+        .alias("limit_utilization_percent"),
+        F.col("total_balance_rank"),
+    )
+
+
+SUSPICIOUS_COLUMNS = ["transaction_id", "flag_reason", "created_at", "from_account_id", "to_account_id"]
+
+
+def suspicious_activity(transactions: DataFrame, accounts: DataFrame, high_value_kzt: float,
+                        max_per_window: int, window_us: int = MICROS_PER_HOUR,
+                        rapid_gap_us: int = MICROS_PER_MINUTE) -> DataFrame:
+    """High value UNION ALL high frequency UNION ALL rapid sequence.
+
+    * high value: completed transfers strictly above ``high_value_kzt``;
+    * high frequency: completed rows whose customer has more than
+      ``max_per_window`` completed rows within +-window (self included) -- a
+      bucketed RANGE count per customer;
+    * rapid sequence: completed rows with an earlier id on the same account (of
+      any status) whose time is later than t - gap -- a running max of time
+      over earlier ids, per account and id block.
+    A row may be flagged for several reasons.
+    """
+    def flagged(df: DataFrame, reason: str) -> DataFrame:
+        return df.select("transaction_id", F.lit(reason).alias("flag_reason"), "created_at",
+                         "from_account_id", "to_account_id")
+
+    completed = F.col("status") == "completed"
+    high_value = transactions.where((F.col("amount_kzt") > high_value_kzt) & completed
+                                    & (F.col("type") == "transfer"))
+
+    owners = accounts.select(F.col("account_id").alias("__acct"), F.col("customer_id").alias("__cust"))
+    owned = (transactions.where(completed)
+             .join(owners, F.col("from_account_id") == F.col("__acct")).drop("__acct"))
+    counted = band_count(owned, "__cust", "created_at", window_us, window_us, "__n")
+    high_freq = counted.where(F.col("__n") > max_per_window)
+
+    base = transactions.select(*SUSPICIOUS_COLUMNS[:1], *SUSPICIOUS_COLUMNS[2:], "status")
+    prev = previous_max(base, "from_account_id", "transaction_id", "created_at", "__prev_max")
+    gap = F.expr(f"INTERVAL {rapid_gap_us} MICROSECONDS")
+    rapid = prev.where(completed & (F.col("__prev_max") > F.col("created_at") - gap))
+
+    return (flagged(high_value, "High_Value_Transfer")
+            .unionByName(flagged(high_freq, "High_Frequency_Hourly"))
+            .unionByName(flagged(rapid, "Rapid_Sequential_Transfer")))
