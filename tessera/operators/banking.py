@@ -151,3 +151,308 @@ def suspicious_activity(transactions: DataFrame, accounts: DataFrame, high_value
     return (flagged(high_value, "High_Value_Transfer")
             .unionByName(flagged(high_freq, "High_Frequency_Hourly"))
             .unionByName(flagged(rapid, "Rapid_Sequential_Transfer")))
+
+
+# Transfer error codes and messages of the reference procedure
+# (the amount message is ours; the reference fails there on a table CHECK).
+ERR_AMOUNT = ("23514", "Amount must be positive.")
+ERR_SOURCE = ("A0001", "Source account not found or inactive.")
+ERR_DEST = ("A0002", "Destination account not found or inactive.")
+ERR_SENDER = ("C0001", "Sender customer is not active (blocked or frozen).")
+ERR_CURRENCY = ("V0001", "Transfer currency must match sender account currency.")
+ERR_RATE = ("V0002", "Exchange rate not found for ")
+ERR_RATE_KZT = ("V0003", "Exchange rate to KZT not found for daily limit check.")
+ERR_LIMIT = ("L0001", "Daily transaction limit exceeded for customer.")
+ERR_BALANCE = ("B0001", "Insufficient balance in source account.")
+
+def validate_transfers(requests: DataFrame, customers: DataFrame, accounts: DataFrame,
+                       rates: DataFrame) -> DataFrame:
+    """J4 rules 0-5 (stateless), first failure wins.
+
+    ``requests``: request_id, from_account_number, to_account_number, amount,
+    currency, requested_at. Adds: source / destination account ids, sender
+    customer, ``credit_rate`` (source -> destination, 1 for equal currencies),
+    ``amount_kzt`` (rounded to cents), ``error_code`` and ``message`` (NULL
+    when the request passes rules 0-5). Lookups are equi joins; the rate
+    table is a small literal table and is broadcast.
+    """
+    src = accounts.where(F.col("is_active")).select(
+        F.col("account_number").alias("__src_no"), F.col("account_id").alias("src_account_id"),
+        F.col("customer_id").alias("sender_id"), F.col("currency").alias("src_currency"),
+        F.col("balance").alias("src_balance"))
+    dst = accounts.where(F.col("is_active")).select(
+        F.col("account_number").alias("__dst_no"), F.col("account_id").alias("dst_account_id"),
+        F.col("currency").alias("dst_currency"))
+    cust = customers.select(F.col("customer_id").alias("__cid"), F.col("status").alias("sender_status"),
+                            F.col("daily_limit_kzt"))
+    open_rates = active_rates(rates)
+    pair = F.broadcast(open_rates.select(F.col("from_currency").alias("__pf"), F.col("to_currency").alias("__pt"),
+                                         F.col("rate").alias("pair_rate")))
+    to_kzt = F.broadcast(open_rates.where(F.col("to_currency") == "KZT").select(
+        F.col("from_currency").alias("__kf"), F.col("rate").alias("kzt_rate")))
+
+    j = (requests
+         .join(src, F.col("from_account_number") == F.col("__src_no"), "left")
+         .join(dst, F.col("to_account_number") == F.col("__dst_no"), "left")
+         .join(cust, F.col("sender_id") == F.col("__cid"), "left")
+         .join(pair, (F.col("src_currency") == F.col("__pf")) & (F.col("dst_currency") == F.col("__pt")), "left")
+         .join(to_kzt, F.col("src_currency") == F.col("__kf"), "left"))
+
+    amount = F.col("amount")
+    differs = F.col("src_currency") != F.col("dst_currency")
+    code = (F.when(amount.isNull() | (amount <= 0), F.lit(ERR_AMOUNT[0]))
+            .when(F.col("src_account_id").isNull(), F.lit(ERR_SOURCE[0]))
+            .when(F.col("dst_account_id").isNull(), F.lit(ERR_DEST[0]))
+            .when(F.coalesce(F.col("sender_status") != "active", F.lit(True)), F.lit(ERR_SENDER[0]))
+            .when(F.col("currency") != F.col("src_currency"), F.lit(ERR_CURRENCY[0]))
+            .when(differs & F.col("pair_rate").isNull(), F.lit(ERR_RATE[0]))
+            .when((F.col("src_currency") != "KZT") & F.col("kzt_rate").isNull(), F.lit(ERR_RATE_KZT[0])))
+    message = (F.when(code == ERR_AMOUNT[0], F.lit(ERR_AMOUNT[1]))
+               .when(code == ERR_SOURCE[0], F.lit(ERR_SOURCE[1]))
+               .when(code == ERR_DEST[0], F.lit(ERR_DEST[1]))
+               .when(code == ERR_SENDER[0], F.lit(ERR_SENDER[1]))
+               .when(code == ERR_CURRENCY[0], F.lit(ERR_CURRENCY[1]))
+               .when(code == ERR_RATE[0], F.concat(F.lit(ERR_RATE[1]), F.col("src_currency"), F.lit(" to "),
+                                                   F.col("dst_currency")))
+               .when(code == ERR_RATE_KZT[0], F.lit(ERR_RATE_KZT[1])))
+    amount_kzt = F.when(F.col("src_currency") == "KZT", amount).otherwise(
+        F.round(amount * F.col("kzt_rate"), 2)).cast("decimal(18,2)")
+    credit_rate = F.when(differs, F.col("pair_rate")).otherwise(F.lit(1).cast("decimal(10,6)"))
+    return (j.withColumn("error_code", code).withColumn("message", message)
+            .withColumn("amount_kzt", amount_kzt).withColumn("credit_rate", credit_rate)
+            .drop("__src_no", "__dst_no", "__cid", "__pf", "__pt", "__kf", "pair_rate", "kzt_rate"))
+
+
+def _fold_partition(batches):
+    """Sequential limit / balance rules over rows sorted by (sender, time, id).
+
+    Money arrives as integer cents. Rows of one sender are contiguous; state (spend per day, balance per
+    account) is kept only for the current sender, so memory stays bounded by
+    one sender's accounts and days, never by its number of rows.
+    """
+    import pandas as pd
+
+    sender = None
+    spent: dict = {}
+    balance: dict = {}
+    for pdf in batches:
+        codes = []
+        for row in pdf.itertuples(index=False):
+            if row.sender_id != sender:
+                sender, spent, balance = row.sender_id, {}, {}
+            day_key = row.day
+            used = spent.get(day_key, row.spent_before)
+            left = balance.get(row.src_account_id, row.src_balance)
+            if used + row.amount_kzt > row.daily_limit_kzt:
+                codes.append(ERR_LIMIT[0])
+            elif left < row.amount:
+                codes.append(ERR_BALANCE[0])
+            else:
+                codes.append(None)
+                spent[day_key] = used + row.amount_kzt
+                balance[row.src_account_id] = left - row.amount
+        yield pd.DataFrame({"request_id": pdf["request_id"], "error_code": codes})
+
+
+def settle_transfers(validated: DataFrame, transactions: DataFrame, accounts: DataFrame) -> DataFrame:
+    """J4 rules 6-7 over the requests that passed rules 0-5, then the outcome.
+
+    Rule 6: completed spend of the sender today (existing transactions plus
+    earlier accepted requests of the same day) + amount_kzt <= daily limit.
+    Rule 7: source balance (minus earlier accepted debits) >= amount.
+    Requests are processed per sender in (requested_at, request_id) order;
+    credits are posted at batch end, so money received within the batch is not
+    spendable until the next batch.
+
+    Senders whose every day and account fits in total are accepted as a set
+    (aggregates only). The remaining senders' rows are range-partitioned by
+    sender, sorted, and folded in a streaming pass (``mapInPandas``).
+    """
+    owners = accounts.select(F.col("account_id").alias("__a"), F.col("customer_id").alias("__c"))
+    day = F.to_date("requested_at")
+    existing = (transactions.where(F.col("status") == "completed")
+                .join(owners, F.col("from_account_id") == F.col("__a"))
+                .groupBy(F.col("__c").alias("__sc"), F.to_date("created_at").alias("__sd"))
+                .agg(F.sum("amount_kzt").alias("spent_before")))
+    cand = (validated.where(F.col("error_code").isNull()).withColumn("day", day)
+            .join(existing, (F.col("sender_id") == F.col("__sc")) & (F.col("day") == F.col("__sd")), "left")
+            .withColumn("spent_before", F.coalesce("spent_before", F.lit(0).cast("decimal(18,2)")))
+            .drop("__sc", "__sd"))
+
+    per_day = (cand.groupBy("sender_id", "day")
+               .agg((F.first("spent_before") + F.sum("amount_kzt") > F.first("daily_limit_kzt")).alias("__over")))
+    per_acct = (cand.groupBy("sender_id", "src_account_id")
+                .agg((F.sum("amount") > F.first("src_balance")).alias("__over")))
+    tight = (per_day.where("__over").select("sender_id")
+             .unionByName(per_acct.where("__over").select("sender_id")).distinct())
+
+    easy = cand.join(tight, "sender_id", "left_anti").select("request_id", F.lit(None).cast("string").alias("error_code"))
+    hard = cand.join(tight, "sender_id", "left_semi").select(
+        "request_id", "sender_id", "src_account_id", "requested_at", "day",
+        *[(F.col(c) * 100).cast("long").alias(c)  # exact integer cents for the fold
+          for c in ("amount", "amount_kzt", "spent_before", "daily_limit_kzt", "src_balance")])
+    n = int(validated.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    folded = (hard.repartitionByRange(n, "sender_id")
+              .sortWithinPartitions("sender_id", "requested_at", "request_id")
+              .mapInPandas(_fold_partition, "request_id long, error_code string"))
+    fold_codes = easy.unionByName(folded).withColumnRenamed("error_code", "__fold_code")
+
+    out = validated.join(fold_codes, "request_id", "left")
+    code = F.coalesce(F.col("error_code"), F.col("__fold_code"))
+    message = F.coalesce(F.col("message"),
+                         F.when(code == ERR_LIMIT[0], F.lit(ERR_LIMIT[1]))
+                         .when(code == ERR_BALANCE[0], F.lit(ERR_BALANCE[1])))
+    ok = code.isNull()
+    return out.select(
+        "request_id", "src_account_id", "dst_account_id", "sender_id", "amount", "amount_kzt", "credit_rate",
+        F.when(ok, "completed").otherwise("failed").alias("status"),
+        code.alias("error_code"), message.alias("message"),
+        F.when(ok, F.round(F.col("amount") * F.col("credit_rate"), 2).cast("decimal(18,2)")).alias("credited"),
+    )
+
+
+def post_transfers(accounts: DataFrame, settled: DataFrame) -> DataFrame:
+    """New account balances: debit each completed amount, credit amount x rate."""
+    done = settled.where(F.col("status") == "completed")
+    deltas = (done.select(F.col("src_account_id").alias("__acct"), (-F.col("amount")).alias("__delta"))
+              .unionByName(done.select(F.col("dst_account_id").alias("__acct"), F.col("credited").alias("__delta"))))
+    per_acct = deltas.groupBy("__acct").agg(F.sum("__delta").alias("__sum"))
+    return (accounts.join(per_acct, F.col("account_id") == F.col("__acct"), "left")
+            .withColumn("balance", (F.col("balance") + F.coalesce("__sum", F.lit(0))).cast("decimal(18,2)"))
+            .drop("__acct", "__sum"))
+
+
+def transfer_audit(settled: DataFrame, actor: str, at: str) -> DataFrame:
+    """Audit rows: INSERT with the new status, or TRANSFER_FAIL with code and message."""
+    from tessera.functions.scalar import json_object
+
+    ok = F.col("status") == "completed"
+    return settled.select(
+        F.lit("transactions").alias("table_name"), F.col("request_id").alias("record_id"),
+        F.when(ok, "INSERT").otherwise("TRANSFER_FAIL").alias("action"),
+        F.when(~ok, json_object(error_code=F.col("error_code"), message=F.col("message"))).alias("old_values"),
+        F.when(ok, json_object(status=F.lit("completed"))).alias("new_values"),
+        F.lit(actor).alias("changed_by"), F.lit(at).cast("timestamp_ntz").alias("changed_at"))
+
+
+# Salary batch messages of the reference procedure; the NULL and
+# non-positive amount cases fail on the table's NOT NULL / CHECK constraints.
+BATCH_ACCOUNT_MSG = "Company account not found, inactive, or not KZT."
+BATCH_BALANCE_MSG = "Insufficient balance in company account. Total needed: "
+ERR_RECEIVER = ("P0001", "Receiver IIN {iin} account not found or inactive (must be KZT).")
+ERR_AMOUNT_NULL = ("23502", "Amount must not be NULL.")
+ERR_AMOUNT_POSITIVE = ("23514", "Amount must be positive.")
+SALARY_SUFFIX = " (Salary Batch)"
+
+
+def salary_batches(payments: DataFrame, customers: DataFrame, accounts: DataFrame, paid_at: str
+                   ) -> dict[str, DataFrame]:
+    """Salary batches, fully set-based.
+
+    ``payments``: batch_id, company_account_number, pos, iin, amount,
+    description (one row per payment; see ``functions.scalar.explode_payments``
+    for JSON input). Per batch the company account must be an active KZT
+    account and its balance must cover the sum of the amounts, otherwise the
+    whole batch is rejected. Each payment then needs a receiver (the lowest
+    active KZT account of the customer with that IIN) and a positive amount;
+    failures are per payment. Returns ``summary`` (one row per batch),
+    ``failures`` (one row per failed payment), ``postings`` (the new
+    transactions) and ``balances`` (accounts after credits and debits).
+    """
+    company = accounts.where(F.col("is_active") & (F.col("currency") == "KZT")).select(
+        F.col("account_number").alias("__co_no"), F.col("account_id").alias("company_account_id"),
+        F.col("balance").alias("company_balance"))
+    per_batch = payments.groupBy("batch_id", "company_account_number").agg(
+        F.sum("amount").alias("__total"),
+        F.sum(F.when(F.col("amount") > 0, F.col("amount"))).alias("__positive"))
+    batches = per_batch.join(company, F.col("company_account_number") == F.col("__co_no"), "left").drop("__co_no")
+    total = F.coalesce("__total", F.lit(0))
+    reject = (F.when(F.col("company_account_id").isNull(), F.lit(BATCH_ACCOUNT_MSG))
+              .when((F.col("company_balance") < total)
+                    | (F.col("company_balance") < F.coalesce("__positive", F.lit(0))),
+                    F.concat(F.lit(BATCH_BALANCE_MSG), total.cast("string"))))
+    batches = batches.withColumn("batch_message", reject)
+
+    receivers = (accounts.where(F.col("is_active") & (F.col("currency") == "KZT"))
+                 .join(customers.select("customer_id", "iin"), "customer_id")
+                 .groupBy(F.col("iin").alias("__iin")).agg(F.min("account_id").alias("receiver_account_id")))
+    live = payments.join(batches.where(F.col("batch_message").isNull())
+                         .select(F.col("batch_id").alias("__b"), "company_account_id"),
+                         F.col("batch_id") == F.col("__b")).drop("__b")
+    matched = live.join(receivers, F.col("iin") == F.col("__iin"), "left").drop("__iin")
+    code = (F.when(F.col("receiver_account_id").isNull(), F.lit(ERR_RECEIVER[0]))
+            .when(F.col("amount").isNull(), F.lit(ERR_AMOUNT_NULL[0]))
+            .when(F.col("amount") <= 0, F.lit(ERR_AMOUNT_POSITIVE[0])))
+    head, tail = ERR_RECEIVER[1].split("{iin}")
+    message = (F.when(code == ERR_RECEIVER[0], F.concat(F.lit(head), F.coalesce("iin", F.lit("")), F.lit(tail)))
+               .when(code == ERR_AMOUNT_NULL[0], F.lit(ERR_AMOUNT_NULL[1]))
+               .when(code == ERR_AMOUNT_POSITIVE[0], F.lit(ERR_AMOUNT_POSITIVE[1])))
+    classified = matched.withColumn("error_code", code).withColumn("message", message)
+
+    ok = classified.where(F.col("error_code").isNull())
+    postings = ok.select(
+        "batch_id", "pos", F.col("company_account_id").alias("from_account_id"),
+        F.col("receiver_account_id").alias("to_account_id"), "amount", F.lit("KZT").alias("currency"),
+        F.col("amount").alias("amount_kzt"), F.lit("transfer").alias("type"), F.lit("completed").alias("status"),
+        F.concat(F.col("description"), F.lit(SALARY_SUFFIX)).alias("description"),
+        F.lit(paid_at).cast("timestamp_ntz").alias("created_at"), "iin")
+    failures = classified.where(F.col("error_code").isNotNull()).select(
+        "batch_id", "pos", "iin", "amount", "error_code", "message")
+
+    counts = classified.groupBy(F.col("batch_id").alias("__b")).agg(
+        F.count(F.when(F.col("error_code").isNull(), 1)).alias("successful_count"),
+        F.count(F.when(F.col("error_code").isNotNull(), 1)).alias("failed_count"))
+    summary = (batches.join(counts, F.col("batch_id") == F.col("__b"), "left")
+               .select("batch_id",
+                       F.when(F.col("batch_message").isNull(), "processed").otherwise("rejected").alias("batch_status"),
+                       F.coalesce("successful_count", F.lit(0)).alias("successful_count"),
+                       F.coalesce("failed_count", F.lit(0)).alias("failed_count"),
+                       "batch_message"))
+
+    moves = postings.select("from_account_id", "to_account_id", "amount")
+    from tessera.operators.changes import apply_moves
+
+    balances = apply_moves(accounts, "account_id", "balance", moves, "from_account_id", "to_account_id", "amount")
+    return {"summary": summary, "failures": failures, "postings": postings, "balances": balances}
+
+
+def salary_batch_summary(postings: DataFrame, accounts: DataFrame, customers: DataFrame) -> DataFrame:
+    """Per (batch date, company) count and total of salary postings.
+
+    Only descriptions containing '(Salary Batch)' count; a NULL description
+    made the stored text NULL, so such postings are skipped.
+    """
+    owner = accounts.select(F.col("account_id").alias("__a"), F.col("customer_id").alias("__c"))
+    names = customers.select(F.col("customer_id").alias("__cid"), F.col("full_name").alias("company_name"))
+    rows = (postings.where(F.col("description").like("%(Salary Batch)%"))
+            .join(owner, F.col("from_account_id") == F.col("__a"))
+            .join(names, F.col("__c") == F.col("__cid")))
+    return rows.groupBy(F.to_date("created_at").alias("batch_date"), "company_name").agg(
+        F.count("batch_id").alias("total_payments"), F.sum("amount").alias("total_amount_kzt"))
+
+
+def audit_diff(before: DataFrame, after: DataFrame, key: str, columns: list[str], table_name: str,
+               actor: str, at: str) -> DataFrame:
+    """Audit rows from two snapshots of a table (full outer join on the key).
+
+    INSERT / DELETE for one-sided keys, UPDATE when any listed column differs;
+    ``old_values`` / ``new_values`` are JSON objects of the listed columns.
+    """
+    from tessera.functions.scalar import json_object
+
+    b = before.select(F.col(key).alias("__k_old"), *[F.col(c).alias(f"__old_{c}") for c in columns])
+    a = after.select(F.col(key).alias("__k_new"), *[F.col(c).alias(f"__new_{c}") for c in columns])
+    j = b.join(a, F.col("__k_old") == F.col("__k_new"), "full")
+    same = F.lit(True)
+    for c in columns:
+        same = same & F.col(f"__old_{c}").eqNullSafe(F.col(f"__new_{c}"))
+    action = (F.when(F.col("__k_old").isNull(), "INSERT").when(F.col("__k_new").isNull(), "DELETE")
+              .when(~same, "UPDATE"))
+    old_json = json_object(**{c: F.col(f"__old_{c}") for c in columns})
+    new_json = json_object(**{c: F.col(f"__new_{c}") for c in columns})
+    return (j.withColumn("action", action).where(F.col("action").isNotNull())
+            .select(F.lit(table_name).alias("table_name"),
+                    F.coalesce("__k_new", "__k_old").alias("record_id"), "action",
+                    F.when(F.col("action") != "INSERT", old_json).alias("old_values"),
+                    F.when(F.col("action") != "DELETE", new_json).alias("new_values"),
+                    F.lit(actor).alias("changed_by"), F.lit(at).cast("timestamp_ntz").alias("changed_at")))

@@ -102,6 +102,46 @@ def transactions(t: Tables) -> DataFrame:
     )
 
 
+def _account_no(col):
+    return F.concat(F.lit("KZ"), F.lpad(col.cast("string"), 18, "0"))
+
+
+def transfer_requests(t: Tables) -> DataFrame:
+    """Transfer requests <- click / view / error events: sender = the user's
+    account, receiver = the account numbered ``props.k`` (an unknown number for
+    error events), amount = value x 2000, USD for clicks and KZT otherwise."""
+    e = t.events.where(F.col("event_type").isin("click", "view", "error"))
+    to_no = _account_no(F.get_json_object("props", "$.k"))
+    return e.select(
+        F.col("event_id").alias("request_id"),
+        _account_no(F.col("user_id")).alias("from_account_number"),
+        F.when(F.col("event_type") == "error", F.concat(to_no, F.lit("X"))).otherwise(to_no).alias("to_account_number"),
+        (F.col("value").cast("decimal(18,2)") * 2000).cast("decimal(18,2)").alias("amount"),
+        F.when(F.col("event_type") == "click", "USD").otherwise("KZT").alias("currency"),
+        F.col("ts").alias("requested_at"),
+    )
+
+
+def salary_payments(t: Tables) -> DataFrame:
+    """Salary payments <- lineitem: one batch per order (paid from the order's
+    account), one payment per line to the customer whose IIN is the part key;
+    amount = quantity x 1000, or 0 for undiscounted lines; no description for
+    returned lines."""
+    li = t.lineitem
+    return li.select(
+        F.col("l_orderkey").alias("batch_id"),
+        _account_no(F.col("l_orderkey")).alias("company_account_number"),
+        F.col("l_linenumber").alias("pos"),
+        F.lpad(F.col("l_partkey").cast("string"), 12, "0").alias("iin"),
+        F.when(F.col("l_discount") == 0, F.lit(0)).otherwise(F.col("l_quantity") * 1000)
+        .cast("decimal(18,2)").alias("amount"),
+        F.when(F.col("l_returnflag") == "R", F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("Salary line "), F.col("l_linenumber").cast("string"))).alias("description"),
+    )
+
+
+SALARY_PAID_AT = "2024-01-31 12:00:00"
+
 SQL = {
     "bank_customers": """
   bank_customers AS (
@@ -144,6 +184,26 @@ SQL = {
            CASE WHEN event_type = 'error' THEN 'failed' ELSE 'completed' END AS status,
            ts AS created_at
     FROM events)""",
+    "transfer_requests": """
+  transfer_requests AS (
+    SELECT event_id AS request_id,
+           'KZ' || lpad(CAST(user_id AS VARCHAR), 18, '0') AS from_account_number,
+           'KZ' || lpad(json_extract_string(props, '$.k'), 18, '0')
+             || CASE WHEN event_type = 'error' THEN 'X' ELSE '' END AS to_account_number,
+           CAST(CAST(value AS DECIMAL(18,2)) * 2000 AS DECIMAL(18,2)) AS amount,
+           CASE WHEN event_type = 'click' THEN 'USD' ELSE 'KZT' END AS currency,
+           ts AS requested_at
+    FROM events WHERE event_type IN ('click', 'view', 'error'))""",
+    "salary_payments": """
+  salary_payments AS (
+    SELECT l_orderkey AS batch_id,
+           'KZ' || lpad(CAST(l_orderkey AS VARCHAR), 18, '0') AS company_account_number,
+           l_linenumber AS pos,
+           lpad(CAST(l_partkey AS VARCHAR), 12, '0') AS iin,
+           CAST(CASE WHEN l_discount = 0 THEN 0 ELSE l_quantity * 1000 END AS DECIMAL(18,2)) AS amount,
+           CASE WHEN l_returnflag = 'R' THEN NULL ELSE 'Salary line ' || CAST(l_linenumber AS VARCHAR) END
+             AS description
+    FROM lineitem)""",
 }
 
 
