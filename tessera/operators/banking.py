@@ -83,8 +83,9 @@ def balance_summary(customers: DataFrame, accounts: DataFrame, rates: DataFrame,
 
     Customers without accounts are excluded (inner join). The per-customer
     total is a grouped sum joined back (a hot customer stays one aggregate
-    row); the rank is over all rows, computed as a prefix count over distinct
-    totals instead of a single-partition window.
+    row); the rank is over all rows, computed on the per-customer table as a
+    weighted prefix count over distinct totals instead of a single-partition
+    window.
     """
     acc = with_kzt_rate(accounts, rates, "currency", "rate_to_kzt")
     ct = (customers.select("customer_id", "full_name", "daily_limit_kzt")
@@ -98,8 +99,14 @@ def balance_summary(customers: DataFrame, accounts: DataFrame, rates: DataFrame,
     with_spent = (ct.join(spent, ct["customer_id"] == spent["__cust"], "left")
                   .withColumn("total_spent_today",
                               F.coalesce(F.col("__spent"), F.lit(0).cast("decimal(18,2)"))).drop("__cust", "__spent"))
-    totals = partition_total(with_spent, "customer_id", "balance_kzt", "total_kzt")
-    ranked = global_rank(totals, "total_kzt", "total_balance_rank", descending=True)
+    # Per customer: total over its accounts and the number of account rows;
+    # the rank of a row is 1 + the number of rows of customers with a larger
+    # total, so it is computed on the customer table, weighted by row count.
+    per_customer = with_spent.groupBy(F.col("customer_id").alias("__cust")).agg(
+        F.sum("balance_kzt").alias("total_kzt"), F.count(F.lit(1)).alias("__rows"))
+    ranked_customers = global_rank(per_customer, "total_kzt", "total_balance_rank", descending=True,
+                                   weight="__rows").drop("__rows")
+    ranked = with_spent.join(ranked_customers, F.col("customer_id") == F.col("__cust")).drop("__cust")
     return ranked.select(
         "full_name", "account_number", "currency",
         F.col("balance").cast("double").alias("balance"),

@@ -6,10 +6,11 @@ results while splitting the work:
 
 * ``prefix_sum`` / ``global_rank``: ``SUM(..) OVER (ORDER BY ..)`` and
   ``RANK() OVER (ORDER BY ..)`` over the whole table. Rows are first reduced to
-  one row per distinct ordering key, put into quantile buckets of the key,
-  summed locally per bucket, and each bucket is shifted by the totals of the
-  buckets before it (one row per bucket, so that broadcast is bounded by the
-  bucket count, not by the data).
+  one row per distinct ordering key, put into order-preserving buckets of the
+  key (computed from the value alone, no statistics pass), summed locally per
+  bucket, and each bucket is shifted by the totals of the buckets before it
+  (one row per bucket, so that broadcast is bounded by the bucket count, not
+  by the data).
 * ``band_count``: per key, the number of rows whose time lies within
   ``[t - before, t + after]`` (a RANGE frame). Rows are split into time buckets
   per key, and rows near a bucket edge are copied into the neighbouring bucket,
@@ -33,51 +34,40 @@ MICROS_PER_MINUTE = 60 * 1_000_000
 MICROS_PER_HOUR = 60 * MICROS_PER_MINUTE
 
 
-def _num_partitions(df: DataFrame, requested: int | None) -> int:
-    if requested:
-        return requested
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def _ordering(cols: Sequence[str], descending: bool) -> list[Column]:
     if descending:
         return [F.col(c).desc_nulls_first() for c in cols]
     return [F.col(c).asc_nulls_last() for c in cols]
 
 
-def _sort_value(col: str, dtype: T.DataType) -> Column:
-    """A double that never decreases as ``col`` grows (for bucket bounds)."""
-    c = F.col(col)
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c).cast("double")
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp")).cast("double")
-    if isinstance(dtype, T.NumericType):
-        return c.cast("double")
-    raise TypeError(f"prefix_sum: first ordering column must be numeric or temporal, got {dtype}")
+# Buckets per e-fold of |value| for numeric ordering keys: values within ~1.6%
+# of each other share a bucket, so even a narrow value range is split finely.
+LOG_BUCKETS_PER_EFOLD = 64
+_NULL_BUCKET = 1 << 62
 
 
-def range_buckets(df: DataFrame, col: str, out: str, buckets: int) -> DataFrame:
-    """Add ``out``: a bucket number that never decreases as ``col`` grows.
+def ordered_bucket(col: str, dtype: T.DataType) -> Column:
+    """A bucket number that never decreases as ``col`` grows; NULL -> last bucket.
 
-    Bounds are approximate quantiles of ``col`` (one small job returning
-    ``buckets - 1`` numbers), so buckets hold similar numbers of rows. The
-    bucket is a pure function of the value: re-running a lost task gives the
-    same bucket. NULL goes to the last bucket.
+    Computed from the value alone (no statistics pass over the data, and the
+    same bucket on every recomputation): one bucket per day for dates, per
+    hour for timestamps, and a fine logarithmic scale for numbers.
     """
-    from pyspark.ml.feature import Bucketizer
-
-    staged = df.withColumn("__sv", _sort_value(col, df.schema[col].dataType))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = staged.approxQuantile("__sv", probs, 0.001) if probs else []
-    splits = [float("-inf"), *sorted(set(bounds)), float("inf")]
-    return (Bucketizer(splits=splits, inputCol="__sv", outputCol=out, handleInvalid="keep")
-            .transform(staged).drop("__sv"))
+    c = F.col(col)
+    if isinstance(dtype, T.DateType):
+        b = F.unix_date(c).cast("long")
+    elif isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        b = F.floor(F.unix_micros(c.cast("timestamp")) / 3_600_000_000).cast("long")
+    elif isinstance(dtype, T.NumericType):
+        v = c.cast("double")
+        b = (F.signum(v) * F.floor(F.log1p(F.abs(v)) * LOG_BUCKETS_PER_EFOLD)).cast("long")
+    else:
+        raise TypeError(f"ordering column must be numeric or temporal, got {dtype}")
+    return F.coalesce(b, F.lit(_NULL_BUCKET))
 
 
 def prefix_sum(df: DataFrame, order_cols: Sequence[str], value: str | Column, out: str,
-               descending: bool = False, inclusive: bool = True,
-               partitions: int | None = None) -> DataFrame:
+               descending: bool = False, inclusive: bool = True) -> DataFrame:
     """Add ``out`` = SUM(value) OVER (ORDER BY order_cols RANGE UNBOUNDED PRECEDING).
 
     Peers (equal ordering keys) share one total, as in the SQL default frame.
@@ -89,7 +79,7 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str], value: str | Column, ou
     order_cols = list(order_cols)
     value_col = F.col(value) if isinstance(value, str) else value
     per_key = df.groupBy(*order_cols).agg(F.sum(value_col).alias("__key_sum"))
-    bucketed = range_buckets(per_key, order_cols[0], _PID, _num_partitions(df, partitions))
+    bucketed = per_key.withColumn(_PID, ordered_bucket(order_cols[0], per_key.schema[order_cols[0]].dataType))
 
     ordering = _ordering(order_cols, descending)
     bucket_order = F.col(_PID).desc() if descending else F.col(_PID).asc()
@@ -121,15 +111,17 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str], value: str | Column, ou
 
 
 def global_rank(df: DataFrame, order_col: str, out: str, descending: bool = True,
-                partitions: int | None = None) -> DataFrame:
+                weight: str | None = None) -> DataFrame:
     """Add ``out`` = RANK() OVER (ORDER BY order_col [DESC]) without a one-task window.
 
     rank = 1 + number of rows whose key sorts strictly before this row's key.
+    With ``weight``, each row of ``df`` stands for ``weight`` rows (e.g. a
+    per-customer table ranking the customer's account rows), so a rank over
+    many rows can be computed on a pre-aggregated table.
     """
-    weighted = df.select(order_col).withColumn("__one", F.lit(1).cast("long"))
-    before = prefix_sum(weighted.groupBy(order_col).agg(F.sum("__one").alias("__n")),
-                        [order_col], "__n", "__before", descending=descending,
-                        inclusive=False, partitions=partitions)
+    w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    counts = df.groupBy(order_col).agg(F.sum(w).alias("__n"))
+    before = prefix_sum(counts, [order_col], "__n", "__before", descending=descending, inclusive=False)
     ranks = before.select(F.col(order_col).alias("__rk"), (F.col("__before") + 1).alias(out))
     return df.join(ranks, F.col(order_col).eqNullSafe(F.col("__rk")), "left").drop("__rk")
 

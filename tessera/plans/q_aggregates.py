@@ -248,10 +248,11 @@ SELECT account_id, CAST(customer_total AS DOUBLE) AS customer_total,
 def win_rank_of_total(t):
     """RANK over the value of another window (rows, not customers, are ranked)."""
     a = bm.accounts(t).select("account_id", "customer_id", "balance")
-    totals = partition_total(a, "customer_id", "balance", "customer_total")
-    ranked = global_rank(totals, "customer_total", "total_rank", descending=True)
-    return ranked.select("account_id", F.col("customer_total").cast("double").alias("customer_total"),
-                         "total_rank")
+    per_customer = a.groupBy(F.col("customer_id").alias("__c")).agg(
+        F.sum("balance").alias("customer_total"), F.count(F.lit(1)).alias("__rows"))
+    ranked = global_rank(per_customer, "customer_total", "total_rank", descending=True, weight="__rows")
+    return (a.join(ranked, a["customer_id"] == ranked["__c"])
+            .select("account_id", F.col("customer_total").cast("double").alias("customer_total"), "total_rank"))
 
 
 DAILY = """
