@@ -20,6 +20,14 @@ def _money(col: str | Column) -> Column:
     return c.cast("decimal(18,2)")
 
 
+def on_day(ts_col: str, day: str) -> Column:
+    """``CAST(ts AS DATE) = day`` as a half-open range on the raw timestamp, so
+    the predicate reaches the Parquet scan (row-group and file skipping)."""
+    start = F.lit(day).cast("date")
+    ts = F.col(ts_col)
+    return (ts >= start.cast("timestamp_ntz")) & (ts < F.date_add(start, 1).cast("timestamp_ntz"))
+
+
 def active_rates(rates: DataFrame, to_currency: str | None = None) -> DataFrame:
     """Open rates (``valid_to IS NULL``), one row per currency pair."""
     open_rates = rates.where(F.col("valid_to").isNull())
@@ -92,7 +100,7 @@ def balance_summary(customers: DataFrame, accounts: DataFrame, rates: DataFrame,
           .join(acc.select("customer_id", "account_number", "currency", "balance", "rate_to_kzt"), "customer_id")
           .withColumn("balance_kzt", F.col("balance") * F.col("rate_to_kzt")).drop("rate_to_kzt"))
     spent = (transactions
-             .where((F.col("status") == "completed") & (F.to_date("created_at") == F.lit(as_of).cast("date")))
+             .where((F.col("status") == "completed") & on_day("created_at", as_of))
              .join(accounts.select(F.col("account_id").alias("__acct"), F.col("customer_id").alias("__cust")),
                    F.col("from_account_id") == F.col("__acct"))
              .groupBy("__cust").agg(F.sum("amount_kzt").alias("__spent")))

@@ -31,11 +31,16 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._frames: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in TABLE_NAMES:
             raise AttributeError(name)
-        return load(self.spark, self.sf_dir, name)
+        # One DataFrame per table: files are listed and footers read once per
+        # query, however often the plan refers to the table.
+        if name not in self._frames:
+            self._frames[name] = load(self.spark, self.sf_dir, name)
+        return self._frames[name]
 
     def register_views(self, names=TABLE_NAMES) -> None:
         """Expose the tables to ``spark.sql`` under their own names."""
