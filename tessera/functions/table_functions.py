@@ -52,7 +52,12 @@ def customer_rentals(orders: DataFrame, lineitem: DataFrame, part: DataFrame, cu
 
 
 def register_sql_functions(spark: SparkSession) -> None:
-    """The same functions for Spark SQL (temporary, per session)."""
+    """The same functions for Spark SQL (temporary, per session).
+
+    The table functions read the session's ``part`` / ``orders`` /
+    ``lineitem`` views; ``customer_rentals`` can be called per row with
+    ``LATERAL`` (one plan, decorrelated into a join by Spark).
+    """
     spark.sql("""
         CREATE OR REPLACE TEMPORARY FUNCTION calculate_discount(price DECIMAL(18,2), percent DECIMAL(5,2))
         RETURNS DECIMAL(24,6)
@@ -71,3 +76,10 @@ def register_sql_functions(spark: SparkSession) -> None:
         RETURNS TABLE (p_partkey BIGINT, p_name STRING, p_type STRING)
         RETURN SELECT p_partkey, p_name, p_type FROM part
                WHERE p_name LIKE search_parts_of_type.pattern AND p_type = search_parts_of_type.kind""")
+    spark.sql("""
+        CREATE OR REPLACE TEMPORARY FUNCTION customer_rentals(id BIGINT)
+        RETURNS TABLE (rental_date DATE, title STRING, return_date DATE)
+        RETURN SELECT CAST(o.o_orderdate AS DATE), p.p_name, CAST(l.l_shipdate AS DATE)
+               FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey
+               JOIN part p ON l.l_partkey = p.p_partkey
+               WHERE o.o_custkey = customer_rentals.id""")

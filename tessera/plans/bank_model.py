@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.sources import literals
 from tessera.sources.tables import Tables
 
 # The open exchange rates of the reference seed data
@@ -81,7 +82,7 @@ def accounts(t: Tables) -> DataFrame:
 
 
 def exchange_rates(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(RATE_ROWS, RATE_SCHEMA)
+    return literals.values(spark, RATE_ROWS, RATE_SCHEMA)
 
 
 def transactions(t: Tables) -> DataFrame:

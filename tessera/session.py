@@ -75,3 +75,15 @@ def storage_root(spark: SparkSession, area: str) -> str:
     """A fresh directory under the shared checkpoint folder for written tables."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/tessera/{area}/{uuid.uuid4().hex}"
+
+
+def materialize(df):
+    """Compute ``df`` once and cut its lineage (reliable checkpoint).
+
+    For an intermediate result that several branches of a plan read: without
+    it every branch recomputes the joins below it. The data is written to the
+    shared checkpoint folder, so a lost executor costs a re-read, not a
+    recomputation of the whole lineage.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)

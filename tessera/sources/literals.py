@@ -9,9 +9,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def values(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType | str) -> DataFrame:
-    """A multi-row literal relation (``VALUES``) with an explicit schema."""
-    return spark.createDataFrame(list(rows), schema)
+def values(spark: SparkSession, rows: Iterable[Sequence], schema: T.StructType) -> DataFrame:
+    """A multi-row literal relation (``VALUES``) with an explicit schema.
+
+    Built as literals inside the plan (an inline array of structs), so no data
+    travels from Python and Catalyst folds it into a local relation.
+    """
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
+               for row in rows]
+    if not structs:
+        return spark.createDataFrame([], schema)
+    return spark.range(1).select(F.inline(F.array(*structs)))
 
 
 def _assign(col: Column, source: T.DataType, target: T.DataType) -> Column:

@@ -49,7 +49,8 @@ def test_filters_reach_the_scan(spark):
 
 
 def test_sql_functions(spark):
-    spark.read.parquet("/root/testdata/sf0.01/part.parquet").createOrReplaceTempView("part")
+    for name in ("part", "orders", "lineitem", "customer"):
+        spark.read.parquet(f"/root/testdata/sf0.01/{name}.parquet").createOrReplaceTempView(name)
     tf.register_sql_functions(spark)
     assert spark.sql("SELECT calculate_discount(100, 15) AS v").first()["v"] == Decimal("85.000000")
     assert spark.sql("SELECT calculate_discount(250.50, 20) AS v").first()["v"] == Decimal("200.400000")
@@ -59,6 +60,13 @@ def test_sql_functions(spark):
     two = spark.sql("SELECT * FROM search_parts_of_type('%ring%', 'ECONOMY')")
     assert one.columns == ["p_partkey", "p_name"] and two.columns == ["p_partkey", "p_name", "p_type"]
     assert 0 < two.count() < one.count()
+    lateral = spark.sql("SELECT c.c_custkey, r.* FROM customer c, LATERAL customer_rentals(c.c_custkey) r "
+                        "WHERE c.c_nationkey = 7 AND c.c_mktsegment = 'MACHINERY'")
+    orders = spark.table("orders")
+    ids = spark.table("customer").where("c_nationkey = 7 AND c_mktsegment = 'MACHINERY'") \
+        .select(F.col("c_custkey").alias("customer_id"))
+    direct = tf.customer_rentals(orders, spark.table("lineitem"), spark.table("part"), ids)
+    assert lateral.count() == direct.count() > 0
     col = spark.range(1).select(tf.calculate_discount(F.lit(Decimal("100.00")), F.lit(Decimal("15"))).alias("v"))
     assert col.first()["v"] == Decimal("85")
 
