@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.windows import prefix_sum
+
 
 def in_subquery_flag(df: DataFrame, col: str, sub: DataFrame, sub_col: str, out: str) -> DataFrame:
     """Add ``out`` = ``col IN (SELECT sub_col FROM sub)`` as a three-valued boolean.
@@ -51,13 +53,19 @@ def rank_within(df: DataFrame, group: str, value: str, out: str) -> DataFrame:
 
     That is RANK() by ``value`` descending inside ``group``; when the group or
     the value is NULL the correlated count finds nothing, so the rank is 1.
+    Computed as a per-group prefix count over distinct values, split by value
+    bucket, so a group holding a large share of the rows is not ranked in one
+    task.
     """
-    w = Window.partitionBy(group).orderBy(F.col(value).desc_nulls_last())
-    return df.withColumn(
-        out,
-        F.when(F.col(group).isNull() | F.col(value).isNull(), F.lit(1))
-        .otherwise(F.rank().over(w)).cast("long"),
-    )
+    valid = F.col(group).isNotNull() & F.col(value).isNotNull()
+    counts = (df.where(valid).groupBy(group, value).agg(F.count(F.lit(1)).alias("__n")))
+    larger = prefix_sum(counts, [value], "__n", "__larger", descending=True, inclusive=False,
+                        partition_by=[group])
+    ranks = larger.select(F.col(group).alias("__g"), F.col(value).alias("__v"),
+                          (F.col("__larger") + 1).alias("__rank"))
+    joined = df.join(ranks, (F.col(group) == F.col("__g")) & (F.col(value) == F.col("__v")), "left")
+    return joined.withColumn(out, F.coalesce(F.col("__rank"), F.lit(1)).cast("long")) \
+        .drop("__g", "__v", "__rank")
 
 
 def top1_per_group(df: DataFrame, group: str, value: str, tie_break: str,

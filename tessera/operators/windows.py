@@ -40,9 +40,10 @@ def _ordering(cols: Sequence[str], descending: bool) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in cols]
 
 
-# Buckets per e-fold of |value| for numeric ordering keys: values within ~1.6%
-# of each other share a bucket, so even a narrow value range is split finely.
-LOG_BUCKETS_PER_EFOLD = 64
+# Buckets per e-fold of |value| for numeric ordering keys: values within ~0.1%
+# of each other share a bucket, so even a narrow value range is split finely,
+# while the bucket table stays bounded (|v| < 1e18 gives at most ~85k buckets).
+LOG_BUCKETS_PER_EFOLD = 1024
 _NULL_BUCKET = 1 << 62
 
 
@@ -67,46 +68,58 @@ def ordered_bucket(col: str, dtype: T.DataType) -> Column:
 
 
 def prefix_sum(df: DataFrame, order_cols: Sequence[str], value: str | Column, out: str,
-               descending: bool = False, inclusive: bool = True) -> DataFrame:
-    """Add ``out`` = SUM(value) OVER (ORDER BY order_cols RANGE UNBOUNDED PRECEDING).
+               descending: bool = False, inclusive: bool = True,
+               partition_by: Sequence[str] = ()) -> DataFrame:
+    """Add ``out`` = SUM(value) OVER ([PARTITION BY p] ORDER BY order_cols RANGE UNBOUNDED PRECEDING).
 
     Peers (equal ordering keys) share one total, as in the SQL default frame.
     With ``inclusive=False`` the current peer group is left out (sum of strictly
     earlier keys). NULL keys sort last ascending and first descending
     (PostgreSQL order). The first ordering column must be numeric or temporal.
     Exact for integer and decimal values.
+
+    Work is split by (partition, value bucket), so neither the whole table nor
+    a hot partition lands in one task. Without ``partition_by`` the per-bucket
+    offsets are one row per bucket (bounded, broadcast); with it they are one
+    row per (partition, bucket) and joined normally.
     """
     order_cols = list(order_cols)
+    parts = list(partition_by)
     value_col = F.col(value) if isinstance(value, str) else value
-    per_key = df.groupBy(*order_cols).agg(F.sum(value_col).alias("__key_sum"))
+    per_key = df.groupBy(*parts, *order_cols).agg(F.sum(value_col).alias("__key_sum"))
     bucketed = per_key.withColumn(_PID, ordered_bucket(order_cols[0], per_key.schema[order_cols[0]].dataType))
 
     ordering = _ordering(order_cols, descending)
     bucket_order = F.col(_PID).desc() if descending else F.col(_PID).asc()
     local = bucketed.select(
-        *order_cols, _PID, "__key_sum",
-        F.sum("__key_sum").over(Window.partitionBy(_PID).orderBy(*ordering)
+        *parts, *order_cols, _PID, "__key_sum",
+        F.sum("__key_sum").over(Window.partitionBy(*parts, _PID).orderBy(*ordering)
                                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         .alias("__local_cum"),
     )
-    # One row per bucket: its total, then the running total of all earlier
-    # buckets. Bounded by the bucket count, so the window and broadcast are tiny.
-    totals = bucketed.groupBy(_PID).agg(F.sum("__key_sum").alias("__range_total"))
+    # One row per (partition, bucket): its total, then the running total of
+    # the earlier buckets of the same partition.
+    totals = bucketed.groupBy(*parts, _PID).agg(F.sum("__key_sum").alias("__range_total"))
+    earlier = Window.partitionBy(*parts).orderBy(bucket_order).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        _PID,
-        F.coalesce(
-            F.sum("__range_total").over(
-                Window.orderBy(bucket_order).rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0).cast(totals.schema["__range_total"].dataType),
-        ).alias("__offset"),
+        *parts, _PID,
+        F.coalesce(F.sum("__range_total").over(earlier),
+                   F.lit(0).cast(totals.schema["__range_total"].dataType)).alias("__offset"),
     )
     cum = F.col("__local_cum") + F.col("__offset")
     if not inclusive:
         cum = cum - F.col("__key_sum")
-    renamed = [f"__k{i}" for i in range(len(order_cols))]
-    keyed = local.join(F.broadcast(offsets), _PID).select(
-        *[F.col(c).alias(r) for c, r in zip(order_cols, renamed)], cum.alias(out))
-    cond = [F.col(c).eqNullSafe(F.col(r)) for c, r in zip(order_cols, renamed)]
+    if parts:  # NULL is a partition of its own, as in a window
+        offsets = offsets.select(*[F.col(p).alias(f"__o{i}") for i, p in enumerate(parts)], _PID, "__offset")
+        cond = [F.col(p).eqNullSafe(F.col(f"__o{i}")) for i, p in enumerate(parts)]
+        keyed = local.join(offsets, [*cond, local[_PID] == offsets[_PID]]).drop(offsets[_PID]) \
+            .drop(*[f"__o{i}" for i in range(len(parts))])
+    else:
+        keyed = local.join(F.broadcast(offsets), _PID)
+    names = [*parts, *order_cols]
+    renamed = [f"__k{i}" for i in range(len(names))]
+    keyed = keyed.select(*[F.col(c).alias(r) for c, r in zip(names, renamed)], cum.alias(out))
+    cond = [F.col(c).eqNullSafe(F.col(r)) for c, r in zip(names, renamed)]
     return df.join(keyed, cond, "left").drop(*renamed)
 
 

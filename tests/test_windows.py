@@ -94,3 +94,16 @@ def test_partition_total(events):
     got = partition_total(events, "k", "v", "t")
     want = events.withColumn("t", F.sum("v").over(Window.partitionBy("k")))
     assert rows(got, "id", "t") == rows(want, "id", "t")
+
+
+def test_partitioned_prefix_sum_and_rank_within(events):
+    from tessera.operators.subqueries import rank_within
+
+    got = prefix_sum(events, ["v"], "id", "s", partition_by=["k"])
+    want = events.withColumn("s", F.sum("id").over(Window.partitionBy("k").orderBy(F.col("v").asc_nulls_last())))
+    assert rows(got, "id", "s") == rows(want, "id", "s")
+    ranked = rank_within(events, "k", "v", "r")
+    w = Window.partitionBy("k").orderBy(F.col("v").desc())
+    want_r = events.withColumn("r", F.when(F.col("k").isNull() | F.col("v").isNull(), 1)
+                               .otherwise(F.rank().over(w)))
+    assert rows(ranked, "id", "r") == rows(want_r, "id", "r")
