@@ -54,3 +54,10 @@ def explode_payments(df: DataFrame, keep: Sequence[str], col: str = "payments")
     parsed = df.select(*keep, F.posexplode(F.from_json(col, PAYMENT_SCHEMA)).alias("__pos", "__p"))
     return parsed.select(*keep, (F.col("__pos") + 1).cast("long").alias("pos"),
                          F.col("__p.iin").alias("iin"), F.col("__p.amount").cast("double").alias("amount"))
+
+
+def explode_payment_rows(df: DataFrame, keep: Sequence[str], col: str = "payments") -> DataFrame:
+    """Payment rows (pos, iin, amount as decimal, description) from a JSON array column."""
+    parsed = df.select(*keep, F.posexplode(F.from_json(col, PAYMENT_SCHEMA)).alias("__pos", "__p"))
+    return parsed.select(*keep, (F.col("__pos") + 1).cast("int").alias("pos"), F.col("__p.iin").alias("iin"),
+                         F.col("__p.amount").alias("amount"), F.col("__p.description").alias("description"))

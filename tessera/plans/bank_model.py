@@ -141,6 +141,22 @@ def salary_payments(t: Tables) -> DataFrame:
     )
 
 
+def salary_payloads(t: Tables) -> DataFrame:
+    """Salary batches as JSON documents, one per order (built from the order's
+    own columns): a salary of floor(total / 100) to the ordering customer, and
+    a zero payment (no description) to the IIN equal to the order key."""
+    o = t.orders
+    iin = lambda c: F.lpad(F.col(c).cast("string"), 12, "0")
+    amount = F.floor(F.col("o_totalprice") / 100).cast("decimal(18,2)").cast("string")
+    payload = F.concat(
+        F.lit('[{"iin": "'), iin("o_custkey"), F.lit('", "amount": '), amount,
+        F.lit(', "description": "Salary '), F.col("o_orderkey").cast("string"), F.lit('"}, '),
+        F.lit('{"iin": "'), iin("o_orderkey"), F.lit('", "amount": 0, "description": null}]'))
+    return o.select(F.col("o_orderkey").alias("batch_id"),
+                    _account_no(F.col("o_orderkey")).alias("company_account_number"),
+                    payload.alias("payments"))
+
+
 SALARY_PAID_AT = "2024-01-31 12:00:00"
 
 SQL = {
@@ -205,6 +221,22 @@ SQL = {
            CASE WHEN l_returnflag = 'R' THEN NULL ELSE 'Salary line ' || CAST(l_linenumber AS VARCHAR) END
              AS description
     FROM lineitem)""",
+    "salary_payloads": """
+  salary_payloads AS (
+    SELECT o_orderkey AS batch_id,
+           'KZ' || lpad(CAST(o_orderkey AS VARCHAR), 18, '0') AS company_account_number,
+           '[{"iin": "' || lpad(CAST(o_custkey AS VARCHAR), 12, '0') || '", "amount": '
+             || CAST(CAST(floor(o_totalprice / 100) AS DECIMAL(18,2)) AS VARCHAR)
+             || ', "description": "Salary ' || CAST(o_orderkey AS VARCHAR) || '"}, '
+             || '{"iin": "' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0')
+             || '", "amount": 0, "description": null}]' AS payments
+    FROM orders),
+  salary_payments AS (
+    SELECT batch_id, company_account_number, CAST(i + 1 AS INTEGER) AS pos,
+           json_extract_string(payments, '$[' || CAST(i AS VARCHAR) || '].iin') AS iin,
+           CAST(json_extract_string(payments, '$[' || CAST(i AS VARCHAR) || '].amount') AS DECIMAL(18,2)) AS amount,
+           json_extract_string(payments, '$[' || CAST(i AS VARCHAR) || '].description') AS description
+    FROM salary_payloads, range(CAST(json_array_length(payments) AS BIGINT)) r(i))""",
 }
 
 
