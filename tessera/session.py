@@ -77,13 +77,17 @@ def storage_root(spark: SparkSession, area: str) -> str:
     return f"{root}/tessera/{area}/{uuid.uuid4().hex}"
 
 
-def materialize(df):
-    """Compute ``df`` once and cut its lineage (reliable checkpoint).
+def materialize(df, area: str = "materialized"):
+    """Compute ``df`` once and cut its lineage: a written table in the shared folder.
 
     For an intermediate result that several branches of a plan read: without
-    it every branch recomputes the joins below it. The data is written to the
-    shared checkpoint folder, so a lost executor costs a re-read, not a
-    recomputation of the whole lineage.
+    it every branch recomputes the joins below it. One job writes Parquet
+    under the cluster's checkpoint folder (a plain ``checkpoint()`` would run
+    the plan twice, once to count and once to write); the returned frame scans
+    that table, so a lost executor costs a re-read, not a recomputation, and
+    later filters still reach the scan.
     """
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = storage_root(spark, area)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

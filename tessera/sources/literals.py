@@ -69,21 +69,18 @@ def assign_serial(df: DataFrame, order: Sequence[str], out: str, start: Column |
                   partitions: int | None = None) -> DataFrame:
     """Surrogate keys ``start + 1, start + 2, ...`` in the order of ``order``.
 
-    The order columns must make rows unique. Rows are range-sorted, then each
-    row gets its position inside its range partition plus the row count of all
-    earlier partitions. The sorted frame is checkpointed (to the shared
-    checkpoint folder) so partition numbers are fixed before they are counted;
-    the per-partition counts are one row per partition.
+    The order columns must make rows unique. Rows are range-partitioned, then
+    each row gets its position inside its range plus the row count of all
+    earlier ranges. The range number is written out with the rows (a table in
+    the shared checkpoint folder) so it is fixed before ranges are counted;
+    the per-range counts are one row per range.
     """
-    from tessera.session import checkpoint_root
+    from tessera.session import materialize
 
-    checkpoint_root(df.sparkSession)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     ordering = [F.col(c).asc_nulls_last() for c in order]
-    ranged = (df.repartitionByRange(n, *ordering)
-              .sortWithinPartitions(*ordering)
-              .withColumn("__pid", F.spark_partition_id())
-              .checkpoint(eager=True))
+    ranged = materialize(df.repartitionByRange(n, *ordering)
+                         .withColumn("__pid", F.spark_partition_id()), "serial")
     local = ranged.withColumn(
         "__pos", F.row_number().over(Window.partitionBy("__pid").orderBy(*ordering)))
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
