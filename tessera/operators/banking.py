@@ -41,8 +41,8 @@ def with_kzt_rate(df: DataFrame, rates: DataFrame, currency_col: str, out: str,
                   to_currency: str = "KZT") -> DataFrame:
     """Attach the open rate from ``currency_col`` to ``to_currency`` (1 when none).
 
-    The rate table is a small literal relation (one open row per currency
-    pair), so it is broadcast; the lookup is a left join that never drops or
+    The open rates hold one row per currency pair (bounded by the number of
+    currency pairs, not by data volume), so they are broadcast; the lookup is a left join that never drops or
     duplicates rows as long as the open rows are unique per pair (see
     ``quality.unique_where``).
     """
