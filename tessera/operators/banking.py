@@ -272,7 +272,47 @@ def _fold_partition(batches):
         yield pd.DataFrame({"request_id": pdf["request_id"], "error_code": codes})
 
 
-def settle_transfers(validated: DataFrame, transactions: DataFrame, accounts: DataFrame) -> DataFrame:
+def _split_hot_senders(cand: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split a busy sender's requests into a certain head and a tail to fold.
+
+    Running usage is computed as if every earlier request were accepted: per
+    (sender, day) for the limit and per account for the balance. Actual usage
+    never exceeds it, so every request before the sender's first optimistic
+    violation is accepted for certain. The running sums are prefix sums split
+    by (partition, time bucket), so a busy sender is not one task. The tail
+    carries the state the head leaves behind (spend per day, balance per
+    account) in its ``spent_before`` / ``src_balance`` columns.
+    """
+    order = ["requested_at", "request_id"]
+    cum = prefix_sum(cand, order, "amount_kzt", "__cum_kzt", partition_by=["sender_id", "day"], rows_unique=True)
+    cum = prefix_sum(cum, order, "amount", "__cum_amt", partition_by=["src_account_id"], rows_unique=True)
+    position = F.struct("requested_at", "request_id")
+    over = ((F.col("spent_before") + F.col("__cum_kzt") > F.col("daily_limit_kzt"))
+            | (F.col("__cum_amt") > F.col("src_balance")))
+    first = cum.where(over).groupBy(F.col("sender_id").alias("__fs")).agg(F.min(position).alias("__first"))
+    marked = materialize(
+        cum.join(first, F.col("sender_id") == F.col("__fs"), "left")
+        .withColumn("__head", F.col("__first").isNull() | (position < F.col("__first")))
+        .drop("__fs", "__first", "__cum_kzt", "__cum_amt"), "transfer_marked")
+    head = marked.where("__head")
+    tail = marked.where(~F.col("__head"))
+    head_day = head.groupBy(F.col("sender_id").alias("__hs"), F.col("day").alias("__hd")).agg(
+        F.sum("amount_kzt").alias("__head_kzt"))
+    head_acct = head.groupBy(F.col("src_account_id").alias("__ha")).agg(F.sum("amount").alias("__head_amt"))
+    seeded = (tail.join(head_day, (F.col("sender_id") == F.col("__hs")) & (F.col("day") == F.col("__hd")), "left")
+              .join(head_acct, F.col("src_account_id") == F.col("__ha"), "left")
+              .withColumn("spent_before", F.col("spent_before") + F.coalesce("__head_kzt", F.lit(0)))
+              .withColumn("src_balance", F.col("src_balance") - F.coalesce("__head_amt", F.lit(0))))
+    return head, seeded
+
+
+# Senders with more candidate requests than this in one batch get their
+# certain head split off before the sequential fold (exact either way).
+HOT_SENDER_ROWS = 100_000
+
+
+def settle_transfers(validated: DataFrame, transactions: DataFrame, accounts: DataFrame,
+                     hot_sender_rows: int = HOT_SENDER_ROWS) -> DataFrame:
     """J4 rules 6-7 over the requests that passed rules 0-5, then the outcome.
 
     Rule 6: completed spend of the sender today (existing transactions plus
@@ -282,8 +322,10 @@ def settle_transfers(validated: DataFrame, transactions: DataFrame, accounts: Da
     credits are posted at batch end, so money received within the batch is not
     spendable until the next batch.
 
-    Senders whose every day and account fits in total are accepted as a set
-    (aggregates only). The remaining senders' rows are range-partitioned by
+    Senders whose totals fit are accepted as a set (aggregates only). For
+    busy senders (more than ``hot_sender_rows`` requests) the requests before
+    the first possible violation are accepted as a set too
+    (``_split_hot_senders``). The remaining requests are range-partitioned by
     sender, sorted, and folded in a streaming pass (``mapInPandas``).
     """
     owners = accounts.select(F.col("account_id").alias("__a"), F.col("customer_id").alias("__c"))
@@ -305,17 +347,35 @@ def settle_transfers(validated: DataFrame, transactions: DataFrame, accounts: Da
         .join(existing, (F.col("sender_id") == F.col("__sc")) & (F.col("day") == F.col("__sd")), "left")
         .withColumn("spent_before", F.coalesce("spent_before", F.lit(0).cast("decimal(18,2)")))
         .drop("__sc", "__sd"))
-    cand = staged.where(F.col("error_code").isNull())
-
-    per_day = (cand.groupBy("sender_id", "day")
-               .agg((F.first("spent_before") + F.sum("amount_kzt") > F.first("daily_limit_kzt")).alias("__over")))
-    per_acct = (cand.groupBy("sender_id", "src_account_id")
+    cand_all = staged.where(F.col("error_code").isNull())
+
+    # Senders whose every day and every account fits even if all their
+    # requests are accepted need no ordering at all (aggregates only).
+    per_day = (cand_all.groupBy("sender_id", "day")
+               .agg((F.first("spent_before") + F.sum("amount_kzt") > F.first("daily_limit_kzt")).alias("__over"),
+                    F.count(F.lit(1)).alias("__n")))
+    per_acct = (cand_all.groupBy("sender_id", "src_account_id")
                 .agg((F.sum("amount") > F.first("src_balance")).alias("__over")))
-    tight = (per_day.where("__over").select("sender_id")
-             .unionByName(per_acct.where("__over").select("sender_id")).distinct())
-
-    easy = cand.join(tight, "sender_id", "left_anti").select("request_id", F.lit(None).cast("string").alias("error_code"))
-    hard = cand.join(tight, "sender_id", "left_semi").select(
+    senders = (per_day.select("sender_id", "__over", "__n")
+               .unionByName(per_acct.select("sender_id", "__over", F.lit(0).cast("long").alias("__n")))
+               .groupBy("sender_id").agg(F.max(F.col("__over").cast("int")).alias("__tight"),
+                                         F.sum("__n").alias("__rows"))
+               .where(F.col("__tight") == 1))
+    loose = cand_all.join(senders, "sender_id", "left_anti").select(
+        "request_id", F.lit(None).cast("string").alias("error_code"))
+    hot_senders = senders.where(F.col("__rows") > hot_sender_rows).select("sender_id")
+    tight = cand_all.join(senders.where(F.col("__rows") <= hot_sender_rows).select("sender_id"), "sender_id",
+                          "left_semi")
+    fold_input = [tight]
+    certain = [loose]
+    if hot_senders.limit(1).count():
+        head, tail = _split_hot_senders(cand_all.join(hot_senders, "sender_id", "left_semi"))
+        certain.append(head.select("request_id", F.lit(None).cast("string").alias("error_code")))
+        fold_input.append(tail.select(*tight.columns))
+    to_fold = fold_input[0]
+    for part in fold_input[1:]:
+        to_fold = to_fold.unionByName(part)
+    hard = to_fold.select(
         "request_id", "sender_id", "src_account_id", "requested_at", "day",
         *[(F.col(c) * 100).cast("long").alias(c)  # exact integer cents for the fold
           for c in ("amount", "amount_kzt", "spent_before", "daily_limit_kzt", "src_balance")])
@@ -323,7 +383,10 @@ def settle_transfers(validated: DataFrame, transactions: DataFrame, accounts: Da
     folded = (hard.repartitionByRange(n, "sender_id")
               .sortWithinPartitions("sender_id", "requested_at", "request_id")
               .mapInPandas(_fold_partition, "request_id long, error_code string"))
-    fold_codes = easy.unionByName(folded).withColumnRenamed("error_code", "__fold_code")
+    fold_codes = folded
+    for part in certain:
+        fold_codes = fold_codes.unionByName(part)
+    fold_codes = fold_codes.withColumnRenamed("error_code", "__fold_code")
 
     out = staged.join(fold_codes, "request_id", "left")
     code = F.coalesce(F.col("error_code"), F.col("__fold_code"))

@@ -69,7 +69,7 @@ def ordered_bucket(col: str, dtype: T.DataType) -> Column:
 
 def prefix_sum(df: DataFrame, order_cols: Sequence[str], value: str | Column, out: str,
                descending: bool = False, inclusive: bool = True,
-               partition_by: Sequence[str] = ()) -> DataFrame:
+               partition_by: Sequence[str] = (), rows_unique: bool = False) -> DataFrame:
     """Add ``out`` = SUM(value) OVER ([PARTITION BY p] ORDER BY order_cols RANGE UNBOUNDED PRECEDING).
 
     Peers (equal ordering keys) share one total, as in the SQL default frame.
@@ -82,10 +82,16 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str], value: str | Column, ou
     a hot partition lands in one task. Without ``partition_by`` the per-bucket
     offsets are one row per bucket (bounded, broadcast); with it they are one
     row per (partition, bucket) and joined normally.
+
+    ``rows_unique=True`` promises that (partition, order) identifies a row;
+    the running sums are then computed on the rows themselves, without the
+    per-key aggregation and the join back.
     """
     order_cols = list(order_cols)
     parts = list(partition_by)
     value_col = F.col(value) if isinstance(value, str) else value
+    if rows_unique:
+        return _prefix_sum_rows(df, order_cols, value_col, out, descending, inclusive, parts)
     per_key = df.groupBy(*parts, *order_cols).agg(F.sum(value_col).alias("__key_sum"))
     bucketed = per_key.withColumn(_PID, ordered_bucket(order_cols[0], per_key.schema[order_cols[0]].dataType))
 
@@ -123,6 +129,39 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str], value: str | Column, ou
     return df.join(keyed, cond, "left").drop(*renamed)
 
 
+def _offsets(totals: DataFrame, parts: list[str], descending: bool) -> DataFrame:
+    bucket_order = F.col(_PID).desc() if descending else F.col(_PID).asc()
+    earlier = Window.partitionBy(*parts).orderBy(bucket_order).rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(
+        *parts, _PID,
+        F.coalesce(F.sum("__range_total").over(earlier),
+                   F.lit(0).cast(totals.schema["__range_total"].dataType)).alias("__offset"))
+
+
+def _prefix_sum_rows(df: DataFrame, order_cols: list[str], value_col: Column, out: str, descending: bool,
+                     inclusive: bool, parts: list[str]) -> DataFrame:
+    """prefix_sum when (parts, order) is unique per row: windows run on the rows."""
+    bucketed = (df.withColumn("__val", value_col)
+                .withColumn(_PID, ordered_bucket(order_cols[0], df.schema[order_cols[0]].dataType)))
+    ordering = _ordering(order_cols, descending)
+    local = bucketed.withColumn(
+        "__local_cum", F.sum("__val").over(Window.partitionBy(*parts, _PID).orderBy(*ordering)
+                                           .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    totals = bucketed.groupBy(*parts, _PID).agg(F.sum("__val").alias("__range_total"))
+    offsets = _offsets(totals, parts, descending)
+    if parts:  # NULL is a partition of its own, as in a window
+        offsets = offsets.select(*[F.col(p).alias(f"__o{i}") for i, p in enumerate(parts)], _PID, "__offset")
+        cond = [F.col(p).eqNullSafe(F.col(f"__o{i}")) for i, p in enumerate(parts)]
+        joined = local.join(offsets, [*cond, local[_PID] == offsets[_PID]]).drop(offsets[_PID]) \
+            .drop(*[f"__o{i}" for i in range(len(parts))])
+    else:
+        joined = local.join(F.broadcast(offsets), _PID)
+    cum = F.col("__local_cum") + F.col("__offset")
+    if not inclusive:
+        cum = cum - F.col("__val")
+    return joined.withColumn(out, cum).drop("__val", _PID, "__local_cum", "__offset")
+
+
 def global_rank(df: DataFrame, order_col: str, out: str, descending: bool = True,
                 weight: str | None = None) -> DataFrame:
     """Add ``out`` = RANK() OVER (ORDER BY order_col [DESC]) without a one-task window.

@@ -197,3 +197,25 @@ def test_suspicious_activity(spark):
     got = rows(out, "transaction_id", "flag_reason")
     assert got == [(1, "High_Frequency_Hourly"), (1, "High_Value_Transfer"), (3, "High_Frequency_Hourly"),
                    (3, "Rapid_Sequential_Transfer"), (4, "High_Frequency_Hourly")]
+
+
+def test_hot_sender_fold_matches_brute_force(spark):
+    import random
+
+    rnd = random.Random(3)
+    acc = accounts(spark, [(10, 2, "HOT_A", "KZT", D("700000.00"), True), (11, 2, "HOT_B", "KZT", D("200000.00"), True)])
+    data = []
+    for i in range(400):
+        src = "HOT_A" if rnd.random() < 0.6 else "HOT_B"
+        amount = D(rnd.choice([500, 2000, 9000, 30000])) + D(rnd.randint(0, 99)) / 100
+        when = NOW + dt.timedelta(days=rnd.randint(0, 2), minutes=rnd.randint(0, 600))
+        data.append((i + 1, src, "KZ10722S000002234567", amount, "KZT", when))
+    reqs = spark.createDataFrame(data, "request_id long, from_account_number string, to_account_number string, "
+                                       "amount decimal(18,2), currency string, requested_at timestamp_ntz")
+    validated = banking.validate_transfers(reqs, customers(spark), acc, rates(spark))
+    expected = _brute_force(validated.collect(), {})
+    assert {"L0001", "B0001", None} <= set(expected.values())
+    for threshold in (10, banking.HOT_SENDER_ROWS):  # split head / tail, and plain fold
+        settled = banking.settle_transfers(validated, transactions(spark), acc, hot_sender_rows=threshold)
+        got = {r["request_id"]: r["error_code"] for r in settled.collect()}
+        assert got == expected

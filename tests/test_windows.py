@@ -107,3 +107,13 @@ def test_partitioned_prefix_sum_and_rank_within(events):
     want_r = events.withColumn("r", F.when(F.col("k").isNull() | F.col("v").isNull(), 1)
                                .otherwise(F.rank().over(w)))
     assert rows(ranked, "id", "r") == rows(want_r, "id", "r")
+
+
+def test_prefix_sum_rows_unique_mode(events):
+    got = prefix_sum(events, ["ts", "id"], "v", "s", partition_by=["k"], rows_unique=True)
+    w = Window.partitionBy("k").orderBy(F.col("ts").asc_nulls_last(), F.col("id").asc_nulls_last())
+    want = events.withColumn("s", F.sum("v").over(w))
+    assert rows(got, "id", "s") == rows(want, "id", "s")
+    got2 = prefix_sum(events, ["id"], "v", "s", descending=True, inclusive=False, rows_unique=True)
+    want2 = events.withColumn("s", F.sum("v").over(Window.orderBy(F.col("id").desc())) - F.col("v"))
+    assert rows(got2, "id", "s") == rows(want2, "id", "s")
