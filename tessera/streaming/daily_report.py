@@ -21,8 +21,13 @@ from tessera.session import storage_root
 from tessera.sources.sinks import Catalog
 
 
-def event_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None
-                 ) -> DataFrame:
+# Default micro-batch size in files: bounds the rows one trigger (and one key's
+# state update) handles, whatever the backlog.
+FILES_PER_TRIGGER = 64
+
+
+def event_stream(spark: SparkSession, path: str, schema: T.StructType,
+                 files_per_trigger: int | None = FILES_PER_TRIGGER) -> DataFrame:
     """Stream the Parquet files of a table.
 
     A table stored as a folder is streamed as is; a table stored as one local
@@ -64,7 +69,7 @@ def upsert_batch(catalog: Catalog, table: str, keys: list[str]):
 
 
 def run_daily_report(spark: SparkSession, path: str, schema: T.StructType, table: str = "stream_daily_report",
-                     files_per_trigger: int | None = None) -> DataFrame:
+                     files_per_trigger: int | None = FILES_PER_TRIGGER) -> DataFrame:
     """Run the stream over every file available now, then return the table."""
     catalog = Catalog.of(spark)
     catalog.drop(table)

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tessera.session import storage_root
-from tessera.streaming.daily_report import event_stream
+from tessera.streaming.daily_report import FILES_PER_TRIGGER, event_stream
 
 ALERT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
@@ -55,7 +55,7 @@ def rapid_alerts(events: DataFrame, gap_us: int) -> DataFrame:
 
 
 def run_rapid_alerts(spark: SparkSession, path: str, schema: T.StructType, gap_us: int,
-                     files_per_trigger: int | None = None) -> DataFrame:
+                     files_per_trigger: int | None = FILES_PER_TRIGGER) -> DataFrame:
     """Run over every file available now into a Parquet sink; return the alerts."""
     out = storage_root(spark, "stream_rapid")
     query = (rapid_alerts(event_stream(spark, path, schema, files_per_trigger), gap_us)
