@@ -31,6 +31,16 @@ def age_years(as_of: Column, born: Column) -> Column:
     return (F.year(as_of) - F.year(born) - F.when(early, 1).otherwise(0)).cast("long")
 
 
+def year_equals(col: str, year: int) -> Column:
+    """``EXTRACT(YEAR FROM col) = year`` as a half-open range on the column
+    itself, so Parquet statistics can skip row groups (what an expression
+    index on the year does in a row store)."""
+    start = F.make_date(F.lit(year), F.lit(1), F.lit(1))
+    end = F.make_date(F.lit(year + 1), F.lit(1), F.lit(1))
+    c = F.col(col)
+    return (c >= start.cast("timestamp_ntz")) & (c < end.cast("timestamp_ntz"))
+
+
 def json_object(**fields: Column) -> Column:
     """jsonb_build_object(k1, v1, ...): NULL values are kept as JSON null."""
     return F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()]),

@@ -94,3 +94,10 @@ def test_layout_roundtrip_skips_row_groups(spark):
     q = spark.read.parquet(path).where(F.col("o_custkey") == 7)
     assert "PushedFilters: [IsNotNull(o_custkey), EqualTo(o_custkey,7)]" in q._jdf.queryExecution().executedPlan().toString()
     assert q.count() == orders.where(F.col("o_custkey") == 7).count()
+
+
+def test_year_filter_reaches_the_scan(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
+    q = orders.where(fx.year_equals("o_orderdate", 1997))
+    assert "GreaterThanOrEqual(o_orderdate,1997-01-01T00:00)" in q._jdf.queryExecution().executedPlan().toString()
+    assert q.count() == orders.where(F.year("o_orderdate") == 1997).count()
