@@ -23,7 +23,6 @@ for k,q in sorted(all_queries().items()):
     if q.oracle is None or q.area=='streaming': continue
     df=q.build(spark, sf)
     st={f.name: spark_arrow(f.dataType) for f in df.schema.fields}
-    res=con.execute(q.oracle)
     at=con.sql(q.oracle).to_arrow_table()
     dtt={f.name: str(f.type) for f in at.schema}
     diff={c:(st.get(c),dtt.get(c)) for c in set(st)|set(dtt) if st.get(c)!=dtt.get(c)}

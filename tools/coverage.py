@@ -38,14 +38,13 @@ def main() -> None:
             by_id.setdefault(found, []).append(key)
     lines = ["# COVERAGE — SURVEY section 2, line by line", "",
              "Generated by `python tools/coverage.py`. `oracle` = compared with DuckDB SQL; "
-             "`rows` = row-count check plus the brute-force test named in the note.", "",
+             "`rows only` = no SQL form (row-count check).", "",
              "| ID | Operator | Keys | Check |", "| --- | --- | --- | --- |"]
     registry = all_queries()
     for ident, name in ids:
         keys = sorted(by_id.get(ident, []))
         if keys:
-            kinds = sorted({"oracle" if registry[k].oracle else "rows (tests/test_banking.py brute force)"
-                            for k in keys})
+            kinds = sorted({"oracle" if registry[k].oracle else "rows only" for k in keys})
             lines.append(f"| {ident} | {name} | {', '.join('`' + k + '`' for k in keys)} | {', '.join(kinds)} |")
         else:
             lines.append(f"| {ident} | {name} | — | {COVERED_ELSEWHERE.get(ident, 'NOT COVERED')} |")
