@@ -26,8 +26,9 @@ RUNTIME_CONF = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    for key, value in RUNTIME_CONF.items():
+def configure(spark: SparkSession, extra: dict[str, str] | None = None) -> SparkSession:
+    """Apply the runtime settings (and optional ``sizing`` ones) to a session."""
+    for key, value in {**RUNTIME_CONF, **(extra or {})}.items():
         spark.conf.set(key, value)
     return spark
 
@@ -91,3 +92,25 @@ def materialize(df, area: str = "materialized"):
     path = storage_root(spark, area)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def sizing(input_bytes: int, target_partition_bytes: int = 1 << 30,
+           max_split_bytes: int = 512 << 20, max_partitions: int = 1 << 17) -> dict[str, str]:
+    """Runtime SQL settings for a job reading ``input_bytes`` of Parquet.
+
+    Scan splits of up to ``max_split_bytes`` keep the task count manageable
+    (100 TB -> ~200k scan tasks). The initial shuffle partition count gives
+    about ``target_partition_bytes`` per reducer, capped so map x reduce
+    blocks stay tractable (100 TB -> 131,072). AQE then coalesces small
+    partitions towards 256 MB and splits skewed ones above 1 GB, so reducers
+    fit in executor memory and spill only under heavy skew. Apply with
+    ``configure(spark, sizing(...))``.
+    """
+    wanted = max(1, input_bytes // target_partition_bytes)
+    partitions = max(8, min(max_partitions, 1 << wanted.bit_length()))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
+    }
