@@ -35,10 +35,8 @@ def year_equals(col: str, year: int) -> Column:
     """``EXTRACT(YEAR FROM col) = year`` as a half-open range on the column
     itself, so Parquet statistics can skip row groups (what an expression
     index on the year does in a row store)."""
-    start = F.make_date(F.lit(year), F.lit(1), F.lit(1))
-    end = F.make_date(F.lit(year + 1), F.lit(1), F.lit(1))
     c = F.col(col)
-    return (c >= start.cast("timestamp_ntz")) & (c < end.cast("timestamp_ntz"))
+    return (c >= F.lit(f"{year:04d}-01-01").cast("date")) & (c < F.lit(f"{year + 1:04d}-01-01").cast("date"))
 
 
 def json_object(**fields: Column) -> Column:
