@@ -85,34 +85,35 @@ def balance_summary(customers: DataFrame, accounts: DataFrame, rates: DataFrame,
     """Per account: balance in KZT, the customer's total, today's spend,
     limit utilisation and the rank of the customer's total.
 
-    Customers without accounts are excluded (inner join). The per-customer
-    total is a grouped sum joined back (a hot customer stays one aggregate
-    row); the rank is over all rows, computed on the per-customer table as a
-    weighted prefix count over distinct totals instead of a single-partition
-    window.
+    Customers without accounts are excluded (inner join), and so are accounts
+    without a customer. The per-customer total is a grouped sum joined back
+    (a hot customer stays one aggregate row); the rank is over all rows,
+    computed on the per-customer table as a weighted prefix count over
+    distinct totals instead of a single-partition window.
     """
-    acc = with_kzt_rate(accounts, rates, "currency", "rate_to_kzt")
-    ct = (customers.select("customer_id", "full_name", "daily_limit_kzt")
-          .join(acc.select("customer_id", "account_number", "currency", "balance", "rate_to_kzt"), "customer_id")
-          .withColumn("balance_kzt", F.col("balance") * F.col("rate_to_kzt")).drop("rate_to_kzt"))
+    acc = (with_kzt_rate(accounts.select("account_id", "customer_id", "account_number", "currency", "balance"),
+                         rates, "currency", "rate_to_kzt")
+           .withColumn("balance_kzt", F.col("balance") * F.col("rate_to_kzt")).drop("rate_to_kzt"))
+    # Today's completed spend per customer, through the sending account.
     spent = (transactions
              .where((F.col("status") == "completed") & on_day("created_at", as_of))
              .join(accounts.select(F.col("account_id").alias("__acct"), F.col("customer_id").alias("__cust")),
                    F.col("from_account_id") == F.col("__acct"))
              .groupBy("__cust").agg(F.sum("amount_kzt").alias("__spent")))
-    # Read twice below (per-customer totals, then the output rows): computed once.
-    with_spent = materialize(
-        ct.join(spent, ct["customer_id"] == spent["__cust"], "left")
-        .withColumn("total_spent_today", F.coalesce(F.col("__spent"), F.lit(0).cast("decimal(18,2)")))
-        .drop("__cust", "__spent"))
-    # Per customer: total over its accounts and the number of account rows;
-    # the rank of a row is 1 + the number of rows of customers with a larger
-    # total, so it is computed on the customer table, weighted by row count.
-    per_customer = with_spent.groupBy(F.col("customer_id").alias("__cust")).agg(
-        F.sum("balance_kzt").alias("total_kzt"), F.count(F.lit(1)).alias("__rows"))
+    # One row per existing customer: total over its accounts, number of
+    # account rows, name, limit and spend. The rank of an account row is
+    # 1 + the number of rows of customers with a larger total, so it is
+    # computed on this table (weighted by row count) and joined back once;
+    # nothing account-sized is written or gathered.
+    per_customer = (acc.groupBy("customer_id").agg(F.sum("balance_kzt").alias("total_kzt"),
+                                                   F.count(F.lit(1)).alias("__rows"))
+                    .join(customers.select("customer_id", "full_name", "daily_limit_kzt"), "customer_id")
+                    .join(spent, F.col("customer_id") == F.col("__cust"), "left")
+                    .withColumn("total_spent_today", F.coalesce(F.col("__spent"), F.lit(0).cast("decimal(18,2)")))
+                    .drop("__cust", "__spent"))
     ranked_customers = global_rank(per_customer, "total_kzt", "total_balance_rank", descending=True,
                                    weight="__rows").drop("__rows")
-    ranked = with_spent.join(ranked_customers, F.col("customer_id") == F.col("__cust")).drop("__cust")
+    ranked = acc.join(ranked_customers, "customer_id")
     return ranked.select(
         "full_name", "account_number", "currency",
         F.col("balance").cast("double").alias("balance"),
