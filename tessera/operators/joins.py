@@ -91,17 +91,23 @@ def not_in(left: DataFrame, left_key: str, right: DataFrame, right_key: str) ->
     """``left_key NOT IN (SELECT right_key FROM right)`` with SQL NULL rules.
 
     Any NULL on the right empties the result; a NULL left key qualifies only
-    when the right side is empty. The two facts come from one scalar subquery
+    when the right side is empty. Both facts come from one scalar subquery
     (a global aggregate, evaluated once); the rest is an equi anti join that
     Spark runs as a hash or sort-merge join, never a nested loop.
     """
-    stats = right.agg(F.count(F.lit(1)).alias("n"),
-                      F.count(F.col(right_key)).alias("non_null"))
-    right_rows = stats.select("n").scalar()
-    right_nulls = stats.select(F.col("n") - F.col("non_null")).scalar()
-    kept = left.where((right_rows == 0) | ((right_nulls == 0) & F.col(left_key).isNotNull()))
+    # 0: the list is empty (keep every row); 1: no NULL in it (keep non-NULL
+    # keys); 2: it holds a NULL (keep nothing). One scalar subquery.
+    n, non_null = F.count(F.lit(1)), F.count(F.col(right_key))
+    mode = right.agg(F.when(n == 0, 0).when(n == non_null, 1).otherwise(2)).scalar()
     keys = right.select(F.col(right_key).alias("__nk")).where(F.col("__nk").isNotNull())
-    return kept.join(keys, F.col(left_key) == F.col("__nk"), "left_anti")
+    # Non-NULL keys: anti join, dropped entirely when the list holds a NULL.
+    # NULL keys: kept only when the list is empty. The subquery conditions do
+    # not mention the join key, so Spark does not copy them into the list side.
+    matched = (left.where(F.col(left_key).isNotNull())
+               .join(keys, F.col(left_key) == F.col("__nk"), "left_anti")
+               .where(mode <= 1))
+    null_keys = left.where(F.col(left_key).isNull()).where(mode == 0)
+    return matched.unionByName(null_keys)
 
 
 def union_full(left: DataFrame, right: DataFrame, left_key: str, right_key: str,

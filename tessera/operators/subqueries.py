@@ -26,14 +26,16 @@ def in_subquery_flag(df: DataFrame, col: str, sub: DataFrame, sub_col: str, out:
     """
     keys = (sub.select(F.col(sub_col).alias("__ik")).where(F.col("__ik").isNotNull())
             .distinct().withColumn("__hit", F.lit(True)))
-    stats = sub.agg(F.count(F.lit(1)).alias("n"), F.count(F.col(sub_col)).alias("nn"))
-    sub_rows = stats.select("n").scalar()
-    sub_nulls = stats.select(F.col("n") - F.col("nn")).scalar()
+    # 0: empty subquery; 1: no NULL in it; 2: it holds a NULL. One scalar subquery.
+    n, non_null = F.count(F.lit(1)), F.count(F.col(sub_col))
+    mode = sub.agg(F.when(n == 0, 0).when(n == non_null, 1).otherwise(2)).scalar()
     joined = df.join(keys, F.col(col) == F.col("__ik"), "left")
+    # One reference to the subquery: s = mode, plus 10 when the key is NULL.
+    # FALSE for (key, empty), (key, no NULL), (NULL key, empty); else NULL.
+    s = F.when(F.col(col).isNull(), 10).otherwise(0) + mode
     flag = (F.when(F.col("__hit"), F.lit(True))
-            .when(sub_rows == 0, F.lit(False))
-            .when(F.col(col).isNull() | (sub_nulls > 0), F.lit(None).cast("boolean"))
-            .otherwise(F.lit(False)))
+            .when(s.isin(0, 1, 10), F.lit(False))
+            .otherwise(F.lit(None).cast("boolean")))
     return joined.withColumn(out, flag).drop("__ik", "__hit")
 
 
