@@ -105,12 +105,14 @@ def balance_summary(customers: DataFrame, accounts: DataFrame, rates: DataFrame,
     # 1 + the number of rows of customers with a larger total, so it is
     # computed on this table (weighted by row count) and joined back once;
     # nothing account-sized is written or gathered.
-    per_customer = (acc.groupBy("customer_id").agg(F.sum("balance_kzt").alias("total_kzt"),
-                                                   F.count(F.lit(1)).alias("__rows"))
-                    .join(customers.select("customer_id", "full_name", "daily_limit_kzt"), "customer_id")
-                    .join(spent, F.col("customer_id") == F.col("__cust"), "left")
-                    .withColumn("total_spent_today", F.coalesce(F.col("__spent"), F.lit(0).cast("decimal(18,2)")))
-                    .drop("__cust", "__spent"))
+    # Customer-sized and read twice by the rank (counts, then join back):
+    # written once instead of re-aggregating the accounts.
+    per_customer = materialize(
+        acc.groupBy("customer_id").agg(F.sum("balance_kzt").alias("total_kzt"), F.count(F.lit(1)).alias("__rows"))
+        .join(customers.select("customer_id", "full_name", "daily_limit_kzt"), "customer_id")
+        .join(spent, F.col("customer_id") == F.col("__cust"), "left")
+        .withColumn("total_spent_today", F.coalesce(F.col("__spent"), F.lit(0).cast("decimal(18,2)")))
+        .drop("__cust", "__spent"), "balance_per_customer")
     ranked_customers = global_rank(per_customer, "total_kzt", "total_balance_rank", descending=True,
                                    weight="__rows").drop("__rows")
     ranked = acc.join(ranked_customers, "customer_id")
