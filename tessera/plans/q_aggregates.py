@@ -10,6 +10,7 @@ from tessera.operators.windows import global_rank, partition_total, prefix_sum
 from tessera.plans import bank_model as bm
 from tessera.plans import model
 from tessera.plans.registry import register
+from tessera.session import materialize
 
 AGG, WIN = "aggregates", "windows"
 
@@ -248,8 +249,8 @@ SELECT account_id, CAST(customer_total AS DOUBLE) AS customer_total,
 def win_rank_of_total(t):
     """RANK over the value of another window (rows, not customers, are ranked)."""
     a = bm.accounts(t).select("account_id", "customer_id", "balance")
-    per_customer = a.groupBy(F.col("customer_id").alias("__c")).agg(
-        F.sum("balance").alias("customer_total"), F.count(F.lit(1)).alias("__rows"))
+    per_customer = materialize(a.groupBy(F.col("customer_id").alias("__c")).agg(
+        F.sum("balance").alias("customer_total"), F.count(F.lit(1)).alias("__rows")), "rank_per_customer")
     ranked = global_rank(per_customer, "customer_total", "total_rank", descending=True, weight="__rows")
     return (a.join(ranked, a["customer_id"] == ranked["__c"])
             .select("account_id", F.col("customer_total").cast("double").alias("customer_total"), "total_rank"))
