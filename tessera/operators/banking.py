@@ -56,14 +56,17 @@ def daily_transaction_report(transactions: DataFrame) -> DataFrame:
     prefix sum over the (small) daily aggregate, never as a one-task window.
     The previous volume is the previous *row* of the same type (LAG, default 0).
     """
-    daily = (
+    # Days x types rows, read by both halves of the running total: written
+    # once, so the transaction history is scanned once.
+    daily = materialize(
         transactions
         .where((F.col("status") == "completed") & F.col("amount_kzt").isNotNull())
         .groupBy(F.to_date("created_at").alias("transaction_date"), F.col("type"))
         .agg(F.count(F.lit(1)).alias("transaction_count"),
-             F.sum("amount_kzt").alias("total_volume"))
-    )
-    with_running = prefix_sum(daily, ["transaction_date", "type"], "total_volume", "running_total")
+             F.sum("amount_kzt").alias("total_volume")), "daily_report")
+    # (date, type) is unique after the aggregation: running sums on the rows.
+    with_running = prefix_sum(daily, ["transaction_date", "type"], "total_volume", "running_total",
+                              rows_unique=True)
     prev = F.lag("total_volume", 1, 0).over(Window.partitionBy("type").orderBy("transaction_date"))
     return (
         with_running.withColumn("previous_volume", prev)

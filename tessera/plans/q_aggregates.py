@@ -273,7 +273,7 @@ SELECT event_date, event_type, CAST(volume AS DOUBLE) AS volume,
 FROM daily""")
 def win_running_total(t):
     """Running total with the default frame (RANGE ... CURRENT ROW: peers share it)."""
-    d = _daily(t)
+    d = materialize(_daily(t), "daily_volume")  # small; read by both halves of the running total
     out = prefix_sum(d, ["event_date"], "volume", "running_volume")
     return out.select("event_date", "event_type", F.col("volume").cast("double").alias("volume"),
                       F.col("running_volume").cast("double").alias("running_volume"))
