@@ -202,30 +202,33 @@ def band_count(df: DataFrame, key: str | Sequence[str], ts: str, before_us: int,
     if width < max(before_us, after_us):
         raise ValueError("bucket must be at least as wide as the band")
     counted = F.lit(True) if counted is None else counted
-    helpers = ["__t", "__counted", "__b", "__home"]
 
     base = df.withColumn("__t", _micros(ts)).withColumn("__counted", F.coalesce(counted, F.lit(False)))
     valid = F.col("__t").isNotNull()
     for k in keys:
         valid = valid & F.col(k).isNotNull()
-    timed = base.where(valid).withColumn("__b", F.floor(F.col("__t") / width))
-
-    home = timed.withColumn("__home", F.lit(True))
-    narrow = [*keys, "__t", "__counted"]
-    # A row late in bucket b lies in the band of early rows of b+1 (they look
-    # back by before_us); a row early in b lies in the band of late rows of b-1.
-    to_next = (timed.where(F.col("__counted") & (F.col("__t") >= (F.col("__b") + 1) * width - before_us))
-               .select(*narrow, (F.col("__b") + 1).alias("__b"), F.lit(False).alias("__home")))
-    to_prev = (timed.where(F.col("__counted") & (F.col("__t") < F.col("__b") * width + after_us))
-               .select(*narrow, (F.col("__b") - 1).alias("__b"), F.lit(False).alias("__home")))
-    spread = (home.unionByName(to_next, allowMissingColumns=True)
-              .unionByName(to_prev, allowMissingColumns=True))
+
+    # One pass: each row yields itself (home) plus, when it lies within the
+    # band of a bucket edge, a copy for the neighbouring bucket. A row late in
+    # bucket b lies in the band of early rows of b+1 (they look back by
+    # before_us); a row early in b lies in the band of late rows of b-1.
+    b = F.floor(F.col("__t") / width)
+    target = lambda bucket, home: F.struct(bucket.alias("b"), F.lit(home).alias("home"))
+    to_next = F.when(F.col("__counted") & (F.col("__t") >= (b + 1) * width - before_us), target(b + 1, False))
+    to_prev = F.when(F.col("__counted") & (F.col("__t") < b * width + after_us), target(b - 1, False))
+    targets = F.filter(F.array(target(b, True), to_next, to_prev), lambda x: x.isNotNull())
+    spread = base.where(valid).withColumn("__tgt", F.explode(targets))
+    # Copies only need key, time and flag: other columns are nulled so the
+    # extra rows stay narrow in the shuffle.
+    payload = [c for c in df.columns if c not in keys]
+    spread = spread.select(
+        *keys, *[F.when(F.col("__tgt.home"), F.col(c)).alias(c) for c in payload],
+        "__t", "__counted", F.col("__tgt.b").alias("__b"), F.col("__tgt.home").alias("__home"))
 
     w = Window.partitionBy(*keys, "__b").orderBy("__t").rangeBetween(-before_us, after_us)
     counted_rows = (spread.withColumn(out, F.count(F.when(F.col("__counted"), 1)).over(w))
-                    .where("__home").drop(*helpers))
-    skipped = (base.where(~valid).withColumn(out, F.lit(None).cast("long"))
-               .drop("__t", "__counted"))
+                    .where("__home").select(*df.columns, out))
+    skipped = base.where(~valid).select(*df.columns, F.lit(None).cast("long").alias(out))
     return counted_rows.unionByName(skipped)
 
 
