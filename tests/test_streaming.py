@@ -3,6 +3,7 @@
 import os
 import tempfile
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.operators.windows import MICROS_PER_MINUTE, previous_max
@@ -18,8 +19,7 @@ def _split_by_time(spark, files=6):
     """Write the events as several files in time order (arrivals in id order)."""
     events = spark.read.parquet(f"{SF}/events.parquet")
     folder = tempfile.mkdtemp(prefix="tessera-stream-")
-    bounds = events.select(F.ntile(files).over(__import__("pyspark.sql", fromlist=["Window"]).Window.orderBy("event_id"))
-                           .alias("part"), "*")
+    bounds = events.select(F.ntile(files).over(Window.orderBy("event_id")).alias("part"), "*")
     for i in range(1, files + 1):
         bounds.where(F.col("part") == i).drop("part").coalesce(1).write.parquet(os.path.join(folder, f"part={i:02d}"))
     return folder, events
