@@ -414,7 +414,17 @@ def post_transfers(accounts: DataFrame, settled: DataFrame) -> DataFrame:
             .drop("__acct", "__sum"))
 
 
-def transfer_audit(settled: DataFrame, actor: str, at: str) -> DataFrame:
+def _actor(actor: str | None) -> Column:
+    """The acting user: given explicitly, else the session user (CURRENT_USER)."""
+    return F.current_user() if actor is None else F.lit(actor)
+
+
+def _when(at: str | None) -> Column:
+    """The change time: given explicitly (reproducible), else CURRENT_TIMESTAMP."""
+    return F.current_timestamp().cast("timestamp_ntz") if at is None else F.lit(at).cast("timestamp_ntz")
+
+
+def transfer_audit(settled: DataFrame, actor: str | None = None, at: str | None = None) -> DataFrame:
     """Audit rows: INSERT with the new status, or TRANSFER_FAIL with code and message."""
     from tessera.functions.scalar import json_object
 
@@ -424,7 +434,7 @@ def transfer_audit(settled: DataFrame, actor: str, at: str) -> DataFrame:
         F.when(ok, "INSERT").otherwise("TRANSFER_FAIL").alias("action"),
         F.when(~ok, json_object(error_code=F.col("error_code"), message=F.col("message"))).alias("old_values"),
         F.when(ok, json_object(status=F.lit("completed"))).alias("new_values"),
-        F.lit(actor).alias("changed_by"), F.lit(at).cast("timestamp_ntz").alias("changed_at"))
+        _actor(actor).alias("changed_by"), _when(at).alias("changed_at"))
 
 
 # Salary batch messages of the reference procedure; the NULL and
@@ -524,7 +534,7 @@ def salary_batch_summary(postings: DataFrame, accounts: DataFrame, customers: Da
 
 
 def audit_diff(before: DataFrame, after: DataFrame, key: str, columns: list[str], table_name: str,
-               actor: str, at: str) -> DataFrame:
+               actor: str | None = None, at: str | None = None) -> DataFrame:
     """Audit rows from two snapshots of a table (full outer join on the key).
 
     INSERT / DELETE for one-sided keys, UPDATE when any listed column differs;
@@ -547,4 +557,4 @@ def audit_diff(before: DataFrame, after: DataFrame, key: str, columns: list[str]
                     F.coalesce("__k_new", "__k_old").alias("record_id"), "action",
                     F.when(F.col("action") != "INSERT", old_json).alias("old_values"),
                     F.when(F.col("action") != "DELETE", new_json).alias("new_values"),
-                    F.lit(actor).alias("changed_by"), F.lit(at).cast("timestamp_ntz").alias("changed_at")))
+                    _actor(actor).alias("changed_by"), _when(at).alias("changed_at")))
