@@ -486,7 +486,8 @@ def salary_batches(payments: DataFrame, customers: DataFrame, accounts: DataFram
             .when(F.col("amount").isNull(), F.lit(ERR_AMOUNT_NULL[0]))
             .when(F.col("amount") <= 0, F.lit(ERR_AMOUNT_POSITIVE[0])))
     head, tail = ERR_RECEIVER[1].split("{iin}")
-    message = (F.when(code == ERR_RECEIVER[0], F.concat(F.lit(head), F.coalesce("iin", F.lit("")), F.lit(tail)))
+    # RAISE prints a NULL argument as <NULL>.
+    message = (F.when(code == ERR_RECEIVER[0], F.concat(F.lit(head), F.coalesce("iin", F.lit("<NULL>")), F.lit(tail)))
                .when(code == ERR_AMOUNT_NULL[0], F.lit(ERR_AMOUNT_NULL[1]))
                .when(code == ERR_AMOUNT_POSITIVE[0], F.lit(ERR_AMOUNT_POSITIVE[1])))
     classified = matched.withColumn("error_code", code).withColumn("message", message)
