@@ -4,20 +4,25 @@ Spark's ``Window`` without ``partitionBy`` moves every row into one task, and a
 keyed window puts a whole key into one task. The helpers here give the same
 results while splitting the work:
 
-* ``prefix_sum`` / ``global_rank``: ``SUM(..) OVER (ORDER BY ..)`` and
-  ``RANK() OVER (ORDER BY ..)`` over the whole table. Rows are first reduced to
-  one row per distinct ordering key, put into order-preserving buckets of the
-  key (computed from the value alone, no statistics pass), summed locally per
-  bucket, and each bucket is shifted by the totals of the buckets before it
-  (one row per bucket, so that broadcast is bounded by the bucket count, not
-  by the data).
+* ``prefix_sum``: ``SUM(..) OVER ([PARTITION BY p] ORDER BY ..)`` with the
+  default RANGE frame. Rows (or, by default, one row per distinct key) are put
+  into order-preserving buckets computed from the value alone (no statistics
+  pass), summed locally per (partition, bucket), and shifted by the totals of
+  the earlier buckets of their partition. Without a partition the offset table
+  has one row per bucket, so its broadcast is bounded by the bucket count.
+* ``global_rank``: ``RANK() OVER (ORDER BY ..)`` as 1 + a prefix count of
+  larger (or smaller) keys, optionally weighted so a per-customer table can
+  rank account rows.
 * ``band_count``: per key, the number of rows whose time lies within
   ``[t - before, t + after]`` (a RANGE frame). Rows are split into time buckets
-  per key, and rows near a bucket edge are copied into the neighbouring bucket,
-  so a key holding a third of all rows is still spread over many tasks.
+  per key in one pass, and rows near a bucket edge are also emitted (narrow)
+  into the neighbouring bucket, so a key holding a third of all rows is still
+  spread over many tasks.
 * ``previous_max``: per key, the maximum of a value over rows with a smaller id
   (a ROWS frame ending one row before the current one), computed per id block
   and combined with the running maximum of earlier blocks.
+* ``partition_total``: ``SUM(..) OVER (PARTITION BY key)`` as a grouped
+  aggregate joined back, so a hot key is one aggregate row.
 """
 
 from __future__ import annotations
