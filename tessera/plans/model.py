@@ -4,8 +4,8 @@ The driver tables hold no NULLs, so nullable columns are derived by fixed
 rules, identical in the Spark frames and the SQL text:
 
 * emp  <- customer: emp_id = c_custkey, name, dept_id = NULLIF(c_nationkey, 0),
-  segment, salary = c_acctbal as decimal(18,2), manager_id = c_custkey DIV 10
-  except for every seventh key (NULL).
+  segment, salary = c_acctbal as decimal(18,2), manager_id = c_custkey DIV 10,
+  or NULL for customers with a negative balance.
 * dept <- nation: dept_id = n_nationkey, dept_name = n_name, region = n_regionkey.
 """
 
@@ -25,7 +25,7 @@ def emp(t: Tables) -> DataFrame:
         F.nullif(F.col("c_nationkey"), F.lit(0)).alias("dept_id"),
         F.col("c_mktsegment").alias("segment"),
         F.col("c_acctbal").cast("decimal(18,2)").alias("salary"),
-        F.when(F.col("c_custkey") % 7 == 0, F.lit(None).cast("bigint"))
+        F.when(F.col("c_acctbal") < 0, F.lit(None).cast("bigint"))
         .otherwise(F.expr("c_custkey div 10")).alias("manager_id"),
     )
 
@@ -41,7 +41,7 @@ SQL = {
   emp AS (
     SELECT c_custkey AS emp_id, c_name AS emp_name, NULLIF(c_nationkey, 0) AS dept_id,
            c_mktsegment AS segment, CAST(c_acctbal AS DECIMAL(18,2)) AS salary,
-           CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_custkey // 10 END AS manager_id
+           CASE WHEN c_acctbal < 0 THEN NULL ELSE c_custkey // 10 END AS manager_id
     FROM customer)""",
     "dept": """
   dept AS (SELECT n_nationkey AS dept_id, n_name AS dept_name, n_regionkey AS region FROM nation)""",
