@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators.windows import MICROS_PER_MINUTE, previous_max
 from tessera.streaming.daily_report import run_daily_report
-from tessera.streaming.rapid import run_rapid_alerts
+from tessera.streaming.rapid import run_rapid_alerts, run_rapid_alerts_by_table
 
 from conftest import rows
 
@@ -41,3 +41,11 @@ def test_rapid_stream_equals_batch(spark):
     batch = prev.where(F.col("m") > F.col("ts") - F.expr("INTERVAL 1 MINUTE"))
     assert rows(out, "event_id", "user_id") == rows(batch, "event_id", "user_id")
     assert out.count() > 0
+
+
+def test_rapid_by_state_table_equals_batch(spark):
+    folder, events = _split_by_time(spark)
+    out = run_rapid_alerts_by_table(spark, folder + "/*", events.schema, MICROS_PER_MINUTE, files_per_trigger=2)
+    prev = previous_max(events, "user_id", "event_id", "ts", "m")
+    batch = prev.where(F.col("m") > F.col("ts") - F.expr("INTERVAL 1 MINUTE"))
+    assert rows(out, "event_id", "user_id") == rows(batch, "event_id", "user_id")
