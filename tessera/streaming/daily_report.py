@@ -2,11 +2,11 @@
 
 Events arrive as Parquet files. Per (day, type) the stream keeps count and
 total; each micro-batch emits the groups it changed (update mode) and
-``foreachBatch`` upserts them into a keyed snapshot table: keys present in the
-batch replace their old rows, the new snapshot is written to a fresh folder
-and the table pointer swapped. Re-running a batch after a failure writes the
-same values again (idempotent). A watermark bounds the state: days older than
-the watermark are final and dropped from the state store.
+``foreachBatch`` upserts them into a keyed table: keys present in the batch
+replace their old rows, and the new version is written at a path fixed by
+the batch id. Re-running a batch after a failure or a restart rewrites the
+same version (idempotent). A watermark bounds the state: days older than the
+watermark are final and dropped from the state store.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.session import storage_root
-from tessera.sources.sinks import Catalog
 
 
 # Default micro-batch size in files: bounds the rows one trigger (and one key's
@@ -53,33 +52,58 @@ def daily_aggregates(events: DataFrame, watermark: str = "1 day") -> DataFrame:
             .select(F.to_date(F.col("day.start")).alias("event_date"), "event_type", "events", "total_value"))
 
 
-def upsert_batch(catalog: Catalog, table: str, keys: list[str]):
-    """foreachBatch handler: replace the rows of the keys present in the batch."""
+def upsert_batch(root: str, keys: list[str], last: list[int]):
+    """foreachBatch handler: the report after batch N is the report after
+    batch N-1 with the keys present in batch N replaced.
+
+    Each version is written to a fixed path per batch id, so a re-run batch
+    (after a failure or a driver restart) reads the same previous version and
+    overwrites the same output: idempotent, and nothing lives only in the
+    driver.
+    """
+    from pyspark.errors import AnalysisException
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if catalog.exists(table):
-            current = catalog.read(table)
-            kept = current.join(batch.select(*keys), keys, "left_anti")
-            merged = kept.unionByName(batch)
-        else:
+        spark = batch.sparkSession
+        try:
+            previous = spark.read.parquet(f"{root}/batch={batch_id - 1}")
+            merged = previous.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
+        except AnalysisException:  # first batch
             merged = batch
-        catalog.publish(table, merged)
+        merged.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+        last.append(batch_id)
 
     return handle
 
 
-def run_daily_report(spark: SparkSession, path: str, schema: T.StructType, table: str = "stream_daily_report",
+def run_daily_report(spark: SparkSession, path: str, schema: T.StructType, root: str | None = None,
                      files_per_trigger: int | None = FILES_PER_TRIGGER) -> DataFrame:
-    """Run the stream over every file available now, then return the table."""
-    catalog = Catalog.of(spark)
-    catalog.drop(table)
+    """Run the stream over every file available now, then return the report.
+
+    ``root`` is where report versions and the stream checkpoint live (pass
+    the same folder to resume a stream); by default a fresh folder under the
+    shared checkpoint folder.
+    """
+    root = root or storage_root(spark, "stream_daily_report")
+    last: list[int] = []
     query = (daily_aggregates(event_stream(spark, path, schema, files_per_trigger))
              .writeStream.outputMode("update")
-             .option("checkpointLocation", storage_root(spark, "stream_checkpoints"))
-             .foreachBatch(upsert_batch(catalog, table, ["event_date", "event_type"]))
+             .option("checkpointLocation", f"{root}/_checkpoint")
+             .foreachBatch(upsert_batch(f"{root}/report", ["event_date", "event_type"], last))
              .trigger(availableNow=True)
              .start())
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    return catalog.read(table)
+    if last:
+        return spark.read.parquet(f"{root}/report/batch={max(last)}")
+    # Nothing new arrived: the newest stored version, if any.
+    from pyspark.errors import AnalysisException
+
+    try:
+        versions = spark.read.parquet(f"{root}/report")
+        newest = versions.agg(F.max("batch")).first()[0]
+        return versions.where(F.col("batch") == newest).drop("batch")
+    except AnalysisException:
+        return spark.createDataFrame([], "event_date date, event_type string, events long, "
+                                         "total_value decimal(28,2)")

@@ -27,11 +27,12 @@ def _split_by_time(spark, files=6):
 
 def test_daily_report_stream_equals_batch(spark):
     folder, events = _split_by_time(spark)
-    out = run_daily_report(spark, folder + "/*", events.schema, table="t_stream_daily", files_per_trigger=1)
+    out = run_daily_report(spark, folder + "/*", events.schema, files_per_trigger=1)
     batch = events.groupBy(F.to_date("ts").alias("event_date"), "event_type").agg(
         F.count(F.lit(1)).alias("events"), F.sum(F.col("value").cast("decimal(18,2)")).alias("total_value"))
     cols = ("event_date", "event_type", "events", "total_value")
     assert rows(out, *cols) == rows(batch, *cols)
+    assert rows(again, *cols) == rows(batch, *cols)
 
 
 def test_rapid_stream_equals_batch(spark):
@@ -49,3 +50,22 @@ def test_rapid_by_state_table_equals_batch(spark):
     prev = previous_max(events, "user_id", "event_id", "ts", "m")
     batch = prev.where(F.col("m") > F.col("ts") - F.expr("INTERVAL 1 MINUTE"))
     assert rows(out, "event_id", "user_id") == rows(batch, "event_id", "user_id")
+
+
+def test_daily_report_resumes_from_its_folder(spark):
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    parts = events.select(F.ntile(4).over(Window.orderBy("event_id")).alias("part"), "*")
+    source = tempfile.mkdtemp(prefix="tessera-resume-src-")
+    root = tempfile.mkdtemp(prefix="tessera-resume-out-")
+    for i in (1, 2):
+        parts.where(F.col("part") == i).drop("part").coalesce(1).write.parquet(os.path.join(source, f"part={i}"))
+    run_daily_report(spark, source + "/*", events.schema, root=root, files_per_trigger=1)
+    for i in (3, 4):  # new files arrive; a new run resumes from the same checkpoint and versions
+        parts.where(F.col("part") == i).drop("part").coalesce(1).write.parquet(os.path.join(source, f"part={i}"))
+    out = run_daily_report(spark, source + "/*", events.schema, root=root, files_per_trigger=1)
+    again = run_daily_report(spark, source + "/*", events.schema, root=root)  # nothing new: same report
+    batch = events.groupBy(F.to_date("ts").alias("event_date"), "event_type").agg(
+        F.count(F.lit(1)).alias("events"), F.sum(F.col("value").cast("decimal(18,2)")).alias("total_value"))
+    cols = ("event_date", "event_type", "events", "total_value")
+    assert rows(out, *cols) == rows(batch, *cols)
+    assert rows(again, *cols) == rows(batch, *cols)
