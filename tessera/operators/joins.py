@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import materialize
+
 
 def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
     """NATURAL JOIN: equality on every column name the two sides share."""
@@ -97,9 +99,13 @@ def not_in(left: DataFrame, left_key: str, right: DataFrame, right_key: str) ->
     """
     # 0: the list is empty (keep every row); 1: no NULL in it (keep non-NULL
     # keys); 2: it holds a NULL (keep nothing). One scalar subquery.
-    n, non_null = F.count(F.lit(1)), F.count(F.col(right_key))
-    mode = right.agg(F.when(n == 0, 0).when(n == non_null, 1).otherwise(2)).scalar()
-    keys = right.select(F.col(right_key).alias("__nk")).where(F.col("__nk").isNotNull())
+    # The list is read by the scalar subquery and by the anti join (and Spark
+    # copies filters into each): written once as one column, so a list that
+    # is itself a join is computed once.
+    listed = materialize(right.select(F.col(right_key).alias("__nk")), "not_in_list")
+    n, non_null = F.count(F.lit(1)), F.count(F.col("__nk"))
+    mode = listed.agg(F.when(n == 0, 0).when(n == non_null, 1).otherwise(2)).scalar()
+    keys = listed.where(F.col("__nk").isNotNull())
     # Non-NULL keys: anti join, dropped entirely when the list holds a NULL.
     # NULL keys: kept only when the list is empty. The subquery conditions do
     # not mention the join key, so Spark does not copy them into the list side.
