@@ -17,7 +17,13 @@ from tessera.session import storage_root
 
 
 class Catalog:
-    """Name -> current Parquet directory. One instance per session."""
+    """Name -> current Parquet directory. One instance per session.
+
+    The data of every version lives under the shared checkpoint folder; the
+    name-to-folder pointers live in this driver process. A later job can still
+    read a published version by its folder (``publish`` returns it), but
+    names are not shared between drivers.
+    """
 
     _instances: dict[int, Catalog] = {}
 
