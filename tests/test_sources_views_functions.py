@@ -101,3 +101,23 @@ def test_year_filter_reaches_the_scan(spark):
     q = orders.where(fx.year_equals("o_orderdate", 1997))
     assert "GreaterThanOrEqual(o_orderdate,1997-01-01T00:00)" in q._jdf.queryExecution().executedPlan().toString()
     assert q.count() == orders.where(F.year("o_orderdate") == 1997).count()
+
+
+def test_sizing_for_100_tb():
+    from tessera.session import sizing
+
+    conf = sizing(100 << 40)
+    assert conf["spark.sql.shuffle.partitions"] == str(1 << 17)  # capped
+    assert conf["spark.sql.files.maxPartitionBytes"] == str(512 << 20)
+    assert sizing(1 << 30)["spark.sql.shuffle.partitions"] == "8"
+
+
+def test_materialize_cuts_lineage(spark):
+    from tessera.session import materialize
+
+    src = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
+    agg = src.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
+    stored = materialize(agg, "t_mat")
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan and "FileScan parquet" in plan
+    assert rows(stored, "o_custkey", "n") == rows(agg, "o_custkey", "n")
