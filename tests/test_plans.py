@@ -26,7 +26,7 @@ ALLOWED = {
     # collect_set of rule names per key (bounded by the number of rules)
     "dq_enforce": {"collect"},
     # sequential per-sender fold over a sorted, streamed partition
-    "job_transfers": {"python_map"},
+    "job_transfers": {"python_map"}, "job_transfer_audit": {"python_map"},
 }
 
 
