@@ -43,7 +43,7 @@ _ALIGN_CELLS = 1 << 22
 
 
 def _word_hashes(text: bytes) -> np.ndarray:
-    words = text.lower().translate(None, b".,;:!?\"'()[]").split()
+    words = text.decode("utf-8", "replace").lower().encode().translate(None, b".,;:!?\"'()[]").split()
     return np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
 
 
