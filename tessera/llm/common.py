@@ -111,6 +111,11 @@ def split_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     return list(chain.from_iterable(each)), ends
 
 
+def null_safe(value: Column) -> Column:
+    """A string key that is never null: equal for equal values, and for null only by null."""
+    return F.coalesce(F.concat(F.lit("="), value.cast("string")), F.lit(""))
+
+
 def crc_mod(doc_id: Column, by: int) -> Column:
     """crc32 of the id's decimal text, modulo ``by``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % by
@@ -123,3 +128,23 @@ def ship(spark: SparkSession, value):
 
 def shipped(broadcast):
     return pickle.loads(broadcast.value)
+
+
+def bit_table(hashes: DataFrame, log2: int) -> bytes:
+    """A table of 2 ** ``log2`` bits, set at the low bits of the hashes in the only column.
+
+    Spark joins the bits, 64 to a row; the size doesn't depend on the data.
+    """
+    hashes = hashes.toDF("h")
+    place = F.col("h").bitwiseAND((1 << log2) - 1)
+    bit = F.expr("shiftleft(1L, cast(h & 63 as int))")
+    rows = hashes.select(F.shiftright(place, 6).alias("w"), bit.alias("b")).groupBy("w").agg(F.bit_or("b").alias("b")).toArrow()
+    table = np.zeros(1 << (log2 - 6), np.int64)
+    table[rows["w"].to_numpy()] = rows["b"].to_numpy()
+    return table.tobytes()
+
+
+def in_bit_table(table: bytes, hashes: np.ndarray, log2: int) -> np.ndarray:
+    """Which hashes have their bit set; every hash that was put in does."""
+    at = hashes & ((1 << log2) - 1)
+    return ((np.frombuffer(table, np.int64)[at >> 6] >> (at & 63)) & 1).astype(bool)

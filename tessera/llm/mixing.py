@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import fresh
+from tessera.llm.common import fresh, null_safe
 from tessera.session import materialize
 
 BLOCKS = 1000
@@ -47,9 +47,8 @@ def _fluid(v: Column, sources: Column) -> Column:
 
 
 def block_schedule(counts: DataFrame, weights: DataFrame, block_rows: Column) -> DataFrame:
-    """(sid, block, slot) from (sid, source, rows) and (source, weight); one entry per block."""
-    w = weights.select(F.col("source").alias("ws"), F.col("weight").cast("double").alias("weight"))
-    known = counts.join(w, counts["source"].eqNullSafe(w["ws"]), "left").drop("ws")
+    """(sid, block, slot) from (sid, key, rows) and (key, weight); one entry per block."""
+    known = counts.join(weights.select("key", F.col("weight").cast("double").alias("weight")), "key", "left")
     known = known.groupBy("sid", "rows").agg(F.max("weight").alias("weight"))
     good = F.when((F.col("weight") > 0) & ~F.isnan("weight") & (F.col("weight") < float("inf")), F.col("weight"))
     n = F.ceil(F.col("rows") / block_rows).cast("long")
@@ -89,39 +88,37 @@ def mix(docs: DataFrame, weights: DataFrame, doc_id: str = "doc_id", source: str
     Order by ``mix_position`` to write the mixed corpus. ``weights`` has
     (source, weight); weights are relative.
     """
-    bucket, nth, order = (fresh(docs, c) for c in ("__bucket", "__nth", "__order"))
+    key, bucket, nth, order = (fresh(docs, c) for c in ("__key", "__bucket", "__nth", "__order"))
     digest = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
     # Hash order; the first hex digits are the bucket, so buckets follow the order.
-    dealt = docs.withColumn(order, digest).withColumn(bucket, F.conv(F.substring(order, 1, BUCKET_HEX), 16, 10).cast("int"))
-    sized = materialize(dealt.groupBy(F.col(source).alias("source"), F.col(bucket).alias("bucket"))
+    dealt = (docs.withColumn(key, null_safe(F.col(source))).withColumn(order, digest)
+             .withColumn(bucket, F.conv(F.substring(order, 1, BUCKET_HEX), 16, 10).cast("int")))
+    sized = materialize(dealt.groupBy(F.col(key).alias("key"), F.col(bucket).alias("bucket"))
                         .agg(F.count("*").alias("rows")), "mix_sizes")
-    totals = sized.groupBy("source").agg(F.sum("rows").alias("rows"))
     # Sources by name (null first); one row per source, so the list is as short as the weights.
-    ids = totals.groupBy().agg(F.sort_array(F.collect_list(F.struct("source", "rows"))).alias("s"))
-    ids = ids.select(F.posexplode("s").alias("sid", "x")).select("sid", "x.source", "x.rows")
-    counts = materialize(ids, "mix_sources")
+    totals = sized.groupBy("key").agg(F.sum("rows").alias("rows"))
+    ids = totals.groupBy().agg(F.sort_array(F.collect_list(F.struct("key", "rows"))).alias("s"))
+    counts = materialize(ids.select(F.posexplode("s").alias("sid", "x")).select("sid", "x.key", "x.rows"), "mix_sources")
     rows = counts.agg(F.sum("rows")).first()[0] or 0
     block_rows = max(1, -(-rows // blocks))
-    plan = block_schedule(counts, weights, F.lit(block_rows))
-    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    plan = block_schedule(counts, weights.select(null_safe(F.col("source")).alias("key"), "weight"), F.lit(block_rows))
+    before = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sized.withColumn("offset", F.coalesce(F.sum("rows").over(before), F.lit(0)))
-    offsets = offsets.join(counts.select(F.col("source").alias("cs"), "sid", F.col("rows").alias("source_rows")),
-                           F.col("source").eqNullSafe(F.col("cs"))).select(
-        F.col("source").alias("os"), F.col("bucket").alias("ob"), "offset", "sid", "source_rows")
+    offsets = offsets.join(counts.select("key", "sid"), "key").select("key", "bucket", "offset", "sid")
     # Rows ahead of a slot: every earlier block is full but for the last of its source.
     plan = plan.join(counts.select("sid", "rows"), "sid")
     height = F.least(F.lit(block_rows), F.col("rows") - F.col("block") * block_rows)
     ahead = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     plan = materialize(plan.select("sid", "block", "slot", F.coalesce(F.sum(height).over(ahead), F.lit(0)).alias("ahead")), "mix_plan")
-    within = Window.partitionBy(source, bucket).orderBy(order, F.xxhash64(doc_id))
-    names = {c: fresh(docs, c) for c in ("os", "ob", "offset", "sid", "source_rows", "block", "slot", "ahead")}
-    offsets = offsets.select(*[F.col(c).alias(names[c]) for c in offsets.columns])
-    plan = plan.select(F.col("sid").alias(names["sid"]), *[F.col(c).alias(names[c]) for c in ("block", "slot", "ahead")])
+    o = {c: fresh(docs, f"__o_{c}") for c in offsets.columns}
+    p = {c: fresh(docs, f"__p_{c}") for c in plan.columns}
+    offsets, plan = offsets.withColumnsRenamed(o), plan.withColumnsRenamed(p)
+    # The window and the join with the offsets share one dealing of the rows.
+    within = Window.partitionBy(key, bucket).orderBy(order, F.xxhash64(doc_id))
     out = dealt.withColumn(nth, F.row_number().over(within) - 1)
-    out = out.join(offsets, out[source].eqNullSafe(offsets[names["os"]]) & (out[bucket] == offsets[names["ob"]]))
-    rank = F.col(names["offset"]) + F.col(nth)
-    out = out.withColumn(nth, rank).withColumn(names["block"] + "_", F.floor(F.col(nth) / block_rows))
-    out = out.join(plan, (out[names["sid"]] == plan[names["sid"]]) & (out[names["block"] + "_"] == plan[names["block"]]))
+    out = out.join(offsets, (out[key] == offsets[o["key"]]) & (out[bucket] == offsets[o["bucket"]]))
+    out = out.withColumn(nth, F.col(o["offset"]) + F.col(nth)).withColumn(order, F.floor(F.col(nth) / block_rows))
+    out = out.join(plan, (F.col(o["sid"]) == F.col(p["sid"])) & (F.col(order) == F.col(p["block"])))
     return out.select(
-        *[out[c] for c in docs.columns], F.col(names["block"]).alias("mix_block"), F.col(names["slot"]).alias("mix_slot"),
-        (F.col(names["ahead"]) + F.col(nth) - F.col(names["block"]) * block_rows).alias("mix_position"))
+        *[out[c] for c in docs.columns], F.col(p["block"]).alias("mix_block"), F.col(p["slot"]).alias("mix_slot"),
+        (F.col(p["ahead"]) + F.col(nth) - F.col(p["block"]) * block_rows).alias("mix_position"))

@@ -28,11 +28,11 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import add_text_columns, fresh
+from tessera.llm.common import add_text_columns, fresh, null_safe
 from tessera.session import materialize
 
 SHINGLE = 3
@@ -265,17 +265,15 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", node_rows: int = NODE_ROWS) -> DataFrame:
     """One document of each component: the smallest id (nulls last), ties by text hash; one of equal rows."""
-    hash_, nth, one = fresh(docs, "__hash"), fresh(docs, "__nth"), "one"
-    keyed = docs.withColumn(hash_, F.xxhash64(text))
-    slim = keyed.select(F.col(doc_id).alias("id"), F.col(hash_).alias("h"), F.col(text).alias("text"))
+    key, hash_, nth = fresh(docs, "__key"), fresh(docs, "__hash"), fresh(docs, "__nth")
+    keyed = docs.withColumn(key, null_safe(F.col(doc_id))).withColumn(hash_, F.xxhash64(text))
+    slim = keyed.select(F.col(doc_id).alias("id"), F.col(key).alias("key"), F.col(hash_).alias("h"), F.col(text).alias("text"))
     prints = materialize(add_fingerprints(slim), "simhash_docs")
-    key = F.struct(F.col("id").isNull().alias("none"), "id", "h")
-    lowest = prints.groupBy("fp").agg(F.min(key).alias("low"))
-    root = classes(prints, node_rows)
-    stay = root.join(lowest, "fp").groupBy("root").agg(F.min("low").alias(one)).select(f"{one}.id", f"{one}.h")
-    stay = materialize(stay.distinct(), "simhash_kept")
-    kept = keyed.join(stay, keyed[doc_id].eqNullSafe(stay["id"]) & (keyed[hash_] == stay["h"]), "left_semi")
-    from pyspark.sql import Window
-
-    order = Window.partitionBy(doc_id, hash_).orderBy(*[F.xxhash64(c) for c in docs.columns])
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "h", "key")
+    lowest = prints.groupBy("fp").agg(F.min(rank).alias("low"))
+    stay = classes(prints, node_rows).join(lowest, "fp").groupBy("root").agg(F.min("low").alias("low"))
+    stay = materialize(stay.select(F.col("low.key").alias("skey"), F.col("low.h").alias("sh")).distinct(), "simhash_kept")
+    # The join and the window share one dealing of the texts.
+    kept = keyed.join(stay.hint("merge"), (keyed[key] == stay["skey"]) & (keyed[hash_] == stay["sh"]), "left_semi")
+    order = Window.partitionBy(key, hash_).orderBy(*[F.xxhash64(c) for c in docs.columns])
     return kept.withColumn(nth, F.row_number().over(order)).filter(F.col(nth) == 1).select(*docs.columns)
