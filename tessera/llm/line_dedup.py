@@ -7,11 +7,13 @@ deleted line moves the boundaries near it only. A chunk of two lines or more
 that stands in several places of the corpus is kept at its first place, the
 smallest (doc_id, text hash, position), and removed from all others.
 
-Hashes only propose: chunk rows without text (hash, document, position) find
-hashes that occur twice; only those documents' candidate chunks travel, and
-they are grouped by the hash and by their bytes, so a collision never removes
-a line. Grouping pre-aggregates in the map tasks, so a chunk that a third of
-the corpus holds reaches its reducer as one row a task.
+Hashes only propose. A first scan gives chunk rows without text (hash,
+document, position); the hashes that occur twice set bits in a table of fixed
+size. A second scan gives out the bytes of the chunks whose bit is set, and
+these are grouped by hash and bytes, so neither a collision nor a crowded table
+ever removes a line. Grouping pre-aggregates in the map tasks, so a chunk that
+a third of the corpus holds reaches its reducer as one row a task. Whole texts
+move once, to meet the list of their lines to cut.
 
 Defined cases: null texts have no line and stay null; blank-only chunks count
 like any other; a null id sorts last; rows equal in id and text are one
@@ -30,13 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import fresh, text_bytes
+from tessera.llm.common import bit_table, fresh, in_bit_table, null_safe, pieces, text_bytes
 from tessera.session import materialize
 
 SPAN = 2
 DIVISOR = 2
 MIN_LINES = 2
 MAX_LINES = 64
+FILTER_LOG2 = 24
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 
@@ -69,61 +72,61 @@ def _chunks(text: bytes) -> Iterator[tuple[int, int, bytes]]:
         start = end
 
 
-def _chunk_rows(keyed: DataFrame) -> DataFrame:
-    """(id, h, chunk, at, n): the hash, first line and length of each chunk, without its text."""
+def _chunk_rows(keyed: DataFrame, table=None) -> DataFrame:
+    """(id, h, chunk, at, n): the hash, first line and length of each chunk of several lines.
+
+    With a bit table only chunks whose hash may be in it, and their bytes as ``body``.
+    """
+    fields = [keyed.schema["id"], keyed.schema["h"], T.StructField("chunk", T.LongType()),
+              T.StructField("at", T.IntegerType()), T.StructField("n", T.IntegerType())]
+    if table is not None:
+        fields.append(T.StructField("body", T.StringType()))
+    names = [f.name for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, hashes, at, n = [], [], [], []
-            for i, text in enumerate(text_bytes(batch.column(2))):
-                for start, size, chunk in _chunks(text):
-                    row.append(i)
-                    hashes.append(xxhash.xxh64_intdigest(chunk, 1))
-                    at.append(start)
-                    n.append(size)
-            take = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(take), batch.column(1).take(take),
-                 pa.array(np.array(hashes, np.uint64).view(np.int64)), pa.array(at, pa.int32()), pa.array(n, pa.int32())],
-                names=["id", "h", "chunk", "at", "n"])
-
-    return keyed.mapInArrow(run, T.StructType([keyed.schema["id"], keyed.schema["h"], *(
-        T.StructField(c, t) for c, t in (("chunk", T.LongType()), ("at", T.IntegerType()), ("n", T.IntegerType())))]))
-
-
-def _candidate_texts(joined: DataFrame) -> DataFrame:
-    """(id, h, chunk, at, n, body) of the proposed chunks of documents that carry a list of them."""
-    spans = joined.filter("spans is not null").select("id", "h", "spans", F.split("text", "\n", -1).alias("lines"))
-    one = spans.select("id", "h", "lines", F.explode("spans").alias("s")).select("id", "h", "lines", "s.*")
-    return one.select("id", "h", "chunk", "at", "n",
-                      F.array_join(F.slice("lines", F.col("at") + 1, F.col("n")), "\n").alias("body"))
+            texts = text_bytes(batch.column(2))
+            for lo, hi in pieces(texts):
+                found = [(i, *c) for i in range(lo, hi) for c in _chunks(texts[i])]
+                chunk = np.array([xxhash.xxh64_intdigest(c[3], 1) for c in found], np.uint64).view(np.int64)
+                if table is not None:
+                    kept = np.flatnonzero(in_bit_table(table.value, chunk, FILTER_LOG2))
+                    found, chunk = [found[k] for k in kept.tolist()], chunk[kept]
+                row = pa.array([c[0] for c in found], pa.int64())
+                made = [batch.column(0).take(row), batch.column(1).take(row), pa.array(chunk),
+                        pa.array([c[1] for c in found], pa.int32()), pa.array([c[2] for c in found], pa.int32())]
+                if table is not None:
+                    made.append(pa.array([c[3] for c in found], pa.binary()).cast(pa.string()))
+                yield pa.RecordBatch.from_arrays(made, names=names)
+
+    return keyed.mapInArrow(run, T.StructType(fields))
 
 
 def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, h, gone): for each document (id, text hash) that loses lines the spans (at, n) to cut."""
-    keyed = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("h"), F.col(text).alias("text"))
-    rows = materialize(_chunk_rows(keyed).distinct(), "line_chunks")
+    """(id, h, gone): for each document (id key, text hash) that loses lines the spans (at, n) to cut."""
+    keyed = docs.select(F.struct(null_safe(F.col(doc_id)).alias("key"), F.col(doc_id).alias("id")).alias("id"),
+                        F.xxhash64(text).alias("h"), F.col(text).alias("text"))
+    rows = _chunk_rows(keyed).distinct()  # rows equal in id and text are one document
     twice = rows.groupBy("chunk").agg(F.count("*").alias("places")).filter("places > 1").select("chunk")
-    spans = (rows.join(twice, "chunk", "left_semi").groupBy("id", "h")
-             .agg(F.collect_list(F.struct("chunk", "at", "n")).alias("spans")))
-    holders = spans.withColumnsRenamed({"id": "sid", "h": "sh"})
-    joined = keyed.join(holders, F.col("id").eqNullSafe(F.col("sid")) & (F.col("h") == F.col("sh"))).select("id", "h", "text", "spans")
-    bodies = materialize(_candidate_texts(joined).distinct(), "line_bodies")
-    place = F.struct(F.col("id").isNull().alias("none"), "id", "h", "at")
-    first = bodies.groupBy("chunk", "body").agg(F.min(place).alias("first"), F.count("*").alias("places")).filter("places > 1")
-    return (bodies.withColumn("place", place).join(first, ["chunk", "body"]).filter("place <> first")
-            .groupBy("id", "h").agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("gone")))
+    table = docs.sparkSession.sparkContext.broadcast(bit_table(twice, FILTER_LOG2))
+    bodies = materialize(_chunk_rows(keyed, table).distinct(), "line_bodies")
+    place = F.struct(F.col("id.id").isNull().alias("none"), F.col("id.id").alias("id"), "h", "at")
+    bodies = bodies.withColumn("place", place)
+    first = bodies.groupBy("chunk", "body").agg(F.min("place").alias("first"), F.count("*").alias("places")).filter("places > 1")
+    later = bodies.join(first, ["chunk", "body"]).filter("place <> first")
+    return (later.groupBy(F.col("id.key").alias("key"), "h")
+            .agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("gone")))
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 removed: str = "n_removed_lines") -> DataFrame:
     """``docs`` with repeated chunks cut from the text, and the number of lines cut."""
-    gone = repeated_lines(docs, doc_id, text)
-    gone = materialize(gone.withColumnsRenamed({"id": "gid", "h": "gh"}), "line_gone")
-    hash_, list_ = fresh(docs, "__h"), fresh(docs, "__gone")
-    out = docs.withColumn(hash_, F.xxhash64(text))
-    out = out.join(gone, out[doc_id].eqNullSafe(gone["gid"]) & (out[hash_] == gone["gh"]), "left")
-    out = out.withColumnRenamed("gone", list_).drop("gid", "gh") if list_ != "gone" else out
+    gone = materialize(repeated_lines(docs, doc_id, text).toDF("gid", "gh", "gone"), "line_gone")
+    key, hash_, list_ = fresh(docs, "__key"), fresh(docs, "__h"), fresh(docs, "__gone")
+    gone = gone.toDF("gid", "gh", list_)
+    out = docs.withColumn(key, null_safe(F.col(doc_id))).withColumn(hash_, F.xxhash64(text))
+    # A sorted merge at every size: the texts move once.
+    out = out.join(gone.hint("merge"), (out[key] == gone["gid"]) & (out[hash_] == gone["gh"]), "left")
     lines = F.split(text, "\n", -1)
     cut = F.filter(
         F.transform(lines, lambda x, i: F.when(
