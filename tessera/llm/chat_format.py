@@ -65,7 +65,7 @@ def fold_events(events: DataFrame) -> DataFrame:
     fresh = F.array_max(F.transform("e", lambda x, i: F.when(x["kind"] != "delta", i)))
     tail = F.slice("e", F.coalesce(fresh, F.lit(0)) + 1, F.size("e"))
     text = F.array_join(F.transform(tail, lambda x: F.when(x["kind"] == "regenerate", "").otherwise(x["text"])), "")
-    role = F.coalesce(F.filter(F.transform("e", lambda x: x["role"]), lambda r: r != "")[0], F.lit(""))
+    role = F.coalesce(F.get(F.filter(F.transform("e", lambda x: x["role"]), lambda r: r != ""), F.lit(0)), F.lit(""))
     return grouped.select("conv_id", F.col("e")[0]["seq"].alias("seq"), "msg_id", role.alias("role"), text.alias("text"))
 
 

@@ -121,12 +121,12 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 removed: str = "n_removed_lines") -> DataFrame:
     """``docs`` with repeated chunks cut from the text, and the number of lines cut."""
-    gone = materialize(repeated_lines(docs, doc_id, text).toDF("gid", "gh", "gone"), "line_gone")
-    key, hash_, list_ = fresh(docs, "__key"), fresh(docs, "__h"), fresh(docs, "__gone")
-    gone = gone.toDF("gid", "gh", list_)
+    gone = materialize(repeated_lines(docs, doc_id, text), "line_gone")
+    key, hash_, list_, key2, hash2 = (fresh(docs, c) for c in ("__key", "__h", "__gone", "__key2", "__h2"))
+    gone = gone.toDF(key2, hash2, list_)
     out = docs.withColumn(key, null_safe(F.col(doc_id))).withColumn(hash_, F.xxhash64(text))
     # A sorted merge at every size: the texts move once.
-    out = out.join(gone.hint("merge"), (out[key] == gone["gid"]) & (out[hash_] == gone["gh"]), "left")
+    out = out.join(gone.hint("merge"), (F.col(key) == F.col(key2)) & (F.col(hash_) == F.col(hash2)), "left")
     lines = F.split(text, "\n", -1)
     cut = F.filter(
         F.transform(lines, lambda x, i: F.when(
@@ -134,8 +134,8 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         lambda x: x.isNotNull())
     n_cut = F.aggregate(list_, F.lit(0).cast("long"), lambda a, s: a + s["n"])
     return out.select(
-        *[F.when(F.col(list_).isNull(), F.col(c)).otherwise(F.array_join(cut, "\n")).alias(c) if c == text else out[c]
-          for c in docs.columns],
+        *[F.when(F.col(list_).isNull(), F.col(c)).otherwise(F.array_join(cut, "\n")).alias(c) if c == text else F.col(f"`{c}`")
+          for c in docs.columns if c != removed],
         F.coalesce(n_cut, F.lit(0).cast("long")).alias(removed))
 
 

@@ -19,7 +19,8 @@ over all buckets.
 Defined cases: a null source is a source of its own; sources without a weight,
 or with one that is null or not positive, get the smallest positive weight (no
 row is dropped); ties and repeated rows are numbered one after another in any
-order among equal ids; empty tables give empty tables; extra columns pass.
+order among equal ids; empty tables give empty tables; extra columns pass, but
+those named like the new ones are replaced.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ BLOCKS = 1000
 BUCKET_HEX = 3  # hash buckets per source: 16 to this power
 ALPHA = 0.5
 _EPS = 1e-6
+MIX_COLUMNS = ("mix_block", "mix_slot", "mix_position")
 
 
 def temperature_weights(docs: DataFrame, source: str = "source", alpha: float = ALPHA) -> DataFrame:
@@ -120,5 +122,5 @@ def mix(docs: DataFrame, weights: DataFrame, doc_id: str = "doc_id", source: str
     out = out.withColumn(nth, F.col(o["offset"]) + F.col(nth)).withColumn(order, F.floor(F.col(nth) / block_rows))
     out = out.join(plan, (F.col(o["sid"]) == F.col(p["sid"])) & (F.col(order) == F.col(p["block"])))
     return out.select(
-        *[out[c] for c in docs.columns], F.col(p["block"]).alias("mix_block"), F.col(p["slot"]).alias("mix_slot"),
+        *[out[c] for c in docs.columns if c not in MIX_COLUMNS], F.col(p["block"]).alias("mix_block"), F.col(p["slot"]).alias("mix_slot"),
         (F.col(p["ahead"]) + F.col(nth) - F.col(p["block"]) * block_rows).alias("mix_position"))
