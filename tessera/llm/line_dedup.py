@@ -113,6 +113,8 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     place = F.struct(F.col("id.id").isNull().alias("none"), F.col("id.id").alias("id"), "h", "at")
     bodies = bodies.withColumn("place", place)
     first = bodies.groupBy("chunk", "body").agg(F.min("place").alias("first"), F.count("*").alias("places")).filter("places > 1")
+    # Written, so that both sides of the join are plain exchanges: Spark splits a chunk of many places.
+    first = materialize(first.drop("places"), "line_first").hint("merge")
     later = bodies.join(first, ["chunk", "body"]).filter("place <> first")
     return (later.groupBy(F.col("id.key").alias("key"), "h")
             .agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("gone")))
