@@ -17,9 +17,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.operators.joins import not_in
-from tessera.sources.literals import assign_serial
+from tessera.operators.windows import prefix_sum
+from tessera.session import materialize
+from tessera.sources.literals import apply_defaults, assign, assign_serial, cast_to_schema
 
 
 @dataclass
@@ -43,7 +46,7 @@ def update(df: DataFrame, assignments: Mapping[str, Column], where: Column | Non
     """
     hit = _hit(where)
     types = {f.name: f.dataType for f in df.schema.fields}
-    new_values = {c: _assign(e, types[c]) for c, e in assignments.items()}
+    new_values = {c: assign(e, types[c]) for c, e in assignments.items()}
     snapshot = df.select(*[
         F.when(hit, new_values[c]).otherwise(F.col(c)).alias(c) if c in new_values else F.col(c)
         for c in df.columns])
@@ -54,14 +57,6 @@ def update(df: DataFrame, assignments: Mapping[str, Column], where: Column | Non
     return Change(snapshot, ret)
 
 
-def _assign(expr: Column, target) -> Column:
-    from pyspark.sql import types as T
-
-    if isinstance(target, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
-        return F.round(expr).cast(target)
-    return expr.cast(target)
-
-
 def update_to_default(df: DataFrame, col: str, defaults: Mapping[str, object],
                       where: Column | None = None) -> Change:
     """UPDATE ... SET col = DEFAULT: the registered default, else NULL."""
@@ -78,27 +73,31 @@ def delete(df: DataFrame, where: Column, returning: Sequence[str | Column] | Non
 
 def delete_not_in(df: DataFrame, key: str, sub: DataFrame, sub_key: str) -> Change:
     """DELETE FROM df WHERE key NOT IN (SELECT sub_key FROM sub) (null-aware)."""
-    victims = not_in(df, key, sub, sub_key)
+    victims = materialize(not_in(df, key, sub, sub_key), "delete_victims")
     gone = victims.select(F.col(key).alias("__victim")).distinct()
     kept = df.join(gone, F.col(key).eqNullSafe(F.col("__victim")), "left_anti")
     return Change(kept, victims)
 
 
 def insert(target: DataFrame, rows: DataFrame, id_col: str | None = None,
-           order: Sequence[str] = (), returning: Sequence[str | Column] | None = None) -> Change:
-    """INSERT INTO target SELECT ... [RETURNING ...], with generated ids.
-
-    With ``id_col``, new rows get ``max(id) + 1, + 2, ...`` in ``order``
-    (serial column semantics; gaps are allowed but never reuse).
+           order: Sequence[str] = (), returning: Sequence[str | Column] | None = None,
+           defaults: Mapping[str, object] | None = None, last_id: int = 0) -> Change:
+    """INSERT INTO target SELECT ... [RETURNING ...], with defaults and generated ids.
+
+    Values are assigned to the target's types (numbers round into integer
+    columns); columns that ``rows`` does not carry take their default, else
+    NULL. With ``id_col``, new rows get ids after the highest of the table and
+    ``last_id`` (``Catalog.last_serial``: the mark that deleted rows leave
+    behind), in ``order``; gaps are allowed, reuse is not.
     """
-    new_rows = rows
     if id_col:
-        start = target.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar()
-        new_rows = assign_serial(rows, list(order), id_col, start=start)
-    aligned = new_rows.select(*[
-        (F.col(f.name) if f.name in new_rows.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in target.schema.fields])
-    return Change(target.unionByName(aligned), new_rows.select(*(returning or new_rows.columns)))
+        start = F.greatest(target.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar(), F.lit(last_id))
+        rows = assign_serial(rows, list(order), id_col, start=start)
+    aligned = apply_defaults(rows, target.schema, defaults or {})
+    extra = [c for c in rows.columns if c not in target.columns]
+    given = aligned if not extra else apply_defaults(
+        rows, T.StructType([*target.schema.fields, *[rows.schema[c] for c in extra]]), defaults or {})
+    return Change(target.unionByName(aligned), given.select(*(returning or given.columns)))
 
 
 def insert_if_absent(target: DataFrame, rows: DataFrame, key: Sequence[str]) -> Change:
@@ -106,8 +105,25 @@ def insert_if_absent(target: DataFrame, rows: DataFrame, key: Sequence[str]) ->
     key = list(key)
     existing = target.select(*[F.col(k).alias(f"__e{i}") for i, k in enumerate(key)])
     fresh = rows.join(existing, [F.col(k) == F.col(f"__e{i}") for i, k in enumerate(key)], "left_anti")
-    aligned = fresh.select(*[F.col(f.name).cast(f.dataType) for f in target.schema.fields])
-    return Change(target.unionByName(aligned), fresh)
+    return Change(target.unionByName(cast_to_schema(fresh, target.schema)), fresh)
+
+
+def view_insert(target: DataFrame, rows: DataFrame, predicate: Column | None = None,
+                defaults: Mapping[str, object] | None = None) -> tuple[Change, DataFrame]:
+    """INSERT through an updatable view: (change, refused rows).
+
+    Columns that the view hides take their defaults. With a check option
+    (``predicate``) only rows that the view would show are written.
+    """
+    full = apply_defaults(rows, target.schema, defaults or {})
+    shown = F.lit(True) if predicate is None else F.coalesce(predicate, F.lit(False))
+    return insert(target, full.where(shown)), full.where(~shown)
+
+
+def view_update(target: DataFrame, view: Column, assignments: Mapping[str, Column],
+                where: Column | None = None) -> Change:
+    """UPDATE through an updatable view: only rows that the view shows are reached."""
+    return update(target, assignments, view if where is None else view & where)
 
 
 def archive_move(df: DataFrame, where: Column) -> tuple[DataFrame, DataFrame]:
@@ -132,19 +148,60 @@ def apply_moves(balances: DataFrame, key: str, balance: str, moves: DataFrame,
     return joined.withColumn(balance, new_balance).drop("__acct", "__sum")
 
 
+def accept_in_order(requests: DataFrame, key: str, order: str, need: str, take: str, funds: str) -> DataFrame:
+    """``requests`` with ``accepted``: served per ``key`` in ``order`` while the funds last.
+
+    A request is accepted when what is left covers its ``need``; it then takes
+    ``take`` (at most its need). A refused one takes nothing, and later ones
+    may still fit. (key, order) must be unique, ``order`` numeric or temporal.
+
+    Set-based rounds: running sums assume that all open requests before were
+    accepted, so everything ahead of a key's first miss is accepted for
+    certain, the miss is refused for certain, and so is every open request
+    above what is then left, as funds only shrink. The sums are split by
+    (key, order bucket), so a busy key is not one task. Keys whose requests all
+    fit need one round; each later round settles at least one refusal per key.
+    """
+    open_ = requests.select(key, order, need, take, funds)
+    settled = None
+    while True:
+        sums = prefix_sum(open_, [order], take, "__before", inclusive=False, partition_by=[key], rows_unique=True)
+        miss = F.coalesce(F.col(need) > F.col(funds) - F.col("__before"), F.lit(True))
+        first = sums.where(miss).groupBy(F.col(key).alias("__fk")).agg(F.min(order).alias("__first"))
+        marked = sums.join(first, F.col(key).eqNullSafe(F.col("__fk")), "left")
+        head = F.col("__first").isNull() | (F.col(order) < F.col("__first"))
+        marked = materialize(marked.withColumn("__state", F.when(head, 1).when(F.col(order) == F.col("__first"), 0))
+                             .drop("__fk", "__first", "__before"), "accept_round")
+        spent = marked.where("__state = 1").groupBy(F.col(key).alias("__sk")).agg(F.sum(take).alias("__spent"))
+        rest = (marked.where("__state IS NULL").join(spent, F.col(key).eqNullSafe(F.col("__sk")), "left")
+                .withColumn(funds, (F.col(funds) - F.coalesce("__spent", F.lit(0))).cast(requests.schema[funds].dataType))
+                .drop("__sk", "__spent", "__state"))
+        rest = materialize(rest.withColumn("__fits", F.coalesce(F.col(need) <= F.col(funds), F.lit(False))), "accept_rest")
+        done = marked.where("__state IS NOT NULL").select(key, order, (F.col("__state") == 1).alias("accepted"))
+        done = done.unionByName(rest.where("NOT __fits").select(key, order, F.lit(False).alias("accepted")))
+        settled = done if settled is None else settled.unionByName(done)
+        open_ = rest.where("__fits").drop("__fits")
+        if open_.limit(1).count() == 0:
+            break
+    settled = settled.withColumnsRenamed({key: "__ak", order: "__ao"})
+    return requests.join(settled, F.col(key).eqNullSafe(F.col("__ak")) & (F.col(order) == F.col("__ao"))) \
+        .drop("__ak", "__ao")
+
+
 def eligible_moves(balances: DataFrame, key: str, balance: str, moves: DataFrame,
-                   src: str, amount: str) -> DataFrame:
-    """Moves whose source balance (before the batch) covers the amount."""
+                   src: str, amount: str, order: str) -> DataFrame:
+    """Moves that their source can pay, served per source in ``order`` (credits post at batch end)."""
     funds = balances.select(F.col(key).alias("__src"), F.col(balance).alias("__funds"))
-    return (moves.join(funds, F.col(src) == F.col("__src"))
-            .where(F.col("__funds") >= F.col(amount)).drop("__src", "__funds"))
+    known = moves.join(funds, F.col(src) == F.col("__src"))
+    return accept_in_order(known, src, order, amount, amount, "__funds").where("accepted") \
+        .drop("__src", "__funds", "accepted")
 
 
 class Versions:
     """Named, immutable versions of one table (savepoints / what-if branches).
 
-    ``save`` records a version; ``rollback_to`` forgets the later ones;
-    ``publish`` writes the chosen version through the catalog.
+    ``save`` records a version; ``rollback_to`` forgets the later ones; the
+    caller publishes the version it chooses through the catalog.
     """
 
     def __init__(self, base: DataFrame, name: str = "base"):

@@ -21,7 +21,7 @@ def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataF
     """NATURAL JOIN: equality on every column name the two sides share."""
     common = [c for c in left.columns if c in set(right.columns)]
     if not common:
-        return left.crossJoin(right)
+        raise ValueError("NATURAL JOIN without a shared column would be a cross join; write crossJoin if it is meant")
     return left.join(right, common, how)
 
 
@@ -102,7 +102,7 @@ def not_in(left: DataFrame, left_key: str, right: DataFrame, right_key: str) ->
     # The list is read by the scalar subquery and by the anti join (and Spark
     # copies filters into each): written once as one column, so a list that
     # is itself a join is computed once.
-    listed = materialize(right.select(F.col(right_key).alias("__nk")), "not_in_list")
+    listed = materialize(right.select(F.col(right_key).alias("__nk")).distinct(), "not_in_list")
     n, non_null = F.count(F.lit(1)), F.count(F.col("__nk"))
     mode = listed.agg(F.when(n == 0, 0).when(n == non_null, 1).otherwise(2)).scalar()
     keys = listed.where(F.col("__nk").isNotNull())
@@ -118,7 +118,6 @@ def not_in(left: DataFrame, left_key: str, right: DataFrame, right_key: str) ->
 
 def union_full(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
                select_cols: Sequence[Column]) -> DataFrame:
-    """FULL JOIN written as LEFT JOIN UNION RIGHT JOIN (distinct rows)."""
-    lj = left.join(right, left[left_key] == right[right_key], "left").select(*select_cols)
-    rj = left.join(right, left[left_key] == right[right_key], "right").select(*select_cols)
-    return lj.union(rj).distinct()
+    """The result of LEFT JOIN UNION RIGHT JOIN (distinct rows), joined once."""
+    # One full outer join has exactly the rows of both halves; UNION makes them distinct.
+    return left.join(right, left[left_key] == right[right_key], "full").select(*select_cols).distinct()

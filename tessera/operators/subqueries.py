@@ -62,7 +62,7 @@ def rank_within(df: DataFrame, group: str, value: str, out: str) -> DataFrame:
     valid = F.col(group).isNotNull() & F.col(value).isNotNull()
     counts = (df.where(valid).groupBy(group, value).agg(F.count(F.lit(1)).alias("__n")))
     larger = prefix_sum(counts, [value], "__n", "__larger", descending=True, inclusive=False,
-                        partition_by=[group])
+                        partition_by=[group], rows_unique=True)
     ranks = larger.select(F.col(group).alias("__g"), F.col(value).alias("__v"),
                           (F.col("__larger") + 1).alias("__rank"))
     joined = df.join(ranks, (F.col(group) == F.col("__g")) & (F.col(value) == F.col("__v")), "left")

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.quality import unique
-from tessera.sources.sinks import Catalog
+from tessera.sources.sinks import Catalog, write_parquet
 
 
 def create_view(spark: SparkSession, name: str, df: DataFrame, replace: bool = True) -> DataFrame:
@@ -80,7 +80,7 @@ class MaterializedView:
     def refresh_keyed(self) -> DataFrame:
         """REFRESH ... CONCURRENTLY: diff the new result against the stored one by key.
 
-        Needs a unique key (checked first: duplicate keys raise). Publishes the
+        Needs a unique key (checked on the written copy before the swap: duplicate keys raise). Publishes the
         new snapshot, then returns the change set ``(key..., change)`` with
         change in insert / update / delete, computed between the two stored
         snapshots (both immutable directories, so the diff is reproducible).
@@ -88,11 +88,11 @@ class MaterializedView:
         """
         if not self.key:
             raise ValueError("keyed refresh needs a unique key")
-        fresh = self.definition()
-        if unique(fresh, self.key).limit(1).count():
+        catalog, old = Catalog.of(self.spark), self.read()
+        path = write_parquet(self.definition(), self.spark, self.name, durable=True)  # computed once
+        if unique(self.spark.read.parquet(path), self.key).limit(1).count():
             raise ValueError(f"materialized view {self.name!r}: key {list(self.key)} is not unique")
-        old = self.read()
-        Catalog.of(self.spark).publish(self.name, fresh)
+        catalog.point_at(self.name, path)
         return diff_by_key(old, self.read(), self.key)
 
 

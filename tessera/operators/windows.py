@@ -126,7 +126,7 @@ def prefix_sum(df: DataFrame, order_cols: Sequence[str], value: str | Column, ou
         keyed = local.join(offsets, [*cond, local[_PID] == offsets[_PID]]).drop(offsets[_PID]) \
             .drop(*[f"__o{i}" for i in range(len(parts))])
     else:
-        keyed = local.join(F.broadcast(offsets), _PID)
+        keyed = local.join(offsets, _PID)
     names = [*parts, *order_cols]
     renamed = [f"__k{i}" for i in range(len(names))]
     keyed = keyed.select(*[F.col(c).alias(r) for c, r in zip(names, renamed)], cum.alias(out))
@@ -160,7 +160,7 @@ def _prefix_sum_rows(df: DataFrame, order_cols: list[str], value_col: Column, ou
         joined = local.join(offsets, [*cond, local[_PID] == offsets[_PID]]).drop(offsets[_PID]) \
             .drop(*[f"__o{i}" for i in range(len(parts))])
     else:
-        joined = local.join(F.broadcast(offsets), _PID)
+        joined = local.join(offsets, _PID)
     cum = F.col("__local_cum") + F.col("__offset")
     if not inclusive:
         cum = cum - F.col("__val")
@@ -178,7 +178,8 @@ def global_rank(df: DataFrame, order_col: str, out: str, descending: bool = True
     """
     w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
     counts = df.groupBy(order_col).agg(F.sum(w).alias("__n"))
-    before = prefix_sum(counts, [order_col], "__n", "__before", descending=descending, inclusive=False)
+    before = prefix_sum(counts, [order_col], "__n", "__before", descending=descending, inclusive=False,
+                        rows_unique=True)
     ranks = before.select(F.col(order_col).alias("__rk"), (F.col("__before") + 1).alias(out))
     return df.join(ranks, F.col(order_col).eqNullSafe(F.col("__rk")), "left").drop("__rk")
 

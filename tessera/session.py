@@ -8,7 +8,9 @@ directory is used only when that setting is absent (local runs and tests).
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -56,8 +58,9 @@ def build_session(master: str | None = None, app: str = "tessera",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster, else a scratch one.
 
-    Only when ``spark.checkpoint.dir`` is unset (tests, local runs) is a
-    directory of our own chosen and registered with the context.
+    Only when ``spark.checkpoint.dir`` is unset and the master is local (tests,
+    local runs) is a directory of our own chosen, registered with the context
+    and removed at exit; a cluster without a shared folder raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -67,11 +70,31 @@ def checkpoint_root(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if sc.master != "local" and not sc.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="tessera-ckpt-")
+    atexit.register(shutil.rmtree, local, ignore_errors=True)
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The folder that outlives this application: the configured checkpoint folder, else the scratch one."""
+    return spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or checkpoint_root(spark)
+
+
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, Hadoop path) of a path, whatever store it is in."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what this application has written with ``storage_root``; for the end of a job."""
+    fs, path = file_system(spark, checkpoint_root(spark).rstrip("/") + "/tessera")
+    fs.delete(path, True)
+
+
 def storage_root(spark: SparkSession, area: str) -> str:
     """A fresh directory under the shared checkpoint folder for written tables."""
     root = checkpoint_root(spark).rstrip("/")
@@ -95,7 +118,7 @@ def materialize(df, area: str = "materialized"):
 
 
 def sizing(input_bytes: int, target_partition_bytes: int = 1 << 30,
-           max_split_bytes: int = 512 << 20, max_partitions: int = 1 << 17) -> dict[str, str]:
+           max_split_bytes: int = 512 << 20, max_partitions: int | None = 1 << 17) -> dict[str, str]:
     """Runtime SQL settings for a job reading ``input_bytes`` of Parquet.
 
     Scan splits of up to ``max_split_bytes`` keep the task count manageable
@@ -107,7 +130,9 @@ def sizing(input_bytes: int, target_partition_bytes: int = 1 << 30,
     ``configure(spark, sizing(...))``.
     """
     wanted = max(1, input_bytes // target_partition_bytes)
-    partitions = max(8, min(max_partitions, 1 << wanted.bit_length()))
+    partitions = max(8, 1 << wanted.bit_length())
+    if max_partitions:
+        partitions = min(max_partitions, partitions)
     return {
         "spark.sql.files.maxPartitionBytes": str(max_split_bytes),
         "spark.sql.shuffle.partitions": str(partitions),

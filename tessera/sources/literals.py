@@ -31,6 +31,13 @@ def _assign(col: Column, source: T.DataType, target: T.DataType) -> Column:
     return col.cast(target)
 
 
+def assign(col: Column, target: T.DataType) -> Column:
+    """Assignment cast of an expression of any type (see ``_assign``)."""
+    if isinstance(target, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return F.round(col).cast(target)
+    return col.cast(target)
+
+
 def cast_to_schema(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project ``df`` onto a declared schema: named columns, declared types.
 
@@ -61,7 +68,7 @@ def apply_defaults(df: DataFrame, schema: T.StructType,
         else:
             default = defaults.get(field.name)
             value = default if isinstance(default, Column) else F.lit(default)
-            cols.append(value.cast(field.dataType).alias(field.name))
+            cols.append(assign(value, field.dataType).alias(field.name))
     return df.select(*cols)
 
 
@@ -90,6 +97,6 @@ def assign_serial(df: DataFrame, order: Sequence[str], out: str, start: Column |
                                       .rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("__offset"))
     base = start if isinstance(start, Column) else F.lit(start)
-    return (local.join(F.broadcast(offsets), "__pid")
+    return (local.join(offsets, "__pid")
             .withColumn(out, (base + F.col("__offset") + F.col("__pos")).cast("long"))
             .drop("__pid", "__pos", "__offset"))
