@@ -36,12 +36,12 @@ def with_kzt_rate(df: DataFrame, rates: DataFrame, currency_col: str, out: str,
                   to_currency: str = "KZT") -> DataFrame:
     """Attach the open rate from ``currency_col`` to ``to_currency`` (1 when none).
 
-    The open rates hold one row per currency pair (bounded by the number of
-    currency pairs, not by data volume), so they are broadcast; the lookup is a left join that never drops or
+    The open rates hold one row per currency pair, so Spark broadcasts them by
+    their size; the lookup is a left join that never drops or
     duplicates rows as long as the open rows are unique per pair (see
     ``quality.unique_where``).
     """
-    open_rates = F.broadcast(active_rates(rates, to_currency)
+    open_rates = (active_rates(rates, to_currency)
                              .select(F.col("from_currency").alias("__from"), F.col("rate").alias("__rate")))
     joined = df.join(open_rates, F.col(currency_col) == F.col("__from"), "left")
     return joined.withColumn(out, F.coalesce(F.col("__rate"), F.lit(1).cast("decimal(10,6)"))) \
@@ -193,7 +193,7 @@ def validate_transfers(requests: DataFrame, customers: DataFrame, accounts: Data
     customer, ``credit_rate`` (source -> destination, 1 for equal currencies),
     ``amount_kzt`` (rounded to cents), ``error_code`` and ``message`` (NULL
     when the request passes rules 0-5). Lookups are equi joins; the rate
-    table is a small literal table and is broadcast.
+    table is small and left to Spark's own size check.
     """
     src = accounts.where(F.col("is_active")).select(
         F.col("account_number").alias("__src_no"), F.col("account_id").alias("src_account_id"),
@@ -205,9 +205,9 @@ def validate_transfers(requests: DataFrame, customers: DataFrame, accounts: Data
     cust = customers.select(F.col("customer_id").alias("__cid"), F.col("status").alias("sender_status"),
                             F.col("daily_limit_kzt"))
     open_rates = active_rates(rates)
-    pair = F.broadcast(open_rates.select(F.col("from_currency").alias("__pf"), F.col("to_currency").alias("__pt"),
+    pair = (open_rates.select(F.col("from_currency").alias("__pf"), F.col("to_currency").alias("__pt"),
                                          F.col("rate").alias("pair_rate")))
-    to_kzt = F.broadcast(open_rates.where(F.col("to_currency") == "KZT").select(
+    to_kzt = (open_rates.where(F.col("to_currency") == "KZT").select(
         F.col("from_currency").alias("__kf"), F.col("rate").alias("kzt_rate")))
 
     j = (requests
@@ -273,8 +273,8 @@ def _fold_partition(batches):
         yield pd.DataFrame({"request_id": pdf["request_id"], "error_code": codes})
 
 
-def _split_hot_senders(cand: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split a busy sender's requests into a certain head and a tail to fold.
+def _split_senders(cand: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Split every sender's requests into a certain head and a tail to fold.
 
     Running usage is computed as if every earlier request were accepted: per
     (sender, day) for the limit and per account for the balance. Actual usage
@@ -307,13 +307,7 @@ def _split_hot_senders(cand: DataFrame) -> tuple[DataFrame, DataFrame]:
     return head, seeded
 
 
-# Senders with more candidate requests than this in one batch get their
-# certain head split off before the sequential fold (exact either way).
-HOT_SENDER_ROWS = 100_000
-
-
-def settle_transfers(validated: DataFrame, transactions: DataFrame, accounts: DataFrame,
-                     hot_sender_rows: int = HOT_SENDER_ROWS) -> DataFrame:
+def settle_transfers(validated: DataFrame, transactions: DataFrame, accounts: DataFrame) -> DataFrame:
     """J4 rules 6-7 over the requests that passed rules 0-5, then the outcome.
 
     Rule 6: completed spend of the sender today (existing transactions plus
@@ -323,12 +317,13 @@ def settle_transfers(validated: DataFrame, transactions: DataFrame, accounts: Da
     credits are posted at batch end, so money received within the batch is not
     spendable until the next batch.
 
-    Senders whose totals fit are accepted as a set (aggregates only). For
-    busy senders (more than ``hot_sender_rows`` requests) the requests before
-    the first possible violation are accepted as a set too
-    (``_split_hot_senders``). The remaining requests are range-partitioned by
-    sender, sorted, and folded in a streaming pass (``mapInPandas``).
+    One path for every sender: requests before the sender's first possible
+    violation are accepted as a set (``_split_senders``; all of them for most
+    senders). The requests after it are range-partitioned by sender, sorted, and
+    folded in a streaming pass (``mapInPandas``). The validated requests are
+    written once; both uses below read them back.
     """
+    validated = materialize(validated, "transfer_validated")
     owners = accounts.select(F.col("account_id").alias("__a"), F.col("customer_id").alias("__c"))
     day = F.to_date("requested_at")
     # Only (sender, day) pairs that occur in the batch need their earlier
@@ -350,32 +345,8 @@ def settle_transfers(validated: DataFrame, transactions: DataFrame, accounts: Da
         .drop("__sc", "__sd"))
     cand_all = staged.where(F.col("error_code").isNull())
 
-    # Senders whose every day and every account fits even if all their
-    # requests are accepted need no ordering at all (aggregates only).
-    per_day = (cand_all.groupBy("sender_id", "day")
-               .agg((F.first("spent_before") + F.sum("amount_kzt") > F.first("daily_limit_kzt")).alias("__over"),
-                    F.count(F.lit(1)).alias("__n")))
-    per_acct = (cand_all.groupBy("sender_id", "src_account_id")
-                .agg((F.sum("amount") > F.first("src_balance")).alias("__over")))
-    senders = (per_day.select("sender_id", "__over", "__n")
-               .unionByName(per_acct.select("sender_id", "__over", F.lit(0).cast("long").alias("__n")))
-               .groupBy("sender_id").agg(F.max(F.col("__over").cast("int")).alias("__tight"),
-                                         F.sum("__n").alias("__rows"))
-               .where(F.col("__tight") == 1))
-    loose = cand_all.join(senders, "sender_id", "left_anti").select(
-        "request_id", F.lit(None).cast("string").alias("error_code"))
-    hot_senders = senders.where(F.col("__rows") > hot_sender_rows).select("sender_id")
-    tight = cand_all.join(senders.where(F.col("__rows") <= hot_sender_rows).select("sender_id"), "sender_id",
-                          "left_semi")
-    fold_input = [tight]
-    certain = [loose]
-    if hot_senders.limit(1).count():
-        head, tail = _split_hot_senders(cand_all.join(hot_senders, "sender_id", "left_semi"))
-        certain.append(head.select("request_id", F.lit(None).cast("string").alias("error_code")))
-        fold_input.append(tail.select(*tight.columns))
-    to_fold = fold_input[0]
-    for part in fold_input[1:]:
-        to_fold = to_fold.unionByName(part)
+    head, to_fold = _split_senders(cand_all)
+    certain = [head.select("request_id", F.lit(None).cast("string").alias("error_code"))]
     hard = to_fold.select(
         "request_id", "sender_id", "src_account_id", "requested_at", "day",
         *[(F.col(c) * 100).cast("long").alias(c)  # exact integer cents for the fold
@@ -424,7 +395,27 @@ def _when(at: str | None) -> Column:
     return F.current_timestamp().cast("timestamp_ntz") if at is None else F.lit(at).cast("timestamp_ntz")
 
 
-def transfer_audit(settled: DataFrame, actor: str | None = None, at: str | None = None) -> DataFrame:
+def transfer_rows(requests: DataFrame, settled: DataFrame, at: str | None = None) -> DataFrame:
+    """The transaction row of each request, as it stands after the batch.
+
+    A completed one carries accounts, rate and amount in KZT; a failed one none
+    of them, and its description (NULL stays NULL) tells the message.
+    """
+    r = requests.select(F.col("request_id").alias("__rid"), "currency", F.col("requested_at").alias("created_at"),
+                        (F.col("description") if "description" in requests.columns
+                         else F.lit(None).cast("string")).alias("__text"))
+    ok = F.col("status") == "completed"
+    kept = [F.when(ok, F.col(c)).alias(new) for c, new in (
+        ("src_account_id", "from_account_id"), ("dst_account_id", "to_account_id"),
+        ("credit_rate", "exchange_rate"), ("amount_kzt", "amount_kzt"))]
+    text = F.when(ok, F.col("__text")).otherwise(F.concat("__text", F.lit(" (FAILED: "), "message", F.lit(")")))
+    return settled.join(r, F.col("request_id") == F.col("__rid")).select(
+        F.col("request_id").alias("transaction_id"), *kept, "amount", "currency", F.lit("transfer").alias("type"),
+        "status", "created_at", _when(at).alias("completed_at"), text.alias("description"))
+
+
+def transfer_audit(settled: DataFrame, actor: str | None = None, at: str | None = None,
+                   ip_address: str | None = None) -> DataFrame:
     """Audit rows: INSERT with the new status, or TRANSFER_FAIL with code and message."""
     from tessera.functions.scalar import json_object
 
@@ -434,7 +425,7 @@ def transfer_audit(settled: DataFrame, actor: str | None = None, at: str | None
         F.when(ok, "INSERT").otherwise("TRANSFER_FAIL").alias("action"),
         F.when(~ok, json_object(error_code=F.col("error_code"), message=F.col("message"))).alias("old_values"),
         F.when(ok, json_object(status=F.lit("completed"))).alias("new_values"),
-        _actor(actor).alias("changed_by"), _when(at).alias("changed_at"))
+        _actor(actor).alias("changed_by"), _when(at).alias("changed_at"), F.lit(ip_address).cast("string").alias("ip_address"))
 
 
 # Salary batch messages of the reference procedure; the NULL and
@@ -447,41 +438,38 @@ ERR_AMOUNT_POSITIVE = ("23514", "Amount must be positive.")
 SALARY_SUFFIX = " (Salary Batch)"
 
 
-def salary_batches(payments: DataFrame, customers: DataFrame, accounts: DataFrame, paid_at: str
-                   ) -> dict[str, DataFrame]:
+BATCH_DOCUMENT_MSG = "Malformed payment list."
+
+
+def salary_batches(payments: DataFrame, customers: DataFrame, accounts: DataFrame, paid_at: str,
+                   documents: DataFrame | None = None) -> dict[str, DataFrame]:
     """Salary batches, fully set-based.
 
     ``payments``: batch_id, company_account_number, pos, iin, amount,
-    description (one row per payment; see ``functions.scalar.explode_payments``
-    for JSON input). Per batch the company account must be an active KZT
-    account and its balance must cover the sum of the amounts, otherwise the
-    whole batch is rejected. Each payment then needs a receiver (the lowest
-    active KZT account of the customer with that IIN) and a positive amount;
-    failures are per payment. Returns ``summary`` (one row per batch),
-    ``failures`` (one row per failed payment), ``postings`` (the new
-    transactions) and ``balances`` (accounts after credits and debits).
+    description (one row per payment; see ``functions.scalar.explode_payment_rows``
+    for JSON input). ``documents`` (batch_id, company_account_number, document)
+    lists batches that may have no payment row: an empty one is processed with
+    zero counts, a malformed one rejected.
+
+    Per batch the company account must be an active KZT account. A company's
+    batches are served in order of their id: each needs what the earlier ones
+    have left to cover the sum of its amounts (else the whole batch is
+    rejected) and takes what it really pays out. Each payment needs a receiver
+    (the lowest active KZT account of the customer with that IIN) and a
+    positive amount; failures are per payment. Returns ``summary`` (one row
+    per batch), ``failures`` (one row per failed payment), ``postings`` (the new
+    transactions), ``balances`` (accounts after credits and debits) and
+    ``payments`` (every payment of a processed batch with its outcome).
     """
+    from tessera.operators.changes import accept_in_order, apply_moves
+
     company = accounts.where(F.col("is_active") & (F.col("currency") == "KZT")).select(
         F.col("account_number").alias("__co_no"), F.col("account_id").alias("company_account_id"),
         F.col("balance").alias("company_balance"))
-    per_batch = payments.groupBy("batch_id", "company_account_number").agg(
-        F.sum("amount").alias("__total"),
-        F.sum(F.when(F.col("amount") > 0, F.col("amount"))).alias("__positive"))
-    batches = per_batch.join(company, F.col("company_account_number") == F.col("__co_no"), "left").drop("__co_no")
-    total = F.coalesce("__total", F.lit(0))
-    reject = (F.when(F.col("company_account_id").isNull(), F.lit(BATCH_ACCOUNT_MSG))
-              .when((F.col("company_balance") < total)
-                    | (F.col("company_balance") < F.coalesce("__positive", F.lit(0))),
-                    F.concat(F.lit(BATCH_BALANCE_MSG), total.cast("string"))))
-    batches = batches.withColumn("batch_message", reject)
-
     receivers = (accounts.where(F.col("is_active") & (F.col("currency") == "KZT"))
                  .join(customers.select("customer_id", "iin"), "customer_id")
                  .groupBy(F.col("iin").alias("__iin")).agg(F.min("account_id").alias("receiver_account_id")))
-    live = payments.join(batches.where(F.col("batch_message").isNull())
-                         .select(F.col("batch_id").alias("__b"), "company_account_id"),
-                         F.col("batch_id") == F.col("__b")).drop("__b")
-    matched = live.join(receivers, F.col("iin") == F.col("__iin"), "left").drop("__iin")
+    matched = payments.join(receivers, F.col("iin") == F.col("__iin"), "left").drop("__iin")
     code = (F.when(F.col("receiver_account_id").isNull(), F.lit(ERR_RECEIVER[0]))
             .when(F.col("amount").isNull(), F.lit(ERR_AMOUNT_NULL[0]))
             .when(F.col("amount") <= 0, F.lit(ERR_AMOUNT_POSITIVE[0])))
@@ -490,7 +478,32 @@ def salary_batches(payments: DataFrame, customers: DataFrame, accounts: DataFram
     message = (F.when(code == ERR_RECEIVER[0], F.concat(F.lit(head), F.coalesce("iin", F.lit("<NULL>")), F.lit(tail)))
                .when(code == ERR_AMOUNT_NULL[0], F.lit(ERR_AMOUNT_NULL[1]))
                .when(code == ERR_AMOUNT_POSITIVE[0], F.lit(ERR_AMOUNT_POSITIVE[1])))
-    classified = matched.withColumn("error_code", code).withColumn("message", message)
+    matched = materialize(matched.withColumn("error_code", code).withColumn("message", message), "salary_matched")
+
+    per_batch = matched.groupBy("batch_id", "company_account_number").agg(
+        F.coalesce(F.sum("amount"), F.lit(0)).cast("decimal(28,2)").alias("__total"),
+        F.coalesce(F.sum(F.when(F.col("amount") > 0, F.col("amount"))), F.lit(0)).cast("decimal(28,2)").alias("__positive"),
+        F.coalesce(F.sum(F.when(F.col("error_code").isNull(), F.col("amount"))), F.lit(0)).cast("decimal(28,2)").alias("__paid"),
+        F.count(F.when(F.col("error_code").isNull(), 1)).alias("__ok"),
+        F.count(F.when(F.col("error_code").isNotNull(), 1)).alias("__bad"))
+    if documents is not None:
+        listed = documents.select("batch_id", "company_account_number", "document")
+        per_batch = listed.join(per_batch.drop("company_account_number"), "batch_id", "left").fillna(
+            0, ["__total", "__positive", "__paid", "__ok", "__bad"])
+    else:
+        per_batch = per_batch.withColumn("document", F.lit("ok"))
+    batches = per_batch.join(company, F.col("company_account_number") == F.col("__co_no"), "left").drop("__co_no")
+    batches = materialize(batches.withColumn("__need", F.greatest("__total", "__positive")), "salary_header")
+    fine = batches.where(F.col("company_account_id").isNotNull() & (F.col("document") != "malformed"))
+    served = accept_in_order(fine, "company_account_id", "batch_id", "__need", "__paid", "company_balance")
+    served = served.select(F.col("batch_id").alias("__sb"), "accepted")
+    reject = (F.when(F.col("document") == "malformed", F.lit(BATCH_DOCUMENT_MSG))
+              .when(F.col("company_account_id").isNull(), F.lit(BATCH_ACCOUNT_MSG))
+              .when(~F.col("accepted"), F.concat(F.lit(BATCH_BALANCE_MSG), F.col("__total").cast("string"))))
+    batches = materialize(batches.join(served, F.col("batch_id") == F.col("__sb"), "left")
+                          .withColumn("batch_message", reject).drop("__sb", "accepted"), "salary_batches")
+    live = batches.where(F.col("batch_message").isNull()).select(F.col("batch_id").alias("__b"), "company_account_id")
+    classified = matched.join(live, F.col("batch_id") == F.col("__b")).drop("__b")
 
     ok = classified.where(F.col("error_code").isNull())
     postings = ok.select(
@@ -502,21 +515,37 @@ def salary_batches(payments: DataFrame, customers: DataFrame, accounts: DataFram
     failures = classified.where(F.col("error_code").isNotNull()).select(
         "batch_id", "pos", "iin", "amount", "error_code", "message")
 
-    counts = classified.groupBy(F.col("batch_id").alias("__b")).agg(
-        F.count(F.when(F.col("error_code").isNull(), 1)).alias("successful_count"),
-        F.count(F.when(F.col("error_code").isNotNull(), 1)).alias("failed_count"))
-    summary = (batches.join(counts, F.col("batch_id") == F.col("__b"), "left")
-               .select("batch_id",
-                       F.when(F.col("batch_message").isNull(), "processed").otherwise("rejected").alias("batch_status"),
-                       F.coalesce("successful_count", F.lit(0)).alias("successful_count"),
-                       F.coalesce("failed_count", F.lit(0)).alias("failed_count"),
-                       "batch_message"))
+    done = F.col("batch_message").isNull()
+    summary = batches.select(
+        "batch_id", F.when(done, "processed").otherwise("rejected").alias("batch_status"),
+        F.when(done, F.col("__ok")).otherwise(F.lit(0)).cast("long").alias("successful_count"),
+        F.when(done, F.col("__bad")).otherwise(F.lit(0)).cast("long").alias("failed_count"),
+        "batch_message", "company_account_number")
 
     moves = postings.select("from_account_id", "to_account_id", "amount")
-    from tessera.operators.changes import apply_moves
-
     balances = apply_moves(accounts, "account_id", "balance", moves, "from_account_id", "to_account_id", "amount")
-    return {"summary": summary, "failures": failures, "postings": postings, "balances": balances}
+    return {"summary": summary, "failures": failures, "postings": postings, "balances": balances, "payments": classified}
+
+
+def salary_audit(out: dict[str, DataFrame], actor: str | None = None, at: str | None = None,
+                 ip_address: str | None = None) -> DataFrame:
+    """J7 for J5: a row per paid payment, per failed payment, and one closing row per processed batch."""
+    from tessera.functions.scalar import json_object
+
+    p = out["payments"]
+    ok = F.col("error_code").isNull()
+    rows = p.select(
+        F.when(ok, "transactions").otherwise("salary_batch").alias("table_name"), "batch_id",
+        F.col("pos").cast("long").alias("record_id"), F.when(ok, "INSERT").otherwise("TRANSFER_FAIL").alias("action"),
+        F.when(~ok, json_object(iin=F.col("iin"), error=F.col("message"))).alias("old_values"),
+        F.when(ok, json_object(status=F.lit("completed"), iin=F.col("iin"))).alias("new_values"))
+    closing = out["summary"].where(F.col("batch_status") == "processed").select(
+        F.lit("salary_batch").alias("table_name"), "batch_id", F.lit(None).cast("long").alias("record_id"),
+        F.lit("UPDATE").alias("action"), F.lit(None).cast("string").alias("old_values"),
+        json_object(company_account=F.col("company_account_number"), success=F.col("successful_count"),
+                    failed=F.col("failed_count")).alias("new_values"))
+    return rows.unionByName(closing).withColumns({
+        "changed_by": _actor(actor), "changed_at": _when(at), "ip_address": F.lit(ip_address).cast("string")})
 
 
 def salary_batch_summary(postings: DataFrame, accounts: DataFrame, customers: DataFrame) -> DataFrame:

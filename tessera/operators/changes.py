@@ -162,7 +162,7 @@ def accept_in_order(requests: DataFrame, key: str, order: str, need: str, take:
     (key, order bucket), so a busy key is not one task. Keys whose requests all
     fit need one round; each later round settles at least one refusal per key.
     """
-    open_ = requests.select(key, order, need, take, funds)
+    open_ = requests.select(*dict.fromkeys([key, order, need, take, funds]))
     settled = None
     while True:
         sums = prefix_sum(open_, [order], take, "__before", inclusive=False, partition_by=[key], rows_unique=True)

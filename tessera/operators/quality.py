@@ -134,29 +134,34 @@ def view_check(rows: DataFrame, predicate: Column) -> DataFrame:
     return rows.where(~F.coalesce(predicate, F.lit(False))).withColumn(RULE, F.lit("view_check"))
 
 
-def enforce(df: DataFrame, checks: Mapping[str, Column], key_rules: Sequence[DataFrame] = (),
-            key_cols: Sequence[str] = ()) -> DataFrame:
+def enforce(df: DataFrame, checks: Mapping[str, Column], unique_keys: Sequence[Sequence[str]] = (),
+            references: Sequence[tuple[Sequence[str], DataFrame, Sequence[str]]] = ()) -> DataFrame:
     """Split a batch into accepted / rejected rows with every failed rule named.
 
-    ``checks`` are row predicates (NULL passes). ``key_rules`` are outputs of
-    ``unique`` / ``foreign_key`` / ``not_null`` over the same batch; their
-    reasons are attached by an equi join on ``key_cols``.
+    ``checks`` are row predicates (NULL passes). ``unique_keys`` are column
+    lists whose fully non-NULL values may occur once; ``references`` are
+    (columns, parent, parent columns). Every flag is found on the row itself:
+    a key's count comes by one join with the repeated keys, a reference's
+    match by one join with the distinct parent keys; a row with a NULL key
+    part never meets another row's reasons.
     """
-    reasons = F.array_compact(F.array(*[
-        F.when(~F.coalesce(pred, F.lit(True)), F.lit(name)) for name, pred in checks.items()]))
-    out = df.withColumn("__row_reasons", reasons)
-    if key_rules:
-        renamed = [f"__r{i}" for i in range(len(key_cols))]
-        found = None
-        for r in key_rules:
-            part = r.select(*[F.col(c).alias(n) for c, n in zip(key_cols, renamed)], F.col(RULE))
-            found = part if found is None else found.unionByName(part)
-        per_key = found.groupBy(*renamed).agg(F.sort_array(F.collect_set(RULE)).alias("__key_reasons"))
-        out = out.join(per_key, [F.col(c).eqNullSafe(F.col(n)) for c, n in zip(key_cols, renamed)], "left") \
-            .drop(*renamed)
-        out = out.withColumn("__row_reasons", F.concat("__row_reasons",
-                                                       F.coalesce("__key_reasons", F.array().cast("array<string>"))))
-        out = out.drop("__key_reasons")
-    return (out.withColumn("accepted", F.size("__row_reasons") == 0)
-            .withColumn("reasons", F.array_join("__row_reasons", ","))
-            .drop("__row_reasons"))
+    reasons = [F.when(~F.coalesce(pred, F.lit(True)), F.lit(name)) for name, pred in checks.items()]
+    out, flags = df, []
+    for n, (fk, parent, pk) in enumerate(references):
+        keys = parent.select(*[F.col(p).alias(f"__p{n}_{i}") for i, p in enumerate(pk)]).distinct()
+        keys = keys.withColumn(f"__ref{n}", F.lit(True))
+        out = out.join(keys, [F.col(c) == F.col(f"__p{n}_{i}") for i, c in enumerate(fk)], "left")
+        given = F.lit(True)
+        for c in fk:
+            given = given & F.col(c).isNotNull()
+        reasons.append(F.when(given & F.col(f"__ref{n}").isNull(), F.lit(f"foreign_key:{','.join(fk)}")))
+        flags += [f"__ref{n}", *[f"__p{n}_{i}" for i in range(len(pk))]]
+    for n, cols in enumerate(unique_keys):
+        repeated = (_non_null_keys(df, cols).groupBy(*[F.col(c).alias(f"__u{n}_{i}") for i, c in enumerate(cols)])
+                    .agg(F.count(F.lit(1)).alias(f"__n{n}")).where(F.col(f"__n{n}") > 1))
+        out = out.join(repeated, [F.col(c) == F.col(f"__u{n}_{i}") for i, c in enumerate(cols)], "left")
+        reasons.append(F.when(F.col(f"__n{n}").isNotNull(), F.lit(f"unique:{','.join(cols)}")))
+        flags += [f"__n{n}", *[f"__u{n}_{i}" for i in range(len(cols))]]
+    return (out.withColumn("reasons", F.concat_ws(",", *reasons))
+            .withColumn("accepted", F.col("reasons") == "").drop(*flags)
+            .select(*df.columns, "accepted", "reasons"))

@@ -33,7 +33,7 @@ from tessera.sources.tables import Tables
 
 # The open exchange rates of the reference seed data
 # (from, to, rate): USD->KZT 460.00, EUR->KZT 500.00, RUB->KZT 5.00, KZT->USD 0.00217.
-# The sixth row is our own closed historical rate.
+# The last row is our own closed historical rate.
 RATE_ROWS = [
     (1, "USD", "KZT", Decimal("460.000000"), None),
     (2, "EUR", "KZT", Decimal("500.000000"), None),
@@ -144,7 +144,9 @@ def salary_payments(t: Tables) -> DataFrame:
 def salary_payloads(t: Tables) -> DataFrame:
     """Salary batches as JSON documents, one per order (built from the order's
     own columns): a salary of floor(total / 100) to the ordering customer, and
-    a zero payment (no description) to the IIN equal to the order key."""
+    a zero payment (no description) to the IIN equal to the order key. Some
+    orders carry an empty list, no document, a broken one or an amount that is
+    no number."""
     o = t.orders
     iin = lambda c: F.lpad(F.col(c).cast("string"), 12, "0")
     amount = F.floor(F.col("o_totalprice") / 100).cast("decimal(18,2)").cast("string")
@@ -152,11 +154,21 @@ def salary_payloads(t: Tables) -> DataFrame:
         F.lit('[{"iin": "'), iin("o_custkey"), F.lit('", "amount": '), amount,
         F.lit(', "description": "Salary '), F.col("o_orderkey").cast("string"), F.lit('"}, '),
         F.lit('{"iin": "'), iin("o_orderkey"), F.lit('", "amount": 0, "description": null}]'))
+    kind = F.col("o_orderkey") % 16
+    payload = (F.when(kind == 0, "[]").when(kind == 1, F.lit(None)).when(kind == 2, '[{"iin": ')
+               .when(kind == 3, '[{"iin": "1", "amount": "12x", "description": "d"}]').otherwise(payload))
     return o.select(F.col("o_orderkey").alias("batch_id"),
                     _account_no(F.col("o_orderkey")).alias("company_account_number"),
                     payload.alias("payments"))
 
 
+def shared_salary_payments(t: Tables) -> DataFrame:
+    """Salary payments where up to four batches draw on one company account:
+    that of the order whose key is the batch's rounded down to a multiple of 4."""
+    return salary_payments(t).withColumn(
+        "company_account_number", _account_no(F.col("batch_id") - F.col("batch_id") % 4))
+
+
 SALARY_PAID_AT = "2024-01-31 12:00:00"
 
 SQL = {
@@ -230,6 +242,11 @@ SQL = {
              || ', "description": "Salary ' || CAST(o_orderkey AS VARCHAR) || '"}, '
              || '{"iin": "' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0')
              || '", "amount": 0, "description": null}]' AS payments
+    FROM orders WHERE o_orderkey % 16 > 3),
+  salary_documents AS (
+    SELECT o_orderkey AS batch_id,
+           'KZ' || lpad(CAST(o_orderkey AS VARCHAR), 18, '0') AS company_account_number,
+           CASE WHEN o_orderkey % 16 = 0 THEN 'empty' WHEN o_orderkey % 16 <= 3 THEN 'malformed' ELSE 'ok' END AS document
     FROM orders),
   salary_payments AS (
     SELECT batch_id, company_account_number, CAST(i + 1 AS INTEGER) AS pos,

@@ -202,6 +202,62 @@ def dml_view_write(t):
     return _emp_out(ch.snapshot)
 
 
+@register("dml_insert_assigns", area=DML, oracle="""
+SELECT c_custkey AS id, CAST(c_nationkey AS INTEGER) AS score, c_name AS name, 'old' AS tier FROM customer
+UNION ALL
+SELECT 1000000000 + s_suppkey, CAST(ROUND(CAST(s_acctbal AS DECIMAL(18,2))) AS INTEGER), s_name, 'new' FROM supplier""")
+def dml_insert_assigns(t):
+    """Decimals round into an integer column; a column that the rows omit takes its default."""
+    target = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_nationkey").cast("int").alias("score"),
+                               F.col("c_name").alias("name"), F.lit("old").alias("tier"))
+    rows = t.supplier.select((F.col("s_suppkey") + 1000000000).alias("id"),
+                             F.col("s_acctbal").cast("decimal(18,2)").alias("score"), F.col("s_name").alias("name"))
+    return C.insert(target, rows, defaults={"tier": "new"}).snapshot
+
+
+@register("dml_serial_no_reuse", area=DML, oracle="""
+WITH top AS (SELECT MAX(c_custkey) AS id FROM customer)
+SELECT c_custkey AS id, c_name AS name FROM customer, top WHERE c_custkey < top.id
+UNION ALL
+SELECT top.id + ROW_NUMBER() OVER (ORDER BY s_suppkey), s_name FROM supplier, top""")
+def dml_serial_no_reuse(t):
+    """A5: the id of a deleted last row is not given out again (the catalog keeps the mark)."""
+    catalog = sinks.Catalog.of(t.spark)
+    people = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
+    top = people.agg(F.max("id")).first()[0]
+    catalog.publish("tessera_people", people, serial={"id": top})
+    catalog.publish("tessera_people", C.delete(catalog.read("tessera_people"), F.col("id") == top).snapshot)
+    rows = t.supplier.select("s_suppkey", F.col("s_name").alias("name"))
+    change = C.insert(catalog.read("tessera_people"), rows, id_col="id", order=["s_suppkey"],
+                      last_id=catalog.last_serial("tessera_people", "id"))
+    return change.snapshot
+
+
+@register("dml_view_insert", area=DML, oracle="""
+SELECT s_suppkey AS id, s_nationkey AS nation, CAST(s_acctbal AS DOUBLE) AS balance, 'stored' AS outcome FROM supplier
+UNION ALL
+SELECT 1000000000 + c_custkey, c_nationkey, 0.0,
+       CASE WHEN c_nationkey = 5 THEN 'stored' ELSE 'refused' END FROM customer""")
+def dml_view_insert(t):
+    """INSERT through a view with check option; the hidden column takes its default."""
+    target = t.supplier.select(F.col("s_suppkey").alias("id"), F.col("s_nationkey").alias("nation"),
+                               F.col("s_acctbal").cast("double").alias("balance"))
+    rows = t.customer.select((F.col("c_custkey") + 1000000000).alias("id"), F.col("c_nationkey").alias("nation"))
+    change, refused = C.view_insert(target, rows, F.col("nation") == 5, defaults={"balance": 0.0})
+    return change.snapshot.withColumn("outcome", F.lit("stored")).unionByName(
+        refused.withColumn("outcome", F.lit("refused")))
+
+
+@register("dml_view_update", area=DML, oracle="""
+SELECT s_suppkey, CASE WHEN s_nationkey = 5 AND s_acctbal < 1000 THEN 1000.0 ELSE CAST(s_acctbal AS DOUBLE) END AS balance
+FROM supplier""")
+def dml_view_update(t):
+    """UPDATE through a view reaches only the rows that the view shows."""
+    target = t.supplier.select("s_suppkey", "s_nationkey", F.col("s_acctbal").cast("double").alias("balance"))
+    return C.view_update(target, F.col("s_nationkey") == 5, {"balance": F.lit(1000.0)},
+                         F.col("balance") < 1000).snapshot.select("s_suppkey", "balance")
+
+
 MOVES = bm.with_bank("bank_accounts", "bank_transactions") + """,
   moves AS (SELECT from_account_id AS src, to_account_id AS dst, amount FROM bank_transactions
             WHERE status = 'completed' AND type = 'transfer'),
@@ -221,21 +277,33 @@ def txn_balance_move(t):
     return out.select("account_id", F.col("balance").cast("double"))
 
 
-@register("txn_conditional_move", area=DML, oracle=bm.with_bank("bank_accounts", "bank_transactions") + """,
-  moves AS (SELECT t.from_account_id AS src, t.to_account_id AS dst, t.amount
-            FROM bank_transactions t JOIN bank_accounts a ON a.account_id = t.from_account_id
-            WHERE t.status = 'completed' AND t.type = 'withdrawal' AND a.balance >= t.amount * 1000),
-  deltas AS (SELECT src AS acct, -amount * 1000 AS delta FROM moves UNION ALL SELECT dst, amount * 1000 FROM moves),
-  per_acct AS (SELECT acct, SUM(delta) AS d FROM deltas WHERE acct IS NOT NULL GROUP BY acct)
-SELECT a.account_id, CAST(a.balance + COALESCE(p.d, 0) AS DOUBLE) AS balance
-FROM bank_accounts a LEFT JOIN per_acct p ON a.account_id = p.acct""")
+@register("txn_conditional_move", area=DML, oracle="WITH RECURSIVE" + bm.with_bank(
+    "bank_accounts", "bank_transactions")[len("WITH"):] + """,
+  queue AS (
+    SELECT t.from_account_id AS src, t.to_account_id AS dst, t.amount * 1000 AS amount, a.balance,
+           ROW_NUMBER() OVER (PARTITION BY t.from_account_id ORDER BY t.transaction_id) AS k
+    FROM bank_transactions t JOIN bank_accounts a ON a.account_id = t.from_account_id
+    WHERE t.status = 'completed' AND t.type = 'withdrawal'),
+  walk AS (
+    SELECT src, dst, k, amount, amount <= balance AS ok,
+           CAST(balance - CASE WHEN amount <= balance THEN amount ELSE 0 END AS DECIMAL(38,2)) AS funds
+    FROM queue WHERE k = 1
+    UNION ALL
+    SELECT q.src, q.dst, q.k, q.amount, q.amount <= w.funds,
+           CAST(w.funds - CASE WHEN q.amount <= w.funds THEN q.amount ELSE 0 END AS DECIMAL(38,2))
+    FROM walk w JOIN queue q ON q.src = w.src AND q.k = w.k + 1),
+  change AS (SELECT acct, SUM(delta) AS d FROM (
+      SELECT src AS acct, -amount AS delta FROM walk WHERE ok UNION ALL SELECT dst, amount FROM walk WHERE ok) m
+    WHERE acct IS NOT NULL GROUP BY acct)
+SELECT a.account_id, CAST(a.balance + COALESCE(c.d, 0) AS DOUBLE) AS balance
+FROM bank_accounts a LEFT JOIN change c ON a.account_id = c.acct""")
 def txn_conditional_move(t):
-    """Move only when the source balance covers the amount (else skip)."""
+    """Moves served in order, each only if what is left on its source covers it (else skipped)."""
     a = bm.accounts(t)
     tx = bm.transactions(t)
     moves = (tx.where((F.col("status") == "completed") & (F.col("type") == "withdrawal"))
              .withColumn("amount", (F.col("amount") * 1000).cast("decimal(18,2)")))
-    ok = C.eligible_moves(a, "account_id", "balance", moves, "from_account_id", "amount")
+    ok = C.eligible_moves(a, "account_id", "balance", moves, "from_account_id", "amount", "transaction_id")
     out = C.apply_moves(a, "account_id", "balance", ok, "from_account_id", "to_account_id", "amount")
     return out.select("account_id", F.col("balance").cast("double"))
 
@@ -377,29 +445,28 @@ def dq_view_check(t):
 
 
 @register("dq_enforce", area=DQ, oracle="""
-WITH dup AS (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING COUNT(*) > 1),
-     ok_parts AS (SELECT p_partkey FROM part WHERE p_size <= 45)
-SELECT l.l_orderkey, l.l_linenumber, l.l_partkey,
+WITH batch AS (SELECT l_orderkey // 4 AS order_group, NULLIF(l_linenumber, 3) AS line, NULLIF(l_partkey, 7) AS part_id,
+                      l_quantity, l_tax, l_discount FROM lineitem)
+SELECT b.order_group, b.line, b.part_id,
        concat_ws(',',
-         CASE WHEN NOT COALESCE(l.l_quantity <= 45, TRUE) THEN 'quantity_max' END,
-         CASE WHEN NOT COALESCE(l.l_tax <= l.l_discount, TRUE) THEN 'tax_not_above_discount' END,
-         CASE WHEN d.l_orderkey IS NOT NULL AND f.l_orderkey IS NOT NULL
-              THEN 'foreign_key:l_partkey,unique:l_orderkey,l_linenumber'
-              WHEN d.l_orderkey IS NOT NULL THEN 'unique:l_orderkey,l_linenumber'
-              WHEN f.l_orderkey IS NOT NULL THEN 'foreign_key:l_partkey' END) AS reasons
-FROM lineitem l
-LEFT JOIN dup d ON d.l_orderkey = l.l_orderkey AND d.l_linenumber = l.l_linenumber
-LEFT JOIN (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem
-           WHERE l_partkey NOT IN (SELECT p_partkey FROM ok_parts)) f
-  ON f.l_orderkey = l.l_orderkey AND f.l_linenumber = l.l_linenumber""")
+         CASE WHEN b.l_quantity > 45 THEN 'quantity_max' END,
+         CASE WHEN b.l_tax > b.l_discount THEN 'tax_not_above_discount' END,
+         CASE WHEN b.part_id IS NOT NULL
+                   AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = b.part_id AND p.p_size <= 45)
+              THEN 'foreign_key:part_id' END,
+         CASE WHEN b.order_group IS NOT NULL AND b.line IS NOT NULL
+                   AND COUNT(*) OVER (PARTITION BY b.order_group, b.line) > 1
+              THEN 'unique:order_group,line' END) AS reasons
+FROM batch b""")
 def dq_enforce(t):
-    """One pass splitting a batch into accepted / rejected with all reasons."""
-    li = t.lineitem
-    ok_parts = t.part.where(F.col("p_size") <= 45)
-    keys = ["l_orderkey", "l_linenumber"]
+    """One pass splitting a batch (with NULL and repeated keys) into accepted / rejected with all reasons."""
+    batch = t.lineitem.select(
+        F.floor(F.col("l_orderkey") / 4).alias("order_group"),
+        F.when(F.col("l_linenumber") != 3, F.col("l_linenumber")).alias("line"),
+        F.when(F.col("l_partkey") != 7, F.col("l_partkey")).alias("part_id"), "l_quantity", "l_tax", "l_discount")
     out = V.enforce(
-        li,
+        batch,
         {"quantity_max": F.col("l_quantity") <= 45, "tax_not_above_discount": F.col("l_tax") <= F.col("l_discount")},
-        key_rules=[V.unique(li, keys), V.foreign_key(li, ["l_partkey"], ok_parts, ["p_partkey"])],
-        key_cols=keys)
-    return out.select("l_orderkey", "l_linenumber", "l_partkey", "reasons")
+        unique_keys=[["order_group", "line"]],
+        references=[(["part_id"], t.part.where(F.col("p_size") <= 45), ["p_partkey"])])
+    return out.select("order_group", "line", "part_id", "reasons")

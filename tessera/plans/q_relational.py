@@ -26,7 +26,7 @@ LEFT JOIN exchange_rates r
 GROUP BY a.currency""")
 def src_values(t):
     """A1: a literal VALUES table (exchange rates) valuing every account in KZT."""
-    rates = F.broadcast(bm.exchange_rates(t.spark).where(
+    rates = (bm.exchange_rates(t.spark).where(
         F.col("valid_to").isNull() & (F.col("to_currency") == "KZT")))
     acc = bm.accounts(t)
     joined = acc.join(rates, acc["currency"] == rates["from_currency"], "left")
@@ -152,6 +152,23 @@ def layout_derived_key(t):
             .select("o_orderkey", "o_custkey", F.col("order_year").cast("long").alias("order_year")))
 
 
+@register("layout_hashed", area=SRC, oracle="""
+SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (7, 70, 700)""")
+def layout_hashed(t):
+    """A10: hash layout on an equality key; a lookup touches one file per key."""
+    path = sinks.write_hashed(t.orders.select("o_orderkey", "o_custkey"), t.spark, "orders_by_customer", ["o_custkey"])
+    return t.spark.read.parquet(path).where(F.col("o_custkey").isin(7, 70, 700))
+
+
+@register("layout_derived_lower", area=SRC, oracle="""
+SELECT p_partkey, lower(p_name) AS name_key FROM part WHERE lower(p_name) >= 'm'""")
+def layout_derived_lower(t):
+    """A lower-case key stored beside the rows and clustered on, for case-insensitive lookups."""
+    keyed = t.part.select("p_partkey", F.lower("p_name").alias("name_key"))
+    path = sinks.write_clustered(keyed, t.spark, "parts_by_name", ["name_key"])
+    return t.spark.read.parquet(path).where(F.col("name_key") >= "m")
+
+
 # ---------------------------------------------------------------- 2.2 projections / filters
 
 @register("proj_computed", area=PRED, oracle="""
@@ -549,14 +566,18 @@ WITH p AS (
   SELECT o_orderkey,
          '[{"iin": "' || lpad(CAST(o_custkey AS VARCHAR), 12, '0') || '", "amount": ' || CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) || '},'
          || ' {"iin": "' || lpad(CAST(o_orderkey AS VARCHAR), 12, '0') || '", "amount": 1.50}]' AS payments
-  FROM orders)
-SELECT o_orderkey, i + 1 AS pos,
+  FROM orders WHERE o_orderkey % 16 > 2)
+SELECT o_orderkey, 'ok' AS document, i + 1 AS pos,
        json_extract_string(payments, '$[' || CAST(i AS VARCHAR) || '].iin') AS iin,
        CAST(CAST(json_extract_string(payments, '$[' || CAST(i AS VARCHAR) || '].amount') AS DECIMAL(18,2)) AS DOUBLE)
          AS amount
-FROM p, range(CAST(json_array_length(payments) AS BIGINT)) r(i)""")
+FROM p, range(CAST(json_array_length(payments) AS BIGINT)) r(i)
+UNION ALL
+SELECT o_orderkey, CASE o_orderkey % 16 WHEN 0 THEN 'empty' ELSE 'malformed' END, NULL, NULL, NULL
+FROM orders WHERE o_orderkey % 16 <= 2""")
 def json_explode(t):
-    """unnest a JSON array of objects, with the 1-based element position."""
+    """unnest a JSON array of objects, with the 1-based element position; empty,
+    missing and malformed documents keep a row."""
     o = t.orders
     payments = fx.payments_json(o)
     return fx.explode_payments(payments, ["o_orderkey"])

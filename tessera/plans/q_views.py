@@ -55,16 +55,16 @@ def view_restricted(t):
 
 @register("view_high_budget", area=VIEWS, oracle="""
 SELECT s.s_suppkey, n.n_name,
-       CASE WHEN s.s_acctbal > 9000 THEN 'Critical Review'
-            WHEN s.s_acctbal > 5000 THEN 'Management Approval'
-            ELSE 'Standard Process' END AS review_label
+       CASE WHEN s.s_acctbal > 9000 THEN 'top tier'
+            WHEN s.s_acctbal > 5000 THEN 'middle tier'
+            ELSE 'base tier' END AS review_label
 FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
 WHERE s.s_acctbal > 2000""")
 def view_high_budget(t):
     """M4: a labelled review view (join + CASE)."""
     s, n = t.supplier, t.nation
-    label = (F.when(F.col("s_acctbal") > 9000, "Critical Review")
-             .when(F.col("s_acctbal") > 5000, "Management Approval").otherwise("Standard Process"))
+    label = (F.when(F.col("s_acctbal") > 9000, "top tier")
+             .when(F.col("s_acctbal") > 5000, "middle tier").otherwise("base tier"))
     view = (s.where(F.col("s_acctbal") > 2000).join(n, s["s_nationkey"] == n["n_nationkey"])
             .select("s_suppkey", "n_name", label.alias("review_label")))
     return VW.create_view(t.spark, "tessera_high_budget", view)

@@ -5,19 +5,18 @@ total; each micro-batch emits the groups it changed (update mode) and
 ``foreachBatch`` upserts them into a keyed table: keys present in the batch
 replace their old rows, and the new version is written at a path fixed by
 the batch id. Re-running a batch after a failure or a restart rewrites the
-same version (idempotent). A watermark bounds the state: days older than the
-watermark are final and dropped from the state store.
+same version (idempotent). Late files count: there is no watermark by default,
+as the state is one row per (day, type) and so stays small by itself. A job
+that must bound it passes one and accepts that older rows are dropped.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.session import storage_root
+from tessera.session import file_system, storage_root
 
 
 # Default micro-batch size in files: bounds the rows one trigger (and one key's
@@ -29,23 +28,26 @@ def event_stream(spark: SparkSession, path: str, schema: T.StructType,
                  files_per_trigger: int | None = FILES_PER_TRIGGER) -> DataFrame:
     """Stream the Parquet files of a table.
 
-    A table stored as a folder is streamed as is; a table stored as one local
-    file is streamed from its folder with a file-name filter (the file source
+    A table stored as a folder is streamed as is; a table stored as one file is streamed from its folder with a file-name filter (the file source
     only accepts folders).
     """
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    if os.path.isfile(path):
-        return reader.option("pathGlobFilter", os.path.basename(path)).parquet(os.path.dirname(path))
+    fs, hadoop = file_system(spark, path)
+    if not set("*?[{") & set(path) and fs.exists(hadoop) and fs.getFileStatus(hadoop).isFile():
+        folder, _, name = path.rpartition("/")
+        return reader.option("pathGlobFilter", name).parquet(folder)
     return reader.parquet(path)
 
 
-def daily_aggregates(events: DataFrame, watermark: str = "1 day") -> DataFrame:
-    """Per (UTC day, event type): count and decimal total, with a watermark."""
+def daily_aggregates(events: DataFrame, watermark: str | None = None) -> DataFrame:
+    """Per (UTC day, event type): count and decimal total."""
     ts = F.col("ts").cast("timestamp")  # watermarks need TIMESTAMP, not TIMESTAMP_NTZ
-    return (events.withColumn("event_time", ts)
-            .withWatermark("event_time", watermark)
+    timed = events.withColumn("event_time", ts)
+    if watermark:
+        timed = timed.withWatermark("event_time", watermark)
+    return (timed
             .groupBy(F.window("event_time", "1 day").alias("day"), "event_type")
             .agg(F.count(F.lit(1)).alias("events"),
                  F.sum(F.col("value").cast("decimal(18,2)")).alias("total_value"))
@@ -59,18 +61,24 @@ def upsert_batch(root: str, keys: list[str], last: list[int]):
     Each version is written to a fixed path per batch id, so a re-run batch
     (after a failure or a driver restart) reads the same previous version and
     overwrites the same output: idempotent, and nothing lives only in the
-    driver.
+    driver. Only batch 0 has no predecessor; a missing or unreadable version
+    raises. Versions before the previous one are deleted: a re-run never needs them.
     """
-    from pyspark.errors import AnalysisException
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        batch = batch.persist()  # read twice below
         try:
-            previous = spark.read.parquet(f"{root}/batch={batch_id - 1}")
-            merged = previous.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
-        except AnalysisException:  # first batch
             merged = batch
-        merged.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+            if batch_id > 0:
+                previous = spark.read.schema(batch.schema).parquet(f"{root}/batch={batch_id - 1}")
+                merged = previous.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
+            merged.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+        finally:
+            batch.unpersist()
+        fs, old = file_system(spark, f"{root}/batch={batch_id - 2}")
+        if batch_id >= 2 and fs.exists(old):
+            fs.delete(old, True)
         last.append(batch_id)
 
     return handle
@@ -97,13 +105,11 @@ def run_daily_report(spark: SparkSession, path: str, schema: T.StructType, root:
         raise query.exception()
     if last:
         return spark.read.parquet(f"{root}/report/batch={max(last)}")
-    # Nothing new arrived: the newest stored version, if any.
-    from pyspark.errors import AnalysisException
-
-    try:
-        versions = spark.read.parquet(f"{root}/report")
-        newest = versions.agg(F.max("batch")).first()[0]
-        return versions.where(F.col("batch") == newest).drop("batch")
-    except AnalysisException:
+    # Nothing new arrived: the newest stored version, if there is one.
+    fs, report = file_system(spark, f"{root}/report")
+    if not fs.exists(report):
         return spark.createDataFrame([], "event_date date, event_type string, events long, "
                                          "total_value decimal(28,2)")
+    versions = spark.read.parquet(f"{root}/report")
+    newest = versions.agg(F.max("batch")).first()[0]
+    return versions.where(F.col("batch") == newest).drop("batch")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tessera.session import storage_root
+from tessera.session import file_system, storage_root
 from tessera.streaming.daily_report import FILES_PER_TRIGGER, event_stream
 
 ALERT_SCHEMA = T.StructType([
@@ -71,42 +71,31 @@ def run_rapid_alerts(spark: SparkSession, path: str, schema: T.StructType, gap_u
 
 def run_rapid_alerts_by_table(spark: SparkSession, path: str, schema: T.StructType, gap_us: int,
                               files_per_trigger: int | None = FILES_PER_TRIGGER) -> DataFrame:
-    """The same alerts without per-key Python, for accounts too busy for one task.
-
-    Each micro-batch (``foreachBatch``) runs the distributed batch rule
-    (``previous_max`` split by id block) on its own rows and combines it with
-    a state table holding the latest time per account after the previous
-    batch. Alerts and state are written per batch id at fixed paths under the
-    shared folder, so a re-run batch or a restarted driver reads the same
-    previous state and overwrites the same output.
+    """The same alerts whatever the order of arrival, without per-key Python.
+
+    Each micro-batch (``foreachBatch``) appends its rows to a history table
+    and runs the distributed batch rule (``previous_max``, split by id block)
+    on the history of the accounts that it touches. More rows can only add
+    alerts, so the union of all batches' alerts is the batch result, also when
+    an id comes after a higher one. History and alerts are written per batch
+    id at fixed paths, so a re-run batch overwrites its own output.
     """
-    from pyspark.errors import AnalysisException
-
     from tessera.operators.windows import previous_max
 
     root = storage_root(spark, "stream_rapid_table")
-
-    def state_path(batch_id: int) -> str:
-        return f"{root}/state/batch={batch_id}"
+    staged_schema = "event_id long, user_id long, t_us long"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         staged = batch.select("event_id", "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("t_us"))
-        within = previous_max(staged, "user_id", "event_id", "t_us", "__prev")
-        try:
-            state = spark.read.parquet(state_path(batch_id - 1))
-        except AnalysisException:  # first batch: no earlier state
-            state = None
-        best = F.col("__prev")
-        if state is not None:
-            within = within.join(state, "user_id", "left")
-            best = F.greatest("__prev", "latest_us")
-        alerts = within.where(F.col("t_us").isNotNull() & (best > F.col("t_us") - gap_us))
+        staged = staged.where(F.col("user_id").isNotNull() & F.col("t_us").isNotNull())
+        staged.write.mode("overwrite").parquet(f"{root}/history/batch={batch_id}")
+        history = batch.sparkSession.read.schema(f"{staged_schema}, batch int").parquet(f"{root}/history")
+        history = history.where(F.col("batch") <= batch_id)
+        touched = history.where(F.col("batch") == batch_id).select("user_id").distinct()
+        rows = history.join(touched, "user_id", "left_semi").select("event_id", "user_id", "t_us")
+        prev = previous_max(rows, "user_id", "event_id", "t_us", "__prev")
+        alerts = prev.where(F.col("__prev") > F.col("t_us") - gap_us)
         alerts.select("event_id", "user_id").write.mode("overwrite").parquet(f"{root}/alerts/batch={batch_id}")
-        latest = (staged.where(F.col("user_id").isNotNull() & F.col("t_us").isNotNull())
-                  .groupBy("user_id").agg(F.max("t_us").alias("latest_us")))
-        if state is not None:
-            latest = latest.unionByName(state).groupBy("user_id").agg(F.max("latest_us").alias("latest_us"))
-        latest.write.mode("overwrite").parquet(state_path(batch_id))
 
     query = (event_stream(spark, path, schema, files_per_trigger).writeStream
              .option("checkpointLocation", storage_root(spark, "stream_checkpoints"))
@@ -114,7 +103,7 @@ def run_rapid_alerts_by_table(spark: SparkSession, path: str, schema: T.StructTy
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    try:
-        return spark.read.parquet(f"{root}/alerts").select("event_id", "user_id")
-    except AnalysisException:
+    fs, alerts = file_system(spark, f"{root}/alerts")
+    if not fs.exists(alerts):
         return spark.createDataFrame([], ALERT_SCHEMA)
+    return spark.read.parquet(f"{root}/alerts").select("event_id", "user_id").distinct()

@@ -1,7 +1,8 @@
-"""Banking jobs on the lab's banking seed rows, plus a brute-force check of
-the sequential transfer rules on derived driver data."""
+"""Banking jobs on rows of our own, with the sequential rules checked against a
+plain loop, on these rows and on the relations derived from the driver tables."""
 
 import datetime as dt
+import random
 from decimal import Decimal as D
 
 import pytest
@@ -13,209 +14,170 @@ from tessera.sources.tables import Tables
 
 from conftest import rows
 
-TODAY = "2024-05-10"
-NOW = dt.datetime(2024, 5, 10, 9, 0)
+DAY = "2030-03-03"
+NOON = dt.datetime(2030, 3, 3, 12, 0)
+REQUEST = ("request_id long, from_account_number string, to_account_number string, amount decimal(18,2), "
+           "currency string, requested_at timestamp_ntz")
+PAYMENT = "batch_id long, company_account_number string, pos int, iin string, amount decimal(18,2), description string"
 
 
 def customers(spark):
+    """Three active customers with limits of 800, 90 and 4,000, and a frozen one."""
     return spark.createDataFrame([
-        (1, "010101100001", "Ali", "active", D("1000000.00")),
-        (2, "020202100002", "Madina", "active", D("500000.00")),
-        (3, "030303100003", "Aidos", "blocked", D("500000.00")),
-        (4, "040404100004", "Samal", "active", D("2000000.00")),
+        (21, "tin-21", "Brewer", "active", D(800)), (22, "tin-22", "Tanner", "active", D(90)),
+        (23, "tin-23", "Cooper", "frozen", D(90)), (24, "tin-24", "Weaver", "active", D(4000)),
     ], "customer_id long, iin string, full_name string, status string, daily_limit_kzt decimal(18,2)")
 
 
 def accounts(spark, extra=()):
-    base = [
-        (1, 1, "KZ10722S000001234567", "KZT", D("5000000.00"), True),
-        (2, 1, "KZ10722S000001234568", "USD", D("10000.00"), True),
-        (3, 2, "KZ10722S000002234567", "KZT", D("50000.00"), True),
-        (4, 2, "KZ10722S000002234568", "EUR", D("500.00"), True),
-        (5, 4, "KZ10722S000004234567", "KZT", D("15000000.00"), True),
-    ]
-    return spark.createDataFrame(base + list(extra), "account_id long, customer_id long, account_number string, "
-                                                     "currency string, balance decimal(18,2), is_active boolean")
-
-
-def rates(spark, with_rub=True):
-    data = [(1, "USD", "KZT", D("460.000000"), None), (2, "EUR", "KZT", D("500.000000"), None),
-            (4, "KZT", "USD", D("0.002170"), None)]
-    if with_rub:
-        data.append((3, "RUB", "KZT", D("5.000000"), None))
-    return spark.createDataFrame(data, bm.RATE_SCHEMA)
-
-
-def transactions(spark):
-    return spark.createDataFrame([
-        (1, 1, 2, D("50000.00"), D("50000.00"), "transfer", "completed", NOW),
-        (2, 1, 4, D("100000.00"), D("100000.00"), "transfer", "completed", NOW),
-    ], "transaction_id long, from_account_id long, to_account_id long, amount decimal(18,2), "
-       "amount_kzt decimal(18,2), type string, status string, created_at timestamp_ntz")
+    own = [(201, 21, "B-KZT", "KZT", D(900), True), (202, 21, "B-USD", "USD", D(6), True),
+           (203, 22, "T-KZT", "KZT", D(70), True), (204, 23, "C-KZT", "KZT", D(70), True),
+           (205, 24, "W-KZT", "KZT", D(9000), True), (206, 24, "W-CHF", "CHF", D(50), True),
+           (207, 24, "W-OLD", "KZT", D(50), False)]
+    return spark.createDataFrame(own + list(extra), "account_id long, customer_id long, account_number string, "
+                                                    "currency string, balance decimal(18,2), is_active boolean")
 
 
-def test_balance_summary(spark):
-    out = banking.balance_summary(customers(spark), accounts(spark), rates(spark), transactions(spark), TODAY)
-    got = rows(out, "account_number", "balance_kzt", "total_balance_kzt", "total_balance_rank",
-               "total_spent_today", "limit_utilization_percent")
-    by_acct = {r[0][-8:]: r[1:] for r in got}
-    assert by_acct["01234567"] == (5000000.0, 9600000.0, 2, 150000.0, 15.0)
-    assert by_acct["01234568"] == (4600000.0, 9600000.0, 2, 150000.0, 15.0)
-    assert by_acct["02234567"] == (50000.0, 300000.0, 4, 0.0, 0.0)
-    assert by_acct["02234568"] == (250000.0, 300000.0, 4, 0.0, 0.0)
-    assert by_acct["04234567"] == (15000000.0, 15000000.0, 1, 0.0, 0.0)
-    assert "Aidos" not in {r["full_name"] for r in out.collect()}
-
-
-def _requests(spark, data):
+def rates(spark):
+    """Dollars at 100 (80 before), tenge back at 0.01; none for francs."""
+    return spark.createDataFrame([(1, "USD", "KZT", D(100), None), (2, "USD", "KZT", D(80), NOON),
+                                  (3, "KZT", "USD", D("0.01"), None)], bm.RATE_SCHEMA)
+
+
+def transactions(spark, extra=()):
     return spark.createDataFrame(
-        [(i + 1, f, t, D(a), c, NOW + dt.timedelta(minutes=i)) for i, (f, t, a, c) in enumerate(data)],
-        "request_id long, from_account_number string, to_account_number string, amount decimal(18,2), "
-        "currency string, requested_at timestamp_ntz")
+        [(1, 201, 203, D(30), D(30), "transfer", "completed", NOON - dt.timedelta(hours=1)),
+         (2, 201, 203, D(500), D(500), "transfer", "failed", NOON),
+         (3, 202, 203, D(1), D(100), "transfer", "completed", NOON - dt.timedelta(days=1)), *extra],
+        "transaction_id long, from_account_id long, to_account_id long, amount decimal(18,2), "
+        "amount_kzt decimal(18,2), type string, status string, created_at timestamp_ntz")
+
+
+def requests(spark, data):
+    return spark.createDataFrame([(i + 1, a, b, D(x), c, NOON + dt.timedelta(minutes=i))
+                                  for i, (a, b, x, c) in enumerate(data)], REQUEST)
+
+
+def test_balance_summary(spark):
+    out = banking.balance_summary(customers(spark), accounts(spark), rates(spark), transactions(spark), DAY)
+    got = {r["account_number"]: r for r in out.collect()}
+    total = {"B-KZT": 1500.0, "B-USD": 1500.0, "T-KZT": 70.0, "C-KZT": 70.0, "W-KZT": 9100.0, "W-CHF": 9100.0, "W-OLD": 9100.0}
+    assert {k: r["total_balance_kzt"] for k, r in got.items()} == total
+    assert {k: r["total_balance_rank"] for k, r in got.items()} == {
+        k: 1 + sum(x > v for x in total.values()) for k, v in total.items()}
+    assert (got["B-USD"]["balance_kzt"], got["W-CHF"]["balance_kzt"]) == (600.0, 50.0)  # no rate counts as one
+    assert (got["B-KZT"]["total_spent_today"], got["B-KZT"]["limit_utilization_percent"]) == (30.0, 3.75)
+
+
+CASES = [
+    (("none", "B-KZT", "1", "KZT"), "A0001"), (("W-OLD", "B-KZT", "1", "KZT"), "A0001"),
+    (("B-KZT", "none", "1", "KZT"), "A0002"), (("C-KZT", "B-KZT", "1", "KZT"), "C0001"),
+    (("B-KZT", "T-KZT", "1", "USD"), "V0001"), (("B-USD", "W-CHF", "1", "USD"), "V0002"),
+    (("W-CHF", "W-CHF", "1", "CHF"), "V0003"), (("T-KZT", "B-KZT", "91", "KZT"), "L0001"),
+    (("B-USD", "T-KZT", "7", "USD"), "B0001"), (("B-KZT", "T-KZT", "-1", "KZT"), "23514"),
+    (("B-KZT", "B-USD", "200", "KZT"), None), (("W-KZT", "T-KZT", "44.44", "KZT"), None),
+]
 
 
 def test_transfer_rules_one_case_each(spark):
-    extra = [(6, 3, "KZ_BLOCKED", "KZT", D("1000.00"), True),
-             (7, 4, "KZ_RUB_1", "RUB", D("10000.00"), True),
-             (8, 4, "KZ_RUB_2", "RUB", D("500.00"), True)]
-    acc = accounts(spark, extra)
-    reqs = _requests(spark, [
-        ("NOPE", "KZ10722S000001234567", "10.00", "KZT"),                    # A0001
-        ("KZ10722S000001234567", "NOPE", "10.00", "KZT"),                    # A0002
-        ("KZ_BLOCKED", "KZ10722S000001234567", "10.00", "KZT"),              # C0001
-        ("KZ10722S000001234567", "KZ10722S000002234567", "10.00", "USD"),    # V0001
-        ("KZ10722S000001234568", "KZ10722S000002234568", "10.00", "USD"),    # V0002
-        ("KZ_RUB_1", "KZ_RUB_2", "10.00", "RUB"),                            # V0003
-        ("KZ10722S000001234567", "KZ10722S000002234567", "900000.00", "KZT"),  # L0001
-        ("KZ10722S000002234567", "KZ10722S000001234567", "60000.00", "KZT"),   # B0001
-        ("KZ10722S000001234567", "KZ10722S000001234568", "1000.00", "KZT"),    # ok, 2.17 USD
-        ("KZ10722S000004234567", "KZ10722S000002234567", "5000.00", "KZT"),    # ok (set path)
-        ("KZ10722S000001234567", "KZ10722S000002234567", "-5.00", "KZT"),      # 23514
-    ])
-    validated = banking.validate_transfers(reqs, customers(spark), acc, rates(spark, with_rub=False))
+    acc, reqs = accounts(spark), requests(spark, [c for c, _ in CASES])
+    validated = banking.validate_transfers(reqs, customers(spark), acc, rates(spark))
     settled = banking.settle_transfers(validated, transactions(spark), acc)
-    got = rows(settled, "request_id", "error_code", "credited")
-    assert [g[1] for g in got] == ["A0001", "A0002", "C0001", "V0001", "V0002", "V0003", "L0001", "B0001",
-                                   None, None, "23514"]
-    assert got[8][2] == D("2.17") and got[9][2] == D("5000.00")
-    messages = {r["error_code"]: r["message"] for r in settled.collect() if r["error_code"]}
-    assert messages["V0002"] == "Exchange rate not found for USD to EUR"
+    got = {r["request_id"]: r for r in settled.collect()}
+    assert [got[i + 1]["error_code"] for i in range(len(CASES))] == [code for _, code in CASES]
+    assert got[11]["credited"] == D(2) and got[6]["message"].endswith("USD to CHF")
     balances = dict(rows(banking.post_transfers(acc, settled), "account_id", "balance"))
-    assert balances[1] == D("4999000.00") and balances[2] == D("10002.17")
-    assert balances[3] == D("55000.00") and balances[5] == D("14995000.00")
-    audit = banking.transfer_audit(settled, "tester", "2024-05-10 10:00:00")
-    assert audit.where(F.col("action") == "TRANSFER_FAIL").count() == 9
-
-
-def test_sequential_limit_uses_earlier_accepted_transfers(spark):
-    reqs = _requests(spark, [
-        ("KZ10722S000002234567", "KZ10722S000001234567", "30000.00", "KZT"),  # ok: balance 50000 -> 20000
-        ("KZ10722S000002234567", "KZ10722S000001234567", "30000.00", "KZT"),  # B0001 (20000 left)
-        ("KZ10722S000002234567", "KZ10722S000001234567", "20000.00", "KZT"),  # ok: exactly the rest
-    ])
-    acc = accounts(spark)
-    v = banking.validate_transfers(reqs, customers(spark), acc, rates(spark))
-    got = rows(banking.settle_transfers(v, transactions(spark), acc), "request_id", "error_code")
-    assert got == [(1, None), (2, "B0001"), (3, None)]
-
-
-def _brute_force(validated_rows, existing_spent):
-    """Reference semantics: one request at a time, in (time, id) order per sender."""
-    spent, balance, out = {}, {}, {}
-    for r in sorted(validated_rows, key=lambda r: (r["sender_id"] or -1, r["requested_at"], r["request_id"])):
-        if r["error_code"]:
-            out[r["request_id"]] = r["error_code"]
-            continue
-        day = (r["sender_id"], r["requested_at"].date())
-        used = spent.get(day, existing_spent.get(day, D(0)))
-        left = balance.get(r["src_account_id"], r["src_balance"])
-        if used + r["amount_kzt"] > r["daily_limit_kzt"]:
-            out[r["request_id"]] = "L0001"
-        elif left < r["amount"]:
-            out[r["request_id"]] = "B0001"
-        else:
-            out[r["request_id"]] = None
-            spent[day] = used + r["amount_kzt"]
-            balance[r["src_account_id"]] = left - r["amount"]
+    assert (balances[201], balances[202], balances[203], balances[205]) == (D(700), D(8), D("114.44"), D("8955.56"))
+    audit = banking.transfer_audit(settled, "clerk", "2030-03-03 13:00:00", "192.0.2.9")
+    assert audit.where("action = 'TRANSFER_FAIL'").count() == 10 and {r["ip_address"] for r in audit.collect()} == {"192.0.2.9"}
+    named = reqs.withColumn("description", F.when(F.col("request_id") != 9, "rent"))
+    kept = {r["transaction_id"]: r for r in banking.transfer_rows(named, settled, "2030-03-03 13:00:00").collect()}
+    assert kept[11]["description"] == "rent" and kept[11]["exchange_rate"] == D("0.01") and kept[11]["to_account_id"] == 202
+    assert kept[8]["description"].startswith("rent (FAILED: ") and kept[8]["from_account_id"] is None
+    assert kept[9]["description"] is None  # NULL text stays NULL
+
+
+def brute_force(validated_rows, spent_before):
+    """One request at a time, in (time, id) order per sender."""
+    spent, left, out = dict(spent_before), {}, {}
+    for r in sorted(validated_rows, key=lambda r: (r["requested_at"], r["request_id"])):
+        day, source = (r["sender_id"], r["requested_at"].date()), r["src_account_id"]
+        code = r["error_code"]
+        if not code:
+            left.setdefault(source, r["src_balance"])
+            if spent.get(day, 0) + r["amount_kzt"] > r["daily_limit_kzt"]:
+                code = "L0001"
+            elif left[source] < r["amount"]:
+                code = "B0001"
+            else:
+                spent[day] = spent.get(day, 0) + r["amount_kzt"]
+                left[source] -= r["amount"]
+        out[r["request_id"]] = code
     return out
 
 
+def spent_by_day(acc, tx):
+    owner = {r["account_id"]: r["customer_id"] for r in acc.collect()}
+    spent = {}
+    for r in tx.where("status = 'completed'").collect():
+        if r["from_account_id"] in owner:
+            day = (owner[r["from_account_id"]], r["created_at"].date())
+            spent[day] = spent.get(day, D(0)) + r["amount_kzt"]
+    return spent
+
+
 @pytest.mark.parametrize("sf", ["0.001", "0.01"])
 def test_transfers_match_brute_force(spark, sf):
     t = Tables(spark, f"/root/testdata/sf{sf}")
     acc, tx = bm.accounts(t), bm.transactions(t)
     validated = banking.validate_transfers(bm.transfer_requests(t), bm.customers(t), acc, bm.exchange_rates(spark))
-    settled = banking.settle_transfers(validated, tx, acc)
-    owners = dict((r[0], r[1]) for r in acc.select("account_id", "customer_id").collect())
-    existing = {}
-    for r in tx.where("status = 'completed'").collect():
-        if r["from_account_id"] in owners:
-            key = (owners[r["from_account_id"]], r["created_at"].date())
-            existing[key] = existing.get(key, D(0)) + r["amount_kzt"]
-    expected = _brute_force(validated.collect(), existing)
-    got = {r["request_id"]: r["error_code"] for r in settled.collect()}
-    assert got == expected
-    codes = set(expected.values())
-    assert None in codes and len(codes) >= 3
-
-
-def test_salary_batch(spark):
-    cust = customers(spark)
-    acc = accounts(spark, [(9, 1, "KZ_USD_COMPANY", "USD", D("100000.00"), True)])
-    payments = spark.createDataFrame([
-        (1, "KZ10722S000004234567", 1, "010101100001", D("1000.00"), "May"),
-        (1, "KZ10722S000004234567", 2, "020202100002", D("2000.00"), None),
-        (1, "KZ10722S000004234567", 3, "999999999999", D("10.00"), "May"),
-        (1, "KZ10722S000004234567", 4, "030303100003", D("10.00"), "May"),
-        (1, "KZ10722S000004234567", 5, "010101100001", D("0.00"), "May"),
-        (2, "KZ10722S000002234567", 1, "010101100001", D("60000.00"), "too much"),
-        (3, "KZ_USD_COMPANY", 1, "010101100001", D("10.00"), "usd"),
-    ], "batch_id long, company_account_number string, pos int, iin string, amount decimal(18,2), description string")
-    out = banking.salary_batches(payments, cust, acc, "2024-05-10 12:00:00")
-    summary = rows(out["summary"], "batch_id", "batch_status", "successful_count", "failed_count")
-    assert summary == [(1, "processed", 2, 3), (2, "rejected", 0, 0), (3, "rejected", 0, 0)]
-    failures = rows(out["failures"], "pos", "error_code")
-    assert failures == [(3, "P0001"), (4, "P0001"), (5, "23514")]
-    balances = dict(rows(out["balances"], "account_id", "balance"))
-    assert balances[5] == D("14997000.00") and balances[1] == D("5001000.00") and balances[3] == D("52000.00")
-    summary_mv = banking.salary_batch_summary(out["postings"], acc, cust)
-    assert rows(summary_mv, "company_name", "total_payments", "total_amount_kzt") == [("Samal", 1, D("1000.00"))]
+    expected = brute_force(validated.collect(), spent_by_day(acc, tx))
+    got = {r["request_id"]: r["error_code"] for r in banking.settle_transfers(validated, tx, acc).collect()}
+    assert got == expected and {None, "L0001"} <= set(expected.values())
+
+
+def test_one_sender_with_a_third_of_the_rows(spark):
+    rnd = random.Random(8)
+    acc = accounts(spark, [(300 + i, 22 if i < 2 else 24, f"X{i}", "KZT", D(rnd.choice([40, 150, 600])), True) for i in range(5)])
+    data = [(n, f"X{0 if rnd.random() < 0.33 else rnd.randrange(5)}", "B-KZT", D(rnd.choice([1, 3, 8, 20])), "KZT",
+             NOON + dt.timedelta(days=rnd.randrange(3), minutes=rnd.randrange(600))) for n in range(500)]
+    validated = banking.validate_transfers(spark.createDataFrame(data, REQUEST), customers(spark), acc, rates(spark))
+    expected = brute_force(validated.collect(), spent_by_day(acc, transactions(spark)))
+    assert {"L0001", "B0001", None} <= set(expected.values())
+    got = banking.settle_transfers(validated, transactions(spark), acc).collect()
+    assert {r["request_id"]: r["error_code"] for r in got} == expected
 
 
-def test_suspicious_activity(spark):
+def test_salary_batches_in_order_without_overdraft(spark):
     acc = accounts(spark)
-    base = dt.datetime(2024, 5, 10, 10, 0)
-    tx = spark.createDataFrame([
-        (1, 1, 3, D("6000000.00"), "transfer", "completed", base),
-        (2, 2, 3, D("10.00"), "transfer", "failed", base + dt.timedelta(seconds=10)),
-        (3, 2, 3, D("10.00"), "transfer", "completed", base + dt.timedelta(seconds=40)),
-        (4, 1, 3, D("10.00"), "deposit", "completed", base + dt.timedelta(minutes=30)),
-        (5, 3, 1, D("10.00"), "transfer", "completed", base + dt.timedelta(hours=5)),
-    ], "transaction_id long, from_account_id long, to_account_id long, amount_kzt decimal(18,2), type string, "
-       "status string, created_at timestamp_ntz")
-    out = banking.suspicious_activity(tx, acc, 5000000.0, max_per_window=2)
-    got = rows(out, "transaction_id", "flag_reason")
-    assert got == [(1, "High_Frequency_Hourly"), (1, "High_Value_Transfer"), (3, "High_Frequency_Hourly"),
-                   (3, "Rapid_Sequential_Transfer"), (4, "High_Frequency_Hourly")]
-
+    paid = [(1, "W-KZT", 1, "tin-21", D(10), "May"), (1, "W-KZT", 2, "tin-99", D(10), "May"),
+            (1, "W-KZT", 3, "tin-22", D(0), None), (1, "W-KZT", 4, "tin-22", None, None),
+            (2, "T-KZT", 1, "tin-21", D(60), "a"), (3, "T-KZT", 1, "tin-21", D(60), "b"), (4, "T-KZT", 1, "tin-21", D(10), None),
+            (5, "B-USD", 1, "tin-22", D(1), "usd"), (6, "T-KZT", 1, "tin-21", D(1), "c")]
+    documents = [(n, a, "ok") for n, a in ((1, "W-KZT"), (2, "T-KZT"), (3, "T-KZT"), (4, "T-KZT"), (5, "B-USD"), (6, "T-KZT"))]
+    documents += [(7, "W-KZT", "empty"), (8, "W-KZT", "malformed"), (9, "none", "empty")]
+    out = banking.salary_batches(spark.createDataFrame(paid, PAYMENT), customers(spark), acc, "2030-03-31 08:00:00",
+                                 spark.createDataFrame(documents, "batch_id long, company_account_number string, document string"))
+    assert rows(out["summary"], "batch_id", "batch_status", "successful_count", "failed_count") == [
+        (1, "processed", 1, 3), (2, "processed", 1, 0), (3, "rejected", 0, 0), (4, "processed", 1, 0), (5, "rejected", 0, 0),
+        (6, "rejected", 0, 0), (7, "processed", 0, 0), (8, "rejected", 0, 0), (9, "rejected", 0, 0)]
+    assert rows(out["failures"], "pos", "error_code") == [(2, "P0001"), (3, "23514"), (4, "23502")]
+    balances = dict(rows(out["balances"], "account_id", "balance"))
+    assert min(balances.values()) >= 0
+    assert (balances[205], balances[203], balances[201]) == (D(8990), D(0), D(980))
+    audit = banking.salary_audit(out, "clerk", "2030-03-31 08:00:00", "192.0.2.9")
+    assert rows(audit.groupBy("action").count(), "action", "count") == [("INSERT", 3), ("TRANSFER_FAIL", 3), ("UPDATE", 4)]
+    view = banking.salary_batch_summary(out["postings"], acc, customers(spark))
+    assert rows(view, "company_name", "total_payments", "total_amount_kzt") == [("Tanner", 1, D(60)), ("Weaver", 1, D(10))]
 
-def test_hot_sender_fold_matches_brute_force(spark):
-    import random
 
-    rnd = random.Random(3)
-    acc = accounts(spark, [(10, 2, "HOT_A", "KZT", D("700000.00"), True), (11, 2, "HOT_B", "KZT", D("200000.00"), True)])
-    data = []
-    for i in range(400):
-        src = "HOT_A" if rnd.random() < 0.6 else "HOT_B"
-        amount = D(rnd.choice([500, 2000, 9000, 30000])) + D(rnd.randint(0, 99)) / 100
-        when = NOW + dt.timedelta(days=rnd.randint(0, 2), minutes=rnd.randint(0, 600))
-        data.append((i + 1, src, "KZ10722S000002234567", amount, "KZT", when))
-    reqs = spark.createDataFrame(data, "request_id long, from_account_number string, to_account_number string, "
-                                       "amount decimal(18,2), currency string, requested_at timestamp_ntz")
-    validated = banking.validate_transfers(reqs, customers(spark), acc, rates(spark))
-    expected = _brute_force(validated.collect(), {})
-    assert {"L0001", "B0001", None} <= set(expected.values())
-    for threshold in (10, banking.HOT_SENDER_ROWS):  # split head / tail, and plain fold
-        settled = banking.settle_transfers(validated, transactions(spark), acc, hot_sender_rows=threshold)
-        got = {r["request_id"]: r["error_code"] for r in settled.collect()}
-        assert got == expected
+def test_suspicious_activity(spark):
+    start = NOON + dt.timedelta(days=40)
+    moves = [(203, 7000, "transfer", "completed", 0), (201, 1, "transfer", "completed", 7200),
+             (202, 1, "deposit", "failed", 7205), (202, 1, "withdrawal", "completed", 7230), (201, 9, "deposit", "completed", 9000)]
+    tx = spark.createDataFrame([(n, a, 205, D(x), k, s, start + dt.timedelta(seconds=at)) for n, (a, x, k, s, at) in enumerate(moves)],
+                               "transaction_id long, from_account_id long, to_account_id long, amount_kzt decimal(18,2), "
+                               "type string, status string, created_at timestamp_ntz")
+    got = rows(banking.suspicious_activity(tx, accounts(spark), 5000.0, max_per_window=2), "transaction_id", "flag_reason")
+    assert got == [(0, "High_Value_Transfer"), (1, "High_Frequency_Hourly"), (3, "High_Frequency_Hourly"),
+                   (3, "Rapid_Sequential_Transfer"), (4, "High_Frequency_Hourly")]

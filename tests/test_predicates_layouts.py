@@ -15,38 +15,24 @@ from conftest import rows
 
 
 @pytest.fixture(scope="module")
-def company(spark):
-    emp = spark.createDataFrame([
-        (1, "John Smith", 101, D(50000), "john.smith@company.com", dt.date(2020, 1, 15)),
-        (2, "Jane Doe", 101, D(55000), "jane.doe@company.com", dt.date(2019, 6, 20)),
-        (3, "Mike Johnson", 102, D(48000), "mike.johnson@company.com", dt.date(2021, 3, 10)),
-        (4, "Sarah Williams", 102, D(52000), "sarah.williams@company.com", dt.date(2020, 11, 5)),
-        (5, "Tom Brown", 103, D(60000), "tom.brown@company.com", dt.date(2018, 8, 25)),
-    ], "emp_id int, emp_name string, dept_id int, salary decimal(10,2), email string, hire_date date")
-    proj = spark.createDataFrame([(201, "Website Redesign", D(75000), 101), (202, "Database Migration", D(120000), 101),
-                                  (203, "HR System Upgrade", D(50000), 102)],
-                                 "proj_id int, proj_name string, budget decimal(12,2), dept_id int")
-    return emp, proj
-
-
-def test_composite_and_commuted_predicates(company):
-    emp, _ = company
-    assert rows(emp.where((F.col("dept_id") == 101) & (F.col("salary") > 52000)), "emp_id") == [(2,)]
-    a = emp.where((F.col("dept_id") == 102) & (F.col("salary") > 50000))
-    b = emp.where((F.col("salary") > 50000) & (F.col("dept_id") == 102))
-    assert rows(a, "emp_id") == rows(b, "emp_id") == [(4,)]
-
-
-def test_date_part_string_and_unique(company, spark):
-    emp, proj = company
-    assert rows(emp.where(fx.year_equals("hire_date", 2020)), "emp_id") == [(1,), (4,)]
-    assert rows(proj.where(F.col("budget") > 80000), "proj_id") == [(202,)]
-    assert rows(proj.where(F.col("proj_name") == "Website Redesign"), "proj_id") == [(201,)]
-    assert rows(proj.where(F.col("proj_name") > "Database"), "proj_id") == [(201,), (202,), (203,)]
-    dup = emp.unionByName(spark.createDataFrame(
-        [(6, "Copy", 101, D(1), "john.smith@company.com", None)], emp.schema))
-    assert rows(V.unique(dup, ["email"], arrival="emp_id"), "emp_id") == [(6,)]
-    assert rows(emp.where(F.lower("emp_name") == "tom brown"), "emp_id") == [(5,)]
+def wells(spark):
+    return spark.createDataFrame([
+        (11, "Upper Spring", 4, D("12.50"), dt.date(2014, 2, 28)), (12, "lower spring", 4, D("3.00"), dt.date(2015, 12, 31)),
+        (13, "Mill", 6, D("12.50"), dt.date(2015, 1, 1)), (14, "mill", 6, None, None),
+    ], "well int, name string, zone int, depth decimal(6,2), dug date")
+
+
+def test_composite_and_commuted_predicates(wells):
+    a = wells.where((F.col("zone") == 4) & (F.col("depth") > 5))
+    b = wells.where((F.col("depth") > 5) & (F.col("zone") == 4))
+    assert rows(a, "well") == rows(b, "well") == [(11,)]
+
+
+def test_date_part_string_and_unique(wells):
+    assert rows(wells.where(fx.year_equals("dug", 2015)), "well") == [(12,), (13,)]
+    assert rows(wells.where(F.col("name") > "Mill"), "well") == [(11,), (12,), (14,)]  # upper case sorts first
+    assert rows(wells.where(F.lower("name") == "mill"), "well") == [(13,), (14,)]
+    assert rows(V.unique(wells, ["depth"], arrival="well"), "well") == [(13,)]
 
 
 def test_year_range_pushdown_on_timestamps(spark):

@@ -68,3 +68,42 @@ def test_daily_report_resumes_from_its_folder(spark):
     cols = ("event_date", "event_type", "events", "total_value")
     assert rows(out, *cols) == rows(batch, *cols)
     assert rows(again, *cols) == rows(batch, *cols)
+
+
+def _shuffled(spark, files=6):
+    """The events dealt to files in an order that has nothing to do with time or id, newest file first."""
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    folder = tempfile.mkdtemp(prefix="tessera-stream-")
+    for i in range(files):
+        part = events.where(F.pmod(F.xxhash64("event_id"), F.lit(files)) == i)
+        part.orderBy(F.desc("ts")).coalesce(1).write.parquet(os.path.join(folder, f"part={i:02d}"))
+    return folder, events
+
+
+def test_late_files_count(spark):
+    folder, events = _shuffled(spark)
+    batch = events.groupBy(F.to_date("ts").alias("event_date"), "event_type").agg(
+        F.count(F.lit(1)).alias("events"), F.sum(F.col("value").cast("decimal(18,2)")).alias("total_value"))
+    cols = ("event_date", "event_type", "events", "total_value")
+    assert rows(run_daily_report(spark, folder + "/*", events.schema, files_per_trigger=1), *cols) == rows(batch, *cols)
+    prev = previous_max(events, "user_id", "event_id", "ts", "m")
+    alerts = prev.where(F.col("m") > F.col("ts") - F.expr("INTERVAL 1 MINUTE"))
+    out = run_rapid_alerts_by_table(spark, folder + "/*", events.schema, MICROS_PER_MINUTE, files_per_trigger=1)
+    assert rows(out, "event_id", "user_id") == rows(alerts, "event_id", "user_id")
+
+
+def test_a_missing_previous_version_raises(spark):
+    import pytest
+
+    from tessera.streaming.daily_report import upsert_batch
+
+    root = tempfile.mkdtemp(prefix="tessera-stream-")
+    batch = spark.createDataFrame([(1, 2)], "k int, v int")
+    done = []
+    handle = upsert_batch(root, ["k"], done)
+    with pytest.raises(Exception):
+        handle(batch, 3)
+    assert done == []
+    handle(batch, 0)
+    handle(spark.createDataFrame([(1, 5), (2, 6)], "k int, v int"), 1)
+    assert rows(spark.read.parquet(f"{root}/batch=1"), "k", "v") == [(1, 5), (2, 6)]
