@@ -108,10 +108,10 @@ def _account_no(col):
 
 
 def transfer_requests(t: Tables) -> DataFrame:
-    """Transfer requests <- click / view / error events: sender = the user's
+    """Transfer requests <- events: sender = the user's
     account, receiver = the account numbered ``props.k`` (an unknown number for
     error events), amount = value x 2000, USD for clicks and KZT otherwise."""
-    e = t.events.where(F.col("event_type").isin("click", "view", "error"))
+    e = t.events
     to_no = _account_no(F.get_json_object("props", "$.k"))
     return e.select(
         F.col("event_id").alias("request_id"),
@@ -222,7 +222,7 @@ SQL = {
            CAST(CAST(value AS DECIMAL(18,2)) * 2000 AS DECIMAL(18,2)) AS amount,
            CASE WHEN event_type = 'click' THEN 'USD' ELSE 'KZT' END AS currency,
            ts AS requested_at
-    FROM events WHERE event_type IN ('click', 'view', 'error'))""",
+    FROM events)""",
     "salary_payments": """
   salary_payments AS (
     SELECT l_orderkey AS batch_id,

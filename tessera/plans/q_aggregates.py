@@ -159,33 +159,33 @@ def agg_fanout_safe(t):
 @register("agg_dashboard", area=AGG, oracle="""
 WITH nat AS (SELECT n_nationkey, n_regionkey FROM nation),
      sup AS (SELECT s_suppkey, s_nationkey FROM supplier),
-     cus AS (SELECT c_custkey, c_nationkey FROM customer WHERE c_acctbal > 5000),
+     cus AS (SELECT c_custkey, c_nationkey FROM customer),
      per_region AS (
        SELECT n.n_regionkey,
               COUNT(DISTINCT n.n_nationkey) AS nations,
               (SELECT COUNT(DISTINCT s.s_suppkey) FROM sup s JOIN nat n2 ON s.s_nationkey = n2.n_nationkey
                WHERE n2.n_regionkey = n.n_regionkey) AS suppliers,
               (SELECT COUNT(DISTINCT c.c_custkey) FROM cus c JOIN nat n3 ON c.c_nationkey = n3.n_nationkey
-               WHERE n3.n_regionkey = n.n_regionkey) AS rich_customers
+               WHERE n3.n_regionkey = n.n_regionkey) AS customers
        FROM nat n GROUP BY n.n_regionkey)
-SELECT n_regionkey, nations, suppliers, rich_customers,
-       ROUND(CAST(rich_customers AS DOUBLE) / NULLIF(suppliers, 0), 4) AS customers_per_supplier
+SELECT n_regionkey, nations, suppliers, customers,
+       ROUND(CAST(customers AS DOUBLE) / NULLIF(suppliers, 0), 4) AS customers_per_supplier
 FROM per_region""")
 def agg_dashboard(t):
     """Several COUNT(DISTINCT)s per group and a NULLIF-guarded ratio."""
     n = t.nation.select("n_nationkey", "n_regionkey")
     s = t.supplier.select("s_suppkey", F.col("s_nationkey").alias("nk"))
-    c = t.customer.where(F.col("c_acctbal") > 5000).select("c_custkey", F.col("c_nationkey").alias("nk"))
+    c = t.customer.select("c_custkey", F.col("c_nationkey").alias("nk"))
     nations = n.groupBy("n_regionkey").agg(F.count_distinct("n_nationkey").alias("nations"))
     sup = (s.join(n, s["nk"] == n["n_nationkey"]).groupBy(F.col("n_regionkey").alias("r1"))
            .agg(F.count_distinct("s_suppkey").alias("suppliers")))
     cus = (c.join(n, c["nk"] == n["n_nationkey"]).groupBy(F.col("n_regionkey").alias("r2"))
-           .agg(F.count_distinct("c_custkey").alias("rich_customers")))
+           .agg(F.count_distinct("c_custkey").alias("customers")))
     j = (nations.join(sup, nations["n_regionkey"] == sup["r1"], "left")
          .join(cus, nations["n_regionkey"] == cus["r2"], "left"))
     suppliers = F.coalesce("suppliers", F.lit(0))
-    customers = F.coalesce("rich_customers", F.lit(0))
-    return j.select("n_regionkey", "nations", suppliers.alias("suppliers"), customers.alias("rich_customers"),
+    customers = F.coalesce("customers", F.lit(0))
+    return j.select("n_regionkey", "nations", suppliers.alias("suppliers"), customers.alias("customers"),
                     F.round(customers.cast("double") / F.nullif(suppliers, F.lit(0)), 4)
                     .alias("customers_per_supplier"))
 
