@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 
+from llm_fixtures import no_docs, odd_docs, sf_docs  # noqa: F401
 from tessera.llm import decontaminate as D
 
 ITEM = "Which river crosses the old town before it meets the sea near the northern harbour of the island kingdom"

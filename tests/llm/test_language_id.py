@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 
+from llm_fixtures import no_docs, odd_docs, sf_docs  # noqa: F401
 from tessera.llm import language_id as I
 
 

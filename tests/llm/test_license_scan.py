@@ -1,5 +1,6 @@
 import re
 
+from llm_fixtures import no_docs, odd_docs, sf_docs  # noqa: F401
 from tessera.llm import license_scan as L
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

@@ -1,6 +1,7 @@
 import random
 from collections import defaultdict
 
+from llm_fixtures import no_docs, odd_docs, sf_docs  # noqa: F401
 from tessera.llm import line_dedup as L
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"

@@ -3,6 +3,7 @@ from math import ceil, floor
 import pytest
 from pyspark.sql import functions as F
 
+from llm_fixtures import no_docs, odd_docs, sf_docs  # noqa: F401
 from tessera.llm import mixing as M
 
 

@@ -1,3 +1,4 @@
+from llm_fixtures import no_docs, odd_docs  # noqa: F401
 import corpus_pipeline as C
 from pyspark.sql import functions as F
 

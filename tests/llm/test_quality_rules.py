@@ -2,6 +2,7 @@ import re
 
 import pytest
 
+from llm_fixtures import no_docs, odd_docs, sf_docs  # noqa: F401
 from tessera.llm import quality_rules as Q
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 import xxhash
 
+from llm_fixtures import no_docs, odd_docs, sf_docs  # noqa: F401
 from tests_llm_helpers import brute_components
 from tessera.llm import simhash
 
