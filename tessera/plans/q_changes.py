@@ -225,6 +225,7 @@ def dml_serial_no_reuse(t):
     catalog = sinks.Catalog.of(t.spark)
     people = t.customer.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"))
     top = people.agg(F.max("id")).first()[0]
+    catalog.drop("tessera_people")  # a new table: its serial starts afresh
     catalog.publish("tessera_people", people, serial={"id": top})
     catalog.publish("tessera_people", C.delete(catalog.read("tessera_people"), F.col("id") == top).snapshot)
     rows = t.supplier.select("s_suppkey", F.col("s_name").alias("name"))
