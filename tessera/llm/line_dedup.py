@@ -1,18 +1,24 @@
 """Line dedup by content-defined chunks of lines.
 
 A text is cut at newlines. A rolling hash over the hashes of the last
-``SPAN`` lines closes a chunk where it falls on zero modulo ``DIVISOR`` (after
-``MIN_LINES`` lines, and at ``MAX_LINES`` at the latest), so an inserted or
-deleted line moves the boundaries near it only. A chunk of two lines or more
-that stands in several places of the corpus is kept at its first place, the
-smallest (doc_id, text hash, position), and removed from all others.
-
-Hashes only propose. A first scan gives chunk rows without text (hash,
-document, position); the hashes that occur twice set bits in a table of fixed
-size. A second scan gives out the bytes of the chunks whose bit is set, and
-these are grouped by hash and bytes, so neither a collision nor a crowded table
-ever removes a line. Grouping pre-aggregates in the map tasks, so a chunk that
-a third of the corpus holds reaches its reducer as one row a task. Whole texts
+``SPAN`` lines closes a chunk where it falls on zero modulo ``DIVISOR`` (and
+at ``MAX_LINES`` at the latest), so a boundary depends on the lines just ahead
+of it only and shared passages are cut alike wherever they stand. A chunk that
+stands in several places of the corpus is kept at its first place, the
+smallest (doc_id, text hash, position), and removed from all others. Where a
+shared passage begins or ends between two boundaries, the lines next to the
+chunk go too, as far as they equal those next to the first place, byte for
+byte; the search covers the chunk and ``SPAN`` - 1 lines before and the chunk
+after, which hold all the lines that the surroundings can have shifted. Only
+runs of ``MIN_LINES`` lines or more go: a single line that repeats alone stays.
+Every line that goes has an equal one at a smaller place.
+
+Hashes only propose. A first scan counts the hashes of all chunks; those that
+occur twice set bits in a table of fixed size. A second scan gives out the
+bytes of the chunks whose bit is set, with the lines beside them, and these
+are grouped by hash and bytes, so neither a collision nor a crowded table ever
+removes a line. Grouping pre-aggregates in the map tasks, so a chunk that a
+third of the corpus holds reaches its reducer as one row a task. Whole texts
 move once, to meet the list of their lines to cut.
 
 Defined cases: null texts have no line and stay null; blank-only chunks count
@@ -28,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,8 +59,7 @@ def chunk_ends(lines: list[bytes]) -> list[int]:
         roll = (roll * _BASE + h) & _MASK
         if i >= SPAN:
             roll = (roll - drop * hashes[i - SPAN]) & _MASK
-        size = i + 1 - start
-        if size >= MAX_LINES or size >= MIN_LINES and (roll >> 33) % DIVISOR == 0:
+        if (roll >> 33) % DIVISOR == 0 or i + 1 - start >= MAX_LINES:
             ends.append(i + 1)
             start = i + 1
     if start < len(lines):
@@ -62,26 +67,33 @@ def chunk_ends(lines: list[bytes]) -> list[int]:
     return ends
 
 
-def _chunks(text: bytes) -> Iterator[tuple[int, int, bytes]]:
-    """(first line, lines, bytes) of each chunk of several lines."""
+def _chunks(text: bytes) -> Iterator[tuple[int, int, bytes, list[bytes], list[bytes]]]:
+    """(first line, lines, bytes, lines before, lines after) of each chunk, the lines beside it nearest first."""
     lines = text.split(b"\n")
-    start = 0
-    for end in chunk_ends(lines):
-        if end - start >= MIN_LINES:
-            yield start, end - start, b"\n".join(lines[start:end])
-        start = end
+    cuts = [0, *chunk_ends(lines)]
+    for k, (start, end) in enumerate(zip(cuts, cuts[1:])):
+        before = lines[max(0, cuts[max(k - 1, 0)] - SPAN + 1):start][::-1]
+        yield start, end - start, b"\n".join(lines[start:end]), before, lines[end:cuts[min(k + 2, len(cuts) - 1)]]
 
 
-def _chunk_rows(keyed: DataFrame, table=None) -> DataFrame:
-    """(id, h, chunk, at, n): the hash, first line and length of each chunk of several lines.
+def _chunk_hashes(texts: DataFrame) -> DataFrame:
+    """(chunk): the hash of each chunk of the texts in the only column."""
 
-    With a bit table only chunks whose hash may be in it, and their bytes as ``body``.
-    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [xxhash.xxh64_intdigest(c[2], 1) for t in text_bytes(batch.column(0)) for c in _chunks(t)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(found, np.uint64).view(np.int64))], names=["chunk"])
+
+    return texts.mapInArrow(run, "chunk bigint")
+
+
+def _chunk_rows(keyed: DataFrame, table, log2: int) -> DataFrame:
+    """(id, h, chunk, at, n, body, before, after) of the chunks whose hash may be in the bit table."""
+    line = T.StringType()
     fields = [keyed.schema["id"], keyed.schema["h"], T.StructField("chunk", T.LongType()),
-              T.StructField("at", T.IntegerType()), T.StructField("n", T.IntegerType())]
-    if table is not None:
-        fields.append(T.StructField("body", T.StringType()))
-    names = [f.name for f in fields]
+              T.StructField("at", T.IntegerType()), T.StructField("n", T.IntegerType()), T.StructField("body", line),
+              T.StructField("before", T.ArrayType(line)), T.StructField("after", T.ArrayType(line))]
+    strings, lists = (pa.binary(), pa.string()), (pa.list_(pa.binary()), pa.list_(pa.string()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,35 +101,43 @@ def _chunk_rows(keyed: DataFrame, table=None) -> DataFrame:
             for lo, hi in pieces(texts):
                 found = [(i, *c) for i in range(lo, hi) for c in _chunks(texts[i])]
                 chunk = np.array([xxhash.xxh64_intdigest(c[3], 1) for c in found], np.uint64).view(np.int64)
-                if table is not None:
-                    kept = np.flatnonzero(in_bit_table(table.value, chunk, FILTER_LOG2))
-                    found, chunk = [found[k] for k in kept.tolist()], chunk[kept]
+                kept = np.flatnonzero(in_bit_table(table.value, chunk, log2))
+                found, chunk = [found[k] for k in kept.tolist()], chunk[kept]
                 row = pa.array([c[0] for c in found], pa.int64())
                 made = [batch.column(0).take(row), batch.column(1).take(row), pa.array(chunk),
                         pa.array([c[1] for c in found], pa.int32()), pa.array([c[2] for c in found], pa.int32())]
-                if table is not None:
-                    made.append(pa.array([c[3] for c in found], pa.binary()).cast(pa.string()))
-                yield pa.RecordBatch.from_arrays(made, names=names)
+                for k, (raw, kind) in ((3, strings), (4, lists), (5, lists)):
+                    made.append(pa.array([c[k] for c in found], raw).cast(kind))
+                yield pa.RecordBatch.from_arrays(made, names=[f.name for f in fields])
 
     return keyed.mapInArrow(run, T.StructType(fields))
 
 
+def _alike(a: Column, b: Column) -> Column:
+    """How many lines two lists begin with in common."""
+    differ = F.array_position(F.zip_with(a, b, lambda x, y: x.eqNullSafe(y)), F.lit(False)).cast("int")
+    return F.when(differ > 0, differ - 1).otherwise(F.size(a))
+
+
 def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, h, gone): for each document (id key, text hash) that loses lines the spans (at, n) to cut."""
+    """(key, h, gone): for each document (id key, text hash) that loses lines the spans (at, n) to cut; they may overlap."""
     keyed = docs.select(F.struct(null_safe(F.col(doc_id)).alias("key"), F.col(doc_id).alias("id")).alias("id"),
                         F.xxhash64(text).alias("h"), F.col(text).alias("text"))
-    rows = _chunk_rows(keyed).distinct()  # rows equal in id and text are one document
-    twice = rows.groupBy("chunk").agg(F.count("*").alias("places")).filter("places > 1").select("chunk")
+    twice = _chunk_hashes(keyed.select("text")).groupBy("chunk").count().filter("count > 1").select("chunk")
     table = docs.sparkSession.sparkContext.broadcast(bit_table(twice, FILTER_LOG2))
-    bodies = materialize(_chunk_rows(keyed, table).distinct(), "line_bodies")
+    # Rows equal in id and text share their places: they propose chunks, but remove none.
+    bodies = materialize(_chunk_rows(keyed, table, FILTER_LOG2), "line_bodies")
     place = F.struct(F.col("id.id").isNull().alias("none"), F.col("id.id").alias("id"), "h", "at")
     bodies = bodies.withColumn("place", place)
-    first = bodies.groupBy("chunk", "body").agg(F.min("place").alias("first"), F.count("*").alias("places")).filter("places > 1")
+    first = (bodies.groupBy("chunk", "body").agg(F.min(F.struct("place", "before", "after")).alias("first"), F.count("*").alias("places"))
+             .filter("places > 1").drop("places"))
     # Written, so that both sides of the join are plain exchanges: Spark splits a chunk of many places.
-    first = materialize(first.drop("places"), "line_first").hint("merge")
-    later = bodies.join(first, ["chunk", "body"]).filter("place <> first")
-    return (later.groupBy(F.col("id.key").alias("key"), "h")
-            .agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("gone")))
+    first = materialize(first, "line_first").hint("merge")
+    later = bodies.join(first, ["chunk", "body"]).filter("place <> first.place")
+    back, on = _alike(F.col("before"), F.col("first.before")), _alike(F.col("after"), F.col("first.after"))
+    spans = later.select(F.col("id.key").alias("key"), "h", "at", "n", back.alias("back"), on.alias("on"))
+    span = F.struct((F.col("at") - F.col("back")).alias("at"), (F.col("n") + F.col("back") + F.col("on")).alias("n"))
+    return spans.select("key", "h", span.alias("span")).filter(F.col("span.n") >= MIN_LINES).groupBy("key", "h").agg(F.collect_set("span").alias("gone"))
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -130,15 +150,14 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # A sorted merge at every size: the texts move once.
     out = out.join(gone.hint("merge"), (F.col(key) == F.col(key2)) & (F.col(hash_) == F.col(hash2)), "left")
     lines = F.split(text, "\n", -1)
-    cut = F.filter(
-        F.transform(lines, lambda x, i: F.when(
-            F.exists(list_, lambda s: (i >= s["at"]) & (i < s["at"] + s["n"])), F.lit(None)).otherwise(x)),
-        lambda x: x.isNotNull())
-    n_cut = F.aggregate(list_, F.lit(0).cast("long"), lambda a, s: a + s["n"])
+    # Line numbers that stay, by a hash set: linear in the lines, however many spans there are.
+    cut = F.flatten(F.transform(list_, lambda s: F.sequence(s["at"], s["at"] + s["n"] - 1)))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), cut)
+    out = out.withColumn(list_, F.when(F.col(list_).isNotNull(), F.transform(stay, lambda i: F.get(lines, i))))
     return out.select(
-        *[F.when(F.col(list_).isNull(), F.col(c)).otherwise(F.array_join(cut, "\n")).alias(c) if c == text else F.col(f"`{c}`")
+        *[F.when(F.col(list_).isNull(), F.col(c)).otherwise(F.array_join(list_, "\n")).alias(c) if c == text else F.col(f"`{c}`")
           for c in docs.columns if c != removed],
-        F.coalesce(n_cut, F.lit(0).cast("long")).alias(removed))
+        F.when(F.col(list_).isNull(), 0).otherwise(F.size(lines) - F.size(list_)).cast("long").alias(removed))
 
 
 def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars") -> DataFrame:
