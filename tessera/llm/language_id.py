@@ -3,8 +3,8 @@
 A text's letters (other characters become spaces) give all byte n-grams of
 length 1 to 3, hashed into ``BUCKETS`` rows of an embedding table; their mean goes
 through a linear softmax. Both are trained by stochastic gradient descent in
-numpy on a bounded, documented sample: about ``SAMPLE`` documents per language,
-chosen by a hash of the id, of the ``MAX_LANGUAGES`` most frequent languages. A
+numpy on a bounded, documented sample: about ``SAMPLE`` different texts per
+language, chosen by a hash of the text, of the ``MAX_LANGUAGES`` most frequent languages. A
 fifth of the sample sets the softmax temperature and the score below which a
 prediction is rejected (column ``rejected``).
 
@@ -126,15 +126,16 @@ def calibrate(logits: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 def fit(docs: DataFrame, train_rows: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
     """The model learned from the rows that ``train_rows`` allows and that carry a language."""
-    labelled = docs.filter(train_rows & F.col(lang).isNotNull())
-    sizes = labelled.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MAX_LANGUAGES).collect()
-    share = F.create_map(*[F.lit(v) for r in sizes for v in (r[0], min(1.0, SAMPLE / r[1]))]) if sizes else None
-    if share is None:
+    # Texts by hash: copies count once, so that no group of them outgrows the sample.
+    labelled = docs.filter(train_rows & F.col(lang).isNotNull() & F.col(text).isNotNull())
+    labelled = labelled.select(F.col(lang).alias("lang"), F.xxhash64(text).alias("place"), F.col(text).alias("text"))
+    sizes = labelled.groupBy("lang").agg(F.approx_count_distinct("place").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    if not sizes:
         return train([])
-    place = F.pmod(F.xxhash64(doc_id, F.lit("language sample")), F.lit(1_000_000)) / 1e6
-    aside = F.pmod(F.xxhash64(doc_id, F.lit("calibration")), F.lit(5)) == 0
-    picked = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"), aside.alias("aside"),
-                             (place < share[F.col(lang)]).alias("take")).filter("take").drop("take")
+    share = F.create_map(*[F.lit(v) for r in sizes for v in (r["lang"], min(1.0, SAMPLE / max(r["n"], 1)))])
+    near = F.pmod("place", F.lit(1_000_000)) / 1e6 < share[F.col("lang")]
+    picked = labelled.filter(near).groupBy("lang", "place").agg(F.min("text").alias("text"))
+    picked = picked.select("lang", "text", (F.pmod(F.xxhash64("place", F.lit("calibration")), F.lit(5)) == 0).alias("aside"))
 
     def count(texts: list[bytes]) -> list:
         got = [features(t) for t in texts]
