@@ -1,19 +1,22 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: shared n-grams propose, Smith-Waterman alignment decides.
 
 Test items are short and given by the user; the corpus is scanned in tasks
-against them. A first pass counts the items' n-grams over all documents. Of
-every ``SPREAD`` consecutive n-grams of an item the rarest becomes a seed, so
-each copied run of ``NGRAM + SPREAD - 1`` words holds a seed however frequent
-the item is, and common phrases rarely propose anything. The second pass joins
-documents to items on the seeds, takes the passage around the hits and aligns
-it with the item (match 2, mismatch -1, gap -1, best local score). A pair is
-contaminated when its score reaches ``MIN_SCORE`` of a perfect copy's.
+against them. A pair is contaminated when the best local alignment of the item
+with the document (match 2, mismatch -1, gap -1) reaches ``MIN_SCORE`` of a
+perfect copy's, and every such pair is found, wherever its edits stand:
+
+An alignment of m matched words and e edits scores 2 m - e at most. If it
+reaches R of the 2 L that a perfect copy of L words has, it has 2 m - 2 R L
+edits at most, so it spans (3 - 2 R) L words at most and keeps (2 R - 1) L - 1
+of the item's word pairs whole. Wherever so many of the item's pairs stand
+within such a span, all text that the alignment can reach is aligned. Items
+for which that bound is below one pair are proposed by R L single words.
 
 Items are sent to the tasks in blocks of ``BLOCK_ITEMS`` items, so what a task
 holds is bounded; a larger benchmark makes more scans, not larger broadcasts.
 
 Defined cases: null or wordless texts and items match nothing; items with
-fewer words than an n-gram are matched as one short n-gram; repeated items and
+fewer words than ``NGRAM`` are matched as one short n-gram; repeated items and
 rows each give their own pairs; empty tables give an empty result.
 """
 
@@ -22,6 +25,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from functools import reduce
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -33,13 +37,13 @@ from tessera.llm.common import fresh, pieces, ship, shipped, text_bytes
 from tessera.session import materialize
 
 NGRAM = 4
-SPREAD = 4
 MIN_SCORE = 0.6
 MATCH, MISMATCH, GAP = 2, -1, -1
 BLOCK_ITEMS = 20_000
 BLOCK_BYTES = 32 << 20
 _FILTER_BITS = 22
-_ALIGN_CELLS = 1 << 22
+_ALIGN_CELLS = 1 << 20
+_HITS = 1 << 21
 
 
 def _word_hashes(text: bytes) -> np.ndarray:
@@ -56,63 +60,67 @@ def _ngrams(h: np.ndarray, n: int) -> np.ndarray:
         return out * np.uint64(0xD6E8FEB86659FD93) + np.uint64(n)
 
 
-class Items:
-    """A block of test items: word hashes and the n-grams that represent them."""
-
-    def __init__(self, ids: list, texts: list[bytes]):
-        hashed = [(i, _word_hashes(t)) for i, t in zip(ids, texts)]
-        self.ids = [i for i, h in hashed if len(h)]
-        self.words = [h for _, h in hashed if len(h)]
-        self.sizes = sorted({min(NGRAM, len(h)) for h in self.words})
-        self.grams = [_ngrams(h, min(NGRAM, len(h))) for h in self.words]
-        self.all_grams = np.unique(np.concatenate(self.grams)) if self.grams else np.zeros(0, np.uint64)
-
-    def choose(self, counts: dict[int, int]) -> Seeds:
-        """Seeds: the rarest n-gram (ties: the earliest) of each ``SPREAD`` consecutive ones."""
-        grams, items, at = [], [], []
-        for k, g in enumerate(self.grams):
-            n = np.array([counts.get(int(x), 0) for x in g])
-            picked = sorted({s + int(np.argmin(n[s:s + SPREAD])) for s in range(max(1, len(g) - SPREAD + 1))})
-            grams += [g[p] for p in picked]
-            items += [k] * len(picked)
-            at += picked
-        order = np.argsort(np.array(grams, np.uint64), kind="stable")
-        return Seeds(self, np.array(grams, np.uint64)[order], np.array(items, np.int64)[order], np.array(at, np.int64)[order])
+class _Lookup:
+    """Which n-grams of one size stand in which items; a bit table answers most 'no's."""
+
+    def __init__(self, n: int, grams: list[np.ndarray], items: list[int]):
+        every, owner = np.concatenate(grams), np.repeat(items, [len(g) for g in grams])
+        order = np.argsort(every, kind="stable")
+        self.n, self.items = n, owner[order]
+        self.table, first = np.unique(every[order], return_index=True)
+        self.first = np.append(first, len(every))
+        self.bits = np.zeros(1 << _FILTER_BITS, bool)
+        self.bits[(self.table >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
 
+    def __call__(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Positions found, and the range of ``items`` of each."""
+        g = _ngrams(h, self.n)
+        at = np.flatnonzero(self.bits[(g >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
+        found = np.minimum(np.searchsorted(self.table, g[at]), len(self.table) - 1)
+        hit = self.table[found] == g[at]
+        return at[hit], self.first[found[hit]], self.first[found[hit] + 1]
 
-class Seeds:
-    def __init__(self, block: Items, grams: np.ndarray, items: np.ndarray, at: np.ndarray):
-        self.block, self.grams, self.items, self.at = block, grams, items, at
 
+class Items:
+    """A block of test items: word hashes, and the n-grams that propose them.
 
-class _Lookup:
-    """Positions of a text whose n-grams are in a sorted table; a bit table answers most 'no's."""
+    A document may hold item k if ``need[k]`` places of its n-grams stand
+    within ``reach[k]`` words.
+    """
 
-    def __init__(self, sizes: list[int], table: np.ndarray):
-        self.sizes, self.table = sizes, np.unique(table)
-        self.bits = np.zeros(1 << _FILTER_BITS, bool)
-        self.bits[(self.table >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
-
-    def __call__(self, h: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(positions, n-grams) found, per n-gram size."""
-        for n in self.sizes:
-            g = _ngrams(h, n)
-            at = np.flatnonzero(self.bits[(g >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
-            if len(at):
-                found = np.searchsorted(self.table, g[at])
-                at = at[self.table[np.minimum(found, len(self.table) - 1)] == g[at]]
-                yield at, g[at]
+    def __init__(self, ids: list, texts: list[bytes], min_score: float):
+        hashed = [(i, _word_hashes(t)) for i, t in zip(ids, texts)]
+        self.ids = [i for i, h in hashed if len(h)]
+        self.words = [h for _, h in hashed if len(h)]
+        need, reach, sizes = [], [], []
+        for h in self.words:
+            pairs = ceil((2 * min_score - 1) * len(h) - 1 - 1e-6)
+            if len(h) < NGRAM:
+                n, least = len(h), 1
+            else:
+                n, least = (2, pairs) if pairs > 0 else (1, max(1, ceil(min_score * len(h) - 1e-6)))
+            sizes.append(n)
+            need.append(least)
+            reach.append(max(len(h), int((3 - 2 * min_score) * len(h) + 1e-6)))
+        self.need, self.reach = np.array(need, np.int64), np.array(reach, np.int64)
+        self.lookups = []
+        for n in sorted(set(sizes)):
+            own = [k for k, size in enumerate(sizes) if size == n]
+            self.lookups.append(_Lookup(n, [np.unique(_ngrams(self.words[k], n)) for k in own], own))
 
 
 def align(item: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Best local score of ``item`` in each row of ``passages`` (0: padding), and the column where it ends."""
+    """Best local score of ``item`` in each row of ``passages`` (0: padding), and the column where it ends.
+
+    ``item`` is one item for all rows, or one of the same length per row.
+    """
     n, m = passages.shape
-    steps = GAP * np.arange(m + 1)
-    above = np.zeros((n, m + 1), np.int64)
+    steps = (GAP * np.arange(m + 1)).astype(np.int32)
+    above = np.zeros((n, m + 1), np.int32)
     best, end = np.zeros(n, np.int64), np.zeros(n, np.int64)
-    for word in item:
-        row = np.zeros((n, m + 1), np.int64)
-        row[:, 1:] = np.maximum(above[:, :-1] + np.where(passages == word, MATCH, MISMATCH), above[:, 1:] + GAP)
+    for word in item.reshape(-1, item.shape[-1], 1).swapaxes(0, 1):
+        row = np.zeros((n, m + 1), np.int32)
+        row[:, 1:] = np.maximum(above[:, :-1] + np.where(passages == word, np.int32(MATCH), np.int32(MISMATCH)), above[:, 1:] + GAP)
         np.maximum(row, 0, out=row)
         row = np.maximum.accumulate(row - steps, axis=1) + steps  # gaps along the passage
         column = row.argmax(axis=1)
@@ -123,88 +131,95 @@ def align(item: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return best, end
 
 
-def _passages(h: np.ndarray, lookup: _Lookup, seeds: Seeds) -> Iterator[tuple[int, int, int]]:
-    """(item, start, stop): merged windows around the seed hits of each item."""
-    windows: dict[int, list[tuple[int, int]]] = {}
-    for at, grams in lookup(h):
-        lo, hi = np.searchsorted(seeds.grams, grams, "left"), np.searchsorted(seeds.grams, grams, "right")
-        for p, a, b in zip(at.tolist(), lo.tolist(), hi.tolist()):
-            for s in range(a, b):
-                k, q = int(seeds.items[s]), int(seeds.at[s])
-                size = len(seeds.block.words[k])
-                slack = size // 4 + 2
-                windows.setdefault(k, []).append((max(0, p - q - slack), min(len(h), p - q + size + slack)))
-    for k, spans in windows.items():
-        spans.sort()
-        start, stop = spans[0]
-        for a, b in spans[1:]:
-            if a > stop - 1 or b - start > 4 * len(seeds.block.words[k]) + 16:
-                yield k, start, stop
-                start, stop = a, b
-            stop = max(stop, b)
-        yield k, start, stop
-
-
-def _score(found: list[tuple[int, int, np.ndarray, int]], seeds: Seeds) -> list[tuple[int, int, float, int]]:
-    """(row, item, score, end word) of the windows (row, item, words, offset), aligned item by item."""
-    by_item: dict[int, list] = {}
+def _stretches(at: np.ndarray, total: np.ndarray, span: int) -> Iterator[tuple[int, int]]:
+    """Ranges of hits, about ``_HITS`` by their running ``total``; hits within ``span`` share one of them."""
+    i = j = 0
+    while j < len(at):
+        enough = int(np.searchsorted(total, (total[i - 1] if i else 0) + _HITS))
+        j = max(j + 1, enough, int(np.searchsorted(at, at[j] + span)))
+        yield i, j
+        if j < len(at):
+            i = int(np.searchsorted(at, at[j] - span))
+
+
+def _passages(texts: list[np.ndarray], items: Items) -> Iterator[tuple[int, int, int, int]]:
+    """(text, item, start, stop): merged passages of the texts in which an item's n-grams stand close enough."""
+    ends = np.cumsum([0, *map(len, texts)])
+    h, owner = np.concatenate(texts), np.repeat(np.arange(len(texts)), np.diff(ends))
+    apart = int(items.reach.max()) + 1  # no passage reaches from a text into the next
+    made = []
+    for lookup in items.lookups:
+        at, lo, hi = lookup(h)
+        whole = owner[at] == owner[at + lookup.n - 1]
+        at, lo, hi = at[whole], lo[whole], hi[whole]
+        place = at + owner[at] * apart
+        for i, j in _stretches(place, np.cumsum(hi - lo), apart):
+            n = hi[i:j] - lo[i:j]
+            item = lookup.items[np.arange(n.sum()) + np.repeat(lo[i:j] - (np.cumsum(n) - n), n)]
+            order = np.argsort(item, kind="stable")
+            item, p, row = item[order], np.repeat(place[i:j], n)[order], np.repeat(owner[at[i:j]], n)[order]
+            last = np.arange(len(item)) + items.need[item] - 1
+            k = np.flatnonzero(last < len(item))
+            k = k[(item[last[k]] == item[k]) & (p[last[k]] - p[k] <= items.reach[item[k]] - lookup.n)]
+            reach, base = items.reach[item[k]], ends[row[k]] + row[k] * apart
+            start = np.maximum(p[last[k]] + lookup.n - reach - base, 0)
+            stop = np.minimum(p[k] + reach - base, ends[row[k] + 1] - ends[row[k]])
+            made.append(np.stack([row[k], item[k], start, stop]))
+    if not made:
+        return
+    windows = np.concatenate(made, axis=1)
+    windows = windows[:, np.lexsort(windows[::-1])]
+    pair, start, stop = None, 0, 0
+    for row, k, a, b in windows.T.tolist():
+        if pair != (row, k) or a > stop - 1 or b - start > 4 * len(items.words[k]) + 16:
+            if pair:
+                yield *pair, start, stop
+            pair, start, stop = (row, k), a, b
+        stop = max(stop, b)
+    if pair:
+        yield *pair, start, stop
+
+
+def _score(found: list[tuple[int, int, int, int]], texts: list[np.ndarray], items: Items) -> Iterator[tuple[int, int, float, int]]:
+    """(text, item, score, end word) of the passages, those of items of one length aligned together."""
+    by_size: dict[int, list] = {}
     for x in found:
-        by_item.setdefault(x[1], []).append(x)
-    out = []
-    for k, group in by_item.items():
-        item = seeds.block.words[k] + np.uint64(1)
-        widest = max(len(x[2]) for x in group)
-        step = max(1, _ALIGN_CELLS // (widest + 1))
-        for at in range(0, len(group), step):
+        by_size.setdefault(len(items.words[x[1]]), []).append(x)
+    for size, group in by_size.items():
+        group.sort(key=lambda x: x[3] - x[2])
+        at = 0
+        while at < len(group):
+            step = max(1, _ALIGN_CELLS // (4 * (group[at][3] - group[at][2]) + 1))
             part = group[at:at + step]
-            table = np.zeros((len(part), widest), np.uint64)
-            for r, x in enumerate(part):
-                table[r, :len(x[2])] = x[2] + np.uint64(1)
+            table = np.zeros((len(part), max(x[3] - x[2] for x in part)), np.uint64)
+            for r, (row, _, a, b) in enumerate(part):
+                table[r, :b - a] = texts[row][a:b] + np.uint64(1)
+            item = np.stack([items.words[x[1]] for x in part]) + np.uint64(1)
             best, end = align(item, table)
-            out += [(x[0], k, b / (MATCH * len(item)), x[3] + e) for x, b, e in zip(part, best.tolist(), end.tolist())]
-    return out
-
+            for x, score, e in zip(part, best.tolist(), end.tolist()):
+                yield x[0], x[1], score / (MATCH * size), x[2] + e
+            at += step
 
-def _count_grams(docs: DataFrame, block) -> DataFrame:
-    """(gram, n): how often each n-gram of the block stands in the corpus."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = shipped(block)
-        table = items.all_grams
-        lookup, total = _Lookup(items.sizes, table), np.zeros(len(table), np.int64)
-        for batch in batches:
-            for text in text_bytes(batch.column(0)):
-                for _, grams in lookup(_word_hashes(text)):
-                    np.add.at(total, np.searchsorted(table, grams), 1)
-        hit = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(table[hit].view(np.int64)), pa.array(total[hit])], names=["gram", "n"])
-
-    return docs.mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def _match(docs: DataFrame, seeds, item_type: T.DataType, min_score: float) -> DataFrame:
-    """(id, item_id, score, first_word, end_word): the best passage of each contaminated pair."""
+def _match(docs: DataFrame, block, item_type: T.DataType, min_score: float) -> DataFrame:
+    """(id, item_id, score, end_word): the best passage of each contaminated pair."""
     schema = T.StructType([docs.schema["id"], T.StructField("item_id", item_type), T.StructField("score", T.DoubleType()),
                            T.StructField("end_word", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chosen = shipped(seeds)
-        lookup = _Lookup(chosen.block.sizes, chosen.grams)
+        items = shipped(block)
         for batch in batches:
             texts = text_bytes(batch.column(1))
             for lo, hi in pieces(texts):
-                found = []
-                for row in range(lo, hi):
-                    h = _word_hashes(texts[row])
-                    found += [(row, k, h[a:b], a) for k, a, b in _passages(h, lookup, chosen)]
+                words = [_word_hashes(t) for t in texts[lo:hi]]
                 best: dict[tuple[int, int], tuple[float, int]] = {}
-                for row, k, score, end in _score(found, chosen):
+                for row, k, score, end in _score(list(_passages(words, items)), words, items):
                     if score >= min_score:
                         best[row, k] = max(best.get((row, k), (0.0, 0)), (score, -end))
                 pairs = sorted(best)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array([r for r, _ in pairs], pa.int64())),
-                     pa.array([chosen.block.ids[k] for _, k in pairs], arrow_item),
+                    [batch.column(0).take(pa.array([lo + r for r, _ in pairs], pa.int64())),
+                     pa.array([items.ids[k] for _, k in pairs], arrow_item),
                      pa.array([best[x][0] for x in pairs], pa.float64()), pa.array([-best[x][1] for x in pairs], pa.int64())],
                     names=schema.names)
 
@@ -236,13 +251,9 @@ def contaminated_pairs(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc
     kind = benchmark.schema[item_id].dataType
     parts = []
     for ids, texts in _blocks(benchmark, item_id, item_text):
-        items = Items(ids, texts)
-        if not items.ids:
-            continue
-        counts = {r["gram"] & ((1 << 64) - 1): r["n"]
-                  for r in _count_grams(slim.select("text"), ship(spark, items)).toLocalIterator()}
-        seeds = ship(spark, items.choose(counts))
-        parts.append(_match(slim, seeds, kind, min_score))
+        items = Items(ids, texts, min_score)
+        if items.ids:
+            parts.append(_match(slim, ship(spark, items), kind, min_score))
     if not parts:
         empty = T.StructType([T.StructField(doc_id, docs.schema[doc_id].dataType), T.StructField("item_id", kind),
                               T.StructField("score", T.DoubleType()), T.StructField("end_word", T.LongType())])

@@ -68,3 +68,29 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert D.contaminated_pairs(no_docs, items).count() == 0
     assert D.contaminated_pairs(odd_docs, items.limit(0)).count() == 0
     assert D.drop_contaminated(odd_docs, items.limit(0)).count() == odd_docs.count()
+
+
+def test_every_pair_over_the_threshold_is_found(spark):
+    """Copies with one word in every four to seven replaced, split or dropped, beside exact copies and clean texts."""
+    rng = random.Random(9)
+    items = {size: [f"item{size}x{rng.randint(0, 60)}" for _ in range(size)] for size in (4, 5, 6, 15, 40)}
+    texts = []
+    for words in items.values():
+        for every in (2, 3, 4, 5, 6, 7, 99):
+            for kind in range(3):
+                copy = []
+                for i, w in enumerate(words):
+                    edit = i % every == every - 1
+                    copy += [[f"other{rng.random()}"], [w, "extra"], []][kind] if edit else [w]
+                start = [f"own{rng.randint(0, 9)}" for _ in range(rng.randint(0, 80))]
+                texts.append(" ".join([*start, *copy, *start[::-1]]))
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in D.contaminated_pairs(docs_of(spark, texts), bench).collect()}
+    want = {}
+    for d, t in enumerate(texts):
+        for k, w in items.items():
+            score = slow_align(w, t.split()) / (2 * k)
+            if score >= D.MIN_SCORE:
+                want[d, k] = score
+    assert got == want
+    assert all((d, 40) in want for d in range(4 * 21 + 9, 5 * 21))  # one edit in five or more, and the whole
