@@ -25,7 +25,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without chunks of lines that stand elsewhere already."""
+    """Texts without runs of lines that stand elsewhere already."""
     tuned(spark)
     return line_dedup.drop_repeats(docs)
 

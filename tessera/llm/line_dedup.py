@@ -1,6 +1,13 @@
-"""Line dedup by content-defined chunks of lines.
+"""Line dedup by repeated runs of lines, or by content-defined chunks of lines.
 
-A text is cut at newlines. A rolling hash over the hashes of the last
+The query and the pipeline remove runs (``runs=True``): every ``MIN_LINES``
+neighbouring lines, overlapping, and every line of ``LONG_WORDS`` words or
+``LONG_BYTES`` bytes alone are looked up in the corpus, so a shared passage goes
+whole wherever it begins and ends. These runs cover all that chunks remove.
+Without ``runs`` only chunks are looked up, which is less to move but misses
+passages that no chunk boundary happens to enclose.
+
+For chunks a text is cut at newlines. A rolling hash over the hashes of the last
 ``SPAN`` lines closes a chunk where it falls on zero modulo ``DIVISOR`` (and
 at ``MAX_LINES`` at the latest), so a boundary depends on the lines just ahead
 of it only and shared passages are cut alike wherever they stand. A chunk that
@@ -10,10 +17,10 @@ shared passage begins or ends between two boundaries, the lines next to the
 chunk go too, as far as they equal those next to the first place, byte for
 byte; the search covers the chunk and ``SPAN`` - 1 lines before and the chunk
 after, which hold all the lines that the surroundings can have shifted. Only
-runs of ``MIN_LINES`` lines or more go: a single line that repeats alone stays.
-Every line that goes has an equal one at a smaller place.
+chunks of ``MIN_LINES`` lines or more go. Either way a short line that repeats
+alone stays, and every line that goes has an equal one at a smaller place.
 
-Hashes only propose. A first scan counts the hashes of all chunks; those that
+Hashes only propose. A first scan counts the hashes of all chunks or runs; those that
 occur twice set bits in a table of fixed size. A second scan gives out the
 bytes of the chunks whose bit is set, with the lines beside them, and these
 are grouped by hash and bytes, so neither a collision nor a crowded table ever
@@ -45,6 +52,8 @@ SPAN = 2
 DIVISOR = 2
 MIN_LINES = 2
 MAX_LINES = 64
+LONG_WORDS = 50
+LONG_BYTES = 300
 FILTER_LOG2 = 24
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
@@ -76,18 +85,28 @@ def _chunks(text: bytes) -> Iterator[tuple[int, int, bytes, list[bytes], list[by
         yield start, end - start, b"\n".join(lines[start:end]), before, lines[end:cuts[min(k + 2, len(cuts) - 1)]]
 
 
-def _chunk_hashes(texts: DataFrame) -> DataFrame:
+def _runs(text: bytes) -> Iterator[tuple[int, int, bytes, list[bytes], list[bytes]]]:
+    """Like ``_chunks``, of each ``MIN_LINES`` neighbouring lines and each long line; nothing beside them is needed."""
+    lines = text.split(b"\n")
+    for k in range(len(lines) - MIN_LINES + 1):
+        yield k, MIN_LINES, b"\n".join(lines[k:k + MIN_LINES]), [], []
+    for k, line in enumerate(lines):
+        if len(line) >= LONG_BYTES or len(line) >= 2 * LONG_WORDS - 1 and len(line.split()) >= LONG_WORDS:
+            yield k, 1, line, [], []
+
+
+def _chunk_hashes(texts: DataFrame, cut=_chunks) -> DataFrame:
     """(chunk): the hash of each chunk of the texts in the only column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [xxhash.xxh64_intdigest(c[2], 1) for t in text_bytes(batch.column(0)) for c in _chunks(t)]
+            found = [xxhash.xxh64_intdigest(c[2], 1) for t in text_bytes(batch.column(0)) for c in cut(t)]
             yield pa.RecordBatch.from_arrays([pa.array(np.array(found, np.uint64).view(np.int64))], names=["chunk"])
 
     return texts.mapInArrow(run, "chunk bigint")
 
 
-def _chunk_rows(keyed: DataFrame, table, log2: int) -> DataFrame:
+def _chunk_rows(keyed: DataFrame, table, log2: int, cut=_chunks) -> DataFrame:
     """(id, h, chunk, at, n, body, before, after) of the chunks whose hash may be in the bit table."""
     line = T.StringType()
     fields = [keyed.schema["id"], keyed.schema["h"], T.StructField("chunk", T.LongType()),
@@ -99,7 +118,7 @@ def _chunk_rows(keyed: DataFrame, table, log2: int) -> DataFrame:
         for batch in batches:
             texts = text_bytes(batch.column(2))
             for lo, hi in pieces(texts):
-                found = [(i, *c) for i in range(lo, hi) for c in _chunks(texts[i])]
+                found = [(i, *c) for i in range(lo, hi) for c in cut(texts[i])]
                 chunk = np.array([xxhash.xxh64_intdigest(c[3], 1) for c in found], np.uint64).view(np.int64)
                 kept = np.flatnonzero(in_bit_table(table.value, chunk, log2))
                 found, chunk = [found[k] for k in kept.tolist()], chunk[kept]
@@ -119,14 +138,15 @@ def _alike(a: Column, b: Column) -> Column:
     return F.when(differ > 0, differ - 1).otherwise(F.size(a))
 
 
-def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", runs: bool = False) -> DataFrame:
     """(key, h, gone): for each document (id key, text hash) that loses lines the spans (at, n) to cut; they may overlap."""
     keyed = docs.select(F.struct(null_safe(F.col(doc_id)).alias("key"), F.col(doc_id).alias("id")).alias("id"),
                         F.xxhash64(text).alias("h"), F.col(text).alias("text"))
-    twice = _chunk_hashes(keyed.select("text")).groupBy("chunk").count().filter("count > 1").select("chunk")
+    cut, least = (_runs, 1) if runs else (_chunks, MIN_LINES)
+    twice = _chunk_hashes(keyed.select("text"), cut).groupBy("chunk").count().filter("count > 1").select("chunk")
     table = docs.sparkSession.sparkContext.broadcast(bit_table(twice, FILTER_LOG2))
     # Rows equal in id and text share their places: they propose chunks, but remove none.
-    bodies = materialize(_chunk_rows(keyed, table, FILTER_LOG2), "line_bodies")
+    bodies = materialize(_chunk_rows(keyed, table, FILTER_LOG2, cut), "line_bodies")
     place = F.struct(F.col("id.id").isNull().alias("none"), F.col("id.id").alias("id"), "h", "at")
     bodies = bodies.withColumn("place", place)
     first = (bodies.groupBy("chunk", "body").agg(F.min(F.struct("place", "before", "after")).alias("first"), F.count("*").alias("places"))
@@ -137,13 +157,13 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     back, on = _alike(F.col("before"), F.col("first.before")), _alike(F.col("after"), F.col("first.after"))
     spans = later.select(F.col("id.key").alias("key"), "h", "at", "n", back.alias("back"), on.alias("on"))
     span = F.struct((F.col("at") - F.col("back")).alias("at"), (F.col("n") + F.col("back") + F.col("on")).alias("n"))
-    return spans.select("key", "h", span.alias("span")).filter(F.col("span.n") >= MIN_LINES).groupBy("key", "h").agg(F.collect_set("span").alias("gone"))
+    return spans.select("key", "h", span.alias("span")).filter(F.col("span.n") >= least).groupBy("key", "h").agg(F.collect_set("span").alias("gone"))
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                removed: str = "n_removed_lines") -> DataFrame:
-    """``docs`` with repeated chunks cut from the text, and the number of lines cut."""
-    gone = materialize(repeated_lines(docs, doc_id, text), "line_gone")
+                removed: str = "n_removed_lines", runs: bool = False) -> DataFrame:
+    """``docs`` with repeated chunks (``runs``: runs) cut from the text, and the number of lines cut."""
+    gone = materialize(repeated_lines(docs, doc_id, text, runs), "line_gone")
     key, hash_, list_, key2, hash2 = (fresh(docs, c) for c in ("__key", "__h", "__gone", "__key2", "__h2"))
     gone = gone.toDF(key2, hash2, list_)
     out = docs.withColumn(key, null_safe(F.col(doc_id))).withColumn(hash_, F.xxhash64(text))
@@ -161,9 +181,9 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def drop_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", n_chars: str = "n_chars") -> DataFrame:
-    """Pipeline form: texts without repeated chunks; a document left without any word goes."""
+    """Pipeline form: texts without repeated runs; a document left without any word goes."""
     removed = fresh(docs, "__removed")
-    out = dedup_lines(docs, doc_id, text, removed)
+    out = dedup_lines(docs, doc_id, text, removed, runs=True)
     out = out.filter((F.col(removed) == 0) | F.col(text).rlike(r"[^\x20\x09-\x0D]"))
     if n_chars in docs.columns:
         out = out.withColumn(n_chars, F.when(F.col(removed) == 0, F.col(n_chars)).otherwise(F.length(text)))

@@ -59,8 +59,8 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's text without the repeated chunks of lines, and the lines cut."""
-    return line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    """Every document's text without the repeated runs of lines, and the lines cut."""
+    return line_dedup.dedup_lines(documents(spark, sf_dir).select("doc_id", "text"), runs=True)
 
 
 def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,3 +98,41 @@ def test_many_spans_of_a_long_text(spark):
     rows = [(1, "\n".join(lines), "en", "s", 0), (2, "\n".join(lines[:30_000] + ["new"] + lines[30_000:]), "en", "s", 0)]
     got = {r["doc_id"]: r for r in L.dedup_lines(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got[1]["text"] == rows[0][1] and got[2]["text"] == "new" and got[2]["n_removed_lines"] == 60_000
+
+
+def slow_runs(rows):
+    """Texts without neighbouring lines, and long lines, that stand at an earlier (id, position)."""
+    seen, out = set(), {}
+    for i, t in sorted(rows):
+        lines, cut = t.split("\n"), set()
+        for n in (1, 2):
+            for k in range(len(lines) - n + 1):
+                run = tuple(lines[k:k + n])
+                if n == 2 or len(run[0].split()) >= 50 or len(run[0].encode()) >= 300:
+                    cut |= set(range(k, k + n)) if run in seen else set()
+                    seen.add(run)
+        out[i] = "\n".join(x for k, x in enumerate(lines) if k not in cut)
+    return out
+
+
+def test_runs_equal_brute_force(spark, sf_docs):
+    rows = [(r["doc_id"], r["text"]) for r in sf_docs.collect()]
+    got = {r["doc_id"]: r["text"] for r in L.dedup_lines(sf_docs, runs=True).collect()}
+    assert got == slow_runs(rows) and all(len(got[i]) <= len(t) for i, t in brute(rows).items())
+
+
+def test_passages_of_every_length_go(spark):
+    """Shared passages of 1 to 8 lines and over 50 words, at different places of otherwise different documents."""
+    rows = []
+    for n in range(1, 9):
+        for p in range(10):
+            passage = [f"Passage {n} {p} line {k} " + " ".join(f"word{p}" for _ in range(60 // n)) for k in range(n)]
+            for d in range(3):
+                own = [[f"Own line {n} {p} {d} {k} {side}." for k in range((p + d) % 4 + 1)] for side in "ab"]
+                rows.append((len(rows), "\n".join([*own[0], *passage, *own[1]]), "en", "s", 0))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = {r["doc_id"]: r["text"].split("\n") for r in L.dedup_lines(docs, runs=True).collect()}
+    left = {r["doc_id"]: r["text"].split("\n") for r in L.drop_repeats(docs).collect()}
+    for i, t, *_ in rows:
+        lines = t.split("\n")
+        assert got[i] == left[i] == (lines if i % 3 == 0 else [x for x in lines if x.startswith("Own")])
