@@ -1,7 +1,8 @@
 """Quality rules, line first: bad lines go, then documents that lost too much text.
 
 Each line is judged alone by punctuation, navigation, boilerplate, symbol,
-shouting and repetition rules. Failing lines are removed; a document goes when
+shouting and repetition rules, however short it is; only repetition and missing
+punctuation need a number of words. Failing lines are removed; a document goes when
 the words removed hold more than ``MAX_LOST`` of its word characters. Before
 that come two whole-document rules: fewer than ``MIN_WORDS`` words, or more
 than ``MAX_REPEAT`` of the words standing in 8-word windows that the text
@@ -44,7 +45,7 @@ def line_fails(line: bytes) -> bool:
     """True if the line breaks one of the line rules. Blank lines pass."""
     words = line.split()
     n = len(words)
-    if n < 3:
+    if n == 0:
         return False
     if sum(1 for w in words if _SEPARATOR.fullmatch(w)) * 5 >= n:  # navigation
         return True

@@ -65,3 +65,19 @@ def test_odd_rows(odd_docs, no_docs):
     assert Q.keep_clean(odd_docs).columns == odd_docs.columns
     assert [r["doc_id"] for r in Q.keep_clean(odd_docs).collect()] == [4] or Q.keep_clean(odd_docs).count() >= 1
     assert Q.judge_documents(no_docs).count() == 0 and Q.keep_clean(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("line,bad", [
+    ("Cookie Policy", True), ("Privacy policy", True), ("Lorem ipsum", True), ("click here", True), ("Read more...", True),
+    ("Home >", True), ("### ***", True), ("|", True), ("STOP!! NOW!!", True),
+    ("Two words", False), ("Introduction", False), ("same same", False), (" \t", False), ("Chapter 2", False)])
+def test_rules_hold_on_short_lines(line, bad):
+    assert Q.line_fails(line.encode()) is bad
+
+
+def test_documents_of_short_boilerplate_go(spark):
+    good = "\n".join(f"Sentence {i} says{i} of decent{i} text, and ends{i} well." for i in range(6))
+    menu = "\n".join(f"Section{i} >" for i in range(30))
+    docs = spark.createDataFrame([(1, good + "\nCookie policy"), (2, good + "\n" + menu + "\nPrivacy policy")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in Q.judge_documents(docs).collect()}
+    assert got[1]["kept"] and got[1]["clean_text"] == good and not got[2]["kept"] and not got[2]["base_failed"]
