@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import (
-    chat_format, decontaminate, language_id, license_scan, line_dedup, mixing, pii, quality_rules, simhash, toxicity, turn_repair,
+    chat_format, collocations, decontaminate, language_id, license_scan, line_dedup, mixing, pii, quality_rules, simhash, toxicity, turn_repair,
 )
 from tessera.llm.common import documents, tuned
 
@@ -76,6 +76,11 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_licenses(documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's best phrases of two and three words."""
+    return collocations.collocations(documents(spark, sf_dir))
+
+
 def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults, cost, audit and digest of the repair of every conversation, after the contract's damage."""
     return turn_repair.repair_report(turn_repair.damage(table(spark, sf_dir, "conversations")))
@@ -99,8 +104,13 @@ QUERIES: dict[str, Builder] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_chat_format": op9_chat_format,
     "op10_license_scan": op10_license_scan,
+    "op11_collocations": op11_collocations,
     "op13_turn_repair": op13_turn_repair,
     "pipeline": pipeline,
 }
 
-ORACLES: dict[str, str] = {"op9_chat_format": chat_format.ORACLE, "op13_turn_repair": turn_repair.ORACLE}
+ORACLES: dict[str, str] = {
+    "op9_chat_format": chat_format.ORACLE,
+    "op11_collocations": collocations.ORACLE,
+    "op13_turn_repair": turn_repair.ORACLE,
+}
