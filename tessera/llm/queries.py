@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import (
-    chat_format, collocations, decontaminate, language_id, license_scan, line_dedup, mixing, pii, quality_rules, simhash, toxicity, turn_repair,
+    chat_format, collocations, decontaminate, html_extract, language_id, license_scan, line_dedup, mixing, pii, quality_rules, simhash, toxicity, turn_repair,
 )
 from tessera.llm.common import documents, tuned
 
@@ -81,6 +81,12 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(documents(spark, sf_dir))
 
 
+def op12_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    made = html_extract.extract(table(spark, sf_dir, "pages"))
+    return made.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults, cost, audit and digest of the repair of every conversation, after the contract's damage."""
     return turn_repair.repair_report(turn_repair.damage(table(spark, sf_dir, "conversations")))
@@ -105,6 +111,7 @@ QUERIES: dict[str, Builder] = {
     "op9_chat_format": op9_chat_format,
     "op10_license_scan": op10_license_scan,
     "op11_collocations": op11_collocations,
+    "op12_html_extract": op12_html_extract,
     "op13_turn_repair": op13_turn_repair,
     "pipeline": pipeline,
 }
