@@ -14,7 +14,7 @@ Copies of an article must not pass for a template: pages with the same main text
 count as one page, a paragraph inside an article is never a candidate, and a
 container there only while it holds less than half of the article's text.
 
-Hashes (16 bytes) and page keys are what Spark counts and joins; a host's hashes
+Hashes (16 bytes) and page keys (8 bytes) are what Spark counts and joins; a host's hashes
 are spread by their value, so a host may hold any share of the pages. Pages move
 once, compressed, to meet the hashes to delete; no list of templates passes
 through the driver or a broadcast.
@@ -311,7 +311,7 @@ def _parsed(batch: pa.RecordBatch, host: int, text: int) -> Iterator[tuple[int,
 
 def subtrees(pages: DataFrame) -> DataFrame:
     """(host, page, article, subtree) of keyed (host, page, html): the hashes of each page's candidates, once a page."""
-    schema = T.StructType([pages.schema["host"], pages.schema["page"], T.StructField("article", T.BinaryType()), T.StructField("subtree", T.BinaryType())])
+    schema = T.StructType([pages.schema["host"], pages.schema["page"], T.StructField("article", T.LongType()), T.StructField("subtree", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -319,10 +319,11 @@ def subtrees(pages: DataFrame) -> DataFrame:
             for k, tree in _parsed(batch, 0, 2):
                 digests = {n.digest for n in _candidates(tree, _roots(tree))}
                 row += [k] * len(digests)
-                article += [xxhash.xxh3_128_digest(main_text(tree).encode("utf-8", "surrogatepass"))] * len(digests)
+                same = xxhash.xxh3_64_intdigest(main_text(tree).encode("utf-8", "surrogatepass")) - (1 << 63)
+                article += [same] * len(digests)
                 found += digests
             at = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(article, pa.binary()),
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(1).take(at), pa.array(article, pa.int64()),
                                               pa.array(found, pa.binary())], names=schema.names)
 
     return pages.mapInArrow(run, schema)
@@ -342,11 +343,12 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", text:
     """``page_id``, ``url`` and the main ``text`` of every page, its site's template removed."""
     tuned(pages.sparkSession)
     host = host_of(F.col(url).cast("string"))
-    page = F.unhex(F.md5(F.concat_ws("\n", F.coalesce(host, F.lit("\n")), F.coalesce(F.col(text), F.lit(""))).cast("binary")))
+    # A page's key only leads hashes back to pages; what it doesn't hold deletes nothing in it.
+    page = F.xxhash64(host, text)
     keyed = pages.select(host.alias("host"), page.alias("page"), F.col(text).alias("html"))
     found = materialize(subtrees(keyed), "html_subtrees")
     often = materialize(templates(found), "html_templates")
-    hits = (found.select("page", "subtree").distinct().join(often.hint("merge"), "subtree")
+    hits = (found.select("page", "subtree").join(often.hint("merge"), "subtree")
             .groupBy(F.col("page").alias("__page")).agg(F.collect_set("subtree").alias("template")))
     names = (page_id, url, "text")
     small = _compressed(pages.select(F.col(page_id).alias("id"), F.col(url).alias("url"), host.alias("host"), page.alias("page"), F.col(text).alias("html")))
