@@ -48,7 +48,7 @@ RANKS, TILE = 1 << 16, 256
 #: Ids of a tile before it is worth a dense count.
 DENSE = 4096
 WORD_BYTES = 64
-FILTER_LOG2 = 25
+FILTER_LOG2 = 24
 TOKENS_AT_ONCE = 2_000_000
 SHARES = 64
 #: Id of an end of a piece and of a word that can't be in any phrase.
@@ -125,12 +125,12 @@ def _most_frequent(counts: DataFrame) -> DataFrame:
     return counts.filter(F.lit(False) if least is None else F.col("n") >= least)
 
 
-def _vocabulary(counts: DataFrame, min_count: int) -> tuple[DataFrame, DataFrame, int]:
-    """(ranked, rest): (id, lang, word, n) of the frequent words, and the seed of the hashes that are the ids of the rest."""
+def _vocabulary(counts: DataFrame, min_count: int) -> tuple[pa.Table, DataFrame, int]:
+    """The ranked words, (id, lang, word, n) of all frequent words, and the seed of the hashes that are the other ids."""
     ranked = _most_frequent(counts.filter((F.col("n") >= min_count) & (F.octet_length("word") <= WORD_BYTES)))
     rows = ranked.select("lang", "word", "n").toArrow().sort_by([("n", "descending"), ("lang", "ascending"), ("word", "ascending")])
     rows = rows.add_column(0, "id", pa.array(np.arange(rows.num_rows)))
-    ranked = counts.sparkSession.createDataFrame(rows, "id long, lang string, word string, n long")
+    ranked = materialize(counts.sparkSession.createDataFrame(rows, "id long, lang string, word string, n long"), "collocation_ranked")
     for seed in range(8):
         h = F.xxhash64(F.lit(seed), "lang", "word").bitwiseAND(_HASH_BITS) + F.lit(-(1 << 63))
         hashed = counts.withColumn("id", h)
@@ -142,7 +142,7 @@ def _vocabulary(counts: DataFrame, min_count: int) -> tuple[DataFrame, DataFrame
         raise RuntimeError("no hash without a collision found")
     known = ranked.select("lang", "word").hint("broadcast")  # RANKS words of WORD_BYTES at most
     rest = hashed.filter(F.col("n") >= min_count).join(known, ["lang", "word"], "left_anti")
-    return ranked, materialize(rest.select("id", "lang", "word", "n"), "collocation_words"), seed
+    return rows, materialize(ranked.unionByName(rest.select("id", "lang", "word", "n")), "collocation_words"), seed
 
 
 def phrase_hash(ids: list[np.ndarray]) -> np.ndarray:
@@ -301,15 +301,12 @@ def cut_score(a: Column, left: Column, right: Column) -> Column:
     return F.call_function("div", F.lit(1_000_000).cast("decimal(7,0)") * whole(a) * whole(a), whole(left) * whole(right))
 
 
-def _with_words(phrases: DataFrame, size: int, ranked: DataFrame, rest: DataFrame) -> DataFrame:
+def _with_words(phrases: DataFrame, size: int, words: DataFrame) -> DataFrame:
     """The phrases with the language, and the text and count of each word (t1.., f1..)."""
     for k in range(1, size + 1):
-        key, made = F.col(f"w{k}"), []
-        for part, words in ((phrases.filter(key >= 0), ranked.hint("broadcast")), (phrases.filter(key < 0), rest)):
-            words = words.select(F.col("id").alias("__id"), F.col("lang").alias(f"lang{k}"), F.col("word").alias(f"t{k}"), F.col("n").alias(f"f{k}"))
-            made.append(part.join(words, key == F.col("__id")).drop("__id", f"lang{k}" if k > 1 else "__none"))
-        phrases = made[0].unionByName(made[1])
-    return phrases.withColumnRenamed("lang1", "lang")
+        table = words.select(F.col("id").alias("__id"), *[F.col("lang")] * (k == 1), F.col("word").alias(f"t{k}"), F.col("n").alias(f"f{k}"))
+        phrases = phrases.join(table, F.col(f"w{k}") == F.col("__id")).drop("__id")
+    return phrases
 
 
 def _with_part(phrases: DataFrame, parts: DataFrame, size: int, first: int, out: str) -> DataFrame:
@@ -329,11 +326,12 @@ def candidates(docs: DataFrame, text: str = "text", lang: str = "lang", min_coun
     spark = tuned(docs.sparkSession)
     texts = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(NO_LANGUAGE)).alias("lang"), F.col(text).alias("text"))
     counts = materialize(word_counts(texts), "collocation_vocabulary")
-    ranked, rest, seed = _vocabulary(counts, min_count)
+    ranked, frequent, seed = _vocabulary(counts, min_count)
     by_lang: dict[str, dict[bytes, int]] = {}
-    for row in ranked.toArrow().to_pylist():
-        by_lang.setdefault(row["lang"], {})[row["word"].encode()] = row["id"]
-    words = ship(spark, (by_lang, bit_table(rest.select("id"), FILTER_LOG2), seed))
+    for i, of, word in zip(ranked["id"].to_pylist(), ranked["lang"].to_pylist(), ranked["word"].cast(pa.binary()).to_pylist()):
+        by_lang.setdefault(of, {})[word] = i
+    words = ship(spark, (by_lang, bit_table(frequent.filter("id < 0").select("id"), FILTER_LOG2), seed))
+    del by_lang, ranked
     levels, sent, phrases = [], [], {}
     for size in range(2, max_words + 1):
         counted = _phrase_counts(texts, words, sent, size).filter(F.col("n") >= min_count)
@@ -343,12 +341,12 @@ def candidates(docs: DataFrame, text: str = "text", lang: str = "lang", min_coun
             sent.append(ship(spark, levels[-1]))
     totals = counts.groupBy(F.col("lang").alias("__lang")).agg(F.sum("n").alias("total"))
     return reduce(DataFrame.unionByName, [
-        _scored(phrases, size, ranked, rest).join(totals, F.col("lang") == F.col("__lang"))
+        _scored(phrases, size, frequent).join(totals, F.col("lang") == F.col("__lang"))
         .select("lang", "phrase", "a", "l", "r", F.col("total").alias("n"), "score", "longer") for size in phrases])
 
 
-def _scored(phrases: dict[int, DataFrame], size: int, ranked: DataFrame, rest: DataFrame) -> DataFrame:
-    made = _with_words(phrases[size].withColumnRenamed("n", "a"), size, ranked, rest)
+def _scored(phrases: dict[int, DataFrame], size: int, words: DataFrame) -> DataFrame:
+    made = _with_words(phrases[size].withColumnRenamed("n", "a"), size, words)
     cuts = []
     for k in range(1, size):
         for first, part, side in ((1, k, "l"), (k + 1, size - k, "r")):
@@ -388,7 +386,8 @@ WITH texts AS (
          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
   FROM documents),
 pieces AS (SELECT lang, unnest(string_split_regex(text, '[.,;:!?
--]')) AS piece FROM texts),
+-
+]')) AS piece FROM texts),
 said AS (SELECT lang, list_filter(string_split_regex(piece, '[ 	]+'), lambda w: w <> '') AS w FROM pieces),
 grams AS (
   SELECT lang, unnest(w) AS phrase, 1 AS size FROM said
