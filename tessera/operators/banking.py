@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.session import materialize
+from tessera.operators.settlement import BALANCE, LIMIT, accept_in_order, settle_requests
 from tessera.operators.windows import (
     MICROS_PER_HOUR, MICROS_PER_MINUTE, band_count, global_rank, prefix_sum, previous_max,
 )
@@ -242,126 +243,40 @@ def validate_transfers(requests: DataFrame, customers: DataFrame, accounts: Data
             .drop("__src_no", "__dst_no", "__cid", "__pf", "__pt", "__kf", "pair_rate", "kzt_rate"))
 
 
-def _fold_partition(batches):
-    """Sequential limit / balance rules over rows sorted by (sender, time, id).
-
-    Money arrives as integer cents. Rows of one sender are contiguous; state (spend per day, balance per
-    account) is kept only for the current sender, so memory stays bounded by
-    one sender's accounts and days, never by its number of rows.
-    """
-    import pandas as pd
-
-    sender = None
-    spent: dict = {}
-    balance: dict = {}
-    for pdf in batches:
-        codes = []
-        for row in pdf.itertuples(index=False):
-            if row.sender_id != sender:
-                sender, spent, balance = row.sender_id, {}, {}
-            day_key = row.day
-            used = spent.get(day_key, row.spent_before)
-            left = balance.get(row.src_account_id, row.src_balance)
-            if used + row.amount_kzt > row.daily_limit_kzt:
-                codes.append(ERR_LIMIT[0])
-            elif left < row.amount:
-                codes.append(ERR_BALANCE[0])
-            else:
-                codes.append(None)
-                spent[day_key] = used + row.amount_kzt
-                balance[row.src_account_id] = left - row.amount
-        yield pd.DataFrame({"request_id": pdf["request_id"], "error_code": codes})
-
-
-def _split_senders(cand: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Split every sender's requests into a certain head and a tail to fold.
-
-    Running usage is computed as if every earlier request were accepted: per
-    (sender, day) for the limit and per account for the balance. Actual usage
-    never exceeds it, so every request before the sender's first optimistic
-    violation is accepted for certain. The running sums are prefix sums split
-    by (partition, time bucket), so a busy sender is not one task. The tail
-    carries the state the head leaves behind (spend per day, balance per
-    account) in its ``spent_before`` / ``src_balance`` columns.
-    """
-    order = ["requested_at", "request_id"]
-    cum = prefix_sum(cand, order, "amount_kzt", "__cum_kzt", partition_by=["sender_id", "day"], rows_unique=True)
-    cum = prefix_sum(cum, order, "amount", "__cum_amt", partition_by=["src_account_id"], rows_unique=True)
-    position = F.struct("requested_at", "request_id")
-    over = ((F.col("spent_before") + F.col("__cum_kzt") > F.col("daily_limit_kzt"))
-            | (F.col("__cum_amt") > F.col("src_balance")))
-    first = cum.where(over).groupBy(F.col("sender_id").alias("__fs")).agg(F.min(position).alias("__first"))
-    marked = materialize(
-        cum.join(first, F.col("sender_id") == F.col("__fs"), "left")
-        .withColumn("__head", F.col("__first").isNull() | (position < F.col("__first")))
-        .drop("__fs", "__first", "__cum_kzt", "__cum_amt"), "transfer_marked")
-    head = marked.where("__head")
-    tail = marked.where(~F.col("__head"))
-    head_day = head.groupBy(F.col("sender_id").alias("__hs"), F.col("day").alias("__hd")).agg(
-        F.sum("amount_kzt").alias("__head_kzt"))
-    head_acct = head.groupBy(F.col("src_account_id").alias("__ha")).agg(F.sum("amount").alias("__head_amt"))
-    seeded = (tail.join(head_day, (F.col("sender_id") == F.col("__hs")) & (F.col("day") == F.col("__hd")), "left")
-              .join(head_acct, F.col("src_account_id") == F.col("__ha"), "left")
-              .withColumn("spent_before", F.col("spent_before") + F.coalesce("__head_kzt", F.lit(0)))
-              .withColumn("src_balance", F.col("src_balance") - F.coalesce("__head_amt", F.lit(0))))
-    return head, seeded
-
-
-def settle_transfers(validated: DataFrame, transactions: DataFrame, accounts: DataFrame) -> DataFrame:
+def settle_transfers(validated: DataFrame, transactions: DataFrame, accounts: DataFrame, live: bool = False) -> DataFrame:
     """J4 rules 6-7 over the requests that passed rules 0-5, then the outcome.
 
     Rule 6: completed spend of the sender today (existing transactions plus
     earlier accepted requests of the same day) + amount_kzt <= daily limit.
     Rule 7: source balance (minus earlier accepted debits) >= amount.
-    Requests are processed per sender in (requested_at, request_id) order;
-    credits are posted at batch end, so money received within the batch is not
-    spendable until the next batch.
-
-    One path for every sender: requests before the sender's first possible
-    violation are accepted as a set (``_split_senders``; all of them for most
-    senders). The requests after it are range-partitioned by sender, sorted, and
-    folded in a streaming pass (``mapInPandas``). The validated requests are
-    written once; both uses below read them back.
+    Requests are processed in (requested_at, request_id) order. With ``live``
+    each one is posted before the next is looked at, so money received within
+    the batch is spendable; else credits are posted at batch end.
+
+    Both rules are settled in rounds over all senders (``settlement``): no row
+    loop, no Python, and a busy sender is spread over tasks.
     """
-    validated = materialize(validated, "transfer_validated")
     owners = accounts.select(F.col("account_id").alias("__a"), F.col("customer_id").alias("__c"))
-    day = F.to_date("requested_at")
+    validated = materialize(
+        validated.withColumn("day", F.to_date("requested_at"))
+        .withColumn("credited", F.round(F.col("amount") * F.col("credit_rate"), 2).cast("decimal(18,2)")), "transfer_validated")
+    fine = validated.where(F.col("error_code").isNull())
     # Only (sender, day) pairs that occur in the batch need their earlier
     # spend: a semi join prunes the transaction history before aggregating.
-    wanted = validated.where(F.col("error_code").isNull()).select(
-        F.col("sender_id").alias("__wc"), day.alias("__wd")).distinct()
+    wanted = fine.select(F.col("sender_id").alias("__wc"), F.col("day").alias("__wd")).distinct()
     existing = (transactions.where(F.col("status") == "completed")
                 .join(owners, F.col("from_account_id") == F.col("__a"))
                 .withColumn("__d", F.to_date("created_at"))
                 .join(wanted, (F.col("__c") == F.col("__wc")) & (F.col("__d") == F.col("__wd")), "left_semi")
                 .groupBy(F.col("__c").alias("__sc"), F.col("__d").alias("__sd"))
                 .agg(F.sum("amount_kzt").alias("spent_before")))
-    # Every request with the sender's earlier spend that day; read by the
-    # set-based check, the fold and the final outcome, so computed once.
-    staged = materialize(
-        validated.withColumn("day", day)
-        .join(existing, (F.col("sender_id") == F.col("__sc")) & (F.col("day") == F.col("__sd")), "left")
-        .withColumn("spent_before", F.coalesce("spent_before", F.lit(0).cast("decimal(18,2)")))
-        .drop("__sc", "__sd"))
-    cand_all = staged.where(F.col("error_code").isNull())
-
-    head, to_fold = _split_senders(cand_all)
-    certain = [head.select("request_id", F.lit(None).cast("string").alias("error_code"))]
-    hard = to_fold.select(
-        "request_id", "sender_id", "src_account_id", "requested_at", "day",
-        *[(F.col(c) * 100).cast("long").alias(c)  # exact integer cents for the fold
-          for c in ("amount", "amount_kzt", "spent_before", "daily_limit_kzt", "src_balance")])
-    n = int(validated.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    folded = (hard.repartitionByRange(n, "sender_id")
-              .sortWithinPartitions("sender_id", "requested_at", "request_id")
-              .mapInPandas(_fold_partition, "request_id long, error_code string"))
-    fold_codes = folded
-    for part in certain:
-        fold_codes = fold_codes.unionByName(part)
-    fold_codes = fold_codes.withColumnRenamed("error_code", "__fold_code")
-
-    out = staged.join(fold_codes, "request_id", "left")
-    code = F.coalesce(F.col("error_code"), F.col("__fold_code"))
+    staged = (fine.join(existing, (F.col("sender_id") == F.col("__sc")) & (F.col("day") == F.col("__sd")), "left")
+              .withColumn("spent_before", F.coalesce("spent_before", F.lit(0).cast("decimal(18,2)"))).drop("__sc", "__sd"))
+    settled = settle_requests(staged, live).select(F.col("request_id").alias("__rid"), "outcome")
+
+    out = validated.join(settled, F.col("request_id") == F.col("__rid"), "left")
+    code = F.coalesce("error_code", F.when(F.col("outcome") == LIMIT, F.lit(ERR_LIMIT[0]))
+                      .when(F.col("outcome") == BALANCE, F.lit(ERR_BALANCE[0])))
     message = F.coalesce(F.col("message"),
                          F.when(code == ERR_LIMIT[0], F.lit(ERR_LIMIT[1]))
                          .when(code == ERR_BALANCE[0], F.lit(ERR_BALANCE[1])))
@@ -369,9 +284,7 @@ def settle_transfers(validated: DataFrame, transactions: DataFrame, accounts: Da
     return out.select(
         "request_id", "src_account_id", "dst_account_id", "sender_id", "amount", "amount_kzt", "credit_rate",
         F.when(ok, "completed").otherwise("failed").alias("status"),
-        code.alias("error_code"), message.alias("message"),
-        F.when(ok, F.round(F.col("amount") * F.col("credit_rate"), 2).cast("decimal(18,2)")).alias("credited"),
-    )
+        code.alias("error_code"), message.alias("message"), F.when(ok, F.col("credited")).alias("credited"))
 
 
 def post_transfers(accounts: DataFrame, settled: DataFrame) -> DataFrame:
@@ -461,7 +374,7 @@ def salary_batches(payments: DataFrame, customers: DataFrame, accounts: DataFram
     transactions), ``balances`` (accounts after credits and debits) and
     ``payments`` (every payment of a processed batch with its outcome).
     """
-    from tessera.operators.changes import accept_in_order, apply_moves
+    from tessera.operators.changes import apply_moves
 
     company = accounts.where(F.col("is_active") & (F.col("currency") == "KZT")).select(
         F.col("account_number").alias("__co_no"), F.col("account_id").alias("company_account_id"),
@@ -478,7 +391,7 @@ def salary_batches(payments: DataFrame, customers: DataFrame, accounts: DataFram
     message = (F.when(code == ERR_RECEIVER[0], F.concat(F.lit(head), F.coalesce("iin", F.lit("<NULL>")), F.lit(tail)))
                .when(code == ERR_AMOUNT_NULL[0], F.lit(ERR_AMOUNT_NULL[1]))
                .when(code == ERR_AMOUNT_POSITIVE[0], F.lit(ERR_AMOUNT_POSITIVE[1])))
-    matched = materialize(matched.withColumn("error_code", code).withColumn("message", message), "salary_matched")
+    matched = matched.withColumn("error_code", code).withColumn("message", message)
 
     per_batch = matched.groupBy("batch_id", "company_account_number").agg(
         F.coalesce(F.sum("amount"), F.lit(0)).cast("decimal(28,2)").alias("__total"),
@@ -493,15 +406,15 @@ def salary_batches(payments: DataFrame, customers: DataFrame, accounts: DataFram
     else:
         per_batch = per_batch.withColumn("document", F.lit("ok"))
     batches = per_batch.join(company, F.col("company_account_number") == F.col("__co_no"), "left").drop("__co_no")
-    batches = materialize(batches.withColumn("__need", F.greatest("__total", "__positive")), "salary_header")
-    fine = batches.where(F.col("company_account_id").isNotNull() & (F.col("document") != "malformed"))
-    served = accept_in_order(fine, "company_account_id", "batch_id", "__need", "__paid", "company_balance")
-    served = served.select(F.col("batch_id").alias("__sb"), "accepted")
+    fine = F.col("company_account_id").isNotNull() & (F.col("document") != "malformed")
+    # A batch that is refused before its sum is looked at needs nothing and takes nothing.
+    queued = batches.withColumns({
+        "__need": F.when(fine, F.greatest("__total", "__positive")), "__take": F.when(fine, F.col("__paid")).otherwise(F.lit(0).cast("decimal(28,2)"))})
+    served = accept_in_order(queued, "company_account_id", "batch_id", "__need", "__take", "company_balance")
     reject = (F.when(F.col("document") == "malformed", F.lit(BATCH_DOCUMENT_MSG))
               .when(F.col("company_account_id").isNull(), F.lit(BATCH_ACCOUNT_MSG))
               .when(~F.col("accepted"), F.concat(F.lit(BATCH_BALANCE_MSG), F.col("__total").cast("string"))))
-    batches = materialize(batches.join(served, F.col("batch_id") == F.col("__sb"), "left")
-                          .withColumn("batch_message", reject).drop("__sb", "accepted"), "salary_batches")
+    batches = served.withColumn("batch_message", reject).drop("accepted", "__need", "__take")
     live = batches.where(F.col("batch_message").isNull()).select(F.col("batch_id").alias("__b"), "company_account_id")
     classified = matched.join(live, F.col("batch_id") == F.col("__b")).drop("__b")
 

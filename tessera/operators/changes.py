@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.operators.joins import not_in
-from tessera.operators.windows import prefix_sum
+from tessera.operators.settlement import accept_in_order
 from tessera.session import materialize
 from tessera.sources.literals import apply_defaults, assign, assign_serial, cast_to_schema
 
@@ -148,46 +148,6 @@ def apply_moves(balances: DataFrame, key: str, balance: str, moves: DataFrame,
     return joined.withColumn(balance, new_balance).drop("__acct", "__sum")
 
 
-def accept_in_order(requests: DataFrame, key: str, order: str, need: str, take: str, funds: str) -> DataFrame:
-    """``requests`` with ``accepted``: served per ``key`` in ``order`` while the funds last.
-
-    A request is accepted when what is left covers its ``need``; it then takes
-    ``take`` (at most its need). A refused one takes nothing, and later ones
-    may still fit. (key, order) must be unique, ``order`` numeric or temporal.
-
-    Set-based rounds: running sums assume that all open requests before were
-    accepted, so everything ahead of a key's first miss is accepted for
-    certain, the miss is refused for certain, and so is every open request
-    above what is then left, as funds only shrink. The sums are split by
-    (key, order bucket), so a busy key is not one task. Keys whose requests all
-    fit need one round; each later round settles at least one refusal per key.
-    """
-    open_ = requests.select(*dict.fromkeys([key, order, need, take, funds]))
-    settled = None
-    while True:
-        sums = prefix_sum(open_, [order], take, "__before", inclusive=False, partition_by=[key], rows_unique=True)
-        miss = F.coalesce(F.col(need) > F.col(funds) - F.col("__before"), F.lit(True))
-        first = sums.where(miss).groupBy(F.col(key).alias("__fk")).agg(F.min(order).alias("__first"))
-        marked = sums.join(first, F.col(key).eqNullSafe(F.col("__fk")), "left")
-        head = F.col("__first").isNull() | (F.col(order) < F.col("__first"))
-        marked = materialize(marked.withColumn("__state", F.when(head, 1).when(F.col(order) == F.col("__first"), 0))
-                             .drop("__fk", "__first", "__before"), "accept_round")
-        spent = marked.where("__state = 1").groupBy(F.col(key).alias("__sk")).agg(F.sum(take).alias("__spent"))
-        rest = (marked.where("__state IS NULL").join(spent, F.col(key).eqNullSafe(F.col("__sk")), "left")
-                .withColumn(funds, (F.col(funds) - F.coalesce("__spent", F.lit(0))).cast(requests.schema[funds].dataType))
-                .drop("__sk", "__spent", "__state"))
-        rest = materialize(rest.withColumn("__fits", F.coalesce(F.col(need) <= F.col(funds), F.lit(False))), "accept_rest")
-        done = marked.where("__state IS NOT NULL").select(key, order, (F.col("__state") == 1).alias("accepted"))
-        done = done.unionByName(rest.where("NOT __fits").select(key, order, F.lit(False).alias("accepted")))
-        settled = done if settled is None else settled.unionByName(done)
-        open_ = rest.where("__fits").drop("__fits")
-        if open_.limit(1).count() == 0:
-            break
-    settled = settled.withColumnsRenamed({key: "__ak", order: "__ao"})
-    return requests.join(settled, F.col(key).eqNullSafe(F.col("__ak")) & (F.col(order) == F.col("__ao"))) \
-        .drop("__ak", "__ao")
-
-
 def eligible_moves(balances: DataFrame, key: str, balance: str, moves: DataFrame,
                    src: str, amount: str, order: str) -> DataFrame:
     """Moves that their source can pay, served per source in ``order`` (credits post at batch end)."""

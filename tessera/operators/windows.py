@@ -167,6 +167,32 @@ def _prefix_sum_rows(df: DataFrame, order_cols: list[str], value_col: Column, ou
     return joined.withColumn(out, cum).drop("__val", _PID, "__local_cum", "__offset")
 
 
+def prefix_sums(df: DataFrame, order_cols: Sequence[str], values: dict[str, Column], partition_by: Sequence[str],
+                replace: bool = False) -> DataFrame:
+    """Add each ``out`` of ``values`` = the sum of its expression over the strictly earlier rows of the partition.
+
+    Like ``prefix_sum(inclusive=False, rows_unique=True)`` for several values in
+    one pass: (partition, order) identifies a row. With ``replace`` an ``out``
+    may carry the name of a column, which it replaces.
+    """
+    parts, order = list(partition_by), _ordering(order_cols, False)
+    kept = [c for c in df.columns if not (replace and c in values)]
+    val = {out: f"__v{i}" for i, out in enumerate(values)}
+    bucketed = df.select(*kept, *[values[o].alias(v) for o, v in val.items()],
+                         ordered_bucket(order_cols[0], df.schema[order_cols[0]].dataType).alias(_PID))
+    before = Window.partitionBy(*parts, _PID).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = bucketed.select(*kept, _PID, *[F.sum(v).over(before).alias(v) for v in val.values()])
+    totals = bucketed.groupBy(*[F.col(p).alias(f"__o{i}") for i, p in enumerate(parts)], F.col(_PID).alias("__ob")).agg(
+        *[F.sum(v).alias(f"__t{v}") for v in val.values()])
+    earlier = Window.partitionBy(*[f"__o{i}" for i in range(len(parts))]).orderBy("__ob").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*[f"__o{i}" for i in range(len(parts))], "__ob",
+                            *[F.sum(f"__t{v}").over(earlier).alias(f"__t{v}") for v in val.values()])
+    on = [F.col(p).eqNullSafe(F.col(f"__o{i}")) for i, p in enumerate(parts)] + [F.col(_PID) == F.col("__ob")]
+    none = {o: F.lit(0).cast(bucketed.schema[v].dataType) for o, v in val.items()}
+    return local.join(offsets, on).select(*kept, *[
+        (F.coalesce(v, none[o]) + F.coalesce(f"__t{v}", none[o])).alias(o) for o, v in val.items()])
+
+
 def global_rank(df: DataFrame, order_col: str, out: str, descending: bool = True,
                 weight: str | None = None) -> DataFrame:
     """Add ``out`` = RANK() OVER (ORDER BY order_col [DESC]) without a one-task window.

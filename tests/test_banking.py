@@ -8,7 +8,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.operators import banking
+from tessera.operators import banking, settlement
 from tessera.plans import bank_model as bm
 from tessera.sources.tables import Tables
 
@@ -148,6 +148,76 @@ def test_one_sender_with_a_third_of_the_rows(spark):
     assert {r["request_id"]: r["error_code"] for r in got} == expected
 
 
+def live_force(validated_rows, spent_before, balances):
+    """The whole batch one request at a time, every transfer posted at once."""
+    spent, left, out = dict(spent_before), dict(balances), {}
+    for r in sorted(validated_rows, key=lambda r: (r["requested_at"], r["request_id"])):
+        day, code = (r["sender_id"], r["requested_at"].date()), r["error_code"]
+        if not code:
+            if spent.get(day, 0) + r["amount_kzt"] > r["daily_limit_kzt"]:
+                code = "L0001"
+            elif left[r["src_account_id"]] < r["amount"]:
+                code = "B0001"
+            else:
+                spent[day] = spent.get(day, 0) + r["amount_kzt"]
+                left[r["src_account_id"]] -= r["amount"]
+                left[r["dst_account_id"]] += (r["amount"] * r["credit_rate"]).quantize(D("0.01"), "ROUND_HALF_UP")
+        out[r["request_id"]] = code
+    return out
+
+
+def test_money_received_is_spendable_along_a_chain(spark):
+    """Each of three accounts can pay only with what the one before has just sent; a refusal breaks the chain behind it."""
+    acc = accounts(spark, [(301, 24, "A", "KZT", D(100), True), (302, 21, "B", "KZT", D(0), True), (303, 22, "C", "KZT", D(0), True)])
+    steps = [("A", "B", 80), ("B", "C", 70), ("C", "A", 60), ("A", "B", 85), ("A", "B", 80), ("B", "C", 91), ("B", "C", 90), ("C", "C", 30), ("C", "A", 30)]
+    reqs = requests(spark, [(a, b, x, "KZT") for a, b, x in steps])
+    validated = banking.validate_transfers(reqs, customers(spark), acc, rates(spark))
+    expected = live_force(validated.collect(), {}, {r["account_id"]: r["balance"] for r in acc.collect()})
+    settled = banking.settle_transfers(validated, transactions(spark).limit(0), acc, live=True)
+    assert {r["request_id"]: r["error_code"] for r in settled.collect()} == expected
+    assert [expected[i] for i in range(1, 10)] == [None, None, None, "B0001", None, "B0001", None, None, "L0001"]
+    balances = dict(rows(banking.post_transfers(acc, settled), "account_id", "balance"))
+    assert (balances[301], balances[302], balances[303]) == (D(0), D(0), D(100))
+
+
+@pytest.mark.parametrize("live, fold", [(True, 512), (True, 7), (False, 7)])
+def test_rounds_match_brute_force(spark, monkeypatch, live, fold):
+    """Tight budgets, several accounts a sender, a sender with a third of the rows, folds long and short."""
+    monkeypatch.setattr(settlement, "FOLD_ROWS", fold)
+    rnd = random.Random(fold)
+    extra = [(300 + i, (21, 22, 24)[i % 3], f"X{i}", "KZT", D(rnd.choice([0, 40, 150])), True) for i in range(9)]
+    acc = accounts(spark, extra)
+    data = [(n, f"X{0 if rnd.random() < 0.33 else rnd.randrange(9)}", f"X{rnd.randrange(9)}", D(rnd.choice([1, 3, 8, 20, 60])), "KZT",
+             NOON + dt.timedelta(days=rnd.randrange(3), minutes=rnd.randrange(600))) for n in range(150 if live else 400)]
+    validated = banking.validate_transfers(spark.createDataFrame(data, REQUEST), customers(spark), acc, rates(spark))
+    spent = spent_by_day(acc, transactions(spark))
+    expected = (live_force(validated.collect(), spent, {r["account_id"]: r["balance"] for r in acc.collect()}) if live
+                else brute_force(validated.collect(), spent))
+    assert {"L0001", "B0001", None} <= set(expected.values())
+    plans = []
+    kept = settlement.materialize
+    monkeypatch.setattr(settlement, "materialize", lambda df, area: (plans.append(df._jdf.queryExecution().executedPlan().toString()), kept(df, area))[1])
+    got = banking.settle_transfers(validated, transactions(spark), acc, live=live)
+    assert {r["request_id"]: r["error_code"] for r in got.collect()} == expected
+    assert not any("Python" in p or "Pandas" in p or "Arrow" in p for p in plans)
+
+
+def test_alternating_refusals_take_few_rounds(spark, monkeypatch):
+    areas, kept = [], settlement.materialize
+    monkeypatch.setattr(settlement, "materialize", lambda df, area: (areas.append(area), kept(df, area))[1])
+    data = [("a", n, D(1) if n % 2 else D(1001 - n // 2), D(1001)) for n in range(2002)]  # every even one just misses
+    data += [("b", 1, D(5), D(3)), ("c", 1, D(2), D(3)), ("c", 2, None, D(3)), (None, 1, D(1), None), ("d", 1, D(1), D(5)), ("d", 2, D(4), D(5))]
+    frame = spark.createDataFrame(data, "k string, n long, need decimal(18,2), funds decimal(18,2)")
+    got = {(r["k"], r["n"]): r["accepted"] for r in settlement.accept_in_order(frame, "k", "n", "need", "need", "funds").collect()}
+    want, left = {}, {}
+    for k, n, need, funds in data:
+        free = left.setdefault(k, funds)
+        want[k, n] = need is not None and free is not None and need <= free
+        left[k] = free - need if want[k, n] else free
+    assert got == want and sum(not v for (k, _), v in want.items() if k == "a") >= 1000
+    assert areas.count("accept_round") <= 20
+
+
 def test_salary_batches_in_order_without_overdraft(spark):
     acc = accounts(spark)
     paid = [(1, "W-KZT", 1, "tin-21", D(10), "May"), (1, "W-KZT", 2, "tin-99", D(10), "May"),

@@ -23,9 +23,6 @@ ALLOWED = {
     "job_balance_summary": {"single_partition"}, "job_daily_report": {"single_partition"},
     "win_rank_of_total": {"single_partition"}, "win_running_total": {"single_partition"},
     "src_serial": {"single_partition"}, "dml_insert_returning": {"single_partition"},
-    # sequential per-sender fold over a sorted, streamed partition
-    "job_transfers": {"python_map"}, "job_transfer_audit": {"python_map"},
-    "job_transfer_rows": {"python_map"}, "job_transfer_balances": {"python_map"},
     "dml_serial_no_reuse": {"single_partition"},
 }
 
