@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tessera.session import materialize
 from tessera.operators.settlement import BALANCE, LIMIT, accept_in_order, settle_requests
 from tessera.operators.windows import (
-    MICROS_PER_HOUR, MICROS_PER_MINUTE, band_count, global_rank, prefix_sum, previous_max,
+    MICROS_PER_HOUR, MICROS_PER_MINUTE, band_count, global_rank, prefix_sum, prefix_sums, previous_max,
 )
 
 
@@ -440,6 +440,30 @@ def salary_batches(payments: DataFrame, customers: DataFrame, accounts: DataFram
     return {"summary": summary, "failures": failures, "postings": postings, "balances": balances, "payments": classified}
 
 
+PAGE_ROWS = 1000
+
+
+def failure_pages(out: dict[str, DataFrame], page_rows: int = PAGE_ROWS) -> DataFrame:
+    """The result of every processed batch, its failure details as numbered JSON arrays of ``page_rows`` each.
+
+    One row per page (page 0 with an empty array where nothing failed): batch_id,
+    successful_count, failed_count, page, pages, details. A page is built from a
+    bounded group: a payment's page follows from how many failures stand ahead
+    of it (a split running count), so a batch of any size is never one value
+    or one task. The pages in order hold the rows of ``failures``.
+    """
+    # (pos, iin, code) may repeat in a batch; equal rows are interchangeable.
+    placed = prefix_sums(out["failures"], ["pos", "iin", "error_code", "message"], {"__place": F.lit(1).cast("long")}, ["batch_id"])
+    item = F.struct("pos", F.coalesce("iin", F.lit("")).alias("iin"), F.col("error_code").alias("code"), F.col("message").alias("error"))
+    pages = (placed.groupBy(F.col("batch_id").alias("__b"), F.floor(F.col("__place") / page_rows).alias("page"))
+             .agg(F.to_json(F.array_sort(F.collect_list(item))).alias("details")))
+    done = out["summary"].where(F.col("batch_status") == "processed").select("batch_id", "successful_count", "failed_count")
+    return (done.join(pages, F.col("batch_id") == F.col("__b"), "left")
+            .select("batch_id", "successful_count", "failed_count", F.coalesce("page", F.lit(0)).cast("long").alias("page"),
+                    F.greatest(F.ceil(F.col("failed_count") / page_rows), F.lit(1)).cast("long").alias("pages"),
+                    F.coalesce("details", F.lit("[]")).alias("details")))
+
+
 def salary_audit(out: dict[str, DataFrame], actor: str | None = None, at: str | None = None,
                  ip_address: str | None = None) -> DataFrame:
     """J7 for J5: a row per paid payment, per failed payment, and one closing row per processed batch."""

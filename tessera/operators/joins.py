@@ -121,3 +121,35 @@ def union_full(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
     """The result of LEFT JOIN UNION RIGHT JOIN (distinct rows), joined once."""
     # One full outer join has exactly the rows of both halves; UNION makes them distinct.
     return left.join(right, left[left_key] == right[right_key], "full").select(*select_cols).distinct()
+
+
+def full_join(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str]) -> DataFrame:
+    """FULL OUTER JOIN on equal keys, all columns of both sides, whatever share of the rows a key has.
+
+    Spark can't split a hot key of a full outer join. Here the matches are an
+    inner join, which it splits on both sides, and each side's remainder is a
+    semi join with the keys that the other side lacks: one row per key, added up
+    before the shuffle and written once. Rows with a NULL key match nothing and
+    belong to the remainder.
+    """
+    sides = [(left, list(left_keys), "__in_left"), (right, list(right_keys), "__in_right")]
+    names = [f"__k{i}" for i in range(len(left_keys))]
+    digest = None
+    for frame, keys, flag in sides:
+        own = frame.select(*[F.col(k).alias(n) for k, n in zip(keys, names)]).where(_all_given(names))
+        own = own.select(*names, *[F.lit(f == flag).alias(f) for _, _, f in sides])
+        digest = own if digest is None else digest.unionByName(own)
+    digest = materialize(digest.groupBy(*names).agg(*[F.max(f).alias(f) for _, _, f in sides])
+                         .where("NOT (__in_left AND __in_right)"), "full_join_keys")
+    out = left.join(right, [F.col(a) == F.col(b) for a, b in zip(left_keys, right_keys)])
+    for frame, keys, flag in sides:
+        alone = frame.join(digest.where(flag), [F.col(k) == F.col(n) for k, n in zip(keys, names)], "left_semi")
+        out = out.unionByName(alone.unionByName(frame.where(~_all_given(keys))), allowMissingColumns=True)
+    return out
+
+
+def _all_given(columns: Sequence[str]) -> Column:
+    given = F.lit(True)
+    for c in columns:
+        given = given & F.col(c).isNotNull()
+    return given

@@ -17,10 +17,14 @@ hot key costs one aggregate row, never a per-key sort in one task.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import materialize
+
 RULE = "rule"
 
 
@@ -129,6 +133,67 @@ def delete_cascade(parent: DataFrame, key: str, doomed: Column,
     return out
 
 
+@dataclass(frozen=True)
+class Reference:
+    """``child.column`` points at the key of ``parent``; a delete of the parent cascades or is refused."""
+
+    child: str
+    column: str
+    parent: str
+    restrict: bool = False
+
+
+def delete_graph(tables: Mapping[str, tuple[DataFrame, str]], references: Sequence[Reference], root: str,
+                 requested: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """DELETE of the ``requested`` keys of ``root`` through a graph of foreign keys, each request for itself.
+
+    ``tables``: name -> (rows, key column). A request dooms its row and all that
+    hangs on it by cascading references, over any number of tables and
+    levels (also of a table on itself); a RESTRICT reference to any doomed
+    row refuses the request as a whole. Returns ``decisions`` (request,
+    decision) and the surviving rows of every table: a row goes if some request
+    that isn't refused dooms it.
+
+    A fixpoint over (table, key, request): each round joins the keys found last
+    with the tables that point at them and keeps what is new, written once; it
+    ends with the depth of the data, not of the schema. Requests for keys that
+    don't exist are dropped; NULL references point at nothing.
+    """
+    key = lambda c: F.col(c).cast("string")
+    rows, root_key = tables[root]
+    asked = requested.toDF("__want").distinct()
+    front = rows.join(asked, F.col(root_key) == F.col("__want")).select(F.lit(root).alias("of"), key(root_key).alias("id"), key(root_key).alias("request"))
+    front = doomed = materialize(front.distinct(), "doomed")
+    while front.head(1):
+        found = None
+        for ref in references:
+            if not ref.restrict:
+                child, child_key = tables[ref.child]
+                step = (child.select(key(child_key).alias("__id"), key(ref.column).alias("__to"))
+                        .join(front.where(F.col("of") == ref.parent), F.col("__to") == F.col("id"))
+                        .select(F.lit(ref.child).alias("of"), F.col("__id").alias("id"), "request"))
+                found = step if found is None else found.unionByName(step)
+        if found is None:
+            break
+        names = ["of", "id", "request"]
+        known = doomed.select(*[F.col(c).alias(f"__{c}") for c in names])
+        front = materialize(found.distinct().join(known, [F.col(c) == F.col(f"__{c}") for c in names], "left_anti"), "doomed")
+        doomed = doomed.unionByName(front)
+    refused = doomed.where(F.lit(False)).select("request")
+    for ref in references:
+        if ref.restrict:
+            held = tables[ref.child][0].select(key(ref.column).alias("__to")).where(F.col("__to").isNotNull()).distinct()
+            refused = refused.unionByName(doomed.where(F.col("of") == ref.parent).join(held, F.col("id") == F.col("__to"), "left_semi").select("request"))
+    refused = materialize(refused.distinct().withColumnRenamed("request", "__refused"), "refused")
+    decisions = (doomed.where(F.col("of") == root).select("request").distinct()
+                 .join(refused, F.col("request") == F.col("__refused"), "left")
+                 .select("request", F.when(F.col("__refused").isNotNull(), "refused").otherwise("deleted").alias("decision")))
+    gone = doomed.join(refused, F.col("request") == F.col("__refused"), "left_anti").select("of", F.col("id").alias("__gone")).distinct()
+    left = {name: frame.join(gone.where(F.col("of") == name).drop("of"), key(column) == F.col("__gone"), "left_anti")
+            for name, (frame, column) in tables.items()}
+    return decisions, left
+
+
 def view_check(rows: DataFrame, predicate: Column) -> DataFrame:
     """WITH CHECK OPTION: rows written through a view must satisfy its predicate (TRUE)."""
     return rows.where(~F.coalesce(predicate, F.lit(False))).withColumn(RULE, F.lit("view_check"))
@@ -165,3 +230,60 @@ def enforce(df: DataFrame, checks: Mapping[str, Column], unique_keys: Sequence[S
     return (out.withColumn("reasons", F.concat_ws(",", *reasons))
             .withColumn("accepted", F.col("reasons") == "").drop(*flags)
             .select(*df.columns, "accepted", "reasons"))
+
+
+def enforce_in_order(df: DataFrame, arrival: str, checks: Mapping[str, Column], unique_keys: Sequence[Sequence[str]] = (),
+                     references: Sequence[tuple[Sequence[str], DataFrame, Sequence[str]]] = ()) -> DataFrame:
+    """``enforce`` as if the rows were inserted one by one in order of ``arrival`` (unique): the first valid row keeps its key.
+
+    Checks and references come first: a row that they reject occupies no unique
+    key. Of the others a row is accepted unless an accepted one before it holds
+    one of its keys, and then names these keys as its reasons. With several
+    unique keys a rejected row frees its other keys, so it goes in rounds:
+    rows that are the first open one of all their keys are accepted, open rows
+    that meet an accepted key are rejected. The earliest open row is always
+    accepted; a single unique key takes one round.
+    """
+    judged = enforce(df, checks, (), references)
+    if not unique_keys:
+        return judged
+    judged = materialize(judged, "enforce_judged")
+    accepted, refused = [], []
+    open_ = judged.where("accepted").select(*df.columns)
+    while True:
+        own, is_first = open_, F.lit(True)
+        for n, cols in enumerate(unique_keys):
+            own = _with_key(own, cols, _key_holders(open_, cols, arrival), f"__first{n}")
+            is_first = is_first & F.coalesce(F.col(f"__first{n}") == F.col(arrival), F.lit(True))
+        own = materialize(own.withColumn("__ok", is_first), "enforce_firsts")
+        accepted.append(own.where("__ok").select(*df.columns))
+        rest, blocked = own.where("NOT __ok"), F.lit(False)
+        for n in range(len(unique_keys)):  # whether the first holder of the key is accepted
+            held = accepted[-1].select(F.col(arrival).alias(f"__held{n}"))
+            rest = rest.join(held, F.col(f"__first{n}") == F.col(f"__held{n}"), "left")
+            blocked = blocked | F.col(f"__held{n}").isNotNull()
+        rest = rest.withColumn("__blocked", blocked)
+        if len(unique_keys) > 1:
+            rest = materialize(rest.select(*df.columns, "__blocked"), "enforce_rest")
+        refused.append(rest.where("__blocked").select(*df.columns))
+        open_ = rest.where("NOT __blocked").select(*df.columns)
+        if len(unique_keys) == 1 or not open_.head(1):
+            break
+    taken, lost = reduce(DataFrame.unionByName, accepted), reduce(DataFrame.unionByName, refused)
+    reasons = []
+    for n, cols in enumerate(unique_keys):
+        lost = _with_key(lost, cols, _key_holders(taken, cols, arrival), f"__held{n}")
+        reasons.append(F.when(F.col(f"__held{n}") < F.col(arrival), F.lit(f"unique:{','.join(cols)}")))
+    return (judged.where(~F.col("accepted")).unionByName(taken.select("*", F.lit(True).alias("accepted"), F.lit("").alias("reasons")))
+            .unionByName(lost.select(*df.columns, F.lit(False).alias("accepted"), F.concat_ws(",", *reasons).alias("reasons"))))
+
+
+def _key_holders(df: DataFrame, cols: Sequence[str], arrival: str) -> DataFrame:
+    """First arrival of every fully given key, the key's columns as __u0, __u1, ..."""
+    return (_non_null_keys(df, cols).groupBy(*[F.col(c).alias(f"__u{i}") for i, c in enumerate(cols)])
+            .agg(F.min(arrival).alias("__low")))
+
+
+def _with_key(df: DataFrame, cols: Sequence[str], holders: DataFrame, out: str) -> DataFrame:
+    names = [f"__u{i}" for i in range(len(cols))]
+    return df.join(holders, [F.col(c) == F.col(n) for c, n in zip(cols, names)], "left").drop(*names).withColumnRenamed("__low", out)

@@ -33,6 +33,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import materialize
+
 _PID = "__bucket"
 
 MICROS_PER_MINUTE = 60 * 1_000_000
@@ -214,6 +216,10 @@ def _micros(ts: str) -> Column:
     return F.unix_micros(F.col(ts).cast("timestamp"))
 
 
+#: Rows of one key in one bucket of ``band_count`` above which the key is counted in two levels.
+CROWD_ROWS = 1 << 17
+
+
 def band_count(df: DataFrame, key: str | Sequence[str], ts: str, before_us: int, after_us: int,
                out: str, bucket_us: int | None = None, counted: Column | None = None) -> DataFrame:
     """Per key, count rows with time in ``[t - before_us, t + after_us]`` (inclusive).
@@ -225,6 +231,9 @@ def band_count(df: DataFrame, key: str | Sequence[str], ts: str, before_us: int,
     per (key, time bucket); rows within ``before_us``/``after_us`` of a bucket
     edge are also copied (key and time only) into the neighbouring bucket, so
     each row sees its whole band and no row id or join-back is needed.
+
+    A key that crowds a bucket (``CROWD_ROWS``; found by one count per key and
+    bucket) doesn't go through that window at all, see ``_band_count_by_levels``.
     """
     keys = [key] if isinstance(key, str) else list(key)
     # Default bucket: 8 band widths. About (before + after) / width = 25% of
@@ -239,6 +248,15 @@ def band_count(df: DataFrame, key: str | Sequence[str], ts: str, before_us: int,
     valid = F.col("__t").isNotNull()
     for k in keys:
         valid = valid & F.col(k).isNotNull()
+    skipped = base.where(~valid).select(*df.columns, F.lit(None).cast("long").alias(out))
+    crowded = (base.where(valid).groupBy(*[F.col(k).alias(f"__c{i}") for i, k in enumerate(keys)], F.floor(F.col("__t") / width).alias("__b"))
+               .count().where(F.col("count") > CROWD_ROWS).select(*[f"__c{i}" for i in range(len(keys))]).distinct())
+    if crowded.head(1):
+        crowded = materialize(crowded, "crowded_keys")
+        on = [F.col(k) == F.col(f"__c{i}") for i, k in enumerate(keys)]
+        skipped = skipped.unionByName(_band_count_by_levels(
+            base.where(valid).join(crowded, on, "left_semi"), keys, before_us, after_us, out).select(*df.columns, out))
+        base = base.join(crowded, on, "left_anti")
 
     # One pass: each row yields itself (home) plus, when it lies within the
     # band of a bucket edge, a copy for the neighbouring bucket. A row late in
@@ -260,10 +278,39 @@ def band_count(df: DataFrame, key: str | Sequence[str], ts: str, before_us: int,
     w = Window.partitionBy(*keys, "__b").orderBy("__t").rangeBetween(-before_us, after_us)
     counted_rows = (spread.withColumn(out, F.count(F.when(F.col("__counted"), 1)).over(w))
                     .where("__home").select(*df.columns, out))
-    skipped = base.where(~valid).select(*df.columns, F.lit(None).cast("long").alias(out))
     return counted_rows.unionByName(skipped)
 
 
+def _band_count_by_levels(base: DataFrame, keys: list[str], before_us: int, after_us: int, out: str) -> DataFrame:
+    """The band's rows as a difference of two running counts, for keys with any number of rows at a time.
+
+    Equal times of a key are one row with their number, added up before the
+    shuffle. Each time asks for the running count at both ends of its band. The
+    questions stand among the counts of the two short buckets (a second) that hold the
+    ends, where they are compared row by row; all buckets before give their totals as a
+    prefix sum over seconds and hours. A task sees the distinct microseconds
+    of a second or the seconds of an hour, never a key's rows.
+    """
+    second = 1_000_000
+    times = materialize(base.groupBy(*keys, "__t").agg(F.count(F.when(F.col("__counted"), 1)).alias("__n")), "band_times")
+    point = lambda at, n, of, sign: F.struct(at.alias("x"), n.alias("n"), of.alias("of"), F.lit(sign).alias("sign"))
+    zero, none, t = F.lit(0).cast("long"), F.lit(None).cast("long"), F.col("__t")
+    points = times.select(*keys, F.explode(F.array(
+        point(t, F.col("__n"), none, 0), point(t + after_us, zero, t, 1), point(t - before_us - 1, zero, t, -1))).alias("p"))
+    points = points.select(*keys, "p.*", F.floor(F.col("p.x") / second).alias("__s"))
+    running = F.sum("n").over(Window.partitionBy(*keys, "__s").orderBy("x").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    local = points.withColumn("__local", running).where("sign <> 0")
+    totals = (points.groupBy(*keys, "__s").agg(F.sum("n").alias("__total"))
+              .withColumn("__at", F.timestamp_micros(F.col("__s") * second)))
+    before = prefix_sums(totals, ["__at"], {"__before": F.col("__total")}, keys)
+    before = before.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.col("__s").alias("__os"), "__before")
+    on = [F.col(k) == F.col(f"__k{i}") for i, k in enumerate(keys)]
+    ends = local.join(before, [*on, F.col("__s") == F.col("__os")])
+    bands = (ends.groupBy(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)], F.col("of").alias("__of"))
+             .agg(F.sum(F.col("sign") * (F.col("__local") + F.col("__before"))).alias(out)))
+    return base.join(bands, [F.col(k) == F.col(f"__g{i}") for i, k in enumerate(keys)] + [F.col("__t") == F.col("__of")])
+
+
 def previous_max(df: DataFrame, key: str, order_col: str, value: str, out: str,
                  block: int = 1 << 20) -> DataFrame:
     """Per key, max(value) over rows with a strictly smaller ``order_col``.

@@ -438,6 +438,66 @@ def dq_delete_cascade(t):
     return out["lineitem"].select("l_orderkey", "l_linenumber")
 
 
+@register("dq_delete_graph", area=DQ, oracle="""
+WITH asked AS (SELECT c_custkey FROM customer WHERE c_acctbal < 0),
+hung AS (
+  SELECT a.c_custkey, o.o_orderkey, l.l_linenumber, l.l_returnflag = 'R' AND l.l_quantity > 48 AS holds
+  FROM asked a LEFT JOIN orders o ON o.o_custkey = a.c_custkey LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey),
+told AS (SELECT c_custkey, bool_or(coalesce(holds, false)) AS refused FROM hung GROUP BY c_custkey)
+SELECT c.c_custkey, CASE WHEN t.c_custkey IS NULL THEN 'untouched' WHEN t.refused THEN 'refused' ELSE 'deleted' END AS decision,
+       CASE WHEN coalesce(t.refused, true) THEN (SELECT count(*) FROM orders o WHERE o.o_custkey = c.c_custkey) ELSE 0 END AS orders_left,
+       CASE WHEN coalesce(t.refused, true) THEN (SELECT count(*) FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
+                                                 WHERE o.o_custkey = c.c_custkey) ELSE 0 END AS lines_left
+FROM customer c LEFT JOIN told t ON t.c_custkey = c.c_custkey""")
+def dq_delete_graph(t):
+    """V10 and V11 over three tables: customers go with their orders and lines, unless a large returned line holds one of the orders."""
+    lines = t.lineitem.withColumn("line_id", F.concat_ws("-", "l_orderkey", "l_linenumber")).select("line_id", "l_orderkey", "l_returnflag", "l_quantity")
+    held = lines.where((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 48))
+    orders = t.orders.select("o_orderkey", "o_custkey")
+    tables = {"customer": (t.customer, "c_custkey"), "orders": (orders, "o_orderkey"), "lines": (lines, "line_id"), "held": (held, "line_id")}
+    decisions, left = V.delete_graph(tables, [
+        V.Reference("orders", "o_custkey", "customer"), V.Reference("lines", "l_orderkey", "orders"),
+        V.Reference("held", "l_orderkey", "orders", restrict=True),
+    ], "customer", t.customer.where(F.col("c_acctbal") < 0).select("c_custkey"))
+    kept = left["orders"].groupBy(F.col("o_custkey").alias("__oc")).agg(F.count("*").alias("orders_left"))
+    rest = (left["lines"].join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+            .groupBy(F.col("o_custkey").alias("__lc")).agg(F.count("*").alias("lines_left")))
+    out = (t.customer.select("c_custkey").join(decisions, F.col("c_custkey").cast("string") == F.col("request"), "left")
+           .join(kept, F.col("c_custkey") == F.col("__oc"), "left").join(rest, F.col("c_custkey") == F.col("__lc"), "left"))
+    return out.select("c_custkey", F.coalesce("decision", F.lit("untouched")).alias("decision"),
+                      *[F.coalesce(c, F.lit(0)).alias(c) for c in ("orders_left", "lines_left")])
+
+
+@register("dq_enforce_ordered", area=DQ, oracle="""
+WITH RECURSIVE batch AS (
+  SELECT event_id, user_id % 50 AS who, CAST(ts AS DATE) AS day, event_type, value,
+         value <= 150 AS fits, EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = e.user_id % 50 AND c.c_custkey <> 7) AS known
+  FROM events e),
+fine AS (SELECT *, row_number() OVER (ORDER BY event_id) AS k FROM batch WHERE fits AND known),
+-- one row at a time: who has a day, which (kind, tenth of the value) is taken
+walk AS (
+  SELECT CAST(0 AS BIGINT) AS k, CAST(NULL AS BIGINT) AS event_id, CAST('' AS VARCHAR) AS reasons, MAP {'': true} AS days, MAP {'': true} AS kinds
+  UNION ALL
+  SELECT k, event_id, reasons, CASE WHEN reasons = '' THEN map_concat(days, MAP {d: true}) ELSE days END,
+         CASE WHEN reasons = '' THEN map_concat(kinds, MAP {v: true}) ELSE kinds END
+  FROM (
+    SELECT k, event_id, days, kinds, d, v,
+           concat_ws(',', CASE WHEN days[d] THEN 'unique:who,day' END, CASE WHEN kinds[v] THEN 'unique:event_type,tenth' END) AS reasons
+    FROM (SELECT f.k, f.event_id, w.days, w.kinds, f.who || ' ' || f.day AS d, f.event_type || ' ' || floor(f.value * 10)::BIGINT AS v
+          FROM walk w JOIN fine f ON f.k = w.k + 1)))
+SELECT b.event_id, coalesce(w.reasons, concat_ws(',', CASE WHEN NOT b.fits THEN 'value_max' END,
+                                                CASE WHEN NOT b.known THEN 'foreign_key:who' END)) AS reasons
+FROM batch b LEFT JOIN walk w ON w.event_id = b.event_id""")
+def dq_enforce_ordered(t):
+    """V13 in arrival order over two unique keys: a rejected row occupies no key, the first valid one keeps it."""
+    batch = t.events.select("event_id", (F.col("user_id") % 50).alias("who"), F.to_date("ts").alias("day"), "event_type", "value",
+                            F.floor(F.col("value") * 10).alias("tenth"))
+    parents = t.customer.where(F.col("c_custkey") != 7)
+    out = V.enforce_in_order(batch, "event_id", {"value_max": F.col("value") <= 150}, [["who", "day"], ["event_type", "tenth"]],
+                             [(["who"], parents, ["c_custkey"])])
+    return out.select("event_id", "reasons")
+
+
 @register("dq_view_check", area=DQ, oracle=EMP + """
 SELECT emp_id, 'view_check' AS rule FROM emp WHERE NOT COALESCE(dept_id = 5, FALSE)""")
 def dq_view_check(t):

@@ -99,6 +99,23 @@ def sink_ctas_empty(t):
     return sinks.ctas(t.orders, t.spark, "ctas_empty", with_data=False)
 
 
+@register("sink_drop_if_exists", area=SRC, oracle="""
+SELECT r_name, 'dropped' AS state FROM region""")
+def sink_drop_if_exists(t):
+    """DROP TABLE IF EXISTS: the table is gone for its readers, dropping it again is no error, without IF EXISTS it is."""
+    catalog, name = sinks.Catalog.of(t.spark), "tessera_drop_probe"
+    catalog.publish(name, t.region)
+    catalog.drop(name)
+    catalog.drop(name)
+    try:
+        catalog.drop(name, if_exists=False)
+        refused = False
+    except KeyError:
+        refused = True
+    state = "dropped" if refused and not catalog.exists(name) else "kept"
+    return t.region.select("r_name", F.lit(state).alias("state"))
+
+
 @register("sink_insert_select", area=SRC, oracle="SELECT * FROM orders WHERE o_orderstatus = 'F'")
 def sink_insert_select(t):
     """Empty archive clone, then INSERT ... SELECT of finished orders."""
@@ -160,6 +177,18 @@ def layout_hashed(t):
     return t.spark.read.parquet(path).where(F.col("o_custkey").isin(7, 70, 700))
 
 
+@register("layout_bucket_join", area=SRC, oracle="""
+SELECT o.o_orderkey, o.o_custkey, l.l_linenumber, l.l_partkey
+FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey WHERE o.o_custkey > 100""")
+def layout_bucket_join(t):
+    """A10: two tables bucketed and sorted on the join key are merged without a shuffle."""
+    o = sinks.write_bucketed(t.orders.select("o_orderkey", "o_custkey"), t.spark, "orders", ["o_orderkey"], 8)
+    li = sinks.write_bucketed(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey"), t.spark, "lineitem", ["l_orderkey"], 8)
+    o, li = t.spark.table(o).where(F.col("o_custkey") > 100), t.spark.table(li)
+    return (o.hint("merge").join(li, F.col("l_orderkey") == F.col("o_orderkey"))
+            .select("o_orderkey", "o_custkey", "l_linenumber", "l_partkey"))
+
+
 @register("layout_derived_lower", area=SRC, oracle="""
 SELECT p_partkey, lower(p_name) AS name_key FROM part WHERE lower(p_name) >= 'm'""")
 def layout_derived_lower(t):
@@ -511,6 +540,17 @@ def fn_age_years(t):
                                                       F.to_date("o_orderdate")).alias("age_years"))
 
 
+@register("fn_current", area=FN, oracle="""
+SELECT event_id, ts < CURRENT_TIMESTAMP AS is_past, CAST(ts AS DATE) < CURRENT_DATE AS is_before_today,
+       CAST(CURRENT_TIMESTAMP AT TIME ZONE 'UTC' AS DATE) >= DATE '2024-01-01' AS clock_runs, length(CURRENT_USER) > 0 AS has_user
+FROM events""")
+def fn_current(t):
+    """CURRENT_DATE, CURRENT_TIMESTAMP (one value per statement) and CURRENT_USER."""
+    return t.events.select(
+        "event_id", (F.col("ts") < F.current_timestamp()).alias("is_past"), (F.to_date("ts") < F.current_date()).alias("is_before_today"),
+        (F.to_date(F.current_timestamp()) >= F.lit("2024-01-01").cast("date")).alias("clock_runs"), (F.length(F.current_user()) > 0).alias("has_user"))
+
+
 @register("fn_date_plus_interval", area=FN, oracle="""
 SELECT o_orderkey, CAST(o_orderdate AS DATE) + 30 AS due_date,
        CAST(o_orderdate AS DATE) + 30 < DATE '1996-01-01' AS overdue

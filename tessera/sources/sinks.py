@@ -141,7 +141,7 @@ def write_clustered(df: DataFrame, spark: SparkSession, area: str, cluster_by: S
 
 
 def write_hashed(df: DataFrame, spark: SparkSession, area: str, key: Sequence[str], files: int | None = None) -> str:
-    """Hash layout for equality lookups and co-located joins: each key value is in one sorted file.
+    """Hash layout for equality lookups: each key value is in one sorted file (for joins see ``write_bucketed``).
 
     Files hold the rows of one hash bucket sorted by the key, so an equality
     filter skips all row groups but one or two of a single file.
@@ -152,6 +152,19 @@ def write_hashed(df: DataFrame, spark: SparkSession, area: str, key: Sequence[st
     return path
 
 
+def write_bucketed(df: DataFrame, spark: SparkSession, area: str, key: Sequence[str], buckets: int) -> str:
+    """Bucketed and sorted table of the session's catalog, its files in the shared folder; gives the table's name.
+
+    Spark knows the buckets, so two tables with the same number of buckets on
+    the join key are merged bucket by bucket, without a shuffle. The rows are
+    dealt by bucket before they are written: one file per bucket.
+    """
+    name = f"tessera_{area}_{uuid.uuid4().hex}"
+    (df.repartition(buckets, *key).write.bucketBy(buckets, *key).sortBy(*key)
+       .option("path", storage_root(spark, area)).format("parquet").saveAsTable(name))
+    return name
+
+
 def write_partitioned(df: DataFrame, spark: SparkSession, area: str,
                       partition_by: Sequence[str], spread_by: Sequence[str] = ()) -> str:
     """Directory-partition by derived key columns; filters on them prune directories.

@@ -2,10 +2,10 @@
 
 Events arrive as Parquet files. Per (day, type) the stream keeps count and
 total; each micro-batch emits the groups it changed (update mode) and
-``foreachBatch`` upserts them into a keyed table: keys present in the batch
-replace their old rows, and the new version is written at a path fixed by
-the batch id. Re-running a batch after a failure or a restart rewrites the
-same version (idempotent). Late files count: there is no watermark by default,
+``foreachBatch`` writes the days that they belong to, no other: the report is
+partitioned by day and, within a day, by the batch that wrote it; the newest
+batch of a day is that day's report. Re-running a batch after a failure or a
+restart rewrites the same partitions (idempotent). Late files count: there is no watermark by default,
 as the state is one row per (day, type) and so stays small by itself. A job
 that must bound it passes one and accepts that older rows are dropped.
 """
@@ -84,6 +84,50 @@ def upsert_batch(root: str, keys: list[str], last: list[int]):
     return handle
 
 
+def replace_days(root: str, day: str, keys: list[str]):
+    """foreachBatch handler: a new version of each day that batch N changed, at ``root/day=D/batch=N``.
+
+    The groups of the batch replace those of the same keys; the day's other
+    groups are read from its newest earlier version, of these days alone. So
+    what a batch reads and writes follows the days that it changed, however long
+    the report is. A day's older versions are deleted once two newer ones
+    exist (a re-run reads the one before).
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = batch.persist()  # read twice below
+        try:
+            days = [r[0] for r in batch.select(day).distinct().collect()]  # bounded by the files of a trigger
+            fs, top = file_system(spark, root)
+            merged, versions = batch, {}
+            for d in days:
+                _, folder = file_system(spark, f"{root}/{day}={d}")
+                found = [s.getPath() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+                versions[d] = sorted((int(p.getName().partition("=")[2]), str(p.toString())) for p in found if p.getName().startswith("batch="))
+            older = [max(v for v in versions[d] if v[0] < batch_id)[1] for d in days if any(v[0] < batch_id for v in versions[d])]
+            if older:
+                previous = spark.read.option("basePath", root).schema(batch.schema).parquet(*older).select(*batch.columns)
+                merged = previous.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
+            (merged.withColumn("batch", F.lit(batch_id).cast("long")).repartition(day).write.partitionBy(day, "batch")
+             .option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(root))
+        finally:
+            batch.unpersist()
+        for d in days:
+            for _, path in sorted(v for v in versions[d] if v[0] < batch_id)[:-1]:
+                fs.delete(file_system(spark, path)[1], True)
+
+    return handle
+
+
+def read_days(spark: SparkSession, root: str, day: str, schema: T.StructType) -> DataFrame:
+    """The newest version of every day."""
+    stored = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])).parquet(root)
+    newest = stored.groupBy(F.col(day).alias("__day")).agg(F.max("batch").alias("__batch"))
+    return (stored.join(newest, F.col(day).eqNullSafe(F.col("__day")) & (F.col("batch") == F.col("__batch")))
+            .select(*schema.names))
+
+
 def run_daily_report(spark: SparkSession, path: str, schema: T.StructType, root: str | None = None,
                      files_per_trigger: int | None = FILES_PER_TRIGGER) -> DataFrame:
     """Run the stream over every file available now, then return the report.
@@ -93,23 +137,16 @@ def run_daily_report(spark: SparkSession, path: str, schema: T.StructType, root:
     shared checkpoint folder.
     """
     root = root or storage_root(spark, "stream_daily_report")
-    last: list[int] = []
-    query = (daily_aggregates(event_stream(spark, path, schema, files_per_trigger))
-             .writeStream.outputMode("update")
+    report = daily_aggregates(event_stream(spark, path, schema, files_per_trigger))
+    query = (report.writeStream.outputMode("update")
              .option("checkpointLocation", f"{root}/_checkpoint")
-             .foreachBatch(upsert_batch(f"{root}/report", ["event_date", "event_type"], last))
+             .foreachBatch(replace_days(f"{root}/report", "event_date", ["event_date", "event_type"]))
              .trigger(availableNow=True)
              .start())
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
-    if last:
-        return spark.read.parquet(f"{root}/report/batch={max(last)}")
-    # Nothing new arrived: the newest stored version, if there is one.
-    fs, report = file_system(spark, f"{root}/report")
-    if not fs.exists(report):
-        return spark.createDataFrame([], "event_date date, event_type string, events long, "
-                                         "total_value decimal(28,2)")
-    versions = spark.read.parquet(f"{root}/report")
-    newest = versions.agg(F.max("batch")).first()[0]
-    return versions.where(F.col("batch") == newest).drop("batch")
+    fs, stored = file_system(spark, f"{root}/report")
+    if not fs.exists(stored):  # nothing has ever arrived
+        return spark.createDataFrame([], report.schema)
+    return read_days(spark, f"{root}/report", "event_date", report.schema)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -69,37 +69,80 @@ def run_rapid_alerts(spark: SparkSession, path: str, schema: T.StructType, gap_u
     return spark.read.schema(ALERT_SCHEMA).parquet(out)
 
 
-def run_rapid_alerts_by_table(spark: SparkSession, path: str, schema: T.StructType, gap_us: int,
-                              files_per_trigger: int | None = FILES_PER_TRIGGER) -> DataFrame:
-    """The same alerts whatever the order of arrival, without per-key Python.
+#: Ids of a block of the history; a batch reads the blocks that it touches whole.
+BLOCK_IDS = 1 << 17
 
-    Each micro-batch (``foreachBatch``) appends its rows to a history table
-    and runs the distributed batch rule (``previous_max``, split by id block)
-    on the history of the accounts that it touches. More rows can only add
-    alerts, so the union of all batches' alerts is the batch result, also when
-    an id comes after a higher one. History and alerts are written per batch
-    id at fixed paths, so a re-run batch overwrites its own output.
+
+def affected_blocks(known: DataFrame, new: DataFrame, gap_us: int) -> DataFrame:
+    """(user_id, blk, carry) of the blocks whose alerts the new rows can change, with the latest time of the blocks before.
+
+    ``known``: (user_id, blk, low_us, high_us) of every block including the new
+    rows, ``new``: the same of the new rows alone. A block is affected if it has
+    new rows, or if it stands behind a late row that is later than the gap before one of its rows.
     """
-    from tessera.operators.windows import previous_max
+    mine = known.join(new.select(F.col("user_id").alias("__u")).distinct(), F.col("user_id") == F.col("__u"), "left_semi")
+    late = new.select(F.col("user_id").alias("__u"), F.col("blk").alias("__b"), F.col("high_us").alias("new_us"))
+    mine = mine.join(late, (F.col("user_id") == F.col("__u")) & (F.col("blk") == F.col("__b")), "left")
+    ahead = Window.partitionBy("user_id").orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
+    mine = mine.withColumns({"carry": F.max("high_us").over(ahead), "late_us": F.max("new_us").over(ahead)})
+    return mine.where(F.col("new_us").isNotNull() | (F.col("late_us") > F.col("low_us") - gap_us)).select("user_id", "blk", "carry")
 
-    root = storage_root(spark, "stream_rapid_table")
-    staged_schema = "event_id long, user_id long, t_us long"
+
+def rapid_batch(root: str, gap_us: int, block: int = BLOCK_IDS, read: list[int] | None = None):
+    """foreachBatch handler of ``run_rapid_alerts_by_table``; ``read`` gets how many stored rows each batch has read."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         staged = batch.select("event_id", "user_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("t_us"))
-        staged = staged.where(F.col("user_id").isNotNull() & F.col("t_us").isNotNull())
-        staged.write.mode("overwrite").parquet(f"{root}/history/batch={batch_id}")
-        history = batch.sparkSession.read.schema(f"{staged_schema}, batch int").parquet(f"{root}/history")
-        history = history.where(F.col("batch") <= batch_id)
-        touched = history.where(F.col("batch") == batch_id).select("user_id").distinct()
-        rows = history.join(touched, "user_id", "left_semi").select("event_id", "user_id", "t_us")
-        prev = previous_max(rows, "user_id", "event_id", "t_us", "__prev")
-        alerts = prev.where(F.col("__prev") > F.col("t_us") - gap_us)
+        staged = staged.where(F.col("user_id").isNotNull() & F.col("t_us").isNotNull() & F.col("event_id").isNotNull())
+        staged = staged.withColumn("blk", F.floor(F.col("event_id") / block)).withColumn("batch", F.lit(batch_id).cast("long"))
+        staged.write.partitionBy("blk", "batch").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(f"{root}/history")
+        schema = "event_id long, user_id long, t_us long, blk long, batch long"
+        history = spark.read.schema(schema).parquet(f"{root}/history").where(F.col("batch") <= batch_id)
+        new = (history.where(F.col("batch") == batch_id).groupBy("user_id", "blk").agg(F.min("t_us").alias("low_us"), F.max("t_us").alias("high_us")))
+        known = new
+        if batch_id > 0:
+            known = spark.read.schema("user_id long, blk long, low_us long, high_us long").parquet(f"{root}/blocks/batch={batch_id - 1}")
+            known = known.unionByName(new).groupBy("user_id", "blk").agg(F.min("low_us").alias("low_us"), F.max("high_us").alias("high_us"))
+        known.write.mode("overwrite").parquet(f"{root}/blocks/batch={batch_id}")
+        known = spark.read.schema("user_id long, blk long, low_us long, high_us long").parquet(f"{root}/blocks/batch={batch_id}")
+        affected_blocks(known, new, gap_us).write.mode("overwrite").parquet(f"{root}/affected/batch={batch_id}")
+        affected = spark.read.schema("user_id long, blk long, carry long").parquet(f"{root}/affected/batch={batch_id}")
+        blocks = [r[0] for r in affected.select("blk").distinct().collect()]  # ids of a batch's blocks: the partitions to read
+        at = affected.select(F.col("user_id").alias("__u"), F.col("blk").alias("__b"), "carry")
+        stored = history.where(F.col("blk").isin(blocks))
+        if read is not None:
+            read.append(stored.count())
+        rows = stored.join(at, (F.col("user_id") == F.col("__u")) & (F.col("blk") == F.col("__b")))
+        local = Window.partitionBy("user_id", "blk").orderBy("event_id").rowsBetween(Window.unboundedPreceding, -1)
+        before = F.greatest(F.max("t_us").over(local), F.col("carry"))
+        alerts = rows.withColumn("__before", before).where(F.col("__before") > F.col("t_us") - gap_us)
         alerts.select("event_id", "user_id").write.mode("overwrite").parquet(f"{root}/alerts/batch={batch_id}")
+        fs, old = file_system(spark, f"{root}/blocks/batch={batch_id - 2}")
+        if batch_id >= 2 and fs.exists(old):
+            fs.delete(old, True)
+
+    return handle
 
+
+def run_rapid_alerts_by_table(spark: SparkSession, path: str, schema: T.StructType, gap_us: int,
+                              files_per_trigger: int | None = FILES_PER_TRIGGER, block: int = BLOCK_IDS,
+                              read: list[int] | None = None) -> DataFrame:
+    """The same alerts whatever the order of arrival, without per-key Python.
+
+    The history is a table partitioned by block of ids. Beside it stands one row
+    per account and block with its first and last time. A micro-batch
+    (``foreachBatch``) reads the blocks that its rows can change
+    (``affected_blocks``), each with the latest time of all blocks before, so what it
+    reads doesn't grow with the history. More rows can only add
+    alerts, so the union of all batches' alerts is the batch result, also when
+    an id comes after a higher one. Everything is written per batch id at fixed
+    paths, so a re-run batch overwrites its own output.
+    """
+    root = storage_root(spark, "stream_rapid_table")
     query = (event_stream(spark, path, schema, files_per_trigger).writeStream
              .option("checkpointLocation", storage_root(spark, "stream_checkpoints"))
-             .foreachBatch(handle).trigger(availableNow=True).start())
+             .foreachBatch(rapid_batch(root, gap_us, block, read)).trigger(availableNow=True).start())
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()

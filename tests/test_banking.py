@@ -251,3 +251,20 @@ def test_suspicious_activity(spark):
     got = rows(banking.suspicious_activity(tx, accounts(spark), 5000.0, max_per_window=2), "transaction_id", "flag_reason")
     assert got == [(0, "High_Value_Transfer"), (1, "High_Frequency_Hourly"), (3, "High_Frequency_Hourly"),
                    (3, "Rapid_Sequential_Transfer"), (4, "High_Frequency_Hourly")]
+
+
+def test_pages_hold_the_failures(spark):
+    """Pages joined again are the failure rows; a batch without failures has one empty page."""
+    import json
+
+    paid = [(1, "W-KZT", n, f"tin-{90 + n % 7}" if n % 3 else "tin-21", D(n % 5), "May") for n in range(57)] + [(2, "B-KZT", 1, "tin-22", D(1), None)]
+    out = banking.salary_batches(spark.createDataFrame(paid, PAYMENT), customers(spark), accounts(spark), "2030-03-31 08:00:00")
+    pages = banking.failure_pages(out, page_rows=10).orderBy("batch_id", "page").collect()
+    first = [r for r in pages if r["batch_id"] == 1]
+    held = [json.loads(r["details"]) for r in first]
+    assert [r["page"] for r in first] == list(range(first[0]["pages"])) and [len(p) for p in held[:-1]] == [10] * (len(held) - 1)
+    failures = out["failures"].where("batch_id = 1").orderBy("pos").collect()
+    assert [(x["pos"], x["iin"], x["code"], x["error"]) for p in held for x in p] == [
+        (r["pos"], r["iin"], r["error_code"], r["message"]) for r in failures]
+    assert first[0]["failed_count"] == len(failures) and len(failures) > 20
+    assert [(r["page"], r["pages"], r["details"], r["failed_count"]) for r in pages if r["batch_id"] == 2] == [(0, 1, "[]", 0)]

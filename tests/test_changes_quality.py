@@ -180,3 +180,73 @@ def test_json_documents_are_not_lost(spark):
     got = [(r["id"], r["document"], r["pos"], r["amount"]) for r in fx.explode_payments(df, ["id"]).orderBy("id", "pos").collect()]
     assert got == [(1, "ok", 1, 2.5), (1, "ok", 2, None), (2, "empty", None, None)] + [
         (i, "malformed", None, None) for i in (3, 4, 5, 6, 7)]
+
+
+def one_by_one(rows, keys):
+    """Accepted flags and reasons of rows (arrival, ok, key columns...) inserted one at a time."""
+    held, out = [set() for _ in keys], {}
+    for arrival, ok, *values in sorted(rows):
+        if not ok:
+            out[arrival] = ("v_positive",)
+            continue
+        own = [tuple(values[i] for i in k) for k in keys]
+        hit = [n for n, (k, seen) in enumerate(zip(own, held)) if None not in k and k in seen]
+        out[arrival] = tuple(f"unique:{','.join('abc'[i] for i in keys[n])}" for n in hit)
+        if not hit:
+            for k, seen in zip(own, held):
+                seen.add(k)
+    return out
+
+
+@pytest.mark.parametrize("keys", [[(0,)], [(0,), (1,)], [(0, 1), (2,), (1, 2)]])
+def test_enforce_in_order_equals_single_inserts(spark, keys):
+    rnd = random.Random(len(keys))
+    data = [(n, rnd.random() < 0.8, *[rnd.choice([None, *range(9)]) for _ in "abc"]) for n in range(300)]
+    frame = spark.createDataFrame(data, "n long, v boolean, a int, b int, c int")
+    got = V.enforce_in_order(frame, "n", {"v_positive": F.col("v")}, [["abc"[i] for i in k] for k in keys]).collect()
+    assert {r["n"]: tuple(x for x in r["reasons"].split(",unique:")) for r in got} == {
+        n: tuple(",".join(w).split(",unique:")) for n, w in one_by_one(data, keys).items()}
+    assert all(r["accepted"] == (r["reasons"] == "") for r in got) and len(got) == 300
+
+
+def test_enforce_in_order_keeps_the_first_valid_row(spark):
+    frame = spark.createDataFrame([(1, 1, 10), (2, 1, 20), (3, 2, -5), (4, 2, 7)], "n long, k int, v int")
+    got = V.enforce_in_order(frame, "n", {"positive": F.col("v") > 0}, [["k"]]).collect()
+    assert {r["n"]: r["reasons"] for r in got} == {1: "", 2: "unique:k", 3: "positive", 4: ""}
+
+
+def slow_deletes(tables, edges, root, asked):
+    """Decisions and surviving keys, request by request."""
+    gone, told = {name: set() for name in tables}, {}
+    for want in asked:
+        if want not in tables[root]:
+            continue
+        doomed, todo = {name: set() for name in tables}, [(root, want)]
+        while todo:
+            name, key = todo.pop()
+            if key not in doomed[name]:
+                doomed[name].add(key)
+                todo += [(c, k) for c, col, p, hold in edges if p == name and not hold for k, r in tables[c].items() if r[col] == key]
+        refused = any(r[col] in doomed[p] for c, col, p, hold in edges if hold for r in tables[c].values())
+        told[want] = "refused" if refused else "deleted"
+        if not refused:
+            for name in tables:
+                gone[name] |= doomed[name]
+    return told, {name: set(rows) - gone[name] for name, rows in tables.items()}
+
+
+def test_delete_graph_equals_single_deletes(spark):
+    """Four tables, one pointing at itself; cascades of any depth, a RESTRICT below refuses the whole request."""
+    rnd = random.Random(4)
+    pick = lambda n: rnd.choice([None, *range(n)])
+    tables = {"team": {k: {"boss": pick(30)} for k in range(30)}, "staff": {k: {"team": pick(30)} for k in range(60)},
+              "task": {k: {"staff": pick(60)} for k in range(80)}, "bill": {k: {"task": pick(600), "staff": pick(900)} for k in range(40)}}
+    edges = [("team", "boss", "team", False), ("staff", "team", "team", False), ("task", "staff", "staff", False),
+             ("bill", "task", "task", True), ("bill", "staff", "staff", True)]
+    frames = {name: (spark.createDataFrame([(k, *r.values()) for k, r in rows.items()], "id long, " + ", ".join(f"{c} long" for c in next(iter(rows.values())))), "id")
+              for name, rows in tables.items()}
+    asked = [*range(0, 30, 2), 99]
+    decisions, left = V.delete_graph(frames, [V.Reference(*e) for e in edges], "team", spark.createDataFrame([(k,) for k in asked], "k long"))
+    told, survivors = slow_deletes(tables, edges, "team", asked)
+    assert {int(r["request"]): r["decision"] for r in decisions.collect()} == told and set(told.values()) == {"refused", "deleted"}
+    assert {name: {r["id"] for r in df.collect()} for name, df in left.items()} == survivors

@@ -107,3 +107,52 @@ def test_a_missing_previous_version_raises(spark):
     handle(batch, 0)
     handle(spark.createDataFrame([(1, 5), (2, 6)], "k int, v int"), 1)
     assert rows(spark.read.parquet(f"{root}/batch=1"), "k", "v") == [(1, 5), (2, 6)]
+
+
+def _fifty_files(spark, folder, rows_each=40):
+    rows_ = [(f, n) for f in range(50) for n in range(f * rows_each, (f + 1) * rows_each)]
+    frame = spark.createDataFrame(rows_, "f int, event_id long").select(
+        "f", "event_id", (F.col("event_id") % 3).alias("user_id"), F.timestamp_seconds(1_700_000_000 + F.col("event_id") * 25).cast("timestamp_ntz").alias("ts"),
+        F.lit("click").alias("event_type"), F.lit(1.0).alias("value"))
+    for f in range(50):
+        frame.where(F.col("f") == f).drop("f").coalesce(1).write.parquet(os.path.join(folder, f"part={f:02d}"))
+    return frame.drop("f")
+
+
+def test_rapid_reads_stay_flat_over_fifty_batches(spark):
+    folder, read = tempfile.mkdtemp(prefix="tessera-stream-"), []
+    events = _fifty_files(spark, folder)
+    out = run_rapid_alerts_by_table(spark, folder + "/*", events.schema, 2 * MICROS_PER_MINUTE, files_per_trigger=1, block=64, read=read)
+    prev = previous_max(events, "user_id", "event_id", "ts", "m")
+    batch = prev.where(F.col("m") > F.col("ts") - F.expr("INTERVAL 2 MINUTES"))
+    assert rows(out, "event_id", "user_id") == rows(batch, "event_id", "user_id") and out.count() > 0
+    assert len(read) == 50 and max(read[25:]) <= max(read[5:25]) <= 3 * 64
+
+
+def test_daily_report_writes_only_changed_days(spark):
+    from tessera.streaming.daily_report import read_days, replace_days
+
+    root = tempfile.mkdtemp(prefix="tessera-days-") + "/report"
+    schema = "d date, k string, n long"
+    batches = [[("2024-01-01", "a", 1), ("2024-01-01", "b", 2)], [("2024-01-02", "a", 3)], [("2024-01-01", "a", 5)],
+               [("2024-01-03", "a", 1)], [("2024-01-01", "c", 9), ("2024-01-03", "a", 2)]]
+    frames = [spark.createDataFrame(b, "d string, k string, n long").withColumn("d", F.col("d").cast("date")) for b in batches]
+    handle, want = replace_days(root, "d", ["d", "k"]), {}
+
+    def state():
+        return {(str(r["d"]), r["k"]): r["n"] for r in read_days(spark, root, "d", frames[0].schema).collect()}
+
+    def files():
+        return {os.path.join(top, f): os.stat(os.path.join(top, f)).st_mtime_ns for top, _, names in os.walk(root) for f in names if f.endswith(".parquet")}
+
+    for i, frame in enumerate(frames):
+        before = files() if i else {}
+        handle(frame, i)
+        want |= {(d, k): n for d, k, n in batches[i]}
+        assert state() == want
+        touched = {d for d, _, _ in batches[i]}
+        new = {f for f, at in files().items() if before.get(f) != at}
+        assert new and all(any(f"d={d}/batch={i}/" in f for d in touched) for f in new)
+        handle(frame, i)  # a re-run changes nothing
+        assert state() == want
+    assert len({f.split("batch=")[1].split("/")[0] for f in files() if "d=2024-01-01" in f}) == 2  # the newest and the one before

@@ -117,3 +117,38 @@ def test_prefix_sum_rows_unique_mode(events):
     got2 = prefix_sum(events, ["id"], "v", "s", descending=True, inclusive=False, rows_unique=True)
     want2 = events.withColumn("s", F.sum("v").over(Window.orderBy(F.col("id").desc())) - F.col("v"))
     assert rows(got2, "id", "s") == rows(want2, "id", "s")
+
+
+def test_band_count_of_a_crowded_key(spark, monkeypatch):
+    """A key with a third of all rows within an hour is counted in two levels, with the same result as its window."""
+    import random
+
+    from tessera.operators import windows
+
+    rnd = random.Random(2)
+    start = 1_700_000_000_000_000
+    data = [(n, 1, start + rnd.choice([rnd.randrange(3600), rnd.randrange(30)]) * 1_000_000 + rnd.choice([0, 0, rnd.randrange(10**6)])) for n in range(400)]
+    data += [(n, 2 + n % 9, start + rnd.randrange(30 * 3600) * 1_000_000) for n in range(400, 1200)] + [(1200, None, start), (1201, 1, None)]
+    frame = spark.createDataFrame(data, "n long, k int, us long").withColumn("ts", F.timestamp_micros("us").cast("timestamp_ntz"))
+    spans = [(3_600_000_000, 3_600_000_000), (30_000_000, 0), (0, 500_000)]
+    areas, kept = [], windows.materialize
+    for before, after in spans:
+        want = {n: None if k is None or us is None else sum(k == j and us - before <= v <= us + after and m % 3 > 0 for m, j, v in data if v is not None)
+                for n, k, us in data}
+        for crowd in (1 << 17, 20):
+            monkeypatch.setattr(windows, "CROWD_ROWS", crowd)
+            monkeypatch.setattr(windows, "materialize", lambda df, area: (areas.append(area), kept(df, area))[1])
+            got = windows.band_count(frame, "k", "ts", before, after, "c", counted=F.col("n") % 3 > 0)
+            assert {r["n"]: r["c"] for r in got.collect()} == want
+    assert areas.count("band_times") == len(spans)
+
+
+def test_no_task_holds_a_crowded_key(spark):
+    """The window of the two-level count is split by second; a key's rows of one time are one row in it."""
+    from tessera.operators.windows import _band_count_by_levels
+
+    rows = spark.range(200_000).select(F.col("id").alias("n"), F.lit(1).alias("k"), (F.col("id") % 3600 * 1_000_000).alias("__t"), F.lit(True).alias("__counted"))
+    out = _band_count_by_levels(rows, ["k"], 3_600_000_000, 3_600_000_000, "c")
+    assert out.agg(F.min("c"), F.max("c"), F.count("c")).first() == (200_000, 200_000, 200_000)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in plan and all("__s" in w or "_ob" in w or "__o0" in w or "bucket" in w for w in plan.split("\n") if "Window [" in w)
