@@ -1,11 +1,12 @@
 """Line dedup by repeated runs of lines, or by content-defined chunks of lines.
 
-The query and the pipeline remove runs (``runs=True``): every ``MIN_LINES``
-neighbouring lines, overlapping, and every line of ``LONG_WORDS`` words or
-``LONG_BYTES`` bytes alone are looked up in the corpus, so a shared passage goes
-whole wherever it begins and ends. These runs cover all that chunks remove.
-Without ``runs`` only chunks are looked up, which is less to move but misses
-passages that no chunk boundary happens to enclose.
+The query and the pipeline look up the content-defined chunks and, so that no
+shared passage hangs on where a boundary falls, the runs around them
+(``runs=True``): every ``MIN_LINES`` neighbouring lines, overlapping, and every
+line of ``LONG_WORDS`` words or ``LONG_BYTES`` bytes alone. What has less than
+``RUN_WORDS`` words with a letter or digit is no passage: doubled blank lines,
+braces and rules stay. Without ``runs`` only chunks are looked up, which is less
+to move but misses passages that no chunk boundary happens to enclose.
 
 For chunks a text is cut at newlines. A rolling hash over the hashes of the last
 ``SPAN`` lines closes a chunk where it falls on zero modulo ``DIVISOR`` (and
@@ -28,8 +29,8 @@ removes a line. Grouping pre-aggregates in the map tasks, so a chunk that a
 third of the corpus holds reaches its reducer as one row a task. Whole texts
 move once, to meet the list of their lines to cut.
 
-Defined cases: null texts have no line and stay null; blank-only chunks count
-like any other; a null id sorts last; rows equal in id and text are one
+Defined cases: null texts have no line and stay null; without ``runs``
+blank-only chunks count like any other; a null id sorts last; rows equal in id and text are one
 document and get the same verdict; empty tables give empty tables; extra
 columns of ``documents`` pass through.
 """
@@ -52,6 +53,7 @@ SPAN = 2
 DIVISOR = 2
 MIN_LINES = 2
 MAX_LINES = 64
+RUN_WORDS = 4
 LONG_WORDS = 50
 LONG_BYTES = 300
 FILTER_LOG2 = 24
@@ -85,11 +87,22 @@ def _chunks(text: bytes) -> Iterator[tuple[int, int, bytes, list[bytes], list[by
         yield start, end - start, b"\n".join(lines[start:end]), before, lines[end:cuts[min(k + 2, len(cuts) - 1)]]
 
 
-def _runs(text: bytes) -> Iterator[tuple[int, int, bytes, list[bytes], list[bytes]]]:
-    """Like ``_chunks``, of each ``MIN_LINES`` neighbouring lines and each long line; nothing beside them is needed."""
+#: Everything but ASCII letters, digits, newlines and bytes of other scripts becomes a space.
+_TO_WORDS = bytes(c if c >= 128 or chr(c).isalnum() or c == 10 else 32 for c in range(256))
+
+
+def _passages(text: bytes) -> Iterator[tuple[int, int, bytes, list[bytes], list[bytes]]]:
+    """Like ``_chunks``, and of the runs around them; runs overlap, so nothing beside a passage is needed."""
     lines = text.split(b"\n")
+    words = [len(x.split()) for x in text.translate(_TO_WORDS).split(b"\n")]
+    start = 0
+    for end in chunk_ends(lines):
+        if end - start > MIN_LINES and sum(words[start:end]) >= RUN_WORDS:  # shorter ones are runs
+            yield start, end - start, b"\n".join(lines[start:end]), [], []
+        start = end
     for k in range(len(lines) - MIN_LINES + 1):
-        yield k, MIN_LINES, b"\n".join(lines[k:k + MIN_LINES]), [], []
+        if sum(words[k:k + MIN_LINES]) >= RUN_WORDS:
+            yield k, MIN_LINES, b"\n".join(lines[k:k + MIN_LINES]), [], []
     for k, line in enumerate(lines):
         if len(line) >= LONG_BYTES or len(line) >= 2 * LONG_WORDS - 1 and len(line.split()) >= LONG_WORDS:
             yield k, 1, line, [], []
@@ -142,7 +155,7 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """(key, h, gone): for each document (id key, text hash) that loses lines the spans (at, n) to cut; they may overlap."""
     keyed = docs.select(F.struct(null_safe(F.col(doc_id)).alias("key"), F.col(doc_id).alias("id")).alias("id"),
                         F.xxhash64(text).alias("h"), F.col(text).alias("text"))
-    cut, least = (_runs, 1) if runs else (_chunks, MIN_LINES)
+    cut, least = (_passages, 1) if runs else (_chunks, MIN_LINES)
     twice = _chunk_hashes(keyed.select("text"), cut).groupBy("chunk").count().filter("count > 1").select("chunk")
     table = docs.sparkSession.sparkContext.broadcast(bit_table(twice, FILTER_LOG2))
     # Rows equal in id and text share their places: they propose chunks, but remove none.

@@ -1,4 +1,5 @@
 import random
+import re
 from collections import defaultdict
 
 from llm_fixtures import no_docs, odd_docs, sf_docs  # noqa: F401
@@ -101,24 +102,44 @@ def test_many_spans_of_a_long_text(spark):
 
 
 def slow_runs(rows):
-    """Texts without neighbouring lines, and long lines, that stand at an earlier (id, position)."""
+    """Texts without neighbouring lines, long lines and longer chunks that stand at an earlier (id, position)."""
     seen, out = set(), {}
     for i, t in sorted(rows):
         lines, cut = t.split("\n"), set()
-        for n in (1, 2):
-            for k in range(len(lines) - n + 1):
-                run = tuple(lines[k:k + n])
-                if n == 2 or len(run[0].split()) >= 50 or len(run[0].encode()) >= 300:
-                    cut |= set(range(k, k + n)) if run in seen else set()
-                    seen.add(run)
+        ends = L.chunk_ends([x.encode() for x in lines])
+        spans = [(k, k + 1) for k, x in enumerate(lines) if len(x.split()) >= 50 or len(x.encode()) >= 300]
+        spans += [(k, k + 2) for k in range(len(lines) - 1)] + [(a, b) for a, b in zip([0, *ends], ends) if b - a > 2]
+        for a, b in spans:
+            run = tuple(lines[a:b])
+            if b - a == 1 or sum(len(re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+", x)) for x in run) >= 4:
+                cut |= set(range(a, b)) if run in seen else set()
+                seen.add(run)
         out[i] = "\n".join(x for k, x in enumerate(lines) if k not in cut)
     return out
 
 
+def test_blank_lines_and_braces_stay(spark):
+    """Doubled blank lines, braces and rules are no passage by themselves; a shared worded line and what it stands with is one."""
+    texts = [f"Own start {k}.\n\n\nOwn line {k}.\n}}\n}}\nOwn rule {k}.\n---\n---\nOwn stop {k}.\nShared words stand here.\n\nend {k}" for k in "ab"]
+    frame = spark.createDataFrame([(k, t, "en", "s", 0) for k, t in enumerate(texts)], SCHEMA)
+    got = {r["doc_id"]: r["text"] for r in L.drop_repeats(frame).collect()}
+    assert got == {0: texts[0], 1: texts[1].replace("Shared words stand here.\n\n", "")}
+
+
+def test_the_query_cuts_content_defined_chunks(spark, sf_docs, monkeypatch):
+    """Boundaries reach the query: a chunk of many short lines that no run proposes goes from its second place."""
+    short = [f"{a}{b}" for a in "abcdefgh" for b in "12345"]
+    ends = [0, *L.chunk_ends([x.encode() for x in short])]
+    assert max(b - a for a, b in zip(ends, ends[1:])) > 3
+    rows = [(k, "\n".join([f"own {k}", *short, f"end {k}"]), "en", "s", 0) for k in range(2)]
+    got = {r["doc_id"]: r["n_removed_lines"] for r in L.dedup_lines(spark.createDataFrame(rows, SCHEMA), runs=True).collect()}
+    assert got[0] == 0 and got[1] >= sum(b - a for a, b in list(zip(ends, ends[1:]))[1:-1] if b - a > 3)
+
+
 def test_runs_equal_brute_force(spark, sf_docs):
     rows = [(r["doc_id"], r["text"]) for r in sf_docs.collect()]
     got = {r["doc_id"]: r["text"] for r in L.dedup_lines(sf_docs, runs=True).collect()}
-    assert got == slow_runs(rows) and all(len(got[i]) <= len(t) for i, t in brute(rows).items())
+    assert got == slow_runs(rows)
 
 
 def test_passages_of_every_length_go(spark):
