@@ -79,9 +79,10 @@ def phrase_places(words: list[bytes], phrases: dict[str, str]) -> list[tuple[int
     places = []
     for phrase, label in phrases.items():
         wanted = b" " + phrase.encode() + b" "
-        at = joined.find(wanted)
+        at, word, counted = joined.find(wanted), 0, 0
         while at >= 0:
-            places.append((joined.count(b" ", 0, at), label))
+            word, counted = word + joined.count(b" ", counted, at), at
+            places.append((word, label))
             at = joined.find(wanted, at + 1)
     return places
 

@@ -66,3 +66,16 @@ def test_odd_rows(odd_docs, no_docs):
     assert len(got) == odd_docs.count() and all(r["score"] == 0 and r["labels"] == "" for r in got)
     assert {r["doc_id"]: r["n_words"] for r in got}[3] == 0
     assert L.scan_licenses(no_docs).count() == 0
+
+
+def test_places_in_linear_time():
+    """Very many places in one text: word numbers are counted on, not anew."""
+    import time
+
+    from tessera.llm.license_scan import phrase_places, words_of
+
+    words = words_of(b"mit license, apache license of old. " * 80_000)
+    began = time.time()
+    places = phrase_places(words, {"mit license": "mit", "apache license": "apache"})
+    assert time.time() - began < 5 and len(places) == 160_000
+    assert sorted(places)[:3] == [(0, "mit"), (2, "apache"), (6, "mit")]
