@@ -13,11 +13,9 @@ from tessera.plans.registry import all_queries  # noqa: E402
 
 # Inventory ids that have no key of their own, and where they are covered.
 COVERED_ELSEWHERE = {
-    "A9": "drop table / view if exists: `views.drop_view`, `sinks.Catalog.drop` (tests/test_sources_views_functions.py)",
     "B7": "LIKE with a runtime pattern: `table_functions.search_items` (udtf_search_1, udtf_search_2)",
     "B11": "constant predicate: sink_ctas_empty (WHERE 1=0), join_on_true (ON TRUE); pruning tested",
     "Q5": "chained CTEs: named DataFrames in job_balance_summary, job_daily_report, job_suspicious",
-    "F10": "CURRENT_DATE / TIMESTAMP / USER: as-of parameters (bank_model.AS_OF_DATE, SALARY_PAID_AT, actor)",
     "G14": "failure details: one row per failure (job_salary_failures) instead of one JSON array",
     "L5": "LIMIT 1 arbitrary pick: lowest account id per IIN in `banking.salary_batches`",
 }
