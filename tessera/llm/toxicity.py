@@ -1,30 +1,39 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
-Words are spelled letter by letter from their start; a context is the word so
-far (``DEPTH`` letters at most, 5 bits each, so a node of the spelling tree is
-one 40-bit code). For the toxic and for the ordinary class
+Words are spelled letter by letter from their start to their end, which is a
+letter of its own; a context is the word so far, whatever its length. For the toxic and for the ordinary class
 
     P(letter | context) = max(C - D, 0) / C(context) + D * N(context) / C(context) * S(letter | last two)
 
 with N the number of different letters seen after the context. S is shared by
 the classes: a Kneser-Ney continuation model, the number of different contexts
 that the letter follows, given the last two letters, itself smoothed by
-shorter ones. Rare expressions so lean on what both classes share. A text's
+shorter ones (``SYMBOLS`` letters; rarer scripts share them in S alone). Rare
+expressions so lean on what both classes share. A letter unseen after a seen context
+has the ratio of the two backoff weights D * N / C, as S cancels; after an unseen
+context both classes say S, and the ratio is 0. A text's
 two log-likelihoods are compared per word; their difference and the strongest
 single words go through a logistic calibration.
 
-Counts cover every labelled row that may be learned from, added up in Spark
-by code; the log-ratio of every node is computed there, a context's letters (32
-at most) side by side. The ratios are a written table that grows with the
-input. Scoring is exact over all of it, in two steps. The tasks get the most
+A node of the spelling tree is a word's beginning, under a 63-bit hash of all its
+letters (digits count as one letter); among 10 million nodes two meet by chance
+with a probability of about 1 in 200,000. Counts are added up in Spark by node,
+over every counted row; the log-ratio of every node is computed there, and a node
+is written with what it changes in the score of a word: its own ratio and the
+backoff ratio behind it, less the backoff ratio before it. A word's score is so
+the sum over its seen nodes and the backoff ratio of the empty context, wherever
+the word leaves the tree. The nodes are a written table that
+grows with the input. Scoring is exact over all of it, in two steps. The tasks get the most
 frequent nodes, ``NODES`` at most, and a table of 2 ** ``REST_LOG2`` bits set by
-all others. A word whose nodes are all in hand or surely unseen is scored at
-once. The others are given out with the node codes that are open, meet the
-written ratios in a join and come back to their text. Frequent words so never
-move, and neither bound changes a score.
+all others. A word is followed until a node surely is unseen; if all before are in hand, it is scored at
+once. The others are given out with the nodes that are open, meet the
+written table in a join and come back to their text. Frequent words so never
+move, and neither bound changes a score. Copies of a text share one answer, which
+is dealt over ``SALTS`` parts so that no group of copies meets in one task.
 
-The calibration is fitted on a fifth of the training rows that is not counted,
-a sample of about ``CALIBRATION`` different texts of them.
+Of the rows that may be learned from (residues 1 to 4 of the id), residues 1 to 3 are
+counted; the calibration is fitted on residue 4, a sample of about
+``CALIBRATION`` different texts of it.
 
 Labels meet texts in a join on the id. A table of 2 ** ``FILTER_LOG2`` bits,
 whose size doesn't depend on the data, first drops most unlabelled texts; it has
@@ -32,100 +41,142 @@ no false negatives, so it changes no result.
 
 Defined cases: null texts count as empty; an empty text has the score of a text
 without evidence; without labelled rows every score is 0; several labels of an
-id count as toxic if one says so; repeated rows count each; very long texts are
-read whole; extra columns are dropped.
+id count as toxic if one says so; repeated rows count each; very long texts and
+words are read whole; extra columns are dropped.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.common import (
-    add_text_columns, bit_table, crc_mod, in_bit_table, ship, shipped, split_words, text_bytes,
+    add_text_columns, bit_table, crc_mod, in_bit_table, pieces, ship, shipped, split_words, text_bytes,
 )
 from tessera.session import materialize
 
-DEPTH = 8
 DISCOUNT = 0.75
 NODES = 1 << 20
 REST_LOG2 = 24
 FILTER_LOG2 = 23
 CALIBRATION = 20_000
 CLEAR = 3.0
+SALTS = 16
+SPELL_BYTES = 1 << 18
 FEATURES = ("mean", "top", "second", "clear")
 
 _LETTERS = bytes(c if 97 <= c <= 122 or 48 <= c <= 57 or c >= 128 else 32 for c in range(256))
-#: 1..26 letters, 27 digits, 28..31 bytes of other letters; 0 ends a word.
-_SYMBOL = np.zeros(256, np.int64)
-_SYMBOL[97:123] = np.arange(1, 27)
-_SYMBOL[48:58] = 27
-_SYMBOL[128:] = 28 + (np.arange(128, 256) & 3)
+#: S knows a letter by one of these: 0 ends a word, 1..26 a to z, 27 digits, 28..62 other letters, 63 what stands before a word.
+SYMBOLS = 64
+_END, _START = 10, SYMBOLS - 1
 
 
 def normal_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     return split_words([t.decode("utf-8", "replace").lower().encode().translate(_LETTERS) for t in texts])
 
 
-def spell(words: list[bytes]) -> np.ndarray:
-    """Codes of each word's nodes, one row per word: a leading 1, then 5 bits a letter; 0 beyond its end."""
-    letters = np.array(words, dtype=f"S{DEPTH}").view(np.uint8).reshape(len(words), DEPTH)
-    symbols = _SYMBOL[letters]
-    length = np.minimum(np.fromiter(map(len, words), np.int64, len(words)), DEPTH)
-    codes = np.zeros((len(words), DEPTH), np.int64)
-    code = np.ones(len(words), np.int64)
-    for k in range(DEPTH):
-        code = (code << 5) | symbols[:, k]
-        codes[:, k] = np.where(k <= length, code, 0)  # the end of a word is a letter of its own
-    return codes
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A bijective 64-bit hash, number by number."""
+    x = x + np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def _code(sums: np.ndarray) -> np.ndarray:
+    """Codes of word beginnings, of their letters' sums: positive and odd."""
+    return ((_mixed(sums) >> np.uint64(1)) | np.uint64(1)).astype(np.int64)
+
+
+ROOT = int(_code(np.zeros(1, np.uint64))[0])
+
+
+def spell(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(node, context, last three symbols, number of the word) of every letter of every word, its end included.
+
+    The sum behind a code weighs each letter by its place, so a beginning's sum is a difference of running sums.
+    """
+    letters = np.frombuffer((b"\n".join(words) + b"\n").decode().encode("utf-32-le"), np.uint32).astype(np.uint64)
+    digit = (letters >= 48) & (letters <= 57)
+    letters[digit] = 48
+    ends = letters == _END
+    word = np.cumsum(ends) - ends
+    starts = np.concatenate([[0], np.flatnonzero(ends)[:-1] + 1])
+    place = np.arange(len(letters)) - starts[word]
+    own = _mixed(letters) * (_mixed((place + (1 << 32)).astype(np.uint64)) | np.uint64(1))
+    after = np.cumsum(own, dtype=np.uint64)
+    before = after - own
+    base = before[starts][word]
+    symbol = np.where(ends, 0, np.where(digit, 27, np.where(letters < 128, letters - 96, 28 + letters % 35))).astype(np.int64)
+    past = np.concatenate([[_START, _START], symbol])
+    last = np.where(place > 0, past[1:-1], _START)
+    second = np.where(place > 1, past[:-2], _START)
+    return _code(after - base), _code(before - base), (second * SYMBOLS + last) * SYMBOLS + symbol, word
+
+
+def spelled(words: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Index ranges of words of about ``SPELL_BYTES`` bytes, for ``spell``; one word at least."""
+    return pieces(words, SPELL_BYTES)
 
 
 def shared_model(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """S for every last three letters (32 ** 3 values), from how many nodes end in each of them.
+    """S for every last three symbols, from how many nodes end in each of them.
 
     Each node is one context of its last letters, so these are continuation counts.
     """
-    three = np.bincount(grams, counts, minlength=32 ** 3)
-    codes = np.arange(32 ** 3)
-    shared = np.full(len(codes), 1 / 32)
+    three = np.bincount(grams, counts, minlength=SYMBOLS ** 3)
+    codes = np.arange(SYMBOLS ** 3)
+    shared = np.full(len(codes), 1 / SYMBOLS)
     for letters in (1, 2, 3):
-        gram = codes & (32 ** letters - 1)
-        count = np.bincount(gram, three, minlength=32 ** letters).reshape(-1, 32)
+        gram = codes % SYMBOLS ** letters
+        count = np.bincount(gram, three, minlength=SYMBOLS ** letters).reshape(-1, SYMBOLS)
         total, kinds = count.sum(axis=1), (count > 0).sum(axis=1)
-        c, t, n = count.ravel()[gram], np.maximum(total, 1)[gram >> 5], kinds[gram >> 5]
-        shared = np.where(total[gram >> 5] > 0, np.maximum(c - DISCOUNT, 0) / t + DISCOUNT * n / t * shared, shared)
+        before = gram // SYMBOLS
+        c, t, n = count.ravel()[gram], np.maximum(total, 1)[before], kinds[before]
+        shared = np.where(total[before] > 0, np.maximum(c - DISCOUNT, 0) / t + DISCOUNT * n / t * shared, shared)
     return shared
 
 
 def node_ratios(counts: DataFrame) -> DataFrame:
-    """(code, n, ratio): the log-ratio of toxic to ordinary probability of every node of (code, toxic, ordinary)."""
+    """(code, context, n, ratio, before, change) of (code, context, gram, toxic, ordinary), one row per node.
+
+    The log-ratio of toxic to ordinary probability, the context's backoff ratio, and what the node changes in a score.
+    """
     spark = counts.sparkSession
-    last = F.col("code").bitwiseAND(32 ** 3 - 1).cast("int")
-    grams = counts.groupBy(last.alias("gram")).count().toArrow()  # 32 ** 3 rows at most
+    grams = counts.groupBy("gram").count().toArrow()  # SYMBOLS ** 3 rows at most
     shared = shared_model(grams["gram"].to_numpy(), grams["count"].to_numpy().astype(float))
-    backoff = spark.createDataFrame(pd.DataFrame({"gram": np.arange(32 ** 3, dtype=np.int32), "s": shared}))
-    context = Window.partitionBy(F.shiftright("code", 5))
+    smooth = spark.createDataFrame(pd.DataFrame({"gram": np.arange(SYMBOLS ** 3, dtype=np.int32), "s": shared}))
+    classes = ("toxic", "ordinary")
+    contexts = counts.groupBy("context").agg(
+        *[F.sum(c).alias(f"{c}_all") for c in classes], *[F.count_if(F.col(c) > 0).alias(f"{c}_kinds") for c in classes])
+
+    def weight(c: str) -> Column:  # of S; all of it after a context that the class doesn't know
+        return F.when(F.col(f"{c}_all") > 0, DISCOUNT * F.col(f"{c}_kinds") / F.col(f"{c}_all")).otherwise(F.lit(1.0))
 
-    def log_p(count: str):
-        n, total = F.col(count), F.sum(count).over(context)
-        kinds = F.sum((F.col(count) > 0).cast("long")).over(context)
-        return F.log(F.when(total > 0, F.greatest(n - DISCOUNT, F.lit(0.0)) / total + DISCOUNT * kinds / total * F.col("s")).otherwise(F.col("s")))
+    def log_p(c: str) -> Column:
+        plain = F.when(F.col(f"{c}_all") > 0, F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.col(f"{c}_all")).otherwise(F.lit(0.0))
+        return F.log(plain + weight(c) * F.col("s"))
 
-    return counts.withColumn("gram", last).join(backoff, "gram").select(
-        "code", (F.col("toxic") + F.col("ordinary")).alias("n"), (log_p("toxic") - log_p("ordinary")).alias("ratio"))
+    contexts = contexts.withColumn("back", F.log(weight("toxic")) - F.log(weight("ordinary")))
+    behind = contexts.select(F.col("context").alias("code"), F.col("back").alias("behind"))
+    rows = counts.join(smooth, "gram").join(contexts, "context").join(behind, "code", "left")
+    ratio = log_p("toxic") - log_p("ordinary")
+    return rows.select("code", "context", (F.col("toxic") + F.col("ordinary")).alias("n"), ratio.alias("ratio"), F.col("back").alias("before"),
+                       (ratio - F.col("back") + F.coalesce("behind", F.lit(0.0))).alias("change"))
 
 
 class NodeTable:
-    """A hash table of the most frequent nodes' ratios, at most half full, and a bit table of all other nodes."""
+    """A hash table of the most frequent nodes' changes, at most half full, a bit table of all other nodes, and the root's backoff."""
 
-    def __init__(self, codes: np.ndarray, ratio: np.ndarray, rest: bytes, log2: int):
-        self.rest, self.log2 = rest, log2
+    def __init__(self, codes: np.ndarray, ratio: np.ndarray, rest: bytes, log2: int, root: float):
+        self.rest, self.log2, self.root = rest, log2, root
         self.bits = max(1, int(2 * len(codes)).bit_length())
         self.codes, self.ratio = np.zeros(1 << self.bits, np.int64), np.zeros(1 << self.bits)
         place = self._places(codes)
@@ -141,24 +192,33 @@ class NodeTable:
         mixed = codes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
 
-    def look_up(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Per word: its score over the nodes known here, and its open node codes (0: none)."""
-        spelled = spell(words)
-        at = np.flatnonzero(spelled)
-        codes, scores, seek = spelled.ravel(), np.zeros(spelled.size), at
-        place, gone = self._places(codes[at]), []
-        while len(seek):
-            held = self.codes[place]
-            hit = held == codes[seek]
-            scores[seek[hit]] = self.ratio[place[hit]]
-            gone.append(seek[held == 0])
-            more = ~hit & (held != 0)
-            seek, place = seek[more], (place[more] + 1) & ((1 << self.bits) - 1)
-        absent = np.concatenate(gone) if gone else at
-        absent = absent[in_bit_table(self.rest, codes[absent], self.log2)]
-        still = np.zeros(spelled.size, np.int64)
-        still[absent] = codes[absent]
-        return scores.reshape(spelled.shape).sum(axis=1), still.reshape(spelled.shape)
+    def look_up(self, words: list[bytes]) -> tuple[np.ndarray, dict[int, list[int]]]:
+        """Per word its score over the nodes known here, and the open nodes of the words that have any."""
+        scores, still = np.full(len(words), self.root), {}
+        for lo, hi in spelled(words):
+            codes, _, _, word = spell(words[lo:hi])
+            values, seek = np.zeros(len(codes)), np.arange(len(codes))
+            place, gone = self._places(codes), []
+            while len(seek):
+                held = self.codes[place]
+                hit = held == codes[seek]
+                values[seek[hit]] = self.ratio[place[hit]]
+                gone.append(seek[held == 0])
+                more = ~hit & (held != 0)
+                seek, place = seek[more], (place[more] + 1) & ((1 << self.bits) - 1)
+            absent = np.concatenate(gone)
+            maybe = in_bit_table(self.rest, codes[absent] >> 1, self.log2)
+            unseen = np.zeros(len(codes), np.int64)
+            unseen[absent[~maybe]] = 1
+            passed = np.cumsum(unseen)  # behind an unseen node all are unseen
+            starts = np.searchsorted(word, np.arange(hi - lo))
+            first = passed[starts] - unseen[starts]
+            opened = np.sort(absent[maybe])
+            opened = opened[passed[opened] == first[word[opened]]]
+            scores[lo:hi] += np.bincount(word, values, hi - lo)
+            for w, code in zip(word[opened].tolist(), codes[opened].tolist()):
+                still.setdefault(lo + w, []).append(code)
+        return scores, still
 
     def score_texts(self, texts: list[bytes]) -> list:
         """Per text: words, sum, highest, second and clear ones of the words scored here; the open words."""
@@ -167,14 +227,15 @@ class NodeTable:
         for i, w in enumerate(vocabulary):
             vocabulary[w] = i
         ids = np.fromiter(map(vocabulary.__getitem__, words), np.int64, len(words))
-        scores, todo = self.look_up(list(vocabulary)) if vocabulary else (np.zeros(0), np.zeros((0, DEPTH), np.int64))
-        wait = todo.any(axis=1)
+        scores, todo = self.look_up(list(vocabulary))
+        wait = np.zeros(len(vocabulary), bool)
+        wait[list(todo)] = True
         out = []
         for a, b in zip(ends[:-1], ends[1:]):
             own = ids[a:b]
             s = np.sort(scores[own[~wait[own]]])
             kinds, n = np.unique(own[wait[own]], return_counts=True)
-            later = [{"n": int(k), "base": float(scores[w]), "nodes": todo[w][todo[w] > 0].tolist()} for w, k in zip(kinds, n)]
+            later = [{"n": int(k), "base": float(scores[w]), "nodes": todo[w]} for w, k in zip(kinds.tolist(), n)]
             out.append((int(b - a), float(s.sum()), max(float(s[-1]), 0.0) if len(s) else 0.0,
                         max(float(s[-2]), 0.0) if len(s) > 1 else 0.0, int((s > CLEAR).sum()), later))
         return list(zip(*out)) if out else [[]] * 6
@@ -190,9 +251,10 @@ def node_table(ratios: DataFrame, nodes: int, log2: int) -> NodeTable:
         if held > nodes:
             break
         least = lv
-    rows = ratios.filter(level >= least).select("code", "ratio").toArrow()
-    rest = bit_table(ratios.filter(level < least).select("code"), log2)
-    return NodeTable(rows["code"].to_numpy(), rows["ratio"].to_numpy(), rest, log2)
+    rows = ratios.filter(level >= least).select("code", "change").toArrow()
+    rest = bit_table(ratios.filter(level < least).select(F.shiftright("code", 1)), log2)
+    root = ratios.filter(F.col("context") == ROOT).select("before").first()
+    return NodeTable(rows["code"].to_numpy(), rows["change"].to_numpy(), rest, log2, root[0] if root else 0.0)
 
 
 _OPEN = T.ArrayType(T.StructType([T.StructField("n", T.LongType()), T.StructField("base", T.DoubleType()),
@@ -205,7 +267,8 @@ def text_features(rows: DataFrame, ratios: DataFrame, table: NodeTable) -> DataF
     """``rows`` (columns beside ``text`` pass; none named like the new ones) with ``FEATURES`` instead of the text.
 
     The mean word score, the two highest, and log(1 + words clearly toxic).
-    Rows of equal text share their open words, by the text's hash and length.
+    Rows of equal text share their open words, by the text's hash and length; their answer is
+    dealt over the salts that stand in the written rows.
     """
     sent = ship(rows.sparkSession, table)
 
@@ -214,17 +277,21 @@ def text_features(rows: DataFrame, ratios: DataFrame, table: NodeTable) -> DataF
         return known.score_texts
 
     key = F.struct(F.xxhash64("text").alias("h"), F.length("text").alias("size")).alias("place")
-    local = materialize(add_text_columns(rows.select("*", key), "text", _LOCAL, make, drop=("text",)), "toxicity_texts")
-    todo = local.filter(F.size("todo") > 0).groupBy("place").agg(F.any_value("todo").alias("todo"))
+    salt = F.pmod(F.xxhash64(*[c for c in rows.columns if c != "text"], F.spark_partition_id()), F.lit(SALTS)).alias("salt")
+    local = materialize(add_text_columns(rows.select("*", key, salt), "text", _LOCAL, make, drop=("text",)), "toxicity_texts")
+    waiting = local.filter(F.size("todo") > 0)
+    todo = waiting.groupBy("place").agg(F.any_value("todo").alias("todo"))
     todo = todo.select("place", F.posexplode("todo").alias("word", "x")).select("place", "word", "x.n", "x.base", F.explode("x.nodes").alias("code"))
-    found = todo.join(ratios.select("code", "ratio"), "code", "left")
+    found = todo.join(ratios.select("code", "change"), "code", "left")
     by_word = found.groupBy("place", "word").agg(
-        F.any_value("n").alias("n"), (F.any_value("base") + F.coalesce(F.sum("ratio"), F.lit(0.0))).alias("s"))
+        F.any_value("n").alias("n"), (F.any_value("base") + F.coalesce(F.sum("change"), F.lit(0.0))).alias("s"))
     best = F.sort_array(F.flatten(F.collect_list(F.array_repeat(F.col("s"), F.least("n", F.lit(2)).cast("int")))), asc=False)
     by_text = by_word.groupBy("place").agg(
         F.sum(F.col("n") * F.col("s")).alias("more"), F.sum(F.when(F.col("s") > CLEAR, F.col("n")).otherwise(0)).alias("sure2"),
         F.slice(best, 1, 2).alias("best"))
-    out = local.join(by_text.withColumnRenamed("place", "place2"), F.col("place") == F.col("place2"), "left")
+    dealt = waiting.select("place", "salt").distinct().join(by_text, "place")  # SALTS rows a text at most
+    dealt = dealt.withColumnsRenamed({"place": "place2", "salt": "salt2"})
+    out = local.join(dealt, (F.col("place") == F.col("place2")) & (F.col("salt") == F.col("salt2")), "left")
     tops = F.sort_array(F.concat(F.array("top", "second"), F.coalesce("best", F.array().cast("array<double>"))), asc=False)
     features = {
         "mean": F.when(F.col("words") > 0, (F.col("total") + F.coalesce("more", F.lit(0.0))) / F.col("words")).otherwise(0.0),
@@ -268,45 +335,44 @@ def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def count_nodes(texts: DataFrame) -> DataFrame:
-    """(code, toxic, ordinary): occurrences of each spelling node in (text, toxic), over all rows."""
+    """(code, context, gram, toxic, ordinary): occurrences of each spelling node in (text, toxic), over all rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A task adds up as it reads; what it holds grows with different words, so it gives rows out now and then.
-        held: list[np.ndarray] = []
+        held: list[np.ndarray] = []  # rows: code, context, gram, toxic, ordinary
         size = 0
 
-        def add_up() -> tuple[np.ndarray, np.ndarray]:
-            codes, at = np.unique(np.concatenate([h[0] for h in held]), return_inverse=True)
-            sums = np.stack([np.bincount(at, np.concatenate([h[k] for h in held]), len(codes)) for k in (1, 2)])
-            return codes, sums.astype(np.int64)
+        def add_up() -> np.ndarray:
+            every = np.concatenate(held, axis=1)
+            _, first, at = np.unique(every[0], return_index=True, return_inverse=True)
+            sums = [np.bincount(at, every[k], len(first)).astype(np.int64) for k in (3, 4)]
+            return np.stack([*every[:3, first], *sums])
 
-        def rows(codes, sums):
-            return pa.RecordBatch.from_arrays([pa.array(codes), pa.array(sums[0]), pa.array(sums[1])],
-                                              names=["code", "toxic", "ordinary"])
+        def rows(added: np.ndarray) -> pa.RecordBatch:
+            added = [*added[:2], added[2].astype(np.int32), *added[3:]]
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in added], names=["code", "context", "gram", "toxic", "ordinary"])
 
         for batch in batches:
             texts, toxic = text_bytes(batch.column(0)), batch.column(1).to_numpy(zero_copy_only=False)
-            for k, label in ((1, 1), (2, 0)):
-                words, _ = normal_words([t for t, y in zip(texts, toxic) if y == label])
-                if words:
-                    kinds, n = np.unique(np.array(words, dtype=f"S{DEPTH + 1}"), return_counts=True)
-                    codes = spell(kinds.tolist())
-                    used = codes > 0
-                    counts = np.repeat(n[:, None], DEPTH, axis=1)[used]
-                    held.append(np.stack([codes[used], counts * (k == 1), counts * (k == 2)]))
-                    size += int(used.sum())
-            if size > 1 << 20:
-                codes, sums = add_up()
-                if len(codes) > 1 << 19:
-                    yield rows(codes, sums)
-                    held, size = [], 0
-                else:
-                    held, size = [np.stack([codes, *sums])], len(codes)
+            for label in (0, 1):
+                kinds = Counter(normal_words([t for t, y in zip(texts, toxic) if y == label])[0])
+                words, times = list(kinds), np.fromiter(kinds.values(), np.int64, len(kinds))
+                for lo, hi in spelled(words):
+                    codes, context, gram, word = spell(words[lo:hi])
+                    n = times[lo:hi][word]
+                    held.append(np.stack([codes, context, gram, n * (label == 1), n * (label == 0)]))
+                    size += len(codes)
+                    if size > 1 << 20:
+                        held = [add_up()]
+                        size = held[0].shape[1]
+                        if size > 1 << 19:
+                            yield rows(held[0])
+                            held, size = [], 0
         if held:
-            yield rows(*add_up())
+            yield rows(add_up())
 
-    counted = texts.select("text", "toxic").mapInArrow(run, "code bigint, toxic bigint, ordinary bigint")
-    return counted.groupBy("code").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+    counted = texts.select("text", "toxic").mapInArrow(run, "code bigint, context bigint, gram int, toxic bigint, ordinary bigint")
+    return counted.groupBy("code", "context", "gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
 class Model:

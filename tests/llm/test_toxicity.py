@@ -1,6 +1,9 @@
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from llm_fixtures import no_docs, odd_docs, sf_docs  # noqa: F401
@@ -23,56 +26,118 @@ def test_held_out_accuracy(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in got)
     held = [r for r in got if r["held_out"]]
     score, y = np.array([r["score"] for r in held]), np.array([r["toxic"] for r in held])
-    assert auc(score, y) > 0.94
+    assert auc(score, y) > 0.96
     clean = [r for r in held if not r["toxic"]]
     assert sum(r["predicted"] for r in clean) <= 0.02 * len(clean)
     assert all(r["predicted"] == (r["score"] >= 0.5) for r in got)
 
 
-def test_counts_equal_brute_force(spark):
-    from collections import Counter
+class Brute:
+    """The model as the docstring writes it, over plain strings; "$" ends a word, digits are one letter."""
+
+    def __init__(self, rows):
+        self.count = {0: Counter(), 1: Counter()}
+        for text, label in rows:
+            for w in self.words(text):
+                self.count[label].update(w[:k] for k in range(1, len(w) + 1))
+        self.nodes = set(self.count[0]) | set(self.count[1])
+        self.grams = Counter(self.symbols(node) for node in self.nodes)
+        self.known: dict = {}
+
+    @staticmethod
+    def words(text):
+        return [re.sub("[0-9]", "0", w) + "$" for w in re.findall("[a-z0-9\x80-\U0010ffff]+", (text or "").lower())]
+
+    @staticmethod
+    def symbols(node):
+        def one(c):
+            return 0 if c == "$" else 27 if c == "0" else ord(c) - 96 if c < "\x80" else 28 + ord(c) % 35
+
+        return tuple([63, 63, 63, *map(one, node)][-3:])
 
-    rows = [("Bad bad WORDS, é1", 1), ("some words bad", 0), (None, 0), ("", 1)]
-    got = {r["code"]: (r["toxic"], r["ordinary"]) for r in X.count_nodes(spark.createDataFrame(rows, "text string, toxic int")).collect()}
-    want = {0: Counter(), 1: Counter()}
-    for text, label in rows:
-        words, _ = X.normal_words([(text or "").encode()])
-        for w in words:
-            want[label].update(int(c) for c in X.spell([w])[0] if c)
-    assert got == {c: (want[1][c], want[0][c]) for c in want[0] | want[1]}
+    def shared(self, last):
+        if not last:
+            return 1 / X.SYMBOLS
+        if last not in self.known:
+            alike = [(g[-len(last):], n) for g, n in self.grams.items() if g[-len(last):-1] == last[:-1]]
+            total, n = sum(n for _, n in alike), sum(n for g, n in alike if g == last)
+            part = X.DISCOUNT * len({g for g, _ in alike}) / total * self.shared(last[1:]) if total else self.shared(last[1:])
+            self.known[last] = max(n - X.DISCOUNT, 0) / total + part if total else part
+        return self.known[last]
 
+    def p(self, label, node):
+        count = self.count[label]
+        own = [count[x] for x in self.nodes if x[:-1] == node[:-1] and count[x]]
+        s = self.shared(self.symbols(node))
+        return max(count[node] - X.DISCOUNT, 0) / sum(own) + X.DISCOUNT * len(own) / sum(own) * s if own else s
 
-def brute_ratios(toxic, ordinary):
-    """Kneser-Ney as the docstring writes it, node by node; toxic and ordinary: code -> count."""
-    codes, d = set(toxic) | set(ordinary), X.DISCOUNT
+    def score(self, word):
+        """Letter by letter, each by its full probability in both classes."""
+        return sum(np.log(self.p(1, word[:k])) - np.log(self.p(0, word[:k])) for k in range(1, len(word) + 1))
 
-    def shared(code, letters):
-        if letters == 0:
-            return 1 / 32
-        mask = 32 ** letters - 1
-        alike = [c & mask for c in codes if (c & mask) >> 5 == (code & mask) >> 5]
-        n = sum(c == code & mask for c in alike)
-        return max(n - d, 0) / len(alike) + d * len(set(alike)) / len(alike) * shared(code, letters - 1)
+    def features(self, text):
+        scores = sorted(map(self.score, self.words(text)), reverse=True)
+        tops = [max(x, 0.0) for x in scores] + [0.0, 0.0]
+        return [np.mean(scores) if scores else 0.0, max(tops), sorted(tops)[-2], np.log1p(sum(x > X.CLEAR for x in scores))]
 
-    def p(count, code):
-        own = [count[c] for c in codes if c >> 5 == code >> 5 and count[c]]
-        s = shared(code, 3)
-        return max(count[code] - d, 0) / sum(own) + d * len(own) / sum(own) * s if own else s
 
-    return {c: np.log(p(toxic, c)) - np.log(p(ordinary, c)) for c in codes}
+ROWS = [("Bad bad WORDS, é1 badly", 1), ("some words bad приворот", 0), (None, 0), ("", 1), ("internationalism goods 42 xyz", 0),
+        ("internatfoo bid x1 привет", 1), ("good " * 9 + "abcdefghijklm " * 30, 0), ("abcdefghijkXX " * 30 + "语言 bad7", 1)]
+
+
+def code_of(node):
+    """The code of a node of ``Brute``."""
+    codes = X.spell([node.rstrip("$").encode()])[0]
+    return int(codes[-1] if node.endswith("$") else codes[-2])
+
+
+def test_counts_equal_brute_force(spark):
+    got = X.count_nodes(spark.createDataFrame(ROWS, "text string, toxic int")).collect()
+    want = Brute(ROWS)
+    assert {r["code"]: (r["toxic"], r["ordinary"]) for r in got} == {code_of(x): (want.count[1][x], want.count[0][x]) for x in want.nodes}
+    assert len(got) == len(want.nodes)
+    context = {code_of(x): code_of(x[:-1]) if len(x) > 1 else X.ROOT for x in want.nodes}
+    assert {r["code"]: r["context"] for r in got} == context
 
 
 def test_ratios_equal_brute_force(spark):
-    from collections import Counter
-
-    toxic, ordinary = Counter(), Counter()
-    for words, count in ((["bad", "badly", "bid", "x1"], toxic), (["good", "bad", "goods", "xyz", "abcdefghij"] * 2, ordinary)):
-        for w in words:
-            count.update(int(c) for c in X.spell([w.encode()])[0] if c)
-    rows = [(c, toxic[c], ordinary[c]) for c in toxic | ordinary]
-    got = {r["code"]: r["ratio"] for r in X.node_ratios(spark.createDataFrame(rows, "code long, toxic long, ordinary long")).collect()}
-    want = brute_ratios(toxic, ordinary)
-    assert got.keys() == want.keys() and all(abs(got[c] - want[c]) < 1e-9 for c in want)
+    want = Brute(ROWS)
+    got = {r["code"]: r["ratio"] for r in X.node_ratios(X.count_nodes(spark.createDataFrame(ROWS, "text string, toxic int"))).collect()}
+    assert len(got) == len(want.nodes)
+    assert all(abs(got[code_of(x)] - np.log(want.p(1, x)) + np.log(want.p(0, x))) < 1e-9 for x in want.nodes)
+
+
+@pytest.mark.parametrize("nodes, log2", [(1 << 20, 24), (0, 7), (25, 7)])
+def test_features_equal_brute_force(spark, nodes, log2):
+    """Seen words, words that leave the tree at any letter, unseen scripts; with and without the join."""
+    ratios = X.node_ratios(X.count_nodes(spark.createDataFrame(ROWS, "text string, toxic int"))).cache()
+    texts = [t or "" for t, _ in ROWS] + ["bad", "b", "badx", "abcdefghijkl", "abcdefghijklmn abcdefghijkXX", "приве при приворо", "zzz ß", "7 77 4", "internatio"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts * 3)], "id int, text string")
+    got = X.text_features(rows, ratios, X.node_table(ratios, nodes, log2)).collect()
+    want = Brute(ROWS)
+    assert len(got) == len(texts) * 3
+    for r in got:
+        assert np.allclose([r[c] for c in X.FEATURES], want.features(texts[r["id"] % len(texts)]), atol=1e-9), texts[r["id"] % len(texts)]
+    ratios.unpersist()
+
+
+def test_words_are_read_whole(spark):
+    """Words equal in their first letters score apart, in any script."""
+    rows = [("internatfoo приворот", 1), ("internationalism привет", 0)] * 20
+    ratios = X.node_ratios(X.count_nodes(spark.createDataFrame(rows, "text string, toxic int")))
+    pairs = ["internatfoo", "internationalism", "приворот", "привет"]
+    got = X.text_features(spark.createDataFrame(list(enumerate(pairs)), "id int, text string"), ratios, X.node_table(ratios, 1000, 10))
+    mean = {r["id"]: r["mean"] for r in got.collect()}
+    assert mean[0] > 1 and mean[1] < -1 and mean[2] > 1 and mean[3] < -1
+
+
+def test_very_long_words(spark):
+    rows = [("a" * 300_000 + " bad " + "\U0001f600" * 50_000, 1), ("good", 0)]
+    ratios = X.node_ratios(X.count_nodes(spark.createDataFrame(rows, "text string, toxic int")))
+    table = X.node_table(ratios, 1000, 12)
+    again = spark.createDataFrame([(0, "a" * 300_000), (1, "a" * 299_999 + "b")], "id int, text string")
+    got = {r["id"]: r["top"] for r in X.text_features(again, ratios, table).collect()}
+    assert got[0] > got[1] - 1e-9 and got[0] > 0
 
 
 def test_small_tables_change_no_score(spark):
