@@ -1,32 +1,30 @@
 """Toxicity by class-conditional Kneser-Ney models.
 
 Words are spelled letter by letter from their start to their end, which is a
-letter of its own; a context is the word so far, whatever its length. For the toxic and for the ordinary class
+letter of its own; a context is the ``ORDER`` - 1 letters before, or the whole beginning of the word
+where that is shorter. For the toxic and for the ordinary class
 
     P(letter | context) = max(C - D, 0) / C(context) + D * N(context) / C(context) * S(letter | last two)
 
 with N the number of different letters seen after the context. S is shared by
 the classes: a Kneser-Ney continuation model, the number of different contexts
 that the letter follows, given the last two letters, itself smoothed by
-shorter ones (``SYMBOLS`` letters; rarer scripts share them in S alone). Rare
-expressions so lean on what both classes share. A letter unseen after a seen context
+shorter ones. Rare expressions so lean on what both classes share. A letter unseen after a seen context
 has the ratio of the two backoff weights D * N / C, as S cancels; after an unseen
 context both classes say S, and the ratio is 0. A text's
 two log-likelihoods are compared per word; their difference and the strongest
 single words go through a logistic calibration.
 
-A node of the spelling tree is a word's beginning, under a 63-bit hash of all its
-letters (digits count as one letter); among 10 million nodes two meet by chance
-with a probability of about 1 in 200,000. Counts are added up in Spark by node,
-over every counted row; the log-ratio of every node is computed there, and a node
-is written with what it changes in the score of a word: its own ratio and the
-backoff ratio behind it, less the backoff ratio before it. A word's score is so
-the sum over its seen nodes and the backoff ratio of the empty context, wherever
-the word leaves the tree. The nodes are a written table that
-grows with the input. Scoring is exact over all of it, in two steps. The tasks get the most
-frequent nodes, ``NODES`` at most, and a table of 2 ** ``REST_LOG2`` bits set by
-all others. A word is followed until a node surely is unseen; if all before are in hand, it is scored at
-once. The others are given out with the nodes that are open, meet the
+A node is a context and a letter, ``ORDER`` letters of ``BITS`` bits in one number: a to z and
+the end have their own numbers, digits share one, other letters go by their code point
+modulo 994, which keeps the letters of an alphabet apart (S has 64 symbols, and folds them further). Counts are
+added up in Spark by node, over every counted row, and the log-ratios are computed there. Two
+kinds of rows are written: a context's backoff ratio, and by how much a node's ratio
+differs from it. A word's score is so the sum of all rows that its letters meet. The
+rows are a written table that grows with the input. Scoring is exact over all of it, in two steps. The tasks get the most
+frequent rows, ``NODES`` at most, and a table of 2 ** ``REST_LOG2`` bits set by
+all others. A word whose rows are all in hand or surely unseen is scored at
+once. The others are given out with the codes that are open, meet the
 written table in a join and come back to their text. Frequent words so never
 move, and neither bound changes a score. Copies of a text share one answer, which
 is dealt over ``SALTS`` parts so that no group of copies meets in one task.
@@ -53,7 +51,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,56 +67,47 @@ FILTER_LOG2 = 23
 CALIBRATION = 20_000
 CLEAR = 3.0
 SALTS = 16
+ORDER, BITS = 6, 10
 SPELL_BYTES = 1 << 18
 FEATURES = ("mean", "top", "second", "clear")
 
 _LETTERS = bytes(c if 97 <= c <= 122 or 48 <= c <= 57 or c >= 128 else 32 for c in range(256))
-#: S knows a letter by one of these: 0 ends a word, 1..26 a to z, 27 digits, 28..62 other letters, 63 what stands before a word.
+#: Letters as numbers: 0 ends a word, 1..26 a to z, 27 digits, 28..1021 other letters; any unseen letter; what stands before a word.
+_END, _OTHERS, _UNSEEN, _START = 0, 994, (1 << BITS) - 2, (1 << BITS) - 1
+#: S folds the other letters and the start to 28..63.
 SYMBOLS = 64
-_END, _START = 10, SYMBOLS - 1
 
 
 def normal_words(texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
     return split_words([t.decode("utf-8", "replace").lower().encode().translate(_LETTERS) for t in texts])
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """A bijective 64-bit hash, number by number."""
-    x = x + np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _code(sums: np.ndarray) -> np.ndarray:
-    """Codes of word beginnings, of their letters' sums: positive and odd."""
-    return ((_mixed(sums) >> np.uint64(1)) | np.uint64(1)).astype(np.int64)
-
+def spell(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(node, number of the word) of every letter of every word, its end included."""
+    points = np.frombuffer((b"\n".join(words) + b"\n").decode().encode("utf-32-le"), np.uint32).astype(np.int64)
+    ends = points == 10
+    letters = np.where(points < 128, points - 96, 28 + points % _OTHERS)
+    letters[(points >= 48) & (points <= 57)] = 27
+    letters[ends] = _END
+    word = np.cumsum(ends) - ends
+    place = np.arange(len(points)) - np.concatenate([[0], np.flatnonzero(ends)[:-1] + 1])[word]
+    past = np.concatenate([np.full(ORDER, _START), letters])
+    codes = np.zeros(len(points), np.int64)
+    for back in range(ORDER - 1, -1, -1):
+        codes = (codes << BITS) | np.where(place >= back, past[ORDER - back:len(past) - back], _START)
+    return codes, word
 
-ROOT = int(_code(np.zeros(1, np.uint64))[0])
 
+def backoff_code(codes: np.ndarray) -> np.ndarray:
+    """The codes of the backoff ratios of nodes' contexts."""
+    return codes >> BITS << BITS | _UNSEEN
 
-def spell(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(node, context, last three symbols, number of the word) of every letter of every word, its end included.
 
-    The sum behind a code weighs each letter by its place, so a beginning's sum is a difference of running sums.
-    """
-    letters = np.frombuffer((b"\n".join(words) + b"\n").decode().encode("utf-32-le"), np.uint32).astype(np.uint64)
-    digit = (letters >= 48) & (letters <= 57)
-    letters[digit] = 48
-    ends = letters == _END
-    word = np.cumsum(ends) - ends
-    starts = np.concatenate([[0], np.flatnonzero(ends)[:-1] + 1])
-    place = np.arange(len(letters)) - starts[word]
-    own = _mixed(letters) * (_mixed((place + (1 << 32)).astype(np.uint64)) | np.uint64(1))
-    after = np.cumsum(own, dtype=np.uint64)
-    before = after - own
-    base = before[starts][word]
-    symbol = np.where(ends, 0, np.where(digit, 27, np.where(letters < 128, letters - 96, 28 + letters % 35))).astype(np.int64)
-    past = np.concatenate([[_START, _START], symbol])
-    last = np.where(place > 0, past[1:-1], _START)
-    second = np.where(place > 1, past[:-2], _START)
-    return _code(after - base), _code(before - base), (second * SYMBOLS + last) * SYMBOLS + symbol, word
+def mixed(codes):
+    """Spreads codes over their low bits; ``>>`` of numpy numbers or of a column's name."""
+    if isinstance(codes, str):
+        return F.col(codes).bitwiseXOR(F.shiftright(codes, 25)).bitwiseXOR(F.shiftright(codes, 48))
+    return codes ^ (codes >> 25) ^ (codes >> 48)
 
 
 def spelled(words: list[bytes]) -> Iterator[tuple[int, int]]:
@@ -145,38 +134,44 @@ def shared_model(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def node_ratios(counts: DataFrame) -> DataFrame:
-    """(code, context, n, ratio, before, change) of (code, context, gram, toxic, ordinary), one row per node.
-
-    The log-ratio of toxic to ordinary probability, the context's backoff ratio, and what the node changes in a score.
-    """
+    """(code, n, ratio) of (code, toxic, ordinary): per context the log-ratio of toxic to ordinary backoff, per node what its own adds."""
     spark = counts.sparkSession
-    grams = counts.groupBy("gram").count().toArrow()  # SYMBOLS ** 3 rows at most
+
+    def symbol(back: int) -> Column:
+        letter = F.shiftright("code", BITS * back).bitwiseAND((1 << BITS) - 1)
+        return F.when(letter < 28, letter).otherwise(28 + (letter - 28) % (SYMBOLS - 28))
+
+    gram = ((symbol(2) * SYMBOLS + symbol(1)) * SYMBOLS + symbol(0)).cast("int")
+    grams = counts.groupBy(gram.alias("gram")).count().toArrow()  # SYMBOLS ** 3 rows at most
     shared = shared_model(grams["gram"].to_numpy(), grams["count"].to_numpy().astype(float))
     smooth = spark.createDataFrame(pd.DataFrame({"gram": np.arange(SYMBOLS ** 3, dtype=np.int32), "s": shared}))
-    classes = ("toxic", "ordinary")
-    contexts = counts.groupBy("context").agg(
-        *[F.sum(c).alias(f"{c}_all") for c in classes], *[F.count_if(F.col(c) > 0).alias(f"{c}_kinds") for c in classes])
+    context = Window.partitionBy(F.shiftright("code", BITS))  # 2 ** BITS letters at most
+
+    def total(c: str) -> Column:
+        return F.sum(c).over(context)
 
     def weight(c: str) -> Column:  # of S; all of it after a context that the class doesn't know
-        return F.when(F.col(f"{c}_all") > 0, DISCOUNT * F.col(f"{c}_kinds") / F.col(f"{c}_all")).otherwise(F.lit(1.0))
+        kinds = F.sum((F.col(c) > 0).cast("long")).over(context)
+        return F.when(total(c) > 0, DISCOUNT * kinds / total(c)).otherwise(F.lit(1.0))
 
     def log_p(c: str) -> Column:
-        plain = F.when(F.col(f"{c}_all") > 0, F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / F.col(f"{c}_all")).otherwise(F.lit(0.0))
+        plain = F.when(total(c) > 0, F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) / total(c)).otherwise(F.lit(0.0))
         return F.log(plain + weight(c) * F.col("s"))
 
-    contexts = contexts.withColumn("back", F.log(weight("toxic")) - F.log(weight("ordinary")))
-    behind = contexts.select(F.col("context").alias("code"), F.col("back").alias("behind"))
-    rows = counts.join(smooth, "gram").join(contexts, "context").join(behind, "code", "left")
-    ratio = log_p("toxic") - log_p("ordinary")
-    return rows.select("code", "context", (F.col("toxic") + F.col("ordinary")).alias("n"), ratio.alias("ratio"), F.col("back").alias("before"),
-                       (ratio - F.col("back") + F.coalesce("behind", F.lit(0.0))).alias("change"))
+    back = F.log(weight("toxic")) - F.log(weight("ordinary"))
+    one = counts.withColumn("gram", gram).join(smooth, "gram").select(
+        "code", (F.col("toxic") + F.col("ordinary")).alias("n"), (total("toxic") + total("ordinary")).alias("all"), back.alias("back"),
+        (log_p("toxic") - log_p("ordinary")).alias("own"), (F.min("code").over(context) == F.col("code")).alias("first"))
+    node = F.struct("code", "n", (F.col("own") - F.col("back")).alias("ratio"))
+    behind = F.struct(F.shiftleft(F.shiftright("code", BITS), BITS).bitwiseOR(F.lit(_UNSEEN)).alias("code"), F.col("all").alias("n"), F.col("back").alias("ratio"))
+    return one.select(F.explode(F.when(F.col("first"), F.array(node, behind)).otherwise(F.array(node))).alias("x")).select("x.*")
 
 
 class NodeTable:
-    """A hash table of the most frequent nodes' changes, at most half full, a bit table of all other nodes, and the root's backoff."""
+    """A hash table of the most frequent rows' ratios, at most half full, and a bit table of all other rows."""
 
-    def __init__(self, codes: np.ndarray, ratio: np.ndarray, rest: bytes, log2: int, root: float):
-        self.rest, self.log2, self.root = rest, log2, root
+    def __init__(self, codes: np.ndarray, ratio: np.ndarray, rest: bytes, log2: int):
+        self.rest, self.log2 = rest, log2
         self.bits = max(1, int(2 * len(codes)).bit_length())
         self.codes, self.ratio = np.zeros(1 << self.bits, np.int64), np.zeros(1 << self.bits)
         place = self._places(codes)
@@ -193,10 +188,11 @@ class NodeTable:
         return (mixed >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def look_up(self, words: list[bytes]) -> tuple[np.ndarray, dict[int, list[int]]]:
-        """Per word its score over the nodes known here, and the open nodes of the words that have any."""
-        scores, still = np.full(len(words), self.root), {}
+        """Per word its score over the nodes known here, and the open codes of the words that have any."""
+        scores, still = np.zeros(len(words)), {}
         for lo, hi in spelled(words):
-            codes, _, _, word = spell(words[lo:hi])
+            codes, word = spell(words[lo:hi])
+            codes, word = np.concatenate([codes, backoff_code(codes)]), np.concatenate([word, word])
             values, seek = np.zeros(len(codes)), np.arange(len(codes))
             place, gone = self._places(codes), []
             while len(seek):
@@ -207,14 +203,7 @@ class NodeTable:
                 more = ~hit & (held != 0)
                 seek, place = seek[more], (place[more] + 1) & ((1 << self.bits) - 1)
             absent = np.concatenate(gone)
-            maybe = in_bit_table(self.rest, codes[absent] >> 1, self.log2)
-            unseen = np.zeros(len(codes), np.int64)
-            unseen[absent[~maybe]] = 1
-            passed = np.cumsum(unseen)  # behind an unseen node all are unseen
-            starts = np.searchsorted(word, np.arange(hi - lo))
-            first = passed[starts] - unseen[starts]
-            opened = np.sort(absent[maybe])
-            opened = opened[passed[opened] == first[word[opened]]]
+            opened = absent[in_bit_table(self.rest, mixed(codes[absent]), self.log2)]
             scores[lo:hi] += np.bincount(word, values, hi - lo)
             for w, code in zip(word[opened].tolist(), codes[opened].tolist()):
                 still.setdefault(lo + w, []).append(code)
@@ -251,10 +240,9 @@ def node_table(ratios: DataFrame, nodes: int, log2: int) -> NodeTable:
         if held > nodes:
             break
         least = lv
-    rows = ratios.filter(level >= least).select("code", "change").toArrow()
-    rest = bit_table(ratios.filter(level < least).select(F.shiftright("code", 1)), log2)
-    root = ratios.filter(F.col("context") == ROOT).select("before").first()
-    return NodeTable(rows["code"].to_numpy(), rows["change"].to_numpy(), rest, log2, root[0] if root else 0.0)
+    rows = ratios.filter(level >= least).select("code", "ratio").toArrow()
+    rest = bit_table(ratios.filter(level < least).select(mixed("code")), log2)
+    return NodeTable(rows["code"].to_numpy(), rows["ratio"].to_numpy(), rest, log2)
 
 
 _OPEN = T.ArrayType(T.StructType([T.StructField("n", T.LongType()), T.StructField("base", T.DoubleType()),
@@ -282,9 +270,9 @@ def text_features(rows: DataFrame, ratios: DataFrame, table: NodeTable) -> DataF
     waiting = local.filter(F.size("todo") > 0)
     todo = waiting.groupBy("place").agg(F.any_value("todo").alias("todo"))
     todo = todo.select("place", F.posexplode("todo").alias("word", "x")).select("place", "word", "x.n", "x.base", F.explode("x.nodes").alias("code"))
-    found = todo.join(ratios.select("code", "change"), "code", "left")
+    found = todo.join(ratios.select("code", "ratio"), "code", "left")
     by_word = found.groupBy("place", "word").agg(
-        F.any_value("n").alias("n"), (F.any_value("base") + F.coalesce(F.sum("change"), F.lit(0.0))).alias("s"))
+        F.any_value("n").alias("n"), (F.any_value("base") + F.coalesce(F.sum("ratio"), F.lit(0.0))).alias("s"))
     best = F.sort_array(F.flatten(F.collect_list(F.array_repeat(F.col("s"), F.least("n", F.lit(2)).cast("int")))), asc=False)
     by_text = by_word.groupBy("place").agg(
         F.sum(F.col("n") * F.col("s")).alias("more"), F.sum(F.when(F.col("s") > CLEAR, F.col("n")).otherwise(0)).alias("sure2"),
@@ -335,22 +323,20 @@ def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def count_nodes(texts: DataFrame) -> DataFrame:
-    """(code, context, gram, toxic, ordinary): occurrences of each spelling node in (text, toxic), over all rows."""
+    """(code, toxic, ordinary): occurrences of each spelling node in (text, toxic), over all rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # A task adds up as it reads; what it holds grows with different words, so it gives rows out now and then.
-        held: list[np.ndarray] = []  # rows: code, context, gram, toxic, ordinary
+        held: list[np.ndarray] = []  # rows: code, toxic, ordinary
         size = 0
 
         def add_up() -> np.ndarray:
             every = np.concatenate(held, axis=1)
-            _, first, at = np.unique(every[0], return_index=True, return_inverse=True)
-            sums = [np.bincount(at, every[k], len(first)).astype(np.int64) for k in (3, 4)]
-            return np.stack([*every[:3, first], *sums])
+            codes, at = np.unique(every[0], return_inverse=True)
+            return np.stack([codes, *[np.bincount(at, every[k], len(codes)).astype(np.int64) for k in (1, 2)]])
 
         def rows(added: np.ndarray) -> pa.RecordBatch:
-            added = [*added[:2], added[2].astype(np.int32), *added[3:]]
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in added], names=["code", "context", "gram", "toxic", "ordinary"])
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in added], names=["code", "toxic", "ordinary"])
 
         for batch in batches:
             texts, toxic = text_bytes(batch.column(0)), batch.column(1).to_numpy(zero_copy_only=False)
@@ -358,9 +344,9 @@ def count_nodes(texts: DataFrame) -> DataFrame:
                 kinds = Counter(normal_words([t for t, y in zip(texts, toxic) if y == label])[0])
                 words, times = list(kinds), np.fromiter(kinds.values(), np.int64, len(kinds))
                 for lo, hi in spelled(words):
-                    codes, context, gram, word = spell(words[lo:hi])
+                    codes, word = spell(words[lo:hi])
                     n = times[lo:hi][word]
-                    held.append(np.stack([codes, context, gram, n * (label == 1), n * (label == 0)]))
+                    held.append(np.stack([codes, n * (label == 1), n * (label == 0)]))
                     size += len(codes)
                     if size > 1 << 20:
                         held = [add_up()]
@@ -371,8 +357,8 @@ def count_nodes(texts: DataFrame) -> DataFrame:
         if held:
             yield rows(add_up())
 
-    counted = texts.select("text", "toxic").mapInArrow(run, "code bigint, context bigint, gram int, toxic bigint, ordinary bigint")
-    return counted.groupBy("code", "context", "gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
+    counted = texts.select("text", "toxic").mapInArrow(run, "code bigint, toxic bigint, ordinary bigint")
+    return counted.groupBy("code").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"))
 
 
 class Model:

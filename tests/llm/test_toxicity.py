@@ -33,13 +33,13 @@ def test_held_out_accuracy(spark):
 
 
 class Brute:
-    """The model as the docstring writes it, over plain strings; "$" ends a word, digits are one letter."""
+    """The model as the docstring writes it, over plain strings: "^" starts a word, "$" ends it, digits are one letter."""
 
     def __init__(self, rows):
         self.count = {0: Counter(), 1: Counter()}
         for text, label in rows:
             for w in self.words(text):
-                self.count[label].update(w[:k] for k in range(1, len(w) + 1))
+                self.count[label].update(self.letters(w))
         self.nodes = set(self.count[0]) | set(self.count[1])
         self.grams = Counter(self.symbols(node) for node in self.nodes)
         self.known: dict = {}
@@ -48,12 +48,18 @@ class Brute:
     def words(text):
         return [re.sub("[0-9]", "0", w) + "$" for w in re.findall("[a-z0-9\x80-\U0010ffff]+", (text or "").lower())]
 
+    @staticmethod
+    def letters(word):
+        word = "^" * (X.ORDER - 1) + word
+        return [word[k:k + X.ORDER] for k in range(len(word) - X.ORDER + 1)]
+
     @staticmethod
     def symbols(node):
         def one(c):
-            return 0 if c == "$" else 27 if c == "0" else ord(c) - 96 if c < "\x80" else 28 + ord(c) % 35
+            other = X._START if c == "^" else 28 + ord(c) % 994
+            return 0 if c == "$" else 27 if c == "0" else ord(c) - 96 if "a" <= c <= "z" else 28 + (other - 28) % 36
 
-        return tuple([63, 63, 63, *map(one, node)][-3:])
+        return tuple(map(one, node[-3:]))
 
     def shared(self, last):
         if not last:
@@ -73,7 +79,7 @@ class Brute:
 
     def score(self, word):
         """Letter by letter, each by its full probability in both classes."""
-        return sum(np.log(self.p(1, word[:k])) - np.log(self.p(0, word[:k])) for k in range(1, len(word) + 1))
+        return sum(np.log(self.p(1, x)) - np.log(self.p(0, x)) for x in self.letters(word))
 
     def features(self, text):
         scores = sorted(map(self.score, self.words(text)), reverse=True)
@@ -87,8 +93,11 @@ ROWS = [("Bad bad WORDS, é1 badly", 1), ("some words bad приворот", 0),
 
 def code_of(node):
     """The code of a node of ``Brute``."""
-    codes = X.spell([node.rstrip("$").encode()])[0]
-    return int(codes[-1] if node.endswith("$") else codes[-2])
+    code = 0
+    for c in node:
+        own = {"^": X._START, "$": X._END}.get(c)
+        code = code << X.BITS | (int(X.spell([c.encode()])[0][0]) & X._START if own is None else own)
+    return code
 
 
 def test_counts_equal_brute_force(spark):
@@ -96,15 +105,19 @@ def test_counts_equal_brute_force(spark):
     want = Brute(ROWS)
     assert {r["code"]: (r["toxic"], r["ordinary"]) for r in got} == {code_of(x): (want.count[1][x], want.count[0][x]) for x in want.nodes}
     assert len(got) == len(want.nodes)
-    context = {code_of(x): code_of(x[:-1]) if len(x) > 1 else X.ROOT for x in want.nodes}
-    assert {r["code"]: r["context"] for r in got} == context
 
 
 def test_ratios_equal_brute_force(spark):
     want = Brute(ROWS)
-    got = {r["code"]: r["ratio"] for r in X.node_ratios(X.count_nodes(spark.createDataFrame(ROWS, "text string, toxic int"))).collect()}
-    assert len(got) == len(want.nodes)
-    assert all(abs(got[code_of(x)] - np.log(want.p(1, x)) + np.log(want.p(0, x))) < 1e-9 for x in want.nodes)
+    rows = X.node_ratios(X.count_nodes(spark.createDataFrame(ROWS, "text string, toxic int"))).collect()
+    got = {r["code"]: r["ratio"] for r in rows}
+    assert len(rows) == len(got) == len(want.nodes) + len({x[:-1] for x in want.nodes})
+    for x in want.nodes:
+        code = code_of(x)
+        back = got[int(X.backoff_code(np.array([code]))[0])]
+        assert abs(got[code] + back - np.log(want.p(1, x)) + np.log(want.p(0, x))) < 1e-9
+        other = x[:-1] + "\u0fff"  # seen nowhere
+        assert abs(back - np.log(want.p(1, other)) + np.log(want.p(0, other))) < 1e-9
 
 
 @pytest.mark.parametrize("nodes, log2", [(1 << 20, 24), (0, 7), (25, 7)])
