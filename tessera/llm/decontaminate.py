@@ -241,27 +241,33 @@ def _passages(docs: DataFrame, seeds: DataFrame, min_score: float) -> DataFrame:
 
 def plausible(passages: list[np.ndarray], items: list[np.ndarray], min_score: float) -> np.ndarray:
     """Per pair: may an alignment reach the threshold, by the item's words and n-grams that the passage has?"""
+    lengths = np.fromiter(map(len, items), np.int64, len(items))
+    sizes, size_of = np.unique(lengths, return_inverse=True)
+    sides = [(np.concatenate(side), np.repeat(np.arange(len(side)), list(map(len, side)))) for side in (items, passages)]
     ok = np.ones(len(items), bool)
-    sizes = np.fromiter(map(len, items), np.int64, len(items))
     for n in range(1, NGRAM + 1):
-        least = np.array([needed(s, n, min_score) for s in sizes.tolist()])
-        rows = np.flatnonzero(ok & (least > 0))
-        if not len(rows):
-            continue
-        sides = []
-        for side in (items, passages):
-            own = [_ngrams(side[r], n) for r in rows]
-            nth = np.repeat(np.arange(len(rows), dtype=np.uint64), list(map(len, own)))
-            with np.errstate(over="ignore"):
-                sides.append((np.concatenate(own).view(np.uint64) ^ nth * np.uint64(0xC2B2AE3D27D4EB4F), nth))
-        (mine, nth), (theirs, _) = sides
-        have = np.bincount(nth[np.isin(mine, theirs)].astype(np.int64), minlength=len(rows))
-        ok[rows] = have >= least[rows]
+        least = np.array([needed(s, n, min_score) for s in sizes.tolist()])[size_of]
+        mine, theirs = (_owned(h, owner, n, ok & (least > 0)) for h, owner in sides)
+        have = np.bincount(mine[1][np.isin(mine[0], theirs[0])], minlength=len(items))
+        ok &= have >= least
     return ok
 
 
+def _owned(h: np.ndarray, owner: np.ndarray, n: int, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of each row that is asked for, made different from row to row, and their rows."""
+    own = asked[owner]
+    h, owner = h[own], owner[own]
+    g = _ngrams(h, n).view(np.uint64)
+    whole = owner[:len(g)] == owner[len(owner) - len(g):]
+    row = owner[:len(g)][whole]
+    with np.errstate(over="ignore"):
+        return g[whole] ^ row.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F), row
+
+
 def score_pairs(passages: list[np.ndarray], items: list[np.ndarray], min_score: float) -> list[tuple[int, float, int]]:
     """(pair, score, end) of the pairs over the threshold; items of one length are aligned together."""
+    if not items:
+        return []
     out = []
     by_size: dict[int, list[int]] = {}
     for r in np.flatnonzero(plausible(passages, items, min_score)).tolist():
@@ -315,9 +321,11 @@ def candidate_pairs(docs: DataFrame, benchmark: DataFrame, item_id: str = "item_
     if not sizes:
         return None
     seeds = materialize(_seeds(grams, _corpus_counts(docs, grams, sizes)), "bench_seeds")
-    known = items.withColumnRenamed("words", "item_words").join(seeds.select("iid", "seeds"), "iid")
+    # Written, so that both joins go by measured sizes and passages move only for a large benchmark.
+    known = materialize(items.withColumnRenamed("words", "item_words").join(seeds.select("iid", "seeds"), "iid"), "bench_known")
+    owners = materialize(seeds.select(F.explode("seeds").alias("gram"), "iid"), "bench_owners")
     found = _passages(docs, seeds, min_score).withColumn("gram", F.explode("grams"))
-    found = found.join(seeds.select(F.explode("seeds").alias("gram"), "iid"), "gram").join(known, "iid")
+    found = found.join(owners, "gram").join(known, "iid")
     # Of the seeds that a block and an item share, the least one speaks for all.
     found = found.filter(F.array_min(F.array_intersect("grams", "seeds")) == F.col("gram"))
     return found.drop("gram", "grams", "seeds")
