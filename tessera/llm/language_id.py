@@ -4,7 +4,8 @@ A text's letters (other characters become spaces) give all byte n-grams of
 length 1 to 3, hashed into ``BUCKETS`` rows of an embedding table; their mean goes
 through a linear softmax. Both are trained by stochastic gradient descent in
 numpy on a bounded, documented sample: about ``SAMPLE`` different texts per
-language, chosen by a hash of the text, of the ``MAX_LANGUAGES`` most frequent languages. A
+language, chosen by a hash of the text, of every language. The driver holds their
+subword counts as sparse rows and fills one small batch of them at a time. A
 fifth of the sample sets the softmax temperature and the score below which a
 prediction is rejected (column ``rejected``).
 
@@ -23,11 +24,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.common import add_text_columns, crc_mod, ship, shipped
+from tessera.session import materialize
 
 BUCKETS = 4096
 WIDTH = 16
 SAMPLE = 500
-MAX_LANGUAGES = 200
 EPOCHS = 12
 RATE = 0.5
 PRECISION = 0.99
@@ -76,40 +77,58 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 
 def train(rows: list[tuple[str, bytes, bool]], seed: int = 7) -> Model:
-    """A model from (language, counts as float32 bytes, used for calibration) rows."""
+    """A model from (language, ``sparse`` counts, used for calibration) rows."""
     languages = sorted({r[0] for r in rows})
     if not languages:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros(0), 1.0, 0.0)
-    x = np.stack([np.frombuffer(r[1], np.float32) for r in rows])
-    x = x / np.maximum(x.sum(axis=1, keepdims=True), 1)
-    y = np.array([languages.index(r[0]) for r in rows])
+    place = {lang: k for k, lang in enumerate(languages)}
+    y = np.array([place[r[0]] for r in rows])
     aside = np.array([r[2] for r in rows])
     if aside.all() or set(y[~aside]) != set(y):
         aside[:] = False
     rng = np.random.default_rng(seed)
     emb = rng.uniform(-1, 1, (BUCKETS, WIDTH)) / WIDTH
     out, bias = np.zeros((WIDTH, len(languages))), np.zeros(len(languages))
-    xt, yt = x[~aside], y[~aside]
+    counts = [r[1] for r in rows]
+    learn = np.flatnonzero(~aside)
+    yt = y[learn]
     weight = len(yt) / (len(languages) * np.bincount(yt, minlength=len(languages)))  # languages count alike
-    scale = 1 / (xt ** 2).sum(axis=1).mean()  # features are frequencies, so steps on the table are larger
+    scale = 1 / np.mean([(dense([counts[k]]) ** 2).sum() for k in learn])  # features are frequencies, so steps on the table are larger
     out = rng.uniform(-1, 1, out.shape) / WIDTH
     for epoch in range(EPOCHS):
         rate = RATE * (1 - epoch / EPOCHS)
         order = rng.permutation(len(yt))
         for at in range(0, len(order), 16):
             pick = order[at:at + 16]
-            h = xt[pick] @ emb
+            x = dense([counts[k] for k in learn[pick]])
+            h = x @ emb
             g = softmax(h @ out + bias)
             g[np.arange(len(pick)), yt[pick]] -= 1
             g *= (weight[yt[pick]] / len(pick))[:, None]
             back = g @ out.T
             out -= rate * (WIDTH * h.T @ g)
             bias -= rate * g.sum(axis=0) * 0.1
-            emb -= rate * scale * (xt[pick].T @ back)
-    logits = x @ (emb @ out) + bias
-    held = aside if aside.any() else ~aside
-    temperature, reject = calibrate(logits[held], y[held])
-    return Model(languages, (emb @ out).astype(np.float64), bias, temperature, reject)
+            emb -= rate * scale * (x.T @ back)
+    table = emb @ out
+    held = np.flatnonzero(aside if aside.any() else ~aside)
+    logits = np.concatenate([dense([counts[k] for k in held[at:at + 256]]) @ table for at in range(0, len(held), 256)]) + bias
+    temperature, reject = calibrate(logits, y[held])
+    return Model(languages, table.astype(np.float64), bias, temperature, reject)
+
+
+def sparse(counts: np.ndarray) -> bytes:
+    """The subwords of a text and their counts, as pairs of 32-bit numbers: bucket, float."""
+    at = np.flatnonzero(counts)
+    return at.astype(np.uint32).tobytes() + counts[at].astype(np.float32).tobytes()
+
+
+def dense(rows: list[bytes]) -> np.ndarray:
+    """Subword frequencies of sparse rows."""
+    x = np.zeros((len(rows), BUCKETS), np.float32)
+    for k, raw in enumerate(rows):
+        half = len(raw) // 2
+        x[k, np.frombuffer(raw[:half], np.uint32)] = np.frombuffer(raw[half:], np.float32)
+    return x / np.maximum(x.sum(axis=1, keepdims=True), 1)
 
 
 def calibrate(logits: np.ndarray, y: np.ndarray) -> tuple[float, float]:
@@ -129,17 +148,14 @@ def fit(docs: DataFrame, train_rows: Column, doc_id: str = "doc_id", text: str =
     # Texts by hash: copies count once, so that no group of them outgrows the sample.
     labelled = docs.filter(train_rows & F.col(lang).isNotNull() & F.col(text).isNotNull())
     labelled = labelled.select(F.col(lang).alias("lang"), F.xxhash64(text).alias("place"), F.col(text).alias("text"))
-    sizes = labelled.groupBy("lang").agg(F.approx_count_distinct("place").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    if not sizes:
-        return train([])
-    share = F.create_map(*[F.lit(v) for r in sizes for v in (r["lang"], min(1.0, SAMPLE / max(r["n"], 1)))])
-    near = F.pmod("place", F.lit(1_000_000)) / 1e6 < share[F.col("lang")]
-    picked = labelled.filter(near).groupBy("lang", "place").agg(F.min("text").alias("text"))
+    sizes = materialize(labelled.groupBy("lang").agg(F.approx_count_distinct("place").alias("n")), "lang_sizes")
+    near = F.pmod("place", F.lit(1_000_000)) / 1e6 < F.lit(SAMPLE) / F.greatest("n", F.lit(1))
+    picked = labelled.join(sizes, "lang").filter(near).groupBy("lang", "place").agg(F.min("text").alias("text"))
     picked = picked.select("lang", "text", (F.pmod(F.xxhash64("place", F.lit("calibration")), F.lit(5)) == 0).alias("aside"))
 
     def count(texts: list[bytes]) -> list:
         got = [features(t) for t in texts]
-        return [[None if c is None else c.astype(np.float32).tobytes() for c in got]]
+        return [[None if c is None else sparse(c) for c in got]]
 
     counted = add_text_columns(picked, "text", [T.StructField("counts", T.BinaryType())], lambda: count, drop=("text",))
     rows = [(r["lang"], bytes(r["counts"]), r["aside"]) for r in counted.filter("counts is not null").collect()]

@@ -54,3 +54,21 @@ def test_odd_rows(odd_docs, no_docs):
     assert I.identify(no_docs).count() == 0
     unlabelled = odd_docs.withColumn("lang", F.lit(None).cast("string"))
     assert {r["lang_pred"] for r in I.identify(unlabelled).collect()} == {"und"}
+
+
+def test_every_language_is_learned(spark):
+    """300 languages of four texts each: none is dropped for being rare, and sparse rows hold all counts."""
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(3)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    rows = []
+    for k in range(300):
+        words = ["".join(rng.choice(letters, 5)) for _ in range(12)]
+        rows += [(4 * k + j, " ".join(rng.choice(words, 30)), f"l{k:03d}") for j in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = I.fit(docs, F.lit(True))
+    assert model.languages == [f"l{k:03d}" for k in range(300)]
+    assert {model.predict(t.encode())[0] for _, t, _ in rows} <= set(model.languages)
+    counts = I.features(rows[0][1].encode())
+    assert np.allclose(I.dense([I.sparse(counts)])[0], counts / counts.sum())
