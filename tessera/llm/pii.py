@@ -11,19 +11,24 @@ has a bounded number of spans. Boosted trees score each candidate by its format
 checks) and its context (words, characters and digit groups around it).
 
 No table has labels for personal data, so the trees learn from what the base
-rules settle: on a bounded, documented sample (about ``SAMPLE_DOCS`` different
-texts that hold a digit or an @, chosen by a hash of the text, and about
-``SAMPLE_CANDIDATES`` of their candidates) those that
+rules settle: of all candidates of every different text (copies count once) those that
 are base spans are positive and those that fail the checks negative. Every positive is
 also shown in a rewritten form (plus and country code dropped, separators
 changed, @ spelled out) and every negative with the same rewriting, so the
 trees score forms that the patterns miss; numbers are also shown beside another number, where the spans that
 cut them or take too much are negatives; each comes with decoys (dates, version
 numbers, wrong check digits, too few or too many digits, "at" between plain
-words), whose candidates are negatives. A third of the sample sets, per kind, the lowest
+words), whose candidates are negatives. The trees learn from the candidates of two thirds of
+these texts; all those of the other third, chosen by a hash of the text, set, per kind, the lowest
 threshold that keeps ``PRECISION`` on rewritten and plain candidates; a kind
 without enough positives adds nothing.
 
+Spark does the learning on written tables: exact quantiles cut the features into bins,
+equal binned candidates become one row with its count, and each level of a tree is one
+aggregate of gradients by bin, for all kinds at once. The gradients are summed
+as whole numbers, so the trees don't depend on how Spark deals the rows; the driver
+sees one histogram a node.
+
 Selection goes by score; a span that overlaps a base span or a better one is
 left out. Offsets are code points, end exclusive.
 
@@ -36,24 +41,27 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import add_text_columns, ship, shipped
+from tessera.llm.common import add_text_columns, ship, shipped, text_bytes
 from tessera.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_DOCS = 3000
-SAMPLE_CANDIDATES = 20_000
 PRECISION = 0.98
 LEAST_POSITIVES = 10
 ROUNDS, LEVELS, RATE, BINS = 40, 3, 0.3, 16
+QUANTILES = [i / BINS for i in range(1, BINS)]
+UNIT = 1 << 24  # gradients are summed in whole parts of this
+BLOCK, PACKED = 4096, 1 << 16  # candidates of a written block: as described, binned
 
 # The base patterns, as they run in linear time. An email is found from its @ (``_emails``);
 # an ip's numbers are whole runs of digits, so it starts at none's middle and gives no digit back.
@@ -269,53 +277,110 @@ def decoys(text: str, kind: str, a: int, b: int) -> Iterator[tuple[str, int, int
 
 
 class Trees:
-    """Gradient-boosted regression trees on binned features, logistic loss."""
+    """Gradient-boosted regression trees on binned features, logistic loss.
+
+    A tree is full: (feature, last bin that goes left) of its inner nodes, level by
+    level, and the values of its leaves. A node that isn't split sends all to the left.
+    """
 
     def __init__(self, x: np.ndarray, y: np.ndarray):
-        self.cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(x.shape[1])]
-        share = np.clip(y.mean(), 1e-3, 1 - 1e-3)
-        self.start = float(np.log(share / (1 - share)))
-        self.trees: list[list] = []
-        binned = self._bin(x)
+        self._begin([np.unique(np.quantile(x[:, j], QUANTILES)) for j in range(x.shape[1])], float(y.mean()))
+        columns, ones = np.ascontiguousarray(self.bin(x).T), np.ones(len(y))
+        boost({"": self}, lambda: {"": self.sums(columns, y, ones)})
+
+    @classmethod
+    def begun(cls, cuts: list[np.ndarray], share: float) -> Trees:
+        """No tree yet; ``cuts`` of each feature and the share of positives."""
+        trees = cls.__new__(cls)
+        trees._begin(cuts, share)
+        return trees
+
+    def _begin(self, cuts: list[np.ndarray], share: float) -> None:
+        share = min(max(share, 1e-3), 1 - 1e-3)
+        self.cuts, self.start, self.level = cuts, float(np.log(share / (1 - share))), 0
+        self.split = np.zeros((0, (1 << LEVELS) - 1, 2), np.uint8)
+        self.leaf = np.zeros((0, 1 << LEVELS))
+        self.growing = np.zeros(self.split.shape[1:], np.uint8)
+
+    def bin(self, x: np.ndarray) -> np.ndarray:
+        return np.column_stack([np.searchsorted(c, x[:, j], "right") for j, c in enumerate(self.cuts)]).astype(np.uint8)
+
+    @staticmethod
+    def _nodes(split: np.ndarray, columns: np.ndarray, levels: int) -> np.ndarray:
+        """The node of each row (a column of ``columns``) after some levels of one tree."""
+        at = np.zeros(columns.shape[1], np.uint8)
+        for level in range(levels):
+            right = np.zeros(len(at), bool)
+            for node in range(1 << level):
+                feature, last = split[(1 << level) - 1 + node]
+                if last < BINS:
+                    right |= (at == node) & (columns[feature] > last)
+            at = 2 * at + right
+        return at
+
+    def sums(self, columns: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Gradients and their weights by node, feature and bin of the level that grows, then rows by node.
+
+        ``columns`` holds a row of bins for each feature; the sums are whole numbers, so blocks add up exactly.
+        """
         z = np.full(len(y), self.start)
-        for _ in range(ROUNDS):
-            p = 1 / (1 + np.exp(-z))
-            tree = self._grow(binned, y - p, np.maximum(p * (1 - p), 1e-6), np.arange(len(y)), LEVELS)
-            self.trees.append(tree)
-            z += RATE * self._walk(tree, binned)
-
-    def _bin(self, x: np.ndarray) -> np.ndarray:
-        return np.column_stack([np.searchsorted(c, x[:, j], "right") for j, c in enumerate(self.cuts)])
-
-    def _grow(self, binned, gradient, weight, rows, levels) -> list:
-        g, h = gradient[rows].sum(), weight[rows].sum()
-        leaf = [float(g / (h + 1.0))]
-        if levels == 0 or len(rows) < 10:
-            return leaf
-        best = (1e-3, -1, 0)
-        for j in range(binned.shape[1]):
-            gs = np.bincount(binned[rows, j], gradient[rows], BINS + 1).cumsum()[:-1]
-            hs = np.bincount(binned[rows, j], weight[rows], BINS + 1).cumsum()[:-1]
-            gain = gs ** 2 / (hs + 1) + (g - gs) ** 2 / (h - hs + 1) - g * g / (h + 1)
-            k = int(gain.argmax())
-            best = max(best, (float(gain[k]), -j - 1, k))
-        gain, j, k = best[0], -best[1] - 1, best[2]
-        if best == (1e-3, -1, 0):
-            return leaf
-        low = binned[rows, j] <= k
-        return [j, k, self._grow(binned, gradient, weight, rows[low], levels - 1),
-                self._grow(binned, gradient, weight, rows[~low], levels - 1)]
-
-    def _walk(self, tree, binned) -> np.ndarray:
-        if len(tree) == 1:
-            return np.full(len(binned), tree[0])
-        low = binned[:, tree[0]] <= tree[1]
-        return np.where(low, self._walk(tree[2], binned), self._walk(tree[3], binned))
+        for split, leaf in zip(self.split, self.leaf):
+            z += RATE * leaf[self._nodes(split, columns, LEVELS)]
+        p = 1 / (1 + np.exp(-z))
+        parts = [np.rint((y - p) * UNIT) * weight, np.rint(np.maximum(p * (1 - p), 1e-6) * UNIT) * weight]
+        at, nodes = self._nodes(self.growing, columns, self.level).astype(np.intp), 1 << self.level
+        out = np.zeros((2, nodes, len(columns), BINS))
+        for j, column in enumerate(columns):
+            place = at * BINS + column
+            for found, part in zip(out, parts):
+                found[:, j] = np.bincount(place, part, nodes * BINS).reshape(nodes, BINS)
+        rows = np.bincount(at, weight, nodes)
+        return np.column_stack([out.reshape(2, -1), [rows, rows]]).astype(np.int64)
+
+    def grow(self, sums: np.ndarray) -> None:
+        """Split the nodes of the level that grows by its ``sums``; the last level ends the tree."""
+        nodes = 1 << self.level
+        found, rows = sums[:, :-nodes].reshape(2, nodes, len(self.cuts), BINS) / UNIT, sums[0, -nodes:]
+        leaf = np.zeros(2 * nodes)
+        for node in range(nodes):
+            gs, hs = found[:, node].cumsum(2)
+            g, h = gs[0, -1], hs[0, -1]
+            gain = (gs ** 2 / (hs + 1) + (g - gs) ** 2 / (h - hs + 1) - g * g / (h + 1))[:, :-1]
+            j, k = np.unravel_index(int(gain.argmax()), gain.shape)
+            place = nodes - 1 + node
+            if rows[node] < 10 or gain[j, k] <= 1e-3:
+                self.growing[place] = 0, BINS
+                leaf[2 * node] = g / (h + 1)
+            else:
+                self.growing[place] = j, k
+                leaf[2 * node], leaf[2 * node + 1] = gs[j, k] / (hs[j, k] + 1), (g - gs[j, k]) / (h - hs[j, k] + 1)
+        self.level += 1
+        if self.level == LEVELS:
+            self.split, self.leaf = np.concatenate([self.split, [self.growing]]), np.concatenate([self.leaf, [leaf]])
+            self.growing, self.level = np.zeros_like(self.growing), 0
+
+    def of_bins(self, binned: np.ndarray) -> np.ndarray:
+        """Probability of rows of bins, in nine digits."""
+        out, tree = np.zeros(len(binned)), np.arange(len(self.split))
+        for lo in range(0, len(binned), BLOCK):
+            part = binned[lo:lo + BLOCK]
+            rows, at = np.arange(len(part))[:, None], np.zeros((len(part), len(tree)), np.intp)
+            for level in range(LEVELS):
+                split = self.split[tree, (1 << level) - 1 + at]
+                at = 2 * at + (part[rows, split[..., 0]] > split[..., 1])
+            z = self.start + RATE * self.leaf[tree, at].sum(1)
+            out[lo:lo + BLOCK] = np.round(1 / (1 + np.exp(-z)), 9)
+        return out
 
     def probability(self, x: np.ndarray) -> np.ndarray:
-        binned = self._bin(x)
-        z = self.start + RATE * sum(self._walk(t, binned) for t in self.trees)
-        return 1 / (1 + np.exp(-z))
+        return self.of_bins(self.bin(x))
+
+
+def boost(trees: dict[str, Trees], sums: Callable[[], dict[str, np.ndarray]]) -> None:
+    """Grow all ``trees`` together; ``sums()`` adds up the level that grows over all rows."""
+    for _ in range(ROUNDS * LEVELS if trees else 0):
+        for kind, found in sums().items():
+            trees[kind].grow(found)
 
 
 class Model:
@@ -344,28 +409,137 @@ class Model:
         return base, sorted(base + own)
 
 
-def train(rows: list[tuple[str, float, bool, list[float]]]) -> Model:
-    """A model from (kind, is positive, used for the threshold, features) rows."""
-    model = Model()
-    for kind in KINDS:
-        own = [r for r in rows if r[0] == kind]
-        y, aside = np.array([r[1] for r in own]), np.array([r[2] for r in own], bool)
-        if not own or min(y[~aside].sum(), y[aside].sum()) < LEAST_POSITIVES or y[~aside].min() > 0:
-            continue
-        x = np.array([r[3] for r in own])
-        trees = Trees(x[~aside], y[~aside])
-        p, right = trees.probability(x[aside]), y[aside] > 0
-        order = np.argsort(-p, kind="stable")
-        good = np.cumsum(right[order]) >= PRECISION * np.arange(1, len(order) + 1)
-        if good.any():
-            model.kinds[kind] = (trees, float(max(0.5, p[order][np.flatnonzero(good)[-1]])))
+class Examples:
+    """A written table of described candidates: blocks of one kind, used to learn or (``aside``) for the threshold."""
+
+    def __init__(self, blocks: DataFrame):
+        self.blocks = blocks
+
+    def __len__(self) -> int:
+        return self.blocks.agg(F.sum("n")).first()[0] or 0
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bool, np.ndarray, np.ndarray, np.ndarray | None]]:
+    """(kind, aside, features or bins, is positive, counts of equal rows if binned) of each block."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            r = {name: batch.column(i)[row].as_py() for i, name in enumerate(batch.schema.names)}
+            y = np.frombuffer(r["y"], np.uint8).astype(float)
+            if "weight" in r:
+                yield r["kind"], r["aside"], np.frombuffer(r["x"], np.uint8).reshape(-1, len(y)), y, np.frombuffer(r["weight"], np.int64)
+            else:
+                yield r["kind"], r["aside"], np.frombuffer(r["x"]).reshape(len(y), -1), y, None
+
+
+def _cuts(blocks: DataFrame) -> dict[str, list[np.ndarray]]:
+    """Exact quantiles of every feature, per kind, over all rows of the blocks."""
+    def run(batches):
+        for kind, _, x, _, _ in _blocks(batches):
+            for j in range(x.shape[1]):
+                values, n = np.unique(x[:, j], return_counts=True)
+                yield pa.RecordBatch.from_pydict({"kind": [kind] * len(n), "feature": pa.array([j] * len(n), pa.int32()), "value": values, "n": n})
+
+    counted = blocks.mapInArrow(run, "kind string, feature int, value double, n long")
+    counted = counted.groupBy("kind", "feature", "value").agg(F.sum("n").alias("n")).groupBy("kind", "feature")
+    cuts: dict[str, dict[int, np.ndarray]] = {}
+    for r in counted.agg(F.percentile("value", QUANTILES, F.col("n")).alias("cuts")).collect():
+        cuts.setdefault(r["kind"], {})[r["feature"]] = np.unique(r["cuts"])
+    return {kind: [own[j] for j in sorted(own)] for kind, own in cuts.items()}
+
+
+def _binned(blocks: DataFrame, trees: dict[str, Trees]) -> DataFrame:
+    """The blocks as bins, a row of them per feature; equal rows are one with their count."""
+    def collapse(batches):
+        for kind, aside, x, y, _ in _blocks(batches):
+            rows, n = np.unique(np.column_stack([trees[kind].bin(x), y.astype(np.uint8)]), axis=0, return_counts=True)
+            yield pa.RecordBatch.from_pydict({"kind": [kind] * len(n), "aside": [aside] * len(n), "row": [r.tobytes() for r in rows], "n": n})
+
+    def pack(batches):
+        held: dict[tuple[str, bool], tuple[list[bytes], list[int]]] = {}
+
+        def packed(key):
+            rows, n = held.pop(key)
+            columns = np.ascontiguousarray(np.frombuffer(b"".join(rows), np.uint8).reshape(len(rows), -1).T)
+            return pa.RecordBatch.from_pydict({"kind": [key[0]], "aside": [key[1]], "x": [columns[:-1].tobytes()], "y": [columns[-1].tobytes()],
+                                               "weight": [np.array(n, np.int64).tobytes()]})
+
+        for batch in batches:
+            for kind, aside, row, n in zip(*(c.to_pylist() for c in batch.columns)):
+                rows, counts = held.setdefault((kind, aside), ([], []))
+                rows.append(row)
+                counts.append(n)
+                if len(rows) == PACKED:
+                    yield packed((kind, aside))
+        for key in list(held):
+            yield packed(key)
+
+    rows = blocks.mapInArrow(collapse, "kind string, aside boolean, row binary, n long")
+    rows = rows.groupBy("kind", "aside", "row").agg(F.sum("n").alias("n"))
+    return materialize(rows.mapInArrow(pack, "kind string, aside boolean, x binary, y binary, weight binary"), "pii_binned")
+
+
+def _level_sums(table: DataFrame, trees: dict[str, Trees]) -> dict[str, np.ndarray]:
+    """``Trees.sums`` of every kind over all rows of the table."""
+    def run(batches):
+        total: dict[str, np.ndarray] = {}
+        for kind, _, columns, y, weight in _blocks(batches):
+            total[kind] = total.get(kind, 0) + trees[kind].sums(columns, y, weight)
+        for kind, (g, h) in total.items():
+            yield pa.RecordBatch.from_pydict({"kind": [kind] * len(g), "slot": pa.array(range(len(g)), pa.int32()), "g": g, "h": h})
+
+    found = table.mapInArrow(run, "kind string, slot int, g long, h long").groupBy("kind", "slot").agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
+    found = found.toArrow().to_pydict()
+    kinds, slots, values = np.array(found["kind"]), np.array(found["slot"], np.intp), np.array([found["g"], found["h"]], np.int64)
+    out = {}
+    for kind in trees:
+        own = np.flatnonzero(kinds == kind)
+        out[kind] = values[:, own[np.argsort(slots[own])]]
+    return out
+
+
+def _thresholds(table: DataFrame, trees: dict[str, Trees]) -> dict[str, float]:
+    """Per kind, the lowest probability from which on ``PRECISION`` of all rows of the table are positive."""
+    def run(batches):
+        for kind, _, columns, y, weight in _blocks(batches):
+            p, place = np.unique(trees[kind].of_bins(np.ascontiguousarray(columns.T)), return_inverse=True)
+            yield pa.RecordBatch.from_pydict({"kind": [kind] * len(p), "p": p, "good": np.bincount(place, weight * y).astype(np.int64),
+                                              "n": np.bincount(place, weight).astype(np.int64)})
+
+    rows = table.mapInArrow(run, "kind string, p double, good long, n long").groupBy("kind", "p").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
+    # Running sums by slices of the log-odds and within a slice, so that no task sorts a whole kind.
+    rows = rows.withColumn("slice", F.floor(8 * F.log((F.col("p") + 1e-9) / (1 - F.col("p") + 1e-9))))
+    above = Window.partitionBy("kind").orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
+    slices = rows.groupBy("kind", "slice").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
+    slices = slices.select("kind", "slice", *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"{c}_above") for c in ("good", "n")])
+    within = Window.partitionBy("kind", "slice").orderBy(F.desc("p")).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.join(slices, ["kind", "slice"])
+    rows = rows.select("kind", "p", *[(F.col(f"{c}_above") + F.sum(c).over(within)).alias(c) for c in ("good", "n")])
+    return {r["kind"]: r["p"] for r in rows.filter(F.col("good") >= PRECISION * F.col("n")).groupBy("kind").agg(F.min("p").alias("p")).collect()}
+
+
+def train(examples: Examples) -> Model:
+    """A model from all examples."""
+    model, blocks = Model(), examples.blocks
+    seen = {(r["kind"], r["aside"]): r for r in blocks.groupBy("kind", "aside").agg(F.sum("n").alias("n"), F.sum("positive").alias("positive")).collect()}
+    kinds = [k for k in KINDS if (k, False) in seen and (k, True) in seen
+             and min(seen[k, aside]["positive"] for aside in (False, True)) >= LEAST_POSITIVES and seen[k, False]["positive"] < seen[k, False]["n"]]
+    if not kinds:
+        return model
+    blocks = blocks.filter(F.col("kind").isin(kinds))
+    cuts = _cuts(blocks.filter(~F.col("aside")))
+    trees = {k: Trees.begun(cuts[k], seen[k, False]["positive"] / seen[k, False]["n"]) for k in kinds}
+    table = _binned(blocks, trees)
+    learned = table.filter(~F.col("aside"))
+    boost(trees, lambda: _level_sums(learned, trees))
+    for kind, p in _thresholds(table.filter("aside"), trees).items():
+        model.kinds[kind] = (trees[kind], max(0.5, p))
     return model
 
 
-def _examples(text: str) -> list[tuple[str, float, list[float]]]:
+def _example_stream(text: str) -> Iterator[tuple[str, float, list[float]]]:
+    """(kind, is positive, features) of the text's candidates and of what is made from them, one after the other."""
     spans = base_spans(text)
     base, taken = {(a, KINDS[k], b) for a, k, b in spans}, Taken([(a, b) for a, _, b in spans])
-    out = []
     for kind in KINDS:
         others = [(a, b) for a, k, b in spans if KINDS[k] != kind]
         starts, reach = [a for a, _ in others], list(accumulate((b for _, b in others), max))
@@ -374,18 +548,19 @@ def _examples(text: str) -> list[tuple[str, float, list[float]]]:
             inside = before > 0 and reach[before - 1] >= b
             y = float((a, kind, b) in base)
             if inside and not y:
-                out.append((kind, 0.0, describe(text, kind, a, b)))  # part of other personal data
+                yield kind, 0.0, describe(text, kind, a, b)  # part of other personal data
                 continue
             if not y and taken(a, b):
                 continue  # overlaps a positive in part: neither way
             if not y and kind in DIGITS and _plausible(kind, text[a:b], _digits(text[a:b])) and (kind == "phone" or luhn(_digits(text[a:b]))):
                 continue  # may be a number that the base pattern ran together with another one, or one without a plus
-            out.append((kind, y, describe(text, kind, a, b)))
+            yield kind, y, describe(text, kind, a, b)
             shown = [(y, rewritten(text, kind, a, b)), *((0.0, x) for x in decoys(text, kind, a, b))]
             if kind in DIGITS and y:
                 forms = [(text, a, b), rewritten(text, kind, a, b)]
                 if kind == "card":  # also in fours, which the base pattern takes only where they stand alone
-                    forms += [(text[:a] + fours + text[b:], a, a + len(fours)) for fours in
+                    near = text[max(0, a - 30):a]
+                    forms += [(near + fours + text[b:b + 12], len(near), len(near) + len(fours)) for fours in
                               (mark.join(re.findall("[0-9]{1,4}", _digits(text[a:b]))) for mark in " -")]
                 for other, u, v in (beside(other, kind, u, v) for other, u, v in forms):
                     shown.append((1.0, (other, u, v)))
@@ -393,31 +568,39 @@ def _examples(text: str) -> list[tuple[str, float, list[float]]]:
                     shown += [(0.0, (other, p, q)) for p, q in candidates(other, kind)
                               if (p, q) != (u, v) and p < v and u < q and _digits(other[p:q]) != twin]
             for label, (other, u, v) in shown:
-                out.append((kind, label, describe(other, kind, u, v)))
-    return out
+                yield kind, label, describe(other, kind, u, v)
+
+
+def _examples(text: str) -> list[tuple[str, float, list[float]]]:
+    return list(_example_stream(text))
 
 
 def fit(docs: DataFrame, text: str = "text") -> Model:
-    """A model from the candidates of a bounded sample of the documents that hold any."""
-    # Texts by hash: copies count once, so that no group of them outgrows the sample.
-    sized = docs.filter(F.col(text).rlike(r"[0-9@]")).select(F.xxhash64(text).alias("place"), F.col(text).alias("text"))
-    n = sized.agg(F.approx_count_distinct("place")).first()[0]
-    near = F.pmod("place", F.lit(1_000_000)) / 1e6 < min(1.0, SAMPLE_DOCS / max(n, 1))
-    picked = sized.filter(near).groupBy("place").agg(F.min("text").alias("text"))
-    picked = picked.select("place", "text", (F.pmod(F.xxhash64("text", F.lit("threshold")), F.lit(3)) == 0).alias("aside"))
-    one = T.StructType([T.StructField("kind", T.StringType()), T.StructField("y", T.DoubleType()),
-                        T.StructField("x", T.ArrayType(T.DoubleType()))])
-
-    def propose(texts: list[bytes]) -> list:
-        return [[[{"kind": k, "y": y, "x": x} for k, y, x in _examples(t.decode("utf-8", "replace"))] for t in texts]]
-
-    found = add_text_columns(picked, "text", [T.StructField("e", T.ArrayType(one))], lambda: propose, drop=("text",))
-    found = materialize(found.select("place", "aside", F.posexplode("e").alias("nth", "e")).select("place", "aside", "nth", "e.*"), "pii_sample")
-    # A few texts may hold very many candidates: an even hashed share of all keeps the sample bounded.
-    total = found.count()
-    share = F.pmod(F.xxhash64("place", "nth"), F.lit(1_000_000)) / 1e6 < min(1.0, SAMPLE_CANDIDATES / max(total, 1))
-    rows = [(r["kind"], r["y"], r["aside"], list(r["x"])) for r in found.filter(share).collect()]
-    return train(sorted(rows))
+    """A model from the candidates of all documents that may hold any."""
+    # Copies of a text count once, so that no group of them outweighs the rest.
+    texts = docs.filter(F.col(text).rlike(_MAY_HOLD.pattern)).select(F.col(text).alias("text")).distinct()
+    texts = texts.select("text", (F.pmod(F.xxhash64("text", F.lit("threshold")), F.lit(3)) == 0).alias("aside"))
+
+    def run(batches):
+        held: dict[tuple[str, bool], tuple[array, array]] = {}
+
+        def block(key):
+            x, y = held.pop(key)
+            return pa.RecordBatch.from_pydict({"kind": [key[0]], "aside": [key[1]], "n": [len(y)], "positive": [sum(y)], "x": [x.tobytes()], "y": [y.tobytes()]})
+
+        for batch in batches:
+            for t, aside in zip(text_bytes(batch.column(0)), batch.column(1).to_pylist()):
+                for kind, y, features in _example_stream(t.decode("utf-8", "replace")):
+                    xs, ys = held.setdefault((kind, aside), (array("d"), array("B")))
+                    xs.extend(features)
+                    ys.append(int(y))
+                    if len(ys) == BLOCK:
+                        yield block((kind, aside))
+        for key in list(held):
+            yield block(key)
+
+    blocks = texts.mapInArrow(run, "kind string, aside boolean, n long, positive long, x binary, y binary")
+    return train(Examples(materialize(blocks, "pii_examples")))
 
 
 def _write(spans: list) -> str:

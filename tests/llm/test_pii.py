@@ -194,3 +194,40 @@ def test_no_candidate_is_passed_over_without_a_digit(text, model):
     spans = every.spans(text)[1]
     assert spans and spans == [s for s in every.spans(text + ", row 7")[1] if s[2] <= len(text)]
     assert model.spans(text)[1] == [s for s in model.spans(text + ", row 7")[1] if s[2] <= len(text)]
+
+
+def test_every_different_text_is_learned(spark, monkeypatch):
+    """No sample: all candidates of more texts than one of a few thousand would hold, also of those without a digit."""
+    texts = [f"call +1 212 555 {i:04d} or write to user{i}@example.com" for i in range(4000)] + ["reach jane.doe at example.com now"]
+    seen = []
+    monkeypatch.setattr(P, "train", lambda examples: seen.append(len(examples)) or P.Model())
+    P.fit(spark.createDataFrame([(t,) for t in texts * 2] + [(None,)], "text string"))
+    assert seen == [sum(len(P._examples(t)) for t in texts)]
+
+
+def test_trees_and_thresholds_equal_those_of_all_rows_at_once(spark, monkeypatch):
+    """Against arrays of all examples; blocks of a few rows and any number of tasks change nothing."""
+    import numpy as np
+
+    for name, size in (("ROUNDS", 3), ("BLOCK", 50), ("PACKED", 70)):
+        monkeypatch.setattr(P, name, size)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    kept = []
+    train = P.train
+    monkeypatch.setattr(P, "train", lambda examples: kept.append(examples) or train(examples))
+    model, again = P.fit(docs.repartition(7)), P.fit(docs.coalesce(1))
+    rows = [(kind, bool(aside), f, v) for r in kept[0].blocks.toLocalIterator()
+            for kind, aside, y, x in [(r["kind"], r["aside"], np.frombuffer(r["y"], np.uint8), np.frombuffer(r["x"]))]
+            for f, v in zip(x.reshape(len(y), -1).tolist(), y.tolist())]
+    texts = {r["text"] for r in docs.collect() if r["text"]}
+    assert sorted((k, v, f) for k, _, f, v in rows) == sorted((k, int(y), f) for t in texts for k, y, f in P._examples(t))
+    assert {"card", "phone"} <= set(model.kinds) == set(again.kinds)
+    for kind, (trees, threshold) in model.kinds.items():
+        x, y, side = (np.array([r[i] for r in rows if r[0] == kind]) for i in (2, 3, 1))
+        want = P.Trees(x[~side], y[~side])
+        for got in (trees, again.kinds[kind][0]):
+            assert all(np.array_equal(a, b) for a, b in zip(got.cuts, want.cuts))
+            assert np.array_equal(got.split, want.split) and np.array_equal(got.leaf, want.leaf)
+        p, good = trees.probability(x[side]), y[side] > 0
+        at = [q for q in set(p) if good[p >= q].sum() >= P.PRECISION * (p >= q).sum()]
+        assert threshold == again.kinds[kind][1] == max(0.5, min(at))
